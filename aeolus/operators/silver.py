@@ -165,3 +165,15 @@ def reject_report(flat: DataFrame, producer: str | None = None, as_of: str | Non
     """Per-reason row counts (partial aggregation before the shuffle)."""
     return (classify_rows(flat, producer, as_of, order_by=order_by)
             .groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rows")))
+
+
+def latest_per_key(df: DataFrame, key: str = "event_id",
+                   order_desc: Sequence[str] = ("ingest_ts",)) -> DataFrame:
+    """Cross-run dedup on read: keep the newest row per ``key`` when several
+    Silver runs hold the same event (a rerun re-reads all of Bronze).
+
+    Same skew-safe shape as ``dedup_events`` (map-side group limit)."""
+    w = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in order_desc])
+    return (df.withColumn("_rn", F.row_number().over(w))
+              .filter(F.col("_rn") == 1)
+              .drop("_rn"))

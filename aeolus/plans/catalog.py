@@ -86,3 +86,118 @@ def q_temperature_hourly(spark, sf_dir):
     return g.select("window_date", "window_hour", "city", "samples_cnt",
                     *[_r(c).alias(c) for c in ("temperature_avg_c", "temperature_min_c",
                                                "temperature_max_c", "temperature_stddev_c")])
+
+
+def _flat_fixture(spark, sf_dir) -> DataFrame:
+    return silver.flatten_weather(fx.weather_bronze(_events(spark, sf_dir)), carry=("src_id",))
+
+
+@register("silver_flatten")
+def q_silver_flatten(spark, sf_dir):
+    """V2 over every Bronze row (bad timestamps become null, not errors)."""
+    return _silver_out(_flat_fixture(spark, sf_dir))
+
+
+@register("silver_null_reject")
+def q_silver_null_reject(spark, sf_dir):
+    """V2 -> V3."""
+    return _silver_out(silver.reject_nulls(_flat_fixture(spark, sf_dir)))
+
+
+@register("silver_range_filter")
+def q_silver_range_filter(spark, sf_dir):
+    """V2 -> V3 -> V4."""
+    df = silver.reject_nulls(_flat_fixture(spark, sf_dir))
+    return _silver_out(silver.domain_filter(df, fx.FIXTURE_AUTHOR))
+
+
+@register("silver_time_filter")
+def q_silver_time_filter(spark, sf_dir):
+    """V2 -> V5 alone (so null, old and future timestamps are all exercised)."""
+    return _silver_out(silver.time_filter(_flat_fixture(spark, sf_dir)))
+
+
+@register("silver_dedup")
+def q_silver_dedup(spark, sf_dir):
+    """V6 alone over all flattened rows: first src_id per event_id."""
+    df = silver.dedup_events(_flat_fixture(spark, sf_dir), order_by=("src_id",))
+    return df.select("event_id", "src_id", _ntz("event_ts").alias("event_ts"), "city")
+
+
+@register("silver_reject_report")
+def q_silver_reject_report(spark, sf_dir):
+    """V7: rows per first failing rule; sums to the Bronze row count."""
+    return silver.reject_report(_flat_fixture(spark, sf_dir), producer=fx.FIXTURE_AUTHOR,
+                                order_by=("src_id",))
+
+
+@register("silver_stamp_producer")
+def q_silver_stamp_producer(spark, sf_dir):
+    """V1 then V9 with the source pipeline's overwrite semantics."""
+    bronze = fx.weather_bronze(_events(spark, sf_dir), author="someone-else")
+    df = silver.silver_weather(bronze, producer=fx.FIXTURE_AUTHOR, restamp=True,
+                               order_by=("src_id",), carry=("src_id",))
+    return df.groupBy("author").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("precipitation_daily")
+def q_precipitation_daily(spark, sf_dir):
+    """G2."""
+    g = gold.precipitation_daily(silver_fixture(spark, sf_dir))
+    return g.select("window_date", "city", _r("total_precip_mm").alias("total_precip_mm"),
+                    "hours_observed", "rainy_hours")
+
+
+@register("wind_daily_extremes")
+def q_wind_daily_extremes(spark, sf_dir):
+    """G3."""
+    g = gold.wind_daily_extremes(silver_fixture(spark, sf_dir))
+    return g.select("window_date", "city",
+                    *[_r(c).alias(c) for c in ("wind_speed_max_ms", "wind_speed_avg_ms",
+                                               "prevailing_wind_deg", "mean_wind_vector_ms")])
+
+
+@register("subzero_hours_daily")
+def q_subzero_hours_daily(spark, sf_dir):
+    """G4."""
+    g = gold.subzero_hours_daily(silver_fixture(spark, sf_dir))
+    return g.select("window_date", "city", "hours_observed",
+                    _r("coldest_hour_temp_c").alias("coldest_hour_temp_c"),
+                    _r("avg_hourly_min_temp_c").alias("avg_hourly_min_temp_c"),
+                    "subzero_hours")
+
+
+@register("comfort_index_hourly")
+def q_comfort_index_hourly(spark, sf_dir):
+    """G5."""
+    g = gold.comfort_index_hourly(silver_fixture(spark, sf_dir))
+    return g.select("window_date", "window_hour", "city", "samples_cnt",
+                    *[_r(c).alias(c) for c in ("comfort_index_c", "temperature_avg_c",
+                                               "humidity_avg_pct", "wind_speed_avg_ms")])
+
+
+@register("metric_lineage")
+def q_metric_lineage(spark, sf_dir):
+    """Lineage columns stamped on a Gold metric."""
+    g = gold.temperature_hourly(silver_fixture(spark, sf_dir))
+    g = gold.finalize_metric(g, fx.FIXTURE_AUTHOR, "run000000001", "temperature_hourly")
+    return g.select("window_date", "window_hour", "city", "samples_cnt",
+                    "author", "schema_v", "run_id", "metric_name")
+
+
+@register("silver_latest_run")
+def q_silver_latest_run(spark, sf_dir):
+    """Two Silver runs (a partial one, then a full rerun) read together;
+    one row per event_id survives, from the latest run."""
+    from ..operators.silver import latest_per_key
+    bronze = fx.weather_bronze(_events(spark, sf_dir))
+    first = silver.silver_weather(bronze.filter(F.col("ingest_ts") < "2024-01-16"),
+                                  producer=fx.FIXTURE_AUTHOR, order_by=("src_id",),
+                                  carry=("src_id",))
+    rerun = silver.silver_weather(bronze, producer=fx.FIXTURE_AUTHOR, order_by=("src_id",),
+                                  carry=("src_id",))
+    runs = (first.withColumns({"run_id": F.lit("run-a"), "run_seq": F.lit(1)})
+            .unionByName(rerun.withColumns({"run_id": F.lit("run-b"), "run_seq": F.lit(2)})))
+    latest = latest_per_key(runs, key="event_id", order_desc=("run_seq",))
+    return latest.select("event_id", "run_id", "city", _ntz("event_ts").alias("event_ts"),
+                         "temperature_2m")

@@ -117,3 +117,117 @@ SELECT strftime(event_ts, '%Y-%m-%d') AS window_date, strftime(event_ts, '%H') A
        {R("stddev_pop(temperature_2m)")} AS temperature_stddev_c
 FROM silver WHERE city IS NOT NULL
 GROUP BY 1, 2, 3"""
+
+FLAT_CTES = with_ctes(BASE, WRAW, FLAT)
+ORACLE["silver_flatten"] = f"""{FLAT_CTES}
+SELECT {SILVER_COLS} FROM flat"""
+
+ORACLE["silver_null_reject"] = f"""{FLAT_CTES}
+SELECT {SILVER_COLS} FROM flat WHERE {NONNULL}"""
+
+ORACLE["silver_range_filter"] = f"""{FLAT_CTES}
+SELECT {SILVER_COLS} FROM flat WHERE {NONNULL} AND {INRANGE}"""
+
+ORACLE["silver_time_filter"] = f"""{FLAT_CTES}
+SELECT {SILVER_COLS} FROM flat WHERE {TIMELY}"""
+
+ORACLE["silver_dedup"] = f"""{FLAT_CTES}
+SELECT event_id, src_id, event_ts, city FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY src_id) AS rn FROM flat)
+WHERE rn = 1"""
+
+ORACLE["silver_reject_report"] = f"""{FLAT_CTES},
+tagged AS (
+  SELECT *,
+    COALESCE(({NONNULL}), false) AS present,
+    COALESCE(({INRANGE}), false) AS in_range,
+    COALESCE(({TIMELY}), false) AS timely
+  FROM flat),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY event_id
+    ORDER BY CASE WHEN present AND in_range AND timely THEN 0 ELSE 1 END, src_id) AS rn
+  FROM tagged)
+SELECT CASE WHEN NOT present THEN 'null_field'
+            WHEN NOT in_range THEN 'out_of_range'
+            WHEN NOT timely THEN 'bad_timestamp'
+            WHEN rn > 1 THEN 'duplicate'
+            ELSE 'valid' END AS reject_reason,
+       count(*) AS rows
+FROM ranked GROUP BY 1"""
+
+ORACLE["silver_stamp_producer"] = f"""{SILVER_CTES}
+SELECT author, count(*) AS rows FROM silver GROUP BY 1"""
+
+HOURLY_KEYS = "strftime(event_ts, '%Y-%m-%d') AS window_date, strftime(event_ts, '%H') AS window_hour"
+
+ORACLE["precipitation_daily"] = f"""{SILVER_CTES},
+hourly AS (
+  SELECT strftime(event_ts, '%Y-%m-%d') AS window_date, city, hour(event_ts) AS sample_hour,
+         sum(precipitation) AS hour_precip_mm
+  FROM silver GROUP BY 1, 2, 3)
+SELECT window_date, city, {R("sum(hour_precip_mm)")} AS total_precip_mm,
+       count(*) AS hours_observed,
+       CAST(sum(CASE WHEN hour_precip_mm >= 1e-1 THEN 1 ELSE 0 END) AS BIGINT) AS rainy_hours
+FROM hourly WHERE city IS NOT NULL GROUP BY 1, 2"""
+
+ORACLE["wind_daily_extremes"] = f"""{SILVER_CTES},
+uv AS (
+  SELECT strftime(event_ts, '%Y-%m-%d') AS window_date, city, wind_speed_10m,
+         -wind_speed_10m * sin(radians(wind_direction_10m)) AS u,
+         -wind_speed_10m * cos(radians(wind_direction_10m)) AS v
+  FROM silver),
+daily AS (
+  SELECT window_date, city, max(wind_speed_10m) AS mx, avg(wind_speed_10m) AS av,
+         avg(u) AS mu, avg(v) AS mv
+  FROM uv WHERE city IS NOT NULL GROUP BY 1, 2),
+dirs AS (
+  SELECT *, degrees(atan2(-mu + 0e0, -mv + 0e0)) AS raw FROM daily)
+SELECT window_date, city, {R("mx")} AS wind_speed_max_ms, {R("av")} AS wind_speed_avg_ms,
+       {R("CASE WHEN raw < 0 THEN raw + 360e0 ELSE raw END")} AS prevailing_wind_deg,
+       {R("sqrt(mu * mu + mv * mv)")} AS mean_wind_vector_ms
+FROM dirs"""
+
+ORACLE["subzero_hours_daily"] = f"""{SILVER_CTES},
+hourly AS (
+  SELECT strftime(event_ts, '%Y-%m-%d') AS window_date, city, hour(event_ts) AS sample_hour,
+         min(temperature_2m) AS hmin
+  FROM silver GROUP BY 1, 2, 3)
+SELECT window_date, city, count(*) AS hours_observed,
+       {R("min(hmin)")} AS coldest_hour_temp_c,
+       {R("avg(hmin)")} AS avg_hourly_min_temp_c,
+       count(CASE WHEN hmin < 0e0 THEN 1 END) AS subzero_hours
+FROM hourly WHERE city IS NOT NULL GROUP BY 1, 2"""
+
+ORACLE["comfort_index_hourly"] = f"""{SILVER_CTES}
+SELECT {HOURLY_KEYS}, city, count(*) AS samples_cnt,
+  {R("avg(temperature_2m + 33e-2 * (relative_humidity_2m / 100e0) * 6105e-3 - 7e-1 * wind_speed_10m - 4e0)")}
+    AS comfort_index_c,
+  {R("avg(temperature_2m)")} AS temperature_avg_c,
+  {R("avg(relative_humidity_2m)")} AS humidity_avg_pct,
+  {R("avg(wind_speed_10m)")} AS wind_speed_avg_ms
+FROM silver WHERE city IS NOT NULL GROUP BY 1, 2, 3"""
+
+ORACLE["metric_lineage"] = f"""{SILVER_CTES}
+SELECT {HOURLY_KEYS}, city, count(*) AS samples_cnt, 'fixture' AS author,
+       CAST(1 AS INTEGER) AS schema_v, 'run000000001' AS run_id,
+       'temperature_hourly' AS metric_name
+FROM silver WHERE city IS NOT NULL GROUP BY 1, 2, 3"""
+
+ORACLE["silver_latest_run"] = f"""{with_ctes(BASE, WRAW, FLAT)},
+valid AS (SELECT * FROM flat WHERE {NONNULL} AND {INRANGE} AND {TIMELY}),
+run_a AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY src_id) AS rn
+    FROM valid WHERE ingest_ts < '2024-01-16') WHERE rn = 1),
+run_b AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY src_id) AS rn
+    FROM valid) WHERE rn = 1),
+runs AS (
+  SELECT *, 'run-a' AS run_id, 1 AS run_seq FROM run_a
+  UNION ALL
+  SELECT *, 'run-b' AS run_id, 2 AS run_seq FROM run_b)
+SELECT event_id, run_id, city, event_ts, temperature_2m FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY run_seq DESC) AS rn FROM runs)
+WHERE rn = 1"""

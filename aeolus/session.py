@@ -42,6 +42,7 @@ def build_session(app_name: str = "aeolus", master: str | None = None,
         builder = builder.master(master)
     confs = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **RUNTIME_CONFS,
