@@ -201,3 +201,175 @@ def q_silver_latest_run(spark, sf_dir):
     latest = latest_per_key(runs, key="event_id", order_desc=("run_seq",))
     return latest.select("event_id", "run_id", "city", _ntz("event_ts").alias("event_ts"),
                          "temperature_2m")
+
+
+# ---- Features -------------------------------------------------------------------
+
+from ..operators import features as fe  # noqa: E402
+
+
+def _probes(spark, sf_dir):
+    return fx.probe_traffic(_events(spark, sf_dir))
+
+
+def _roads(spark, sf_dir):
+    return fx.road_traffic(_events(spark, sf_dir))
+
+
+def weather_frames(spark, sf_dir) -> list[DataFrame]:
+    ev = _events(spark, sf_dir)
+    return [fe.normalize_current(silver_fixture(spark, sf_dir)),
+            fe.normalize_api(fx.weather_api_feed(ev)),
+            fe.normalize_owm(fx.owm_feed(ev))]
+
+
+def hourly_fixture(spark, sf_dir) -> DataFrame:
+    return fe.hourly_weather(fe.union_weather(weather_frames(spark, sf_dir)),
+                             time_from=fx.FIXTURE_TIME_FROM, time_to=fx.FIXTURE_TIME_TO)
+
+
+def labelled_cells(spark, sf_dir) -> DataFrame:
+    return fe.probe_cells(_probes(spark, sf_dir))
+
+
+def road_dataset(spark, sf_dir) -> DataFrame:
+    return fe.road_readings(_roads(spark, sf_dir))
+
+
+def _round_doubles(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Apply the output rule to every double column (except ``keep``) and
+    cast instants to timestamp_ntz."""
+    out = []
+    for f in df.schema.fields:
+        name = f.name
+        t = f.dataType.typeName()
+        if t == "double" and name not in keep:
+            out.append(_r(name).alias(name))
+        elif t == "timestamp":
+            out.append(_ntz(name).alias(name))
+        else:
+            out.append(F.col(name))
+    return df.select(*out)
+
+
+@register("bbox_filter")
+def q_bbox_filter(spark, sf_dir):
+    """D1."""
+    return fe.in_box(_probes(spark, sf_dir)).select("src_id", "lat", "lon")
+
+
+@register("time_range")
+def q_time_range(spark, sf_dir):
+    """D2."""
+    df = fe.in_time_range(_probes(spark, sf_dir), "event_ts", fx.FIXTURE_TIME_FROM,
+                          fx.FIXTURE_TIME_TO)
+    return df.select("src_id", _ntz("event_ts").alias("event_ts"))
+
+
+@register("speed_sanity")
+def q_speed_sanity(spark, sf_dir):
+    """D3."""
+    return fe.sane_speed(_probes(spark, sf_dir)).select("src_id", "speed")
+
+
+@register("calendar_sunday")
+def q_calendar_sunday(spark, sf_dir):
+    """D4, Sunday = 0."""
+    df = fe.with_calendar(_probes(spark, sf_dir), "event_ts", "sunday")
+    return df.select("src_id", "hour_of_day", "day_of_week", "is_weekend")
+
+
+@register("calendar_monday")
+def q_calendar_monday(spark, sf_dir):
+    """D4, Monday = 0."""
+    df = fe.with_calendar(_roads(spark, sf_dir), "event_ts", "monday")
+    return df.select("src_id", "hour_of_day", "day_of_week", "is_weekend")
+
+
+@register("grid_cell")
+def q_grid_cell(spark, sf_dir):
+    """D5 + D6."""
+    df = fe.with_event_hour(fe.with_grid_cell(fe.in_box(_probes(spark, sf_dir))))
+    return df.select("src_id", "lat_cell", "lon_cell", _ntz("event_hour").alias("event_hour"))
+
+
+@register("kpt_cell_hour")
+def q_kpt_cell_hour(spark, sf_dir):
+    """Every cell-hour, before the minimum-support filter."""
+    return _round_doubles(fe.cell_hour_stats(fe.prepare_probes(_probes(spark, sf_dir))),
+                          keep=("lat_cell", "lon_cell"))
+
+
+@register("kpt_circular")
+def q_kpt_circular(spark, sf_dir):
+    """D8 + D9."""
+    cells = fe.with_heading(fe.cell_hour_stats(fe.prepare_probes(_probes(spark, sf_dir))))
+    return _round_doubles(cells.select("event_hour", "lat_cell", "lon_cell",
+                                       "heading_deg_mean", "direction_bucket"),
+                          keep=("lat_cell", "lon_cell"))
+
+
+@register("kpt_labelled")
+def q_kpt_labelled(spark, sf_dir):
+    """D7-D12 + D4: the probe dataset before the weather join."""
+    return _round_doubles(labelled_cells(spark, sf_dir), keep=("lat", "lon"))
+
+
+@register("tomtom_clean")
+def q_tomtom_clean(spark, sf_dir):
+    """D13-D15."""
+    df = fe.road_filter(fe.coerce_road(_roads(spark, sf_dir)))
+    return df.select("src_id", _ntz("event_ts").alias("event_ts"), "road_id",
+                     *fe.ROAD_NUMERIC)
+
+
+@register("tomtom_ratio")
+def q_tomtom_ratio(spark, sf_dir):
+    """The 14-column road dataset before the weather join."""
+    return _round_doubles(road_dataset(spark, sf_dir), keep=("lat", "lon"))
+
+
+@register("weather_norm_a")
+def q_weather_norm_a(spark, sf_dir):
+    """D18."""
+    return _round_doubles(weather_frames(spark, sf_dir)[0], keep=("lat", "lon"))
+
+
+@register("weather_norm_b")
+def q_weather_norm_b(spark, sf_dir):
+    """D19."""
+    return _round_doubles(weather_frames(spark, sf_dir)[1], keep=("lat", "lon"))
+
+
+@register("weather_norm_c")
+def q_weather_norm_c(spark, sf_dir):
+    """D20."""
+    return _round_doubles(weather_frames(spark, sf_dir)[2], keep=("lat", "lon"))
+
+
+@register("weather_union")
+def q_weather_union(spark, sf_dir):
+    """D21."""
+    return _round_doubles(fe.union_weather(weather_frames(spark, sf_dir)), keep=("lat", "lon"))
+
+
+@register("weather_hourly")
+def q_weather_hourly(spark, sf_dir):
+    """D22."""
+    return _round_doubles(hourly_fixture(spark, sf_dir))
+
+
+@register("kpt_weather")
+def q_kpt_weather(spark, sf_dir):
+    """Probe dataset (D25) = labelled cells x hourly weather."""
+    df = fe.join_weather(labelled_cells(spark, sf_dir), hourly_fixture(spark, sf_dir),
+                         fx.FIXTURE_TIME_FROM, fx.FIXTURE_TIME_TO)
+    return _round_doubles(df, keep=("lat", "lon"))
+
+
+@register("tomtom_weather")
+def q_tomtom_weather(spark, sf_dir):
+    """Road dataset (D25) = road readings x hourly weather."""
+    df = fe.join_weather(road_dataset(spark, sf_dir), hourly_fixture(spark, sf_dir),
+                         fx.FIXTURE_TIME_FROM, fx.FIXTURE_TIME_TO)
+    return _round_doubles(df, keep=("lat", "lon"))

@@ -6,7 +6,10 @@ each Spark result can be compared with an independent engine.
 
 DuckDB dialect notes: ``1e-1`` is a DOUBLE literal (``0.1`` would be
 DECIMAL); ``atan2`` arguments get ``+ 0e0`` (negative zero); counts and
-``hour()`` are BIGINT and are cast to Spark's types where those differ.
+``hour()`` are BIGINT and are cast to Spark's types where those differ;
+angle conversions are written as ``x * (pi() / 180e0)`` and
+``x * (180e0 / pi())`` — the same constants Spark's ``radians``/``degrees``
+multiply by — so a mean heading of exactly 225 degrees stays exact.
 """
 
 from __future__ import annotations
@@ -174,15 +177,15 @@ FROM hourly WHERE city IS NOT NULL GROUP BY 1, 2"""
 ORACLE["wind_daily_extremes"] = f"""{SILVER_CTES},
 uv AS (
   SELECT strftime(event_ts, '%Y-%m-%d') AS window_date, city, wind_speed_10m,
-         -wind_speed_10m * sin(radians(wind_direction_10m)) AS u,
-         -wind_speed_10m * cos(radians(wind_direction_10m)) AS v
+         -wind_speed_10m * sin(wind_direction_10m * (pi() / 180e0)) AS u,
+         -wind_speed_10m * cos(wind_direction_10m * (pi() / 180e0)) AS v
   FROM silver),
 daily AS (
   SELECT window_date, city, max(wind_speed_10m) AS mx, avg(wind_speed_10m) AS av,
          avg(u) AS mu, avg(v) AS mv
   FROM uv WHERE city IS NOT NULL GROUP BY 1, 2),
 dirs AS (
-  SELECT *, degrees(atan2(-mu + 0e0, -mv + 0e0)) AS raw FROM daily)
+  SELECT *, atan2(-mu + 0e0, -mv + 0e0) * (180e0 / pi()) AS raw FROM daily)
 SELECT window_date, city, {R("mx")} AS wind_speed_max_ms, {R("av")} AS wind_speed_avg_ms,
        {R("CASE WHEN raw < 0 THEN raw + 360e0 ELSE raw END")} AS prevailing_wind_deg,
        {R("sqrt(mu * mu + mv * mv)")} AS mean_wind_vector_ms
@@ -231,3 +234,210 @@ runs AS (
 SELECT event_id, run_id, city, event_ts, temperature_2m FROM (
   SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY run_seq DESC) AS rn FROM runs)
 WHERE rn = 1"""
+
+
+# ---- Features -------------------------------------------------------------------
+
+PROBE = """
+probe AS (
+  SELECT src_id, ts AS event_ts,
+    5015e-2 + 1e-1 * (user_id % 5) + (k - 50) * 8e-5 AS lat,
+    3045e-2 + 1e-1 * (user_id % 2) + (k - 50) * 6e-5 AS lon,
+    value / 2e0 AS speed,
+    CASE WHEN event_type = 'signup' AND k < 20 THEN CAST(NULL AS DOUBLE)
+         ELSE CAST((src_id * 37) % 360 AS DOUBLE) END AS heading
+  FROM base)"""
+
+ROAD = """
+road AS (
+  SELECT src_id, k, ts AS event_ts,
+    5025e-2 + 1e-2 * (user_id % 20) AS lat,
+    3045e-2 + 1e-2 * (user_id % 20) AS lon,
+    'road-' || CAST(user_id % 20 AS VARCHAR) AS road_id,
+    'road-' || CAST(user_id % 20 AS VARCHAR) AS road_name,
+    value AS current_speed_kmh,
+    CAST(60 + k % 40 AS DOUBLE) AS free_flow_speed_kmh,
+    3600e0 / value AS current_travel_time_s,
+    k / 100e0 AS confidence,
+    CASE WHEN event_type = 'error' THEN true
+         WHEN event_type = 'signup' AND k < 10 THEN CAST(NULL AS BOOLEAN)
+         ELSE false END AS road_closure
+  FROM base)"""
+
+BOX = "lat >= 502e-1 AND lat <= 506e-1 AND lon >= 302e-1 AND lon <= 309e-1"
+RANGE = "event_ts >= TIMESTAMP '2024-01-05' AND event_ts < TIMESTAMP '2024-01-25'"
+
+PREP = f"""
+prep AS (
+  SELECT *, round(lat, 2) AS lat_cell, round(lon, 2) AS lon_cell,
+         date_trunc('hour', event_ts) AS event_hour, heading * (pi() / 180e0) AS heading_rad
+  FROM probe WHERE {BOX} AND speed >= 0 AND speed < 150),
+cells AS (
+  SELECT event_hour, lat_cell, lon_cell, count(*) AS events_count,
+         avg(speed) AS avg_speed_kmh, coalesce(stddev_samp(speed), 0e0) AS speed_std_kmh,
+         avg(sin(heading_rad)) AS heading_sin, avg(cos(heading_rad)) AS heading_cos
+  FROM prep GROUP BY 1, 2, 3),
+circ AS (
+  SELECT *, (atan2(heading_sin + 0e0, heading_cos + 0e0) * (180e0 / pi()) + 360e0) % 360e0
+              AS heading_deg_mean
+  FROM cells),
+buck AS (
+  -- Java's atan2 and glibc's differ by one ulp near -135 degrees; bucketing
+  -- the angle rounded to 1e-9 degrees absorbs that and nothing else.
+  SELECT *, CASE WHEN round(heading_deg_mean, 9) >= 315 OR round(heading_deg_mean, 9) < 45 THEN 'N'
+                 WHEN round(heading_deg_mean, 9) >= 45 AND round(heading_deg_mean, 9) < 135 THEN 'E'
+                 WHEN round(heading_deg_mean, 9) >= 135 AND round(heading_deg_mean, 9) < 225 THEN 'S'
+                 ELSE 'W' END AS direction_bucket
+  FROM circ),
+labelled AS (
+  SELECT event_hour, lat_cell AS lat, lon_cell AS lon, events_count, avg_speed_kmh,
+         speed_std_kmh, heading_sin, heading_cos, heading_deg_mean, direction_bucket,
+         CAST(avg_speed_kmh < 20e0 AS INTEGER) AS is_congested,
+         CAST(hour(event_hour) AS INTEGER) AS hour_of_day,
+         CAST(dayofweek(event_hour) AS INTEGER) AS day_of_week,
+         CAST(dayofweek(event_hour) IN (0, 6) AS INTEGER) AS is_weekend
+  FROM buck WHERE events_count >= 3)"""
+
+ROADSET = f"""
+road_kept AS (
+  SELECT * FROM road
+  WHERE {BOX} AND current_speed_kmh > 0 AND free_flow_speed_kmh > 0 AND NOT road_closure),
+roadset AS (
+  SELECT date_trunc('hour', event_ts) AS event_hour,
+         CAST(hour(date_trunc('hour', event_ts)) AS INTEGER) AS hour_of_day,
+         CAST(isodow(date_trunc('hour', event_ts)) - 1 AS INTEGER) AS day_of_week,
+         CAST(isodow(date_trunc('hour', event_ts)) >= 6 AS INTEGER) AS is_weekend,
+         road_id, road_name, lat, lon, current_speed_kmh, free_flow_speed_kmh,
+         current_travel_time_s, confidence,
+         current_speed_kmh / free_flow_speed_kmh AS speed_ratio,
+         CAST(current_speed_kmh / free_flow_speed_kmh < 7e-1 AS INTEGER) AS is_congested
+  FROM road_kept)"""
+
+NORM_A = """
+norm_a AS (
+  SELECT event_ts, latitude AS lat, longitude AS lon, temperature_2m AS temp_c,
+         precipitation AS precip_mm, wind_speed_10m / 36e-1 AS wind_mps,
+         relative_humidity_2m AS humidity_pct
+  FROM silver)"""
+
+NORM_B = """
+norm_b AS (
+  SELECT try_strptime(observed_at, '%Y-%m-%dT%H:%M') AS event_ts, latitude AS lat,
+         longitude AS lon, temperature_2m AS temp_c, precipitation AS precip_mm,
+         wind_speed_10m / 36e-1 AS wind_mps, relative_humidity_2m AS humidity_pct
+  FROM wraw WHERE trim(city_raw) = 'Kyiv' AND event_type IN ('view', 'click'))"""
+
+NORM_C = """
+norm_c AS (
+  SELECT try_strptime(observed_at, '%Y-%m-%dT%H:%M') AS event_ts, latitude AS lat,
+         longitude AS lon, temperature_2m AS temp_c,
+         CASE WHEN relative_humidity_2m < 30 THEN CAST(NULL AS DOUBLE)
+              ELSE precipitation END AS precip_mm,
+         wind_speed_10m / 36e-1 AS wind_mps, relative_humidity_2m AS humidity_pct
+  FROM wraw WHERE trim(city_raw) = 'Kyiv' AND event_type = 'error')"""
+
+HOURLY = f"""
+wunion AS (
+  SELECT * FROM norm_a UNION ALL SELECT * FROM norm_b UNION ALL SELECT * FROM norm_c),
+hourly AS (
+  SELECT date_trunc('hour', event_ts) AS event_hour, avg(temp_c) AS temp_c,
+         coalesce(avg(precip_mm), 0e0) AS precip_mm, avg(wind_mps) AS wind_mps,
+         avg(humidity_pct) AS humidity_pct
+  FROM wunion WHERE {BOX} AND {RANGE} GROUP BY 1)"""
+
+PROBE_CTES = with_ctes(BASE, PROBE)
+ROAD_CTES = with_ctes(BASE, ROAD)
+WEATHER_CTES = with_ctes(BASE, WRAW, FLAT, SILVER, NORM_A, NORM_B, NORM_C)
+HOURLY_CTES = with_ctes(BASE, WRAW, FLAT, SILVER, NORM_A, NORM_B, NORM_C, HOURLY)
+
+
+def rounded(cols: str, alias_from: str | None = None) -> str:
+    return ", ".join(f"{R(c.strip())} AS {c.strip()}" for c in cols.split(","))
+
+
+ORACLE["bbox_filter"] = f"""{PROBE_CTES}
+SELECT src_id, lat, lon FROM probe WHERE {BOX}"""
+
+ORACLE["time_range"] = f"""{PROBE_CTES}
+SELECT src_id, event_ts FROM probe WHERE {RANGE}"""
+
+ORACLE["speed_sanity"] = f"""{PROBE_CTES}
+SELECT src_id, speed FROM probe WHERE speed >= 0 AND speed < 150"""
+
+ORACLE["calendar_sunday"] = f"""{PROBE_CTES}
+SELECT src_id, CAST(hour(event_ts) AS INTEGER) AS hour_of_day,
+       CAST(dayofweek(event_ts) AS INTEGER) AS day_of_week,
+       CAST(dayofweek(event_ts) IN (0, 6) AS INTEGER) AS is_weekend
+FROM probe"""
+
+ORACLE["calendar_monday"] = f"""{ROAD_CTES}
+SELECT src_id, CAST(hour(event_ts) AS INTEGER) AS hour_of_day,
+       CAST(isodow(event_ts) - 1 AS INTEGER) AS day_of_week,
+       CAST(isodow(event_ts) >= 6 AS INTEGER) AS is_weekend
+FROM road"""
+
+ORACLE["grid_cell"] = f"""{PROBE_CTES}
+SELECT src_id, round(lat, 2) AS lat_cell, round(lon, 2) AS lon_cell,
+       date_trunc('hour', event_ts) AS event_hour
+FROM probe WHERE {BOX}"""
+
+ORACLE["kpt_cell_hour"] = f"""{with_ctes(BASE, PROBE, PREP)}
+SELECT event_hour, lat_cell, lon_cell, events_count,
+       {rounded("avg_speed_kmh, speed_std_kmh, heading_sin, heading_cos")}
+FROM cells"""
+
+ORACLE["kpt_circular"] = f"""{with_ctes(BASE, PROBE, PREP)}
+SELECT event_hour, lat_cell, lon_cell, {R("heading_deg_mean")} AS heading_deg_mean,
+       direction_bucket
+FROM buck"""
+
+LABELLED_OUT = f"""event_hour, lat, lon, events_count,
+  {rounded("avg_speed_kmh, speed_std_kmh, heading_sin, heading_cos, heading_deg_mean")},
+  direction_bucket, is_congested, hour_of_day, day_of_week, is_weekend"""
+
+ORACLE["kpt_labelled"] = f"""{with_ctes(BASE, PROBE, PREP)}
+SELECT {LABELLED_OUT} FROM labelled"""
+
+ORACLE["tomtom_clean"] = f"""{ROAD_CTES}
+SELECT src_id, event_ts, road_id, current_speed_kmh, free_flow_speed_kmh,
+       current_travel_time_s, confidence
+FROM road
+WHERE {BOX} AND current_speed_kmh > 0 AND free_flow_speed_kmh > 0 AND NOT road_closure"""
+
+ROAD_OUT = f"""event_hour, hour_of_day, day_of_week, is_weekend, road_id, road_name, lat, lon,
+  {rounded("current_speed_kmh, free_flow_speed_kmh, current_travel_time_s, confidence, speed_ratio")},
+  is_congested"""
+
+ORACLE["tomtom_ratio"] = f"""{with_ctes(BASE, ROAD, ROADSET)}
+SELECT {ROAD_OUT} FROM roadset"""
+
+WEATHER_OUT = f"""event_ts, lat, lon,
+  {rounded("temp_c, precip_mm, wind_mps, humidity_pct")}"""
+
+ORACLE["weather_norm_a"] = f"""{WEATHER_CTES}
+SELECT {WEATHER_OUT} FROM norm_a"""
+
+ORACLE["weather_norm_b"] = f"""{WEATHER_CTES}
+SELECT {WEATHER_OUT} FROM norm_b"""
+
+ORACLE["weather_norm_c"] = f"""{WEATHER_CTES}
+SELECT {WEATHER_OUT} FROM norm_c"""
+
+ORACLE["weather_union"] = f"""{WEATHER_CTES}
+SELECT {WEATHER_OUT} FROM (
+  SELECT * FROM norm_a UNION ALL SELECT * FROM norm_b UNION ALL SELECT * FROM norm_c)"""
+
+HOURLY_OUT = rounded("temp_c, precip_mm, wind_mps, humidity_pct")
+
+ORACLE["weather_hourly"] = f"""{HOURLY_CTES}
+SELECT event_hour, {HOURLY_OUT} FROM hourly"""
+
+ORACLE["kpt_weather"] = f"""{with_ctes(BASE, WRAW, FLAT, SILVER, NORM_A, NORM_B, NORM_C, HOURLY,
+                                      PROBE, PREP)}
+SELECT {LABELLED_OUT.replace("event_hour,", "l.event_hour AS event_hour,", 1)}, {HOURLY_OUT}
+FROM labelled l JOIN hourly h ON l.event_hour = h.event_hour"""
+
+ORACLE["tomtom_weather"] = f"""{with_ctes(BASE, WRAW, FLAT, SILVER, NORM_A, NORM_B, NORM_C, HOURLY,
+                                         ROAD, ROADSET)}
+SELECT {ROAD_OUT.replace("event_hour,", "r.event_hour AS event_hour,", 1)}, {HOURLY_OUT}
+FROM roadset r JOIN hourly h ON r.event_hour = h.event_hour"""

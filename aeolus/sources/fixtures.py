@@ -167,3 +167,9 @@ def road_traffic(events: DataFrame) -> DataFrame:
          .when(_is("signup") & (k < 10), F.lit(None).cast("boolean"))
          .otherwise(F.lit(False)).alias("road_closure"),
     )
+
+
+# Hourly weather range for the fixtures (the source pipeline's default range
+# lies outside the driver tables' dates).
+FIXTURE_TIME_FROM = "2024-01-05"
+FIXTURE_TIME_TO = "2024-01-25"
