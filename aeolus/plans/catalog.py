@@ -373,3 +373,88 @@ def q_tomtom_weather(spark, sf_dir):
     df = fe.join_weather(road_dataset(spark, sf_dir), hourly_fixture(spark, sf_dir),
                          fx.FIXTURE_TIME_FROM, fx.FIXTURE_TIME_TO)
     return _round_doubles(df, keep=("lat", "lon"))
+
+
+# ---- Bronze ---------------------------------------------------------------------
+
+from ..operators import bronze as br  # noqa: E402
+from ..constants import CURRENT_METRICS, TRAFFIC_CAPTURE_SOURCE  # noqa: E402
+
+_PAYLOAD_OUT = ("city", "latitude", "longitude", "elevation_m", "observed_at")
+
+
+def _flat_payload(df: DataFrame, *lead: str) -> DataFrame:
+    return df.select(*lead, *[F.col(f"payload.{c}").alias(c) for c in _PAYLOAD_OUT],
+                     *[F.col(f"payload.metrics.{m}").alias(m) for m in CURRENT_METRICS])
+
+
+@register("envelope")
+def q_envelope(spark, sf_dir):
+    """B1: Bronze weather envelopes (payload flattened for comparison)."""
+    env = fx.weather_bronze(_events(spark, sf_dir))
+    return _flat_payload(env, "src_id", "ingest_ts", "source", "schema_v", "author", "event_id")
+
+
+@register("stable_event_id")
+def q_stable_event_id(spark, sf_dir):
+    """B2: deterministic ids; equal natural keys collide on purpose."""
+    raw = fx.weather_raw(_events(spark, sf_dir))
+    key = F.concat(F.trim("city_raw"), F.lit("|"), F.col("observed_at"))
+    from ..functions import stable_event_id
+    return raw.select("src_id", stable_event_id("open_meteo_current", key).alias("event_id"))
+
+
+@register("response_expand")
+def q_response_expand(spark, sf_dir):
+    """JSON forecast responses -> one payload per configured city."""
+    polls = fx.weather_polls(_events(spark, sf_dir)).withColumn(
+        "response", br.parse_weather_response(F.col("body")))
+    out = br.expand_weather(polls, keep=("src_id",))
+    return _flat_payload(out, "src_id", "pos", "event_id")
+
+
+@register("raw_capture")
+def q_raw_capture(spark, sf_dir):
+    """B5 column functions over raw page bytes."""
+    pages = fx.read_table(spark, sf_dir, "pages")
+    cols = br.capture_columns(F.col("html"), TRAFFIC_CAPTURE_SOURCE)
+    return pages.select("page_id", *[cols[k].alias(k) for k in (
+        "content_length", "content_sha256", "payload_b64", "event_id")])
+
+
+@register("alerts_expand")
+def q_alerts_expand(spark, sf_dir):
+    """Naive CSV lines -> column map + six-column natural key."""
+    lines = fx.alert_lines(_events(spark, sf_dir))
+    out = br.expand_alert_lines(lines, fx.ALERT_HEADER, keep=("src_id",))
+    return out.select("src_id", "event_id", "natural_key",
+                      F.size("row").alias("n_cells"),
+                      F.col("row")["oblast"].alias("oblast"),
+                      F.col("row")["notes"].alias("notes"))
+
+
+@register("roads_expand")
+def q_roads_expand(spark, sf_dir):
+    """Overpass elements -> one payload per way."""
+    out = br.expand_road_elements(fx.road_responses(_events(spark, sf_dir)), keep=("src_id",))
+    p = "payload"
+    return out.select("src_id", "event_id",
+                      *[F.col(f"{p}.{c}").alias(c) for c in (
+                          "way_id", "highway_class", "name", "name_en", "ref", "maxspeed",
+                          "lanes", "surface", "oneway", "center_lat", "center_lon")],
+                      F.size(f"{p}.tags").alias("n_tags"))
+
+
+@register("partition_keys")
+def q_partition_keys(spark, sf_dir):
+    """B8."""
+    env = fx.weather_bronze(_events(spark, sf_dir))
+    return br.with_partition_keys(env).select("src_id", "ingest_date", "hour", "part_stamp")
+
+
+@register("hourly_snapshot")
+def q_hourly_snapshot(spark, sf_dir):
+    """First capture per static domain and clock hour."""
+    out = br.first_capture_per_hour(fx.static_captures(_events(spark, sf_dir)))
+    return out.select("domain", _ntz("hour_start").alias("hour_start"),
+                      _ntz("ingest_ts").alias("ingest_ts"), "file")

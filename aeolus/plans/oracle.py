@@ -441,3 +441,118 @@ ORACLE["tomtom_weather"] = f"""{with_ctes(BASE, WRAW, FLAT, SILVER, NORM_A, NORM
                                          ROAD, ROADSET)}
 SELECT {ROAD_OUT.replace("event_hour,", "r.event_hour AS event_hour,", 1)}, {HOURLY_OUT}
 FROM roadset r JOIN hourly h ON r.event_hour = h.event_hour"""
+
+
+# ---- Bronze ---------------------------------------------------------------------
+
+METRIC_COLS = ("temperature_2m, relative_humidity_2m, precipitation, wind_speed_10m, "
+               "wind_direction_10m, surface_pressure")
+
+ORACLE["envelope"] = f"""{with_ctes(BASE, WRAW)}
+SELECT src_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS ingest_ts,
+       'open_meteo_current' AS source, CAST(1 AS INTEGER) AS schema_v, 'fixture' AS author,
+       'open_meteo_current' || '-' ||
+         substr(sha1('open_meteo_current' || ':' || trim(city_raw) || '|' || observed_at), 1, 16)
+         AS event_id,
+       city_raw AS city, latitude, longitude, elevation_m, observed_at, {METRIC_COLS}
+FROM wraw"""
+
+ORACLE["stable_event_id"] = f"""{with_ctes(BASE, WRAW)}
+SELECT src_id, 'open_meteo_current' || '-' ||
+         substr(sha1('open_meteo_current' || ':' || trim(city_raw) || '|' || observed_at), 1, 16)
+         AS event_id
+FROM wraw"""
+
+ORACLE["response_expand"] = f"""{with_ctes(BASE)},
+cities AS (
+  SELECT * FROM (VALUES
+    (0, 'Kyiv', 504501e-4, 305234e-4), (1, 'Lviv', 498397e-4, 240297e-4),
+    (2, 'Kharkiv', 499935e-4, 362304e-4), (3, 'Odesa', 464825e-4, 307233e-4),
+    (4, 'Dnipro', 484647e-4, 350462e-4)) AS t(pos, city, clat, clon)),
+grid AS (
+  SELECT b.*, c.*, c.pos < b.k % 6 AS present FROM base b, cities c)
+SELECT src_id, CAST(pos AS INTEGER) AS pos,
+  'open_meteo_current' || '-' || substr(sha1('open_meteo_current' || ':' || city || '|' ||
+    CASE WHEN present THEN strftime(ts, '%Y-%m-%dT%H:%M') ELSE '' END), 1, 16) AS event_id,
+  city,
+  CASE WHEN present THEN clat + (k % 7) * 1e-4 ELSE clat END AS latitude,
+  clon AS longitude,
+  CASE WHEN present THEN CAST(100 + pos * 10 AS DOUBLE) END AS elevation_m,
+  CASE WHEN present THEN strftime(ts, '%Y-%m-%dT%H:%M') ELSE '' END AS observed_at,
+  CASE WHEN present THEN (cents % 4500) / 100e0 - 15e0 + pos END AS temperature_2m,
+  CASE WHEN present THEN CAST(k AS DOUBLE) END AS relative_humidity_2m,
+  CASE WHEN present THEN (cents % 300) / 100e0 END AS precipitation,
+  CASE WHEN present THEN (cents % 4000) / 100e0 END AS wind_speed_10m,
+  CASE WHEN present THEN CAST((src_id * 37 + pos * 10) % 360 AS DOUBLE) END AS wind_direction_10m,
+  CASE WHEN present THEN 1000e0 + pos END AS surface_pressure
+FROM grid"""
+
+ORACLE["raw_capture"] = """
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS content_length,
+       sha256(html) AS content_sha256, to_base64(encode(html)) AS payload_b64,
+       'lviv_gtfs_rt' || '-' || substr(sha1('lviv_gtfs_rt' || ':' || sha256(html)), 1, 16)
+         AS event_id
+FROM pages"""
+
+ORACLE["alerts_expand"] = f"""{with_ctes(BASE)},
+cells AS (
+  SELECT src_id, k, event_type,
+    'region-' || CAST(user_id % 25 AS VARCHAR) AS region,
+    strftime(ts, '%Y-%m-%d') AS c_start,
+    strftime(ts + INTERVAL 1 HOUR, '%Y-%m-%d') AS c_end,
+    strftime(ts, '%H:%M') AS start_time,
+    strftime(ts + INTERVAL 1 HOUR, '%H:%M') AS end_time,
+    event_type AS oblast, CAST(k AS VARCHAR) AS notes
+  FROM base WHERE k <> 0),
+shaped AS (
+  SELECT src_id, region, c_start,
+    c_end, start_time,
+    CASE WHEN event_type = 'error' THEN '' ELSE end_time END AS end_time,
+    CASE WHEN event_type = 'error' THEN '' ELSE oblast END AS oblast,
+    CASE WHEN event_type = 'error' THEN '' ELSE notes END AS notes
+  FROM cells),
+keyed AS (
+  SELECT *, region || '|' || c_start || '|' || c_end || '|' || start_time || '|' ||
+            end_time || '|' || oblast AS natural_key
+  FROM shaped)
+SELECT src_id,
+  'vadimkin_air_raid' || '-' || substr(sha1('vadimkin_air_raid' || ':' || natural_key), 1, 16)
+    AS event_id,
+  natural_key, CAST(7 AS INTEGER) AS n_cells, oblast, notes
+FROM keyed"""
+
+ORACLE["roads_expand"] = f"""{with_ctes(BASE)}
+SELECT src_id,
+  'overpass_kyiv_highways' || '-' ||
+    substr(sha1('overpass_kyiv_highways' || ':' || 'way/' || CAST(src_id AS VARCHAR)), 1, 16)
+    AS event_id,
+  src_id AS way_id,
+  (['motorway', 'trunk', 'primary', 'secondary', 'tertiary'])[k % 5 + 1] AS highway_class,
+  'road-' || CAST(user_id % 20 AS VARCHAR) AS name,
+  CASE WHEN k % 3 = 0 THEN NULL ELSE 'Road ' || CAST(user_id % 20 AS VARCHAR) END AS name_en,
+  CAST(NULL AS VARCHAR) AS ref,
+  CAST(30 + (k % 4) * 10 AS VARCHAR) AS maxspeed,
+  CASE WHEN k % 2 = 0 THEN CAST(k % 4 + 1 AS VARCHAR) END AS lanes,
+  CAST(NULL AS VARCHAR) AS surface, CAST(NULL AS VARCHAR) AS oneway,
+  5025e-2 + 1e-2 * (user_id % 20) AS center_lat,
+  3045e-2 + 1e-2 * (user_id % 20) AS center_lon,
+  CAST(3 + CASE WHEN k % 3 = 0 THEN 0 ELSE 1 END + CASE WHEN k % 2 = 0 THEN 1 ELSE 0 END
+       AS INTEGER) AS n_tags
+FROM base WHERE event_type <> 'error'"""
+
+ORACLE["partition_keys"] = """
+SELECT event_id AS src_id, strftime(ts, '%Y-%m-%d') AS ingest_date, strftime(ts, '%H') AS hour,
+       strftime(ts, '%Y%m%dT%H%M%SZ') AS part_stamp
+FROM events"""
+
+ORACLE["hourly_snapshot"] = """
+WITH caps AS (
+  SELECT CASE WHEN event_type IN ('signup', 'purchase') THEN 'alerts' ELSE 'roads' END AS domain,
+         ts AS ingest_ts,
+         'part-' || strftime(ts, '%Y%m%dT%H%M%SZ') || '-' || CAST(event_id AS VARCHAR) || '.jsonl'
+           AS file
+  FROM events)
+SELECT domain, date_trunc('hour', ingest_ts) AS hour_start,
+       min({'ts': ingest_ts, 'file': file}).ts AS ingest_ts,
+       min({'ts': ingest_ts, 'file': file}).file AS file
+FROM caps GROUP BY 1, 2"""

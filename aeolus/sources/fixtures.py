@@ -13,16 +13,15 @@ from pyspark.sql import functions as F
 
 from ..constants import (
     CURRENT_METRICS,
-    INGEST_TS_FORMAT,
     KMH_PER_MS,
     OBSERVED_AT_FORMAT,
     OWM_SOURCE,
-    SCHEMA_VERSION,
     WEATHER_API_SOURCE,
     WEATHER_CITIES,
     WEATHER_SOURCE,
 )
 from ..functions import stable_event_id
+from ..operators.bronze import build_envelope
 
 # --- fixed values of the fixture contract ----------------------------------
 FIXTURE_AUTHOR = "fixture"
@@ -92,15 +91,9 @@ def weather_bronze(events: DataFrame, author: str = FIXTURE_AUTHOR) -> DataFrame
         metrics.alias("metrics"), units.alias("units"),
     )
     natural_key = F.concat(F.trim("city_raw"), F.lit("|"), F.col("observed_at"))
-    return r.select(
-        F.date_format("ts", INGEST_TS_FORMAT).alias("ingest_ts"),
-        F.lit(WEATHER_SOURCE).alias("source"),
-        F.lit(SCHEMA_VERSION).cast("int").alias("schema_v"),
-        F.lit(author).alias("author"),
-        stable_event_id(WEATHER_SOURCE, natural_key).alias("event_id"),
-        payload.alias("payload"),
-        "src_id",
-    )
+    return build_envelope(r, WEATHER_SOURCE, author, payload,
+                          event_id=stable_event_id(WEATHER_SOURCE, natural_key),
+                          ingested_at=F.col("ts"), keep=("src_id",))
 
 
 def weather_api_feed(events: DataFrame) -> DataFrame:
@@ -173,3 +166,106 @@ def road_traffic(events: DataFrame) -> DataFrame:
 # lies outside the driver tables' dates).
 FIXTURE_TIME_FROM = "2024-01-05"
 FIXTURE_TIME_TO = "2024-01-25"
+
+
+# ---- Bronze raw inputs ---------------------------------------------------------
+
+# --- fixed values of the fixture contract ----------------------------------
+ROAD_CLASSES = ("motorway", "trunk", "primary", "secondary", "tertiary")
+ALERT_HEADER = ("region", " start", "end ", "start_time", "end_time", "oblast", "notes")
+# --- end of fixed values ----------------------------------------------------
+
+
+def weather_polls(events: DataFrame) -> DataFrame:
+    """One multi-city forecast response per event, as JSON text: ``k % 6``
+    items (0..5), item i describing city i; missing tail items exercise the
+    positional defaults."""
+    b = events_base(events)
+    k, cents = F.col("k"), F.col("cents")
+    lats = F.array(*[F.lit(c[1]) for c in WEATHER_CITIES])
+    lons = F.array(*[F.lit(c[2]) for c in WEATHER_CITIES])
+
+    def item(i):
+        return F.struct(
+            (F.get(lats, i) + (k % 7) * F.lit(1e-4)).alias("latitude"),
+            F.get(lons, i).alias("longitude"),
+            (F.lit(100.0) + i * 10).cast("double").alias("elevation"),
+            F.struct(
+                F.date_format("ts", OBSERVED_AT_FORMAT).alias("time"),
+                ((cents % 4500) / F.lit(100.0) - F.lit(15.0) + i).alias("temperature_2m"),
+                k.cast("double").alias("relative_humidity_2m"),
+                ((cents % 300) / F.lit(100.0)).alias("precipitation"),
+                ((cents % 4000) / F.lit(100.0)).alias("wind_speed_10m"),
+                ((F.col("src_id") * 37 + i * 10) % 360).cast("double").alias("wind_direction_10m"),
+                (F.lit(1000.0) + i).alias("surface_pressure"),
+            ).alias("current"),
+            F.struct(*[F.lit(u).alias(m) for m, u in zip(CURRENT_METRICS, FIXTURE_UNITS)])
+             .alias("current_units"),
+        )
+
+    items = F.transform(F.sequence(F.lit(0), F.lit(len(WEATHER_CITIES) - 1)), item)
+    return b.select("src_id", F.to_json(F.slice(items, 1, k % 6)).alias("body"))
+
+
+def alert_lines(events: DataFrame) -> DataFrame:
+    """CSV lines of an alerts export (no quoting): short rows for ``error``,
+    two extra cells when k > 90, blank lines when k = 0, padded cells."""
+    b = events_base(events)
+    k = F.col("k")
+    pad = F.when(k % 2 == 1, F.lit(" ")).otherwise(F.lit(""))
+    cells = [
+        F.concat(F.lit("region-"), (F.col("user_id") % 25).cast("string")),
+        F.date_format("ts", "yyyy-MM-dd"),
+        F.date_format(F.col("ts") + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd"),
+        F.date_format("ts", "HH:mm"),
+        F.date_format(F.col("ts") + F.expr("INTERVAL 1 HOUR"), "HH:mm"),
+        F.col("event_type"),
+        k.cast("string"),
+    ]
+    full = F.concat_ws(",", *[F.concat(pad, c, pad) for c in cells])
+    short = F.concat_ws(",", *[F.concat(pad, c, pad) for c in cells[:4]])
+    line = (F.when(k == 0, F.lit("   "))
+            .when(F.col("event_type") == "error", short)
+            .when(k > 90, F.concat(full, F.lit(",x,y")))
+            .otherwise(full))
+    return b.select("src_id", line.alias("line"))
+
+
+def road_responses(events: DataFrame) -> DataFrame:
+    """One Overpass-like response per event with two elements: a way (a node
+    for ``error`` events) and a node; tag keys present depend on ``k``."""
+    b = events_base(events)
+    k = F.col("k")
+    road = F.col("user_id") % 20
+    entries = F.array(
+        F.struct(F.lit("highway").alias("key"),
+                 F.get(F.array(*[F.lit(c) for c in ROAD_CLASSES]), (k % 5).cast("int")).alias("value")),
+        F.struct(F.lit("name").alias("key"), F.concat(F.lit("road-"), road.cast("string")).alias("value")),
+        F.struct(F.lit("name:en").alias("key"),
+                 F.when(k % 3 == 0, F.lit(None)).otherwise(
+                     F.concat(F.lit("Road "), road.cast("string"))).alias("value")),
+        F.struct(F.lit("maxspeed").alias("key"), (F.lit(30) + (k % 4) * 10).cast("string").alias("value")),
+        F.struct(F.lit("lanes").alias("key"),
+                 F.when(k % 2 == 0, (k % 4 + 1).cast("string")).alias("value")),
+    )
+    tags = F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
+    center = F.struct((F.lit(50.25) + F.lit(0.01) * road).alias("lat"),
+                      (F.lit(30.45) + F.lit(0.01) * road).alias("lon"))
+    way = F.struct(
+        F.when(F.col("event_type") == "error", F.lit("node")).otherwise(F.lit("way")).alias("type"),
+        F.col("src_id").alias("id"), center.alias("center"), tags.alias("tags"))
+    node = F.struct(F.lit("node").alias("type"), (F.col("src_id") + 1000000000).alias("id"),
+                    center.alias("center"),
+                    F.create_map().cast("map<string,string>").alias("tags"))
+    return b.select("src_id", F.array(way, node).alias("elements"))
+
+
+def static_captures(events: DataFrame) -> DataFrame:
+    """Capture attempts of the static domains: one per event."""
+    domain = F.when(F.col("event_type").isin("signup", "purchase"), F.lit("alerts")) \
+              .otherwise(F.lit("roads"))
+    ts = F.col("ts").cast("timestamp")
+    return events.select(
+        domain.alias("domain"), ts.alias("ingest_ts"),
+        F.concat(F.lit("part-"), F.date_format(ts, "yyyyMMdd'T'HHmmss'Z'"), F.lit("-"),
+                 F.col("event_id").cast("string"), F.lit(".jsonl")).alias("file"))
