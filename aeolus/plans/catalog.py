@@ -458,3 +458,234 @@ def q_hourly_snapshot(spark, sf_dir):
     out = br.first_capture_per_hour(fx.static_captures(_events(spark, sf_dir)))
     return out.select("domain", _ntz("hour_start").alias("hour_start"),
                       _ntz("ingest_ts").alias("ingest_ts"), "file")
+
+
+# ---- ML -------------------------------------------------------------------------
+
+from ..operators.ml import classification as mc  # noqa: E402
+from ..operators.ml import clustering as mk  # noqa: E402
+from ..operators.ml import maps as mm  # noqa: E402
+from ..operators.ml import prep as mp  # noqa: E402
+from ..operators.ml import regression as mr  # noqa: E402
+
+ML_KEY = "src_id"
+
+
+def ml_dataset(spark, sf_dir) -> DataFrame:
+    """Road dataset joined with hourly weather, row key carried."""
+    roads = fe.road_readings(_roads(spark, sf_dir), keep=(ML_KEY,))
+    return fe.join_weather(roads, hourly_fixture(spark, sf_dir),
+                           fx.FIXTURE_TIME_FROM, fx.FIXTURE_TIME_TO)
+
+
+def scored_fixture(spark, sf_dir) -> DataFrame:
+    return fx.scored_predictions(_roads(spark, sf_dir))
+
+
+def _prepared(spark, sf_dir) -> mp.Prepared:
+    return mp.prepare(ml_dataset(spark, sf_dir), mp.ROAD_SPEC, ML_KEY)
+
+
+def _one_row(spark, values: dict) -> DataFrame:
+    return spark.createDataFrame([tuple(values.values())], list(values.keys()))
+
+
+@register("onehot_levels")
+def q_onehot_levels(spark, sf_dir):
+    """M2: categorical levels, ascending index, with row counts."""
+    return mp.level_counts(mp.check_dataset(ml_dataset(spark, sf_dir), mp.ROAD_SPEC), "road_id")
+
+
+@register("hash_split")
+def q_hash_split(spark, sf_dir):
+    """M3/M4: deterministic 80/20 split flag over every road reading."""
+    return mp.hash_split(_roads(spark, sf_dir), ML_KEY).select(ML_KEY, "is_test")
+
+
+@register("scaler_stats")
+def q_scaler_stats(spark, sf_dir):
+    """M5 fit: train mean and population std per numeric feature."""
+    df = mp.hash_split(mp.check_dataset(ml_dataset(spark, sf_dir), mp.ROAD_SPEC), ML_KEY)
+    st = mp.stats_frame(df.filter(~F.col("is_test")), list(mp.ROAD_SPEC.numeric))
+    return st.select("feature", _r("mean").alias("mean"), _r("std").alias("std"))
+
+
+@register("standardised")
+def q_standardised(spark, sf_dir):
+    """M5 apply: numeric features scaled with the train statistics."""
+    p = _prepared(spark, sf_dir)
+    return p.data.select(ML_KEY, "is_test", *[_r(c).alias(c) for c in mp.ROAD_SPEC.numeric])
+
+
+@register("baseline_mean")
+def q_baseline_mean(spark, sf_dir):
+    """M6 + M10: train-mean predictor scored on the test rows."""
+    df = mp.hash_split(mp.check_dataset(ml_dataset(spark, sf_dir), mp.ROAD_SPEC), ML_KEY)
+    y = mp.ROAD_SPEC.regression_target
+    mean = mr.train_mean(df.filter(~F.col("is_test")), y)
+    sc = mr.regression_scores(df.filter(F.col("is_test")), y, F.lit(mean))
+    return sc.select(_r(F.lit(mean)).alias("train_mean"),
+                     *[_r(c).alias(c) for c in ("mae", "rmse", "r2")], "rows")
+
+
+@register("regression_scores")
+def q_regression_scores(spark, sf_dir):
+    """M10 on a fixed predictor (0.8 x free-flow speed) over the test rows."""
+    df = mp.hash_split(mp.check_dataset(ml_dataset(spark, sf_dir), mp.ROAD_SPEC), ML_KEY)
+    sc = mr.regression_scores(df.filter(F.col("is_test")), mp.ROAD_SPEC.regression_target,
+                              F.col("free_flow_speed_kmh") * F.lit(0.8))
+    return sc.select(*[_r(c).alias(c) for c in ("mae", "rmse", "r2")], "rows")
+
+
+@register("class_weights")
+def q_class_weights(spark, sf_dir):
+    """Balanced weights on the train rows."""
+    df = mp.hash_split(mp.check_dataset(ml_dataset(spark, sf_dir), mp.ROAD_SPEC), ML_KEY)
+    w = mp.class_weights(df.filter(~F.col("is_test")), "is_congested")
+    return w.select("is_congested", "rows", _r("weight").alias("weight"))
+
+
+@register("classification_scores")
+def q_classification_scores(spark, sf_dir):
+    """M14 over the fixed-rule scores."""
+    sc = mc.classification_scores(scored_fixture(spark, sf_dir))
+    return sc.select(*[_r(c).alias(c) for c in sc.columns])
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    """M15."""
+    return mc.confusion_matrix(scored_fixture(spark, sf_dir))
+
+
+@register("roc_auc")
+def q_roc_auc(spark, sf_dir):
+    """Exact AUC of the fixed-rule scores."""
+    auc = mc.roc_auc(scored_fixture(spark, sf_dir))
+    return spark.createDataFrame([(auc,)], "auc double").select(_r("auc").alias("auc"))
+
+
+@register("congested_points")
+def q_congested_points(spark, sf_dir):
+    """M19."""
+    df = mp.check_dataset(ml_dataset(spark, sf_dir), mp.ROAD_SPEC)
+    pts = df.filter(F.col("is_congested") == 1).select(
+        ML_KEY, "lat", "lon", F.col("current_travel_time_s").alias("intensity")).dropna()
+    return pts.select(ML_KEY, "lat", "lon", _r("intensity").alias("intensity"))
+
+
+@register("cluster_centers_fixed")
+def q_cluster_centers_fixed(spark, sf_dir):
+    """M23 with fixed labels (src_id % 4): centers and sizes."""
+    df = mp.check_dataset(ml_dataset(spark, sf_dir), mp.ROAD_SPEC)
+    pts = (df.filter(F.col("is_congested") == 1)
+             .select(ML_KEY, "lat", "lon", F.col("current_travel_time_s").alias("intensity"))
+             .dropna().withColumn("cluster", F.col(ML_KEY) % 4))
+    c = mk.centers_from_labels(pts)
+    return c.select("cluster_id", *[_r(x).alias(x) for x in ("lat", "lon", "intensity_mean")], "size")
+
+
+@register("heatmap_real")
+def q_heatmap_real(spark, sf_dir):
+    """Actual congestion as weighted cells."""
+    return mm.heatmap_real(scored_fixture(spark, sf_dir))
+
+
+@register("heatmap_predicted")
+def q_heatmap_predicted(spark, sf_dir):
+    """M26."""
+    h = mm.heatmap_predicted(scored_fixture(spark, sf_dir))
+    return h.select("lat", "lon", _r("congestion_proba").alias("congestion_proba"), "points")
+
+
+@register("run_summary")
+def q_run_summary(spark, sf_dir):
+    """Rows, split sizes, feature count, train positive rate."""
+    df = mp.hash_split(mp.check_dataset(ml_dataset(spark, sf_dir), mp.ROAD_SPEC), ML_KEY)
+    n_levels = len(mp.category_levels(df, "road_id"))
+    return df.agg(F.count(F.lit(1)).alias("rows_total"),
+                  F.count(F.when(~F.col("is_test"), 1)).alias("rows_train"),
+                  F.count(F.when(F.col("is_test"), 1)).alias("rows_test"),
+                  _r(F.avg(F.when(~F.col("is_test"), F.col("is_congested").cast("double"))))
+                  .alias("positive_rate_train")) \
+             .withColumn("feature_count", F.lit(len(mp.ROAD_SPEC.numeric) + n_levels))
+
+
+def _materialise(spark, df: DataFrame) -> DataFrame:
+    """Small results (metric rows, k <= 10 centers) computed now, so they
+    outlive the persisted training data."""
+    return spark.createDataFrame(df.collect(), df.schema)
+
+
+def _model_query(model: str):
+    def q(spark, sf_dir):
+        with _prepared(spark, sf_dir) as p:
+            sc = mr.model_scores(p, mp.ROAD_SPEC.regression_target, model)
+            return _materialise(spark, sc.select(
+                "model", *[_r(c).alias(c) for c in ("mae", "rmse", "r2")], "rows"))
+    q.__doc__ = f"M7-M9: {model} fitted on train, scored on test (rows-only check)."
+    return q
+
+
+register("linreg")(_model_query("linear_regression"))
+register("ridge")(_model_query("ridge"))
+register("lasso")(_model_query("lasso"))
+
+
+@register("logreg")
+def q_logreg(spark, sf_dir):
+    """Weighted logistic regression scored on test (rows-only)."""
+    with _prepared(spark, sf_dir) as p:
+        model = mc.fit_logistic(p, "is_congested")
+        test = mc.score(model, p.data.filter(F.col("is_test"))).withColumnRenamed(
+            "is_congested", "is_congested_actual")
+        sc = mc.classification_scores(test)
+        auc = mc.roc_auc(test)
+        return _materialise(spark, sc.select(*[_r(c).alias(c) for c in sc.columns],
+                                             _r(F.lit(auc)).alias("roc_auc")))
+
+
+@register("predictions")
+def q_predictions(spark, sf_dir):
+    """Every row scored by the fitted model (rows-only)."""
+    # The scored table is as large as the dataset: it is returned lazily
+    # (recomputed from lineage if consumed after the cache is released).
+    p = _prepared(spark, sf_dir)
+    model = mc.fit_logistic(p, "is_congested")
+    out = mc.predictions_table(model, p, "is_congested", fx.FIXTURE_AUTHOR)
+    return out.select(_ntz("event_hour").alias("event_hour"), "lat", "lon",
+                      "is_congested_actual", "is_congested_pred",
+                      _r("congestion_proba").alias("congestion_proba"), "author")
+
+
+def _kmeans_run(spark, sf_dir) -> dict:
+    df = mp.check_dataset(ml_dataset(spark, sf_dir), mp.ROAD_SPEC)
+    return mk.cluster(mk.congested_points(df, mp.ROAD_SPEC))
+
+
+@register("kmeans_select")
+def q_kmeans_select(spark, sf_dir):
+    """Silhouette and inertia per k (rows-only)."""
+    res = _kmeans_run(spark, sf_dir)
+    try:
+        rows = [(e["k"], e["inertia"], e["silhouette"], bool(e["k"] == res.get("best_k")))
+                for e in res.get("evaluations", [])]
+    finally:
+        if "data" in res:
+            res["data"].unpersist()
+    return spark.createDataFrame(rows, "k int, inertia double, silhouette double, chosen boolean")
+
+
+@register("kmeans_centers")
+def q_kmeans_centers(spark, sf_dir):
+    """Final centers in original units with sizes (rows-only)."""
+    res = _kmeans_run(spark, sf_dir)
+    if res.get("skipped"):
+        return spark.createDataFrame([], "cluster_id int, lat double, lon double, "
+                                         "intensity_mean double, size long")
+    centers = mk.centers_from_labels(res["labelled"])
+    try:
+        # k <= 10 rows: collected so the result outlives the persisted points.
+        return spark.createDataFrame(centers.collect(), centers.schema)
+    finally:
+        res["data"].unpersist()

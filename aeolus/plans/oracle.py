@@ -303,7 +303,7 @@ road_kept AS (
   SELECT * FROM road
   WHERE {BOX} AND current_speed_kmh > 0 AND free_flow_speed_kmh > 0 AND NOT road_closure),
 roadset AS (
-  SELECT date_trunc('hour', event_ts) AS event_hour,
+  SELECT src_id, k, date_trunc('hour', event_ts) AS event_hour,
          CAST(hour(date_trunc('hour', event_ts)) AS INTEGER) AS hour_of_day,
          CAST(isodow(date_trunc('hour', event_ts)) - 1 AS INTEGER) AS day_of_week,
          CAST(isodow(date_trunc('hour', event_ts)) >= 6 AS INTEGER) AS is_weekend,
@@ -556,3 +556,135 @@ SELECT domain, date_trunc('hour', ingest_ts) AS hour_start,
        min({'ts': ingest_ts, 'file': file}).ts AS ingest_ts,
        min({'ts': ingest_ts, 'file': file}).file AS file
 FROM caps GROUP BY 1, 2"""
+
+
+# ---- ML -------------------------------------------------------------------------
+
+ROAD_NUMERIC_FEATURES = ("hour_of_day", "day_of_week", "is_weekend", "lat", "lon",
+                         "free_flow_speed_kmh", "current_travel_time_s", "confidence",
+                         "temp_c", "precip_mm", "wind_mps", "humidity_pct")
+
+_NOTNULL = " AND ".join(f"{c} IS NOT NULL" for c in (*ROAD_NUMERIC_FEATURES, "current_speed_kmh"))
+
+MLSET = f"""
+mlset AS (
+  SELECT r.*, h.temp_c, h.precip_mm, h.wind_mps, h.humidity_pct,
+         substr(sha1(CAST(r.src_id AS VARCHAR)), 1, 4) < '3333' AS is_test
+  FROM roadset r JOIN hourly h ON r.event_hour = h.event_hour)"""
+
+ML_CTES = with_ctes(BASE, WRAW, FLAT, SILVER, NORM_A, NORM_B, NORM_C, HOURLY, ROAD, ROADSET,
+                    MLSET) + f""",
+ml AS (SELECT * FROM mlset WHERE {_NOTNULL})"""
+
+SCORED = """
+scored0 AS (
+  SELECT src_id, lat, lon, date_trunc('hour', event_ts) AS event_hour,
+    CAST(current_speed_kmh / free_flow_speed_kmh < 7e-1 AS INTEGER) AS is_congested_actual,
+    1e0 / (1e0 + exp((current_speed_kmh / free_flow_speed_kmh + (k - 50) / 200e0 - 7e-1) * 4e0))
+      AS congestion_proba
+  FROM road WHERE current_speed_kmh > 0 AND free_flow_speed_kmh > 0 AND NOT road_closure),
+scored AS (
+  SELECT *, CAST(congestion_proba >= 5e-1 AS INTEGER) AS is_congested_pred FROM scored0)"""
+
+SCORED_CTES = with_ctes(BASE, ROAD, SCORED)
+
+ORACLE["onehot_levels"] = f"""{ML_CTES}
+SELECT coalesce(road_id, 'None') AS road_id,
+       CAST(dense_rank() OVER (ORDER BY coalesce(road_id, 'None')) - 1 AS INTEGER) AS level_index,
+       count(*) AS rows
+FROM ml GROUP BY 1"""
+
+ORACLE["hash_split"] = f"""{ROAD_CTES}
+SELECT src_id, substr(sha1(CAST(src_id AS VARCHAR)), 1, 4) < '3333' AS is_test FROM road"""
+
+ORACLE["scaler_stats"] = f"""{ML_CTES}
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, {R(f'avg(CAST({c} AS DOUBLE))')} AS mean, "
+    f"{R(f'stddev_pop(CAST({c} AS DOUBLE))')} AS std FROM ml WHERE NOT is_test"
+    for c in ROAD_NUMERIC_FEATURES)
+
+_STATS = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_pop(CAST({c} AS DOUBLE)) AS s_{c}"
+                   for c in ROAD_NUMERIC_FEATURES)
+
+ORACLE["standardised"] = f"""{ML_CTES},
+st AS (SELECT {_STATS} FROM ml WHERE NOT is_test)
+SELECT src_id, is_test, """ + ", ".join(
+    f"{R(f'(CAST({c} AS DOUBLE) - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1e0 END')} AS {c}"
+    for c in ROAD_NUMERIC_FEATURES) + "\nFROM ml, st"
+
+ORACLE["baseline_mean"] = f"""{ML_CTES},
+tm AS (SELECT avg(current_speed_kmh) AS m FROM ml WHERE NOT is_test)
+SELECT {R("m")} AS train_mean,
+       {R("avg(abs(current_speed_kmh - m))")} AS mae,
+       {R("sqrt(avg((current_speed_kmh - m) * (current_speed_kmh - m)))")} AS rmse,
+       {R("1e0 - sum((current_speed_kmh - m) * (current_speed_kmh - m)) / (count(*) * var_pop(current_speed_kmh))")} AS r2,
+       count(*) AS rows
+FROM ml, tm WHERE is_test GROUP BY m"""
+
+ORACLE["regression_scores"] = f"""{ML_CTES},
+e AS (SELECT current_speed_kmh AS y, current_speed_kmh - free_flow_speed_kmh * 8e-1 AS e
+      FROM ml WHERE is_test)
+SELECT {R("avg(abs(e))")} AS mae, {R("sqrt(avg(e * e))")} AS rmse,
+       {R("1e0 - sum(e * e) / (count(*) * var_pop(y))")} AS r2, count(*) AS rows
+FROM e"""
+
+ORACLE["class_weights"] = f"""{ML_CTES}
+SELECT is_congested, count(*) AS rows,
+       {R("CAST(sum(count(*)) OVER () AS DOUBLE) / (count(*) OVER () * count(*))")} AS weight
+FROM ml WHERE NOT is_test GROUP BY is_congested"""
+
+ORACLE["classification_scores"] = f"""{SCORED_CTES},
+c AS (
+  SELECT count(*) AS n,
+         count_if(is_congested_actual = 1 AND is_congested_pred = 1) AS tp,
+         count_if(is_congested_actual = 0 AND is_congested_pred = 1) AS fp,
+         count_if(is_congested_actual = 1 AND is_congested_pred = 0) AS fn,
+         count_if(is_congested_actual = is_congested_pred) AS hit
+  FROM scored)
+SELECT {R("CAST(hit AS DOUBLE) / n")} AS accuracy,
+       {R("coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0e0)")} AS precision,
+       {R("coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0e0)")} AS recall,
+       {R("coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0e0)")} AS f1
+FROM c"""
+
+ORACLE["confusion_matrix"] = f"""{SCORED_CTES},
+grid AS (SELECT * FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS g(actual, predicted)),
+cnt AS (SELECT is_congested_actual AS a, is_congested_pred AS p, count(*) AS n
+        FROM scored GROUP BY 1, 2)
+SELECT CAST(actual AS INTEGER) AS actual, CAST(predicted AS INTEGER) AS predicted,
+       coalesce(n, 0) AS rows
+FROM grid LEFT JOIN cnt ON grid.actual = cnt.a AND grid.predicted = cnt.p"""
+
+ORACLE["roc_auc"] = f"""{SCORED_CTES},
+ranked AS (
+  SELECT is_congested_actual AS y,
+         rank() OVER (ORDER BY congestion_proba)
+           + (count(*) OVER (PARTITION BY congestion_proba) - 1) / 2e0 AS r
+  FROM scored)
+SELECT {R("(sum(CASE WHEN y = 1 THEN r ELSE 0e0 END) - count_if(y = 1) * (count_if(y = 1) + 1) / 2e0) / (CAST(count_if(y = 1) AS DOUBLE) * count_if(y = 0))")} AS auc
+FROM ranked"""
+
+ORACLE["congested_points"] = f"""{ML_CTES}
+SELECT src_id, lat, lon, {R("current_travel_time_s")} AS intensity
+FROM ml WHERE is_congested = 1 AND current_travel_time_s IS NOT NULL"""
+
+ORACLE["cluster_centers_fixed"] = f"""{ML_CTES}
+SELECT CAST(src_id % 4 AS INTEGER) AS cluster_id, {R("avg(lat)")} AS lat, {R("avg(lon)")} AS lon,
+       {R("avg(current_travel_time_s)")} AS intensity_mean, count(*) AS size
+FROM ml WHERE is_congested = 1 AND current_travel_time_s IS NOT NULL GROUP BY 1"""
+
+ORACLE["heatmap_real"] = f"""{SCORED_CTES}
+SELECT round(lat, 3) AS lat, round(lon, 3) AS lon, count(*) AS weight
+FROM scored WHERE is_congested_actual = 1 GROUP BY 1, 2"""
+
+ORACLE["heatmap_predicted"] = f"""{SCORED_CTES}
+SELECT round(lat, 3) AS lat, round(lon, 3) AS lon, {R("avg(congestion_proba)")} AS congestion_proba,
+       count(*) AS points
+FROM scored GROUP BY 1, 2"""
+
+ORACLE["run_summary"] = f"""{ML_CTES}
+SELECT count(*) AS rows_total, count_if(NOT is_test) AS rows_train, count_if(is_test) AS rows_test,
+       {R("avg(CASE WHEN NOT is_test THEN CAST(is_congested AS DOUBLE) END)")} AS positive_rate_train,
+       CAST({len(ROAD_NUMERIC_FEATURES)} + count(DISTINCT coalesce(road_id, 'None')) AS INTEGER)
+         AS feature_count
+FROM ml"""

@@ -269,3 +269,20 @@ def static_captures(events: DataFrame) -> DataFrame:
         domain.alias("domain"), ts.alias("ingest_ts"),
         F.concat(F.lit("part-"), F.date_format(ts, "yyyyMMdd'T'HHmmss'Z'"), F.lit("-"),
                  F.col("event_id").cast("string"), F.lit(".jsonl")).alias("file"))
+
+
+def scored_predictions(roads: DataFrame) -> DataFrame:
+    """Road readings scored by a fixed rule (no model), so scores, confusion
+    matrix and AUC can be recomputed in SQL:
+    ratio = current / free-flow; actual = ratio < 0.7;
+    proba = 1 / (1 + exp((ratio + (k - 50) / 200 - 0.7) * 4)); pred = proba >= 0.5."""
+    kept = roads.filter((F.col("current_speed_kmh") > 0) & (F.col("free_flow_speed_kmh") > 0)
+                        & ~F.col("road_closure"))
+    ratio = F.col("current_speed_kmh") / F.col("free_flow_speed_kmh")
+    proba = F.lit(1.0) / (F.lit(1.0) + F.exp(
+        (ratio + (F.col("k") - 50) / F.lit(200.0) - F.lit(0.7)) * F.lit(4.0)))
+    return kept.select(
+        "src_id", F.date_trunc("hour", "event_ts").alias("event_hour"), "lat", "lon",
+        (ratio < F.lit(0.7)).cast("int").alias("is_congested_actual"),
+        proba.alias("congestion_proba"),
+    ).withColumn("is_congested_pred", (F.col("congestion_proba") >= F.lit(0.5)).cast("int"))
