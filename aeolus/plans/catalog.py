@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import session as S
 from ..operators import gold, silver
 from ..sources import fixtures as fx
+from ..sources import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,7 +55,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver weather over the Bronze fixture; duplicates resolved by src_id."""
-    bronze = fx.weather_bronze(_events(spark, sf_dir))
+    bronze = landing.bronze_weather(spark, sf_dir)
     return silver.silver_weather(bronze, producer=fx.FIXTURE_AUTHOR,
                                  order_by=("src_id",), carry=("src_id",))
 
@@ -89,7 +90,7 @@ def q_temperature_hourly(spark, sf_dir):
 
 
 def _flat_fixture(spark, sf_dir) -> DataFrame:
-    return silver.flatten_weather(fx.weather_bronze(_events(spark, sf_dir)), carry=("src_id",))
+    return silver.flatten_weather(landing.bronze_weather(spark, sf_dir), carry=("src_id",))
 
 
 @register("silver_flatten")
@@ -190,7 +191,7 @@ def q_silver_latest_run(spark, sf_dir):
     """Two Silver runs (a partial one, then a full rerun) read together;
     one row per event_id survives, from the latest run."""
     from ..operators.silver import latest_per_key
-    bronze = fx.weather_bronze(_events(spark, sf_dir))
+    bronze = landing.bronze_weather(spark, sf_dir)
     first = silver.silver_weather(bronze.filter(F.col("ingest_ts") < "2024-01-16"),
                                   producer=fx.FIXTURE_AUTHOR, order_by=("src_id",),
                                   carry=("src_id",))
@@ -209,18 +210,17 @@ from ..operators import features as fe  # noqa: E402
 
 
 def _probes(spark, sf_dir):
-    return fx.probe_traffic(_events(spark, sf_dir))
+    return landing.read_layer(spark, sf_dir, "probe_traffic")
 
 
 def _roads(spark, sf_dir):
-    return fx.road_traffic(_events(spark, sf_dir))
+    return landing.read_layer(spark, sf_dir, "road_traffic")
 
 
 def weather_frames(spark, sf_dir) -> list[DataFrame]:
-    ev = _events(spark, sf_dir)
     return [fe.normalize_current(silver_fixture(spark, sf_dir)),
-            fe.normalize_api(fx.weather_api_feed(ev)),
-            fe.normalize_owm(fx.owm_feed(ev))]
+            fe.normalize_api(landing.read_layer(spark, sf_dir, "weather_api")),
+            fe.normalize_owm(landing.read_layer(spark, sf_dir, "owm"))]
 
 
 def hourly_fixture(spark, sf_dir) -> DataFrame:
@@ -391,7 +391,7 @@ def _flat_payload(df: DataFrame, *lead: str) -> DataFrame:
 @register("envelope")
 def q_envelope(spark, sf_dir):
     """B1: Bronze weather envelopes (payload flattened for comparison)."""
-    env = fx.weather_bronze(_events(spark, sf_dir))
+    env = landing.bronze_weather(spark, sf_dir)
     return _flat_payload(env, "src_id", "ingest_ts", "source", "schema_v", "author", "event_id")
 
 
@@ -448,7 +448,7 @@ def q_roads_expand(spark, sf_dir):
 @register("partition_keys")
 def q_partition_keys(spark, sf_dir):
     """B8."""
-    env = fx.weather_bronze(_events(spark, sf_dir))
+    env = landing.bronze_weather(spark, sf_dir)
     return br.with_partition_keys(env).select("src_id", "ingest_date", "hour", "part_stamp")
 
 
