@@ -689,3 +689,68 @@ def q_kmeans_centers(spark, sf_dir):
         return spark.createDataFrame(centers.collect(), centers.schema)
     finally:
         res["data"].unpersist()
+
+
+# ---- Streaming ------------------------------------------------------------------
+
+from ..streaming import metrics as sm  # noqa: E402
+from ..streaming import runner as sr  # noqa: E402
+from ..streaming.silver import silver_stream  # noqa: E402
+from ..streaming.traffic import road_weather_stream  # noqa: E402
+
+STREAM_DELAY = "1 hour"
+
+
+def _bronze_stream(spark, sf_dir) -> DataFrame:
+    return (spark.readStream.schema(landing.BRONZE_WEATHER_SCHEMA)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+            .json(landing.bronze_weather_path(spark, sf_dir)))
+
+
+def _silver_stream(spark, sf_dir) -> DataFrame:
+    return silver_stream(_bronze_stream(spark, sf_dir), producer=fx.FIXTURE_AUTHOR,
+                         delay=STREAM_DELAY, order_by=("src_id",), carry=("src_id",))
+
+
+@register("stream_silver")
+def q_stream_silver(spark, sf_dir):
+    """Streaming Silver with ordered dedup: events the watermark has
+    closed (event time <= newest event time - 1 hour)."""
+    out, _ = sr.run_available_now(_silver_stream(spark, sf_dir), "stream_silver", spark)
+    return _silver_out(out)
+
+
+@register("stream_hourly")
+def q_stream_hourly(spark, sf_dir):
+    """Hourly windows emitted once the watermark (newest event - 1 hour)
+    has passed their end."""
+    out, _ = sr.run_available_now(sm.hourly_stream(_silver_stream(spark, sf_dir), delay=None),
+                                  "stream_hourly", spark)
+    return out.select("window_date", "window_hour", "city", "samples_cnt",
+                      *[_r(c).alias(c) for c in ("temperature_avg_c", "temperature_min_c",
+                                                 "temperature_max_c", "temperature_stddev_c",
+                                                 "comfort_index_c", "humidity_avg_pct",
+                                                 "wind_speed_avg_ms")])
+
+
+@register("stream_daily")
+def q_stream_daily(spark, sf_dir):
+    """Chained hour -> day windows; closed days only."""
+    out, _ = sr.run_available_now(sm.daily_stream(_silver_stream(spark, sf_dir), delay=None),
+                                  "stream_daily", spark)
+    return out.select("window_date", "city", _r("total_precip_mm").alias("total_precip_mm"),
+                      "hours_observed", "rainy_hours",
+                      _r("coldest_hour_temp_c").alias("coldest_hour_temp_c"),
+                      _r("avg_hourly_min_temp_c").alias("avg_hourly_min_temp_c"),
+                      "subzero_hours")
+
+
+@register("stream_traffic_weather")
+def q_stream_traffic_weather(spark, sf_dir):
+    """T5: road readings stream x static hourly weather."""
+    roads = (spark.readStream.schema(_roads(spark, sf_dir).schema)
+             .parquet(landing.layer_path(spark, sf_dir, "road_traffic")))
+    stream = road_weather_stream(roads, hourly_fixture(spark, sf_dir),
+                                 fx.FIXTURE_TIME_FROM, fx.FIXTURE_TIME_TO)
+    out, _ = sr.run_available_now(stream, "stream_traffic_weather", spark)
+    return _round_doubles(out, keep=("lat", "lon"))

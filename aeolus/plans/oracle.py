@@ -688,3 +688,43 @@ SELECT count(*) AS rows_total, count_if(NOT is_test) AS rows_train, count_if(is_
        CAST({len(ROAD_NUMERIC_FEATURES)} + count(DISTINCT coalesce(road_id, 'None')) AS INTEGER)
          AS feature_count
 FROM ml"""
+
+
+# ---- Streaming ------------------------------------------------------------------
+
+# Append-mode windows are emitted once the watermark passes their end; after
+# the final batch the watermark is the newest valid event time minus 1 hour.
+WATERMARK = """
+wm AS (SELECT max(event_ts) - INTERVAL 1 HOUR AS wm FROM valid)"""
+
+ORACLE["stream_silver"] = f"""{SILVER_CTES},{WATERMARK}
+SELECT {SILVER_COLS} FROM silver, wm WHERE event_ts < wm.wm"""
+
+ORACLE["stream_hourly"] = f"""{SILVER_CTES},{WATERMARK}
+SELECT {HOURLY_KEYS}, city, count(*) AS samples_cnt,
+  {R("avg(temperature_2m)")} AS temperature_avg_c,
+  {R("min(temperature_2m)")} AS temperature_min_c,
+  {R("max(temperature_2m)")} AS temperature_max_c,
+  {R("stddev_pop(temperature_2m)")} AS temperature_stddev_c,
+  {R("avg(temperature_2m + 33e-2 * (relative_humidity_2m / 100e0) * 6105e-3 - 7e-1 * wind_speed_10m - 4e0)")}
+    AS comfort_index_c,
+  {R("avg(relative_humidity_2m)")} AS humidity_avg_pct,
+  {R("avg(wind_speed_10m)")} AS wind_speed_avg_ms
+FROM silver, wm
+WHERE city IS NOT NULL AND date_trunc('hour', event_ts) + INTERVAL 1 HOUR <= wm.wm
+GROUP BY 1, 2, 3"""
+
+ORACLE["stream_daily"] = f"""{SILVER_CTES},{WATERMARK},
+hourly AS (
+  SELECT strftime(event_ts, '%Y-%m-%d') AS window_date, city, date_trunc('hour', event_ts) AS h,
+         sum(precipitation) AS hp, min(temperature_2m) AS hm
+  FROM silver GROUP BY 1, 2, 3)
+SELECT window_date, city, {R("sum(hp)")} AS total_precip_mm, count(*) AS hours_observed,
+       CAST(sum(CASE WHEN hp >= 1e-1 THEN 1 ELSE 0 END) AS BIGINT) AS rainy_hours,
+       {R("min(hm)")} AS coldest_hour_temp_c, {R("avg(hm)")} AS avg_hourly_min_temp_c,
+       count(CASE WHEN hm < 0e0 THEN 1 END) AS subzero_hours
+FROM hourly, wm
+WHERE city IS NOT NULL AND CAST(window_date AS TIMESTAMP) + INTERVAL 1 DAY <= wm.wm
+GROUP BY 1, 2"""
+
+ORACLE["stream_traffic_weather"] = ORACLE["tomtom_weather"]

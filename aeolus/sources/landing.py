@@ -28,6 +28,13 @@ from . import fixtures as fx
 _LOCK = threading.Lock()
 _LANDED: dict[tuple[str, str, str], str] = {}
 
+_BUILDERS = {
+    "probe_traffic": fx.probe_traffic,
+    "road_traffic": fx.road_traffic,
+    "weather_api": fx.weather_api_feed,
+    "owm": fx.owm_feed,
+}
+
 BRONZE_WEATHER_SCHEMA = T.StructType(
     [*schemas.WEATHER_ENVELOPE.fields, T.StructField("src_id", T.LongType())])
 
@@ -48,6 +55,14 @@ def _land(spark: SparkSession, sf_dir: str, name: str, fmt: str,
     return path
 
 
+def bronze_weather_path(spark: SparkSession, sf_dir: str) -> str:
+    return _land(spark, sf_dir, "bronze_weather", "json", fx.weather_bronze)
+
+
+def layer_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    return _land(spark, sf_dir, name, "parquet", _BUILDERS[name])
+
+
 def bronze_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze weather envelopes, landed as JSON Lines and scanned back."""
     path = _land(spark, sf_dir, "bronze_weather", "json", fx.weather_bronze)
@@ -58,12 +73,6 @@ def bronze_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A landed Parquet input table (``probe_traffic``, ``road_traffic``,
     ``weather_api``, ``owm``)."""
-    builders = {
-        "probe_traffic": fx.probe_traffic,
-        "road_traffic": fx.road_traffic,
-        "weather_api": fx.weather_api_feed,
-        "owm": fx.owm_feed,
-    }
-    path = _land(spark, sf_dir, name, "parquet", builders[name])
+    path = layer_path(spark, sf_dir, name)
     from .silver import read_silver_recursive
     return read_silver_recursive(spark, path)
