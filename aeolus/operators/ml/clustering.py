@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ...constants import K_CANDIDATES, KMEANS_RESTARTS_FINAL, KMEANS_RESTARTS_SEARCH, SEED
-from .prep import DatasetSpec, scaler_stats, standardise
+from .prep import DatasetSpec, scaler_stats
 
 POINT_COLS = ("lat", "lon", "intensity")
 MIN_POINTS = max(K_CANDIDATES) + 1
@@ -33,9 +33,13 @@ class Scaled:
 
 
 def scale_points(points: DataFrame) -> Scaled:
+    """Standardised copies go into the ``features`` vector only; lat, lon and
+    intensity keep their original units for the centers."""
     stats = scaler_stats(points, list(POINT_COLS))
-    vec = VectorAssembler(inputCols=list(POINT_COLS), outputCol="features").transform(
-        standardise(points, stats))
+    z = {f"_z_{c}": (F.col(c) - F.lit(m)) / F.lit(s if s > 0 else 1.0)
+         for c, (m, s) in stats.items()}
+    vec = VectorAssembler(inputCols=list(z), outputCol="features").transform(
+        points.withColumns(z)).drop(*z)
     return Scaled(vec, stats)
 
 

@@ -49,7 +49,11 @@ def fit(prep: Prepared, label: str, model: str, alpha: float | None = None) -> L
     * lasso ``||y - Xw||^2 / 2n + a||w||_1``: ``regParam = a`` with
       ``elasticNetParam = 1`` (OWL-QN)."""
     train = prep.data.filter(~F.col("is_test"))
-    common = dict(featuresCol="features", labelCol=label, standardization=False, fitIntercept=True)
+    # All one-hot levels are kept (as in the source models), which makes the
+    # design collinear with the intercept: Cholesky then falls back to L-BFGS,
+    # so the tolerance is tight enough for predictions to match exact OLS.
+    common = dict(featuresCol="features", labelCol=label, standardization=False,
+                  fitIntercept=True, maxIter=1000, tol=1e-12)
     if model == "linear_regression":
         est = LinearRegression(regParam=0.0, elasticNetParam=0.0, solver="normal", **common)
     elif model == "ridge":
@@ -60,7 +64,7 @@ def fit(prep: Prepared, label: str, model: str, alpha: float | None = None) -> L
     elif model == "lasso":
         a = LASSO_ALPHA if alpha is None else alpha
         est = LinearRegression(regParam=a, elasticNetParam=1.0, solver="l-bfgs",
-                               maxIter=20000, tol=1e-10, **common)
+                               **{**common, "maxIter": 20000})
     else:
         raise ValueError(f"unknown model {model!r}; expected one of {MODELS}")
     return est.fit(train)

@@ -43,4 +43,6 @@ def quarantine(bronze: DataFrame) -> DataFrame:
     """Malformed lines."""
     if CORRUPT_COL not in bronze.columns:
         return bronze.limit(0)
-    return bronze.filter(F.col(CORRUPT_COL).isNotNull()).select(CORRUPT_COL)
+    # Spark rejects plans over raw JSON that reference only the corrupt
+    # column, so the whole row is kept (the other columns are null anyway).
+    return bronze.filter(F.col(CORRUPT_COL).isNotNull())
