@@ -86,15 +86,16 @@ def expand_weather(polls: DataFrame, response: str = "response",
     same position. A missing item yields the city's own coordinates, null
     metrics and an empty observation time.
 
-    Narrow: the city list is a literal array, so each poll fans out to exactly
-    ``len(cities)`` rows with no join and no shuffle."""
+    Narrow: the city list is a literal array exploded next to the response,
+    so each poll fans out to exactly ``len(cities)`` rows with no join and no
+    shuffle, and the response is parsed once per poll (below the generator)
+    rather than once per city."""
     city_arr = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(n).alias("city"),
                                   F.lit(la).alias("lat"), F.lit(lo).alias("lon"))
                          for i, (n, la, lo) in enumerate(cities)])
-    resp = F.col(response)
-    zipped = F.transform(city_arr, lambda c: F.struct(c.alias("c"), F.get(resp, c["pos"]).alias("it")))
-    rows = polls.select(*keep, F.explode(zipped).alias("z"))
-    c, it = F.col("z.c"), F.col("z.it")
+    rows = polls.select(*keep, F.col(response).alias("_resp"), F.explode(city_arr).alias("c"))
+    c = F.col("c")
+    it = F.get(F.col("_resp"), c["pos"])
     observed_at = F.coalesce(it["current"]["time"], F.lit(""))
     payload = F.struct(
         c["city"].alias("city"),

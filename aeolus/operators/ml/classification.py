@@ -53,7 +53,7 @@ def classification_scores(scored: DataFrame, actual: str = "is_congested_actual"
     rec = F.coalesce(F.try_divide(F.col("tp"), F.col("tp") + F.col("fn")), F.lit(0.0))
     f1 = F.coalesce(F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")),
                     F.lit(0.0))
-    return agg.select((F.col("hit") / F.col("n")).alias("accuracy"), prec.alias("precision"),
+    return agg.select(F.try_divide(F.col("hit"), F.col("n")).alias("accuracy"), prec.alias("precision"),
                       rec.alias("recall"), f1.alias("f1"))
 
 

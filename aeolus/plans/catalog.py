@@ -407,7 +407,7 @@ def q_stable_event_id(spark, sf_dir):
 @register("response_expand")
 def q_response_expand(spark, sf_dir):
     """JSON forecast responses -> one payload per configured city."""
-    polls = fx.weather_polls(_events(spark, sf_dir)).withColumn(
+    polls = landing.read_layer(spark, sf_dir, "weather_polls").withColumn(
         "response", br.parse_weather_response(F.col("body")))
     out = br.expand_weather(polls, keep=("src_id",))
     return _flat_payload(out, "src_id", "pos", "event_id")
@@ -754,3 +754,36 @@ def q_stream_traffic_weather(spark, sf_dir):
                                  fx.FIXTURE_TIME_FROM, fx.FIXTURE_TIME_TO)
     out, _ = sr.run_available_now(stream, "stream_traffic_weather", spark)
     return _round_doubles(out, keep=("lat", "lon"))
+
+
+@register("random_event_id")
+def q_random_event_id(spark, sf_dir):
+    """Random ids for records without a natural key; the values differ per
+    run, so the output is their shape: source prefix + 32 hex digits."""
+    from ..functions import random_event_id
+    ids = _events(spark, sf_dir).select(
+        F.col("event_id").alias("src_id"), random_event_id("lviv_gtfs_rt").alias("rid"))
+    return ids.select("src_id", F.length("rid").alias("id_length"),
+                      F.col("rid").rlike("^lviv_gtfs_rt-[0-9a-f]{32}$").alias("well_formed"))
+
+
+@register("center_labels")
+def q_center_labels(spark, sf_dir):
+    """Centers of both datasets tagged with the dataset name (fixed
+    labels: src_id % 4 for road readings, hour_of_day % 4 for probe cells)."""
+    roads = mp.check_dataset(ml_dataset(spark, sf_dir), mp.ROAD_SPEC)
+    probes = fe.join_weather(labelled_cells(spark, sf_dir), hourly_fixture(spark, sf_dir),
+                             fx.FIXTURE_TIME_FROM, fx.FIXTURE_TIME_TO)
+    probes = mp.check_dataset(probes, mp.PROBE_SPEC)
+
+    def pts(df, spec, label):
+        return (df.filter(F.col(spec.classification_target) == 1)
+                  .select("lat", "lon", F.col(spec.intensity).cast("double").alias("intensity"),
+                          label.alias("cluster")).dropna())
+
+    centers = mm.center_labels({
+        "tomtom": mk.centers_from_labels(pts(roads, mp.ROAD_SPEC, F.col(ML_KEY) % 4)),
+        "kpt": mk.centers_from_labels(pts(probes, mp.PROBE_SPEC, F.col("hour_of_day") % 4)),
+    })
+    return centers.select("dataset", "cluster_id",
+                          *[_r(c).alias(c) for c in ("lat", "lon", "intensity_mean")], "size")

@@ -257,7 +257,7 @@ road AS (
     'road-' || CAST(user_id % 20 AS VARCHAR) AS road_name,
     value AS current_speed_kmh,
     CAST(60 + k % 40 AS DOUBLE) AS free_flow_speed_kmh,
-    3600e0 / value AS current_travel_time_s,
+    CASE WHEN value = 0 THEN CAST(NULL AS DOUBLE) ELSE 3600e0 / value END AS current_travel_time_s,
     k / 100e0 AS confidence,
     CASE WHEN event_type = 'error' THEN true
          WHEN event_type = 'signup' AND k < 10 THEN CAST(NULL AS BOOLEAN)
@@ -728,3 +728,22 @@ WHERE city IS NOT NULL AND CAST(window_date AS TIMESTAMP) + INTERVAL 1 DAY <= wm
 GROUP BY 1, 2"""
 
 ORACLE["stream_traffic_weather"] = ORACLE["tomtom_weather"]
+
+ORACLE["random_event_id"] = """
+SELECT event_id AS src_id, CAST(length('lviv_gtfs_rt') + 33 AS INTEGER) AS id_length,
+       true AS well_formed
+FROM events"""
+
+ORACLE["center_labels"] = f"""{ML_CTES},
+{PROBE.strip()},
+{PREP.strip()},
+kptset AS (
+  SELECT l.*, h.temp_c, h.precip_mm, h.wind_mps, h.humidity_pct
+  FROM labelled l JOIN hourly h ON l.event_hour = h.event_hour)
+SELECT 'tomtom' AS dataset, CAST(src_id % 4 AS INTEGER) AS cluster_id, {R("avg(lat)")} AS lat,
+       {R("avg(lon)")} AS lon, {R("avg(current_travel_time_s)")} AS intensity_mean, count(*) AS size
+FROM ml WHERE is_congested = 1 AND current_travel_time_s IS NOT NULL GROUP BY 2
+UNION ALL
+SELECT 'kpt', CAST(hour_of_day % 4 AS INTEGER), {R("avg(lat)")}, {R("avg(lon)")},
+       {R("avg(CAST(events_count AS DOUBLE))")}, count(*)
+FROM kptset WHERE is_congested = 1 GROUP BY 2"""

@@ -154,7 +154,8 @@ def road_traffic(events: DataFrame) -> DataFrame:
         road_label.alias("road_name"),
         F.col("value").alias("current_speed_kmh"),
         (F.lit(60) + k % 40).cast("double").alias("free_flow_speed_kmh"),
-        (F.lit(3600.0) / F.col("value")).alias("current_travel_time_s"),
+        # A zero speed has no finite travel time: null instead of an ANSI error.
+        F.try_divide(F.lit(3600.0), F.col("value")).alias("current_travel_time_s"),
         (k / F.lit(100.0)).alias("confidence"),
         F.when(_is("error"), F.lit(True))
          .when(_is("signup") & (k < 10), F.lit(None).cast("boolean"))

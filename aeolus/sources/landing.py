@@ -33,6 +33,7 @@ _BUILDERS = {
     "road_traffic": fx.road_traffic,
     "weather_api": fx.weather_api_feed,
     "owm": fx.owm_feed,
+    "weather_polls": fx.weather_polls,
 }
 
 BRONZE_WEATHER_SCHEMA = T.StructType(
@@ -72,7 +73,7 @@ def bronze_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def read_layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A landed Parquet input table (``probe_traffic``, ``road_traffic``,
-    ``weather_api``, ``owm``)."""
+    ``weather_api``, ``owm``, raw ``weather_polls`` response bodies)."""
     path = layer_path(spark, sf_dir, name)
     from .silver import read_silver_recursive
     return read_silver_recursive(spark, path)

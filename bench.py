@@ -55,10 +55,22 @@ def main() -> None:
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
         "spark.sql.shuffle.partitions": str(max(8, int(cpus) * 2)),
     })
-    # Warm-up (JVM, codegen caches) — not measured.
-    QUERIES["hash_split"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    from aeolus.sources import landing
+
+    # Warm-up (JVM start, codegen caches) on a different table — not measured.
+    spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_returnflag").count().collect()
 
     timings: dict[str, float] = {}
+    # Stage 0: land the pipeline inputs (Bronze JSON, traffic and feed
+    # tables) derived from the driver tables — one write each, shared by
+    # every query, as a real Bronze/Silver layer would be.
+    t0 = time.perf_counter()
+    landing.bronze_weather_path(spark, sf_dir)
+    for name in ("probe_traffic", "road_traffic", "weather_api", "owm", "weather_polls"):
+        landing.layer_path(spark, sf_dir, name)
+    timings["land_inputs"] = round(time.perf_counter() - t0, 3)
+    print(f"# land_inputs: {timings['land_inputs']}s", file=sys.stderr)
+
     for name in names:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
