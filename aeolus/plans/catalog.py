@@ -218,9 +218,14 @@ def _roads(spark, sf_dir):
 
 
 def weather_frames(spark, sf_dir) -> list[DataFrame]:
-    return [fe.normalize_current(silver_fixture(spark, sf_dir)),
-            fe.normalize_api(landing.read_layer(spark, sf_dir, "weather_api")),
-            fe.normalize_owm(landing.read_layer(spark, sf_dir, "owm"))]
+    """The three weather feeds through the skip-on-failure registry."""
+    from ..sources.silver import load_sources
+    loaded = load_sources({
+        "open_meteo_current": lambda: fe.normalize_current(silver_fixture(spark, sf_dir)),
+        "open_meteo_api": lambda: fe.normalize_api(landing.read_layer(spark, sf_dir, "weather_api")),
+        "openweathermap_api": lambda: fe.normalize_owm(landing.read_layer(spark, sf_dir, "owm")),
+    })
+    return list(loaded.values())
 
 
 def hourly_fixture(spark, sf_dir) -> DataFrame:

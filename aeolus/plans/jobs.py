@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from .. import schemas
+from ..session import configure
 from ..constants import KPT_CONGESTION_KMH
 from ..operators import features as fe
 from ..operators import gold, silver
@@ -62,6 +63,12 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, source:
     write itself (no extra scans); an empty result leaves only an empty run
     directory, which readers ignore."""
     run_id = run_id or new_run_id()
+    # Observations run in a child session (same SparkContext and cache): in
+    # Spark 4.1, using an ``Observation`` leaves the session holding a
+    # non-serializable ObservationManager, after which any fitted
+    # ``pyspark.ml`` model's transform in that session fails with "Task not
+    # serializable". The caller's session stays clean.
+    spark = configure(spark.newSession())
     raw_obs, valid_obs = Observation("raw"), Observation("valid")
     bronze = read_bronze(spark, bronze_root, "weather", source, schemas.WEATHER_ENVELOPE)
     bronze = bronze.observe(raw_obs, F.count(F.lit(1)).alias("rows"))
@@ -143,7 +150,9 @@ def _rows(section: str, dataset: str, model: str, values: dict) -> list[tuple]:
 
 
 def train(spark: SparkSession, dataset: DataFrame, spec: mp.DatasetSpec, key: str,
-          author: str, out_root: str | None = None) -> DataFrame:
+          author: str, out_root: str | None = None, ks=mk.K_CANDIDATES,
+          restarts_search: int = mk.KMEANS_RESTARTS_SEARCH,
+          restarts_final: int = mk.KMEANS_RESTARTS_FINAL) -> DataFrame:
     """M1-M24 for one dataset. Returns the long metrics table; with
     ``out_root`` also writes metrics (K6), predictions (K5), centers (K7)."""
     rows: list[tuple] = []
@@ -176,7 +185,7 @@ def train(spark: SparkSession, dataset: DataFrame, spec: mp.DatasetSpec, key: st
             W.write_predictions(preds, f"{out_root}/predictions_{spec.name}")
 
     points = mk.congested_points(dataset, spec)
-    res = mk.cluster(points)
+    res = mk.cluster(points, ks, restarts_search, restarts_final)
     if res.get("skipped"):
         rows += _rows("kmeans", spec.name, "kmeans", {"skipped": 1.0, "rows": res["rows"]})
     else:

@@ -46,7 +46,9 @@ def read_road_files(spark: SparkSession, path: str,
     try:
         df = read_silver_recursive(spark, path)
         df.schema  # noqa: B018 - forces footer merge
-    except AnalysisException as exc:
+    except Exception as exc:  # noqa: BLE001 - re-raised unless it is a merge conflict
+        if not isinstance(exc, AnalysisException) and "CANNOT_MERGE_SCHEMAS" not in str(exc):
+            raise
         log.info("schema merge failed (%s); reading per file", str(exc)[:200])
         files = [r.path for r in spark.read.format("binaryFile")
                  .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")

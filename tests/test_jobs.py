@@ -67,3 +67,76 @@ def test_metrics_sections_upsert(spark, tmp_dir):
     write_metrics(spark.createDataFrame([("regression", "kpt", "ols", "mae", 2.0)], schema), path)
     rows = {(r.section, r.metric): r.value for r in spark.read.parquet(path).collect()}
     assert rows == {("regression", "mae"): 2.0, ("kmeans", "best_k"): 3.0}
+
+
+def test_source_registry_skips_unreadable(spark, tmp_dir):
+    import pytest
+    from aeolus.sources.silver import load_sources
+    good = spark.createDataFrame([(1,)], "x int")
+    got = load_sources({"missing": lambda: spark.read.parquet(os.path.join(tmp_dir, "nope")),
+                        "good": lambda: good})
+    assert list(got) == ["good"]
+    with pytest.raises(RuntimeError):
+        load_sources({"missing": lambda: spark.read.parquet(os.path.join(tmp_dir, "nope"))})
+
+
+def test_road_files_with_conflicting_types(spark, tmp_dir):
+    from aeolus.sources.silver import read_road_files
+    a = spark.createDataFrame([("r1", "40.5", 1.0)], "road_id string, current_speed_kmh string, confidence double")
+    b = spark.createDataFrame([("r2", 55.0, 0.5)], "road_id string, current_speed_kmh double, confidence double")
+    a.write.parquet(os.path.join(tmp_dir, "run1"))
+    b.write.parquet(os.path.join(tmp_dir, "run2"))
+    out = read_road_files(spark, tmp_dir)
+    assert dict(out.dtypes)["current_speed_kmh"] == "double"
+    assert sorted(r.current_speed_kmh for r in out.collect()) == [40.5, 55.0]
+
+
+def test_optional_outputs(spark, tmp_dir):
+    from aeolus.sources.silver import read_optional
+    spark.createDataFrame([(1,)], "x int").write.parquet(os.path.join(tmp_dir, "kpt"))
+    got = read_optional(spark, {"kpt": os.path.join(tmp_dir, "kpt"),
+                                "tomtom": os.path.join(tmp_dir, "tomtom")})
+    assert list(got) == ["kpt"]
+
+
+def test_train_writes_all_outputs(spark, tmp_dir):
+    from aeolus.operators.ml import prep as mp
+    from aeolus.plans.catalog import ML_KEY, ml_dataset
+    from aeolus.sources.silver import read_centers, read_optional
+    from conftest import SF01
+    out = os.path.join(tmp_dir, "reports")
+    metrics = jobs.train(spark, ml_dataset(spark, SF01), mp.ROAD_SPEC, ML_KEY, "fixture", out,
+                         ks=(2, 3), restarts_search=2, restarts_final=2)
+    got = {(r.section, r.model, r.metric) for r in metrics.collect()}
+    assert ("regression", "ridge", "r2") in got and ("classification", "logistic_regression", "roc_auc") in got
+    assert ("kmeans", "final", "best_k") in got
+    stored = spark.read.parquet(os.path.join(out, "metrics"))
+    assert stored.select("section").distinct().count() == 3
+    preds = read_optional(spark, {"tomtom": os.path.join(out, "predictions_tomtom")})["tomtom"]
+    assert set(preds.columns) >= {"event_hour", "is_congested_pred", "congestion_proba", "author"}
+    centers = read_centers(spark, os.path.join(out, "kmeans_centers_tomtom"))
+    assert centers.count() in (2, 3) and centers.first().dataset == "tomtom"
+
+
+def test_write_dataset_respects_existing(spark, tmp_dir):
+    from aeolus.sinks import write_dataset
+    path = os.path.join(tmp_dir, "ds")
+    write_dataset(spark.createDataFrame([(1,)], "x int"), path, "me")
+    write_dataset(spark.createDataFrame([(2,), (3,)], "x int"), path, "me")
+    assert spark.read.parquet(path).count() == 1
+    write_dataset(spark.createDataFrame([(2,), (3,)], "x int"), path, "me", force=True)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_silver_observation_does_not_break_models(spark, tmp_dir):
+    """A Silver run (which observes counts) followed by model scoring in the
+    same session must work."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    bronze, silver_root = os.path.join(tmp_dir, "b"), os.path.join(tmp_dir, "s")
+    _bronze(spark, bronze)
+    jobs.run_silver(spark, bronze, silver_root, "open_meteo_current", producer="fixture")
+    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(
+        spark.range(50).select((F.col("id") / 10.0).alias("x"), (F.col("id") % 2).cast("double").alias("y")))
+    model = LogisticRegression(labelCol="y", maxIter=5).fit(data)
+    assert len(model.transform(data).select("probability").collect()) == 50
