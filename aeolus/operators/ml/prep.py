@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ...constants import SEED, TEST_SHARE
+from ...constants import TEST_SHARE
 
 NULL_LEVEL = "None"
 # One-hot columns are materialised densely (and standardised, like the source
@@ -98,9 +98,6 @@ def one_hot_columns(spec: DatasetSpec, levels: dict[str, list[str]]) -> dict[str
     out: dict[str, Column] = {}
     for c in spec.categorical:
         lv = levels[c]
-        if len(lv) > MAX_DENSE_LEVELS:
-            raise ValueError(f"{c} has {len(lv)} levels; above {MAX_DENSE_LEVELS} use a sparse "
-                             "OneHotEncoder pipeline instead of dense indicators")
         for v in lv:
             out[f"{c}_{v}"] = F.when(level_col(c) == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0))
     return out
@@ -174,9 +171,16 @@ class Prepared:
 
 
 def prepare(df: DataFrame, spec: DatasetSpec, key: str, test_share: float = TEST_SHARE,
-            seed: int | None = None, persist: bool = True) -> Prepared:
+            seed: int | None = None, persist: bool = True,
+            max_dense_levels: int = MAX_DENSE_LEVELS) -> Prepared:
     """M1-M5: contract check, one-hot, hash split, train-fitted scaling, vector.
 
+    Up to ``max_dense_levels`` levels per categorical, indicators are dense
+    columns standardised with the numeric features (as the source models do).
+    Beyond that they become sparse one-hot vectors (``StringIndexer`` +
+    ``OneHotEncoder``), left unscaled so the vectors stay sparse; numeric
+    features are still standardised.
+
     Model fitting passes over the data many times, so the checked dataset is
     persisted (memory, spilling to disk) once; a lost block is recomputed
     from lineage. Call ``release()`` (or use ``with``) when done."""
@@ -186,12 +190,30 @@ def prepare(df: DataFrame, spec: DatasetSpec, key: str, test_share: float = TEST
     if persist:
         cached = checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
     levels = {c: category_levels(checked, c) for c in spec.categorical}
-    onehot = one_hot_columns(spec, levels)
-    base = hash_split(checked.withColumns(onehot), key, test_share, seed)
-    names = [*spec.numeric, *onehot]
-    stats = scaler_stats(base.filter(~F.col("is_test")), names)
-    scaled = standardise(base, stats)
-    vec = VectorAssembler(inputCols=names, outputCol="features").transform(scaled)
+    if all(len(v) <= max_dense_levels for v in levels.values()):
+        onehot = one_hot_columns(spec, levels)
+        base = hash_split(checked.withColumns(onehot), key, test_share, seed)
+        names = [*spec.numeric, *onehot]
+        stats = scaler_stats(base.filter(~F.col("is_test")), names)
+        scaled = standardise(base, stats)
+        vec = VectorAssembler(inputCols=names, outputCol="features").transform(scaled)
+        return Prepared(vec, names, stats, cached)
+
+    base = hash_split(checked, key, test_share, seed)
+    stats = scaler_stats(base.filter(~F.col("is_test")), list(spec.numeric))
+    scaled = standardise(base, stats).withColumns(
+        {f"_lvl_{c}": level_col(c) for c in spec.categorical})
+    oh_cols, names = [], list(spec.numeric)
+    for c in spec.categorical:
+        indexer = StringIndexerModel.from_labels(levels[c], inputCol=f"_lvl_{c}",
+                                                 outputCol=f"_idx_{c}", handleInvalid="keep")
+        scaled = indexer.transform(scaled)
+        oh_cols.append(f"_oh_{c}")
+        names += [f"{c}_{v}" for v in levels[c]] + [f"{c}_<unseen>"]
+    encoder = OneHotEncoder(inputCols=[f"_idx_{c}" for c in spec.categorical],
+                            outputCols=oh_cols, dropLast=False).fit(scaled)
+    vec = VectorAssembler(inputCols=[*spec.numeric, *oh_cols], outputCol="features").transform(
+        encoder.transform(scaled))
     return Prepared(vec, names, stats, cached)
 
 

@@ -10,6 +10,7 @@ from ...constants import LASSO_ALPHA, RIDGE_ALPHA
 from .prep import Prepared
 
 MODELS = ("linear_regression", "ridge", "lasso")
+NORMAL_SOLVER_MAX_FEATURES = 4096
 
 
 def regression_scores(df: DataFrame, label: str, prediction: str | Column = "prediction") -> DataFrame:
@@ -49,18 +50,24 @@ def fit(prep: Prepared, label: str, model: str, alpha: float | None = None) -> L
     * lasso ``||y - Xw||^2 / 2n + a||w||_1``: ``regParam = a`` with
       ``elasticNetParam = 1`` (OWL-QN)."""
     train = prep.data.filter(~F.col("is_test"))
+    # The normal equations are limited to 4096 features; wider (sparse
+    # one-hot) designs use L-BFGS, where Spark scales the L2 term by the
+    # sample rather than the population std of the label.
+    wide = len(prep.feature_names) > NORMAL_SOLVER_MAX_FEATURES
+    solver = "l-bfgs" if wide else "normal"
     # All one-hot levels are kept (as in the source models), which makes the
     # design collinear with the intercept: Cholesky then falls back to L-BFGS,
     # so the tolerance is tight enough for predictions to match exact OLS.
     common = dict(featuresCol="features", labelCol=label, standardization=False,
                   fitIntercept=True, maxIter=1000, tol=1e-12)
     if model == "linear_regression":
-        est = LinearRegression(regParam=0.0, elasticNetParam=0.0, solver="normal", **common)
+        est = LinearRegression(regParam=0.0, elasticNetParam=0.0, solver=solver, **common)
     elif model == "ridge":
         a = RIDGE_ALPHA if alpha is None else alpha
-        row = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("sd")).first()
+        sd = F.stddev_samp(label) if wide else F.stddev_pop(label)
+        row = train.agg(F.count(F.lit(1)).alias("n"), sd.alias("sd")).first()
         reg = a * float(row["sd"]) / float(row["n"]) if row["n"] else 0.0
-        est = LinearRegression(regParam=reg, elasticNetParam=0.0, solver="normal", **common)
+        est = LinearRegression(regParam=reg, elasticNetParam=0.0, solver=solver, **common)
     elif model == "lasso":
         a = LASSO_ALPHA if alpha is None else alpha
         est = LinearRegression(regParam=a, elasticNetParam=1.0, solver="l-bfgs",

@@ -135,7 +135,8 @@ def q_silver_reject_report(spark, sf_dir):
 @register("silver_stamp_producer")
 def q_silver_stamp_producer(spark, sf_dir):
     """V1 then V9 with the source pipeline's overwrite semantics."""
-    bronze = fx.weather_bronze(_events(spark, sf_dir), author="someone-else")
+    # Envelopes recorded by another producer: without restamping none survive.
+    bronze = landing.bronze_weather(spark, sf_dir).withColumn("author", F.lit("someone-else"))
     df = silver.silver_weather(bronze, producer=fx.FIXTURE_AUTHOR, restamp=True,
                                order_by=("src_id",), carry=("src_id",))
     return df.groupBy("author").agg(F.count(F.lit(1)).alias("rows"))

@@ -161,3 +161,18 @@ def test_dataset_contract(spark):
     df = spark.createDataFrame([(1.0,)], "lat double")
     with pytest.raises(ValueError, match="missing columns"):
         mp.check_dataset(df, mp.ROAD_SPEC)
+
+
+def test_sparse_one_hot_path_gives_same_ols_fit(spark):
+    dense = mp.prepare(ml_dataset(spark, SF01), mp.ROAD_SPEC, ML_KEY)
+    sparse = mp.prepare(ml_dataset(spark, SF01), mp.ROAD_SPEC, ML_KEY, max_dense_levels=5)
+    try:
+        assert sparse.data.first().features.numNonzeros() <= len(mp.ROAD_SPEC.numeric) + 1
+        a = _spark_test_pred(mr.fit(dense, "current_speed_kmh", "linear_regression"), dense)
+        b = _spark_test_pred(mr.fit(sparse, "current_speed_kmh", "linear_regression"), sparse)
+        # Scaling the indicators re-parametrises the same column space: OLS
+        # fitted values agree.
+        assert np.allclose(a, b, rtol=1e-5, atol=1e-4)
+    finally:
+        dense.release()
+        sparse.release()
