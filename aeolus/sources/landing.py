@@ -27,6 +27,7 @@ from . import fixtures as fx
 
 _LOCK = threading.Lock()
 _LANDED: dict[tuple[str, str, str], str] = {}
+_KEY_LOCKS: dict[tuple[str, str, str], threading.Lock] = {}
 
 _BUILDERS = {
     "probe_traffic": fx.probe_traffic,
@@ -46,6 +47,8 @@ def _land(spark: SparkSession, sf_dir: str, name: str, fmt: str,
     app = spark.sparkContext.applicationId
     key = (app, os.path.abspath(sf_dir), name)
     with _LOCK:
+        lock = _KEY_LOCKS.setdefault(key, threading.Lock())
+    with lock:  # one writer per input; different inputs land concurrently
         path = _LANDED.get(key)
         if path is None:
             tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
@@ -77,3 +80,15 @@ def read_layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = layer_path(spark, sf_dir, name)
     from .silver import read_silver_recursive
     return read_silver_recursive(spark, path)
+
+
+def land_all(spark: SparkSession, sf_dir: str, threads: int = 6) -> dict[str, str]:
+    """Land every input at once: the writes are independent jobs, so they are
+    submitted concurrently and Spark interleaves their tasks."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    jobs = {"bronze_weather": lambda: bronze_weather_path(spark, sf_dir)}
+    jobs.update({n: (lambda n=n: layer_path(spark, sf_dir, n)) for n in _BUILDERS})
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        futures = {n: pool.submit(fn) for n, fn in jobs.items()}
+        return {n: f.result() for n, f in futures.items()}

@@ -49,13 +49,19 @@ def read_road_files(spark: SparkSession, path: str,
     except Exception as exc:  # noqa: BLE001 - re-raised unless it is a merge conflict
         if not isinstance(exc, AnalysisException) and "CANNOT_MERGE_SCHEMAS" not in str(exc):
             raise
-        log.info("schema merge failed (%s); reading per file", str(exc)[:200])
+        log.info("schema merge failed (%s); reading per schema group", str(exc)[:200])
+        # File listing only (binaryFile prunes the content column); footers
+        # are read once per file to group files by schema, then each group is
+        # one scan — the union has one branch per distinct schema, not per file.
         files = [r.path for r in spark.read.format("binaryFile")
                  .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
                  .load(path).select("path").collect()]
-        frames = []
+        groups: dict[str, list[str]] = {}
         for f in files:
-            part = spark.read.parquet(f)
+            groups.setdefault(spark.read.parquet(f).schema.json(), []).append(f)
+        frames = []
+        for group in groups.values():
+            part = spark.read.parquet(*group)
             part = part.withColumns({c: lenient_double(c) for c in numeric if c in part.columns})
             frames.append(part)
         if not frames:

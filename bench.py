@@ -65,9 +65,7 @@ def main() -> None:
     # tables) derived from the driver tables — one write each, shared by
     # every query, as a real Bronze/Silver layer would be.
     t0 = time.perf_counter()
-    landing.bronze_weather_path(spark, sf_dir)
-    for name in ("probe_traffic", "road_traffic", "weather_api", "owm", "weather_polls"):
-        landing.layer_path(spark, sf_dir, name)
+    landing.land_all(spark, sf_dir)
     timings["land_inputs"] = round(time.perf_counter() - t0, 3)
     print(f"# land_inputs: {timings['land_inputs']}s", file=sys.stderr)
 
