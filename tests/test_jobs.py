@@ -140,3 +140,27 @@ def test_silver_observation_does_not_break_models(spark, tmp_dir):
         spark.range(50).select((F.col("id") / 10.0).alias("x"), (F.col("id") % 2).cast("double").alias("y")))
     model = LogisticRegression(labelCol="y", maxIter=5).fit(data)
     assert len(model.transform(data).select("probability").collect()) == 50
+
+
+def test_cli_silver_and_gold(spark, tmp_dir):
+    """The layer commands run end to end in their own process."""
+    import subprocess
+    import sys
+    bronze, silver_root, gold_root = (os.path.join(tmp_dir, d) for d in ("b", "s", "g"))
+    _bronze(spark, bronze)
+    base = [sys.executable, "-m", "aeolus.plans.cli", "--master", "local[2]"]
+    cwd = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run(base + ["silver", "--bronze", bronze, "--silver", silver_root,
+                                 "--producer", "fixture"], cwd=cwd, capture_output=True,
+                         text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "raw=1000 valid=972" in out.stdout
+    bad = subprocess.run(base + ["gold", "--silver", silver_root, "--gold", gold_root,
+                                 "--producer", "fixture", "--metrics", "nope"], cwd=cwd,
+                         capture_output=True, text=True, timeout=600)
+    assert bad.returncode == 1
+    ok = subprocess.run(base + ["gold", "--silver", silver_root, "--gold", gold_root,
+                                "--producer", "fixture", "--metrics", "wind_daily_extremes"],
+                        cwd=cwd, capture_output=True, text=True, timeout=600)
+    assert ok.returncode == 0, ok.stderr[-2000:]
+    assert "silver_rows=972" in ok.stdout
