@@ -488,8 +488,8 @@ def scored_fixture(spark, sf_dir) -> DataFrame:
     return fx.scored_predictions(_roads(spark, sf_dir))
 
 
-def _prepared(spark, sf_dir) -> mp.Prepared:
-    return mp.prepare(ml_dataset(spark, sf_dir), mp.ROAD_SPEC, ML_KEY)
+def _prepared(spark, sf_dir, persist: bool = True) -> mp.Prepared:
+    return mp.prepare(ml_dataset(spark, sf_dir), mp.ROAD_SPEC, ML_KEY, persist=persist)
 
 
 def _one_row(spark, values: dict) -> DataFrame:
@@ -519,8 +519,9 @@ def q_scaler_stats(spark, sf_dir):
 @register("standardised")
 def q_standardised(spark, sf_dir):
     """M5 apply: numeric features scaled with the train statistics."""
-    p = _prepared(spark, sf_dir)
-    return p.data.select(ML_KEY, "is_test", *[_r(c).alias(c) for c in mp.ROAD_SPEC.numeric])
+    with _prepared(spark, sf_dir) as p:
+        return _written(spark, p.data.select(
+            ML_KEY, "is_test", *[_r(c).alias(c) for c in mp.ROAD_SPEC.numeric]), "standardised")
 
 
 @register("baseline_mean")
@@ -617,6 +618,16 @@ def q_run_summary(spark, sf_dir):
              .withColumn("feature_count", F.lit(len(mp.ROAD_SPEC.numeric) + n_levels))
 
 
+def _written(spark, df: DataFrame, name: str) -> DataFrame:
+    """Write a large result to the shared folder and return its scan, so
+    persisted inputs can be released without recomputation later."""
+    import uuid
+    from ..session import scratch_path
+    path = scratch_path(spark, "results", name, uuid.uuid4().hex[:12])
+    df.hint("rebalance").write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def _materialise(spark, df: DataFrame) -> DataFrame:
     """Small results (metric rows, k <= 10 centers) computed now, so they
     outlive the persisted training data."""
@@ -654,14 +665,16 @@ def q_logreg(spark, sf_dir):
 @register("predictions")
 def q_predictions(spark, sf_dir):
     """Every row scored by the fitted model (rows-only)."""
-    # The scored table is as large as the dataset: it is returned lazily
-    # (recomputed from lineage if consumed after the cache is released).
-    p = _prepared(spark, sf_dir)
-    model = mc.fit_logistic(p, "is_congested")
-    out = mc.predictions_table(model, p, "is_congested", fx.FIXTURE_AUTHOR)
-    return out.select(_ntz("event_hour").alias("event_hour"), "lat", "lon",
-                      "is_congested_actual", "is_congested_pred",
-                      _r("congestion_proba").alias("congestion_proba"), "author")
+    # The scored table is as large as the dataset: it is written to the
+    # shared folder (K5), the training cache is released, and the query
+    # returns a scan of the written table.
+    with _prepared(spark, sf_dir) as p:
+        model = mc.fit_logistic(p, "is_congested")
+        out = _written(spark, mc.predictions_table(model, p, "is_congested", fx.FIXTURE_AUTHOR),
+                       "predictions")
+    return out.select(
+        _ntz("event_hour").alias("event_hour"), "lat", "lon", "is_congested_actual",
+        "is_congested_pred", _r("congestion_proba").alias("congestion_proba"), "author")
 
 
 def _kmeans_run(spark, sf_dir) -> dict:
