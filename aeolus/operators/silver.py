@@ -140,31 +140,36 @@ def silver_weather(bronze: DataFrame, producer: str | None = None, restamp: bool
 REJECT_REASONS = ("null_field", "out_of_range", "bad_timestamp", "duplicate", "valid")
 
 
-def classify_rows(flat: DataFrame, producer: str | None = None, as_of: str | None = None,
-                  key: str = "event_id", order_by: Sequence[str] = ("ingest_ts",)) -> DataFrame:
-    """V7: tag every flattened row with the first Silver rule it fails.
-
-    Rules are checked in pipeline order, so the per-reason counts add up to
-    the raw count and ``valid`` equals the Silver row count."""
+def reject_report(flat: DataFrame, producer: str | None = None, as_of: str | None = None,
+                  key: str = "event_id") -> DataFrame:
+    """Per-reason row counts: ``null_field``, ``out_of_range``,
+    ``bad_timestamp``, ``duplicate``, ``valid`` (summing to the raw count).
+
+    No window: rows are first counted per (reason, id) — partial aggregation
+    collapses a hot id to one row per task — then per reason. Among rows
+    passing every rule, ``valid`` is the number of distinct ids and
+    ``duplicate`` the rest, which is what the dedup removes."""
     present = required_present()
     in_range = F.coalesce(domain_condition(producer), F.lit(False))
     timely = F.coalesce(time_condition(as_of=as_of), F.lit(False))
-    passes = present & in_range & timely
-    w = Window.partitionBy(key).orderBy(
-        F.when(passes, 0).otherwise(1), *[F.col(c).asc_nulls_last() for c in order_by])
     reason = (F.when(~present, F.lit("null_field"))
               .when(~in_range, F.lit("out_of_range"))
               .when(~timely, F.lit("bad_timestamp"))
-              .when(F.row_number().over(w) > 1, F.lit("duplicate"))
-              .otherwise(F.lit("valid")))
-    return flat.withColumn("reject_reason", reason)
-
-
-def reject_report(flat: DataFrame, producer: str | None = None, as_of: str | None = None,
-                  order_by: Sequence[str] = ("ingest_ts",)) -> DataFrame:
-    """Per-reason row counts (partial aggregation before the shuffle)."""
-    return (classify_rows(flat, producer, as_of, order_by=order_by)
-            .groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rows")))
+              .otherwise(F.lit("passed")))
+    per_id = (flat.select(reason.alias("reason"),
+                          F.when(reason == "passed", F.col(key)).alias("_id"))
+              .groupBy("reason", "_id").agg(F.count(F.lit(1)).alias("n")))
+    per_reason = per_id.groupBy("reason").agg(F.sum("n").alias("rows"),
+                                              F.count(F.lit(1)).alias("ids"))
+    out = per_reason.select(
+        F.explode(F.when(F.col("reason") == "passed",
+                         F.array(F.struct(F.lit("valid").alias("r"), F.col("ids").alias("c")),
+                                 F.struct(F.lit("duplicate").alias("r"),
+                                          (F.col("rows") - F.col("ids")).alias("c"))))
+                  .otherwise(F.array(F.struct(F.col("reason").alias("r"),
+                                              F.col("rows").alias("c"))))).alias("x"))
+    return (out.select(F.col("x.r").alias("reject_reason"), F.col("x.c").alias("rows"))
+               .filter(F.col("rows") > 0))
 
 
 def latest_per_key(df: DataFrame, key: str = "event_id",

@@ -128,8 +128,7 @@ def q_silver_dedup(spark, sf_dir):
 @register("silver_reject_report")
 def q_silver_reject_report(spark, sf_dir):
     """V7: rows per first failing rule; sums to the Bronze row count."""
-    return silver.reject_report(_flat_fixture(spark, sf_dir), producer=fx.FIXTURE_AUTHOR,
-                                order_by=("src_id",))
+    return silver.reject_report(_flat_fixture(spark, sf_dir), producer=fx.FIXTURE_AUTHOR)
 
 
 @register("silver_stamp_producer")
