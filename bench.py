@@ -40,6 +40,7 @@ HEADLINE = [
     "roc_auc",
     "linreg",
     "logreg",
+    "stream_hourly",
 ]
 
 
