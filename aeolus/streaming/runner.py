@@ -20,11 +20,25 @@ def stream_paths(spark: SparkSession, name: str, run: str | None = None) -> tupl
     return f"{base}/_checkpoint", f"{base}/table"
 
 
+STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Dedup and window state grows with keys in flight; RocksDB keeps it off
+    the JVM heap and on local disk with incremental checkpoints. A provider
+    the user configured is left alone; it only applies to new checkpoints."""
+    current = spark.conf.get(STATE_PROVIDER_CONF, None)
+    if not current or current.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(STATE_PROVIDER_CONF, ROCKSDB_PROVIDER)
+
+
 def start(df: DataFrame, name: str, spark: SparkSession, fmt: str = "parquet",
           output_mode: str = "append", partition_by: tuple[str, ...] = (),
           processing_time: str | None = None, run: str | None = None) -> tuple[StreamingQuery, str]:
     """Start a file-sink query. ``processing_time=None`` means
     ``availableNow`` (process what has landed, then stop)."""
+    use_rocksdb_state(spark)
     ckpt, out = stream_paths(spark, name, run)
     w = (df.writeStream.format(fmt).outputMode(output_mode)
          .option("checkpointLocation", ckpt).queryName(f"{name}_{uuid.uuid4().hex[:6]}"))
