@@ -127,11 +127,27 @@ def wind_daily_extremes(silver: DataFrame, wind_unit: str = "as_is") -> DataFram
 
 # ---- fused pairs: one shuffle for metrics sharing grouping keys -------------
 
+HOURLY_PAIR = ("temperature_hourly", "comfort_index_hourly")
+DAILY_PAIR = ("precipitation_daily", "subzero_hours_daily")
+
+
 def hourly_pair(silver: DataFrame, wind_unit: str = "as_is") -> tuple[DataFrame, DataFrame]:
-    """G1 and G5 from one aggregate over (date, hour, city).
+    """G1 and G5 from one aggregate over (date, hour, city)."""
+    return split_hourly(hourly_base(silver, wind_unit))
 
-    Cache or write the returned base when both outputs are consumed; otherwise
-    each output re-runs the shared aggregate."""
+
+def split_hourly(base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    keys = ["window_date", "window_hour", "city", "samples_cnt"]
+    g1 = base.select(*keys, "temperature_avg_c", "temperature_min_c",
+                     "temperature_max_c", "temperature_stddev_c")
+    g5 = base.select(*keys, "comfort_index_c", "temperature_avg_c",
+                     "humidity_avg_pct", "wind_speed_avg_ms")
+    return g1, g5
+
+
+def hourly_base(silver: DataFrame, wind_unit: str = "as_is") -> DataFrame:
+    """The fused G1 + G5 aggregate (one shuffle). Persist it when both
+    outputs are consumed; otherwise each re-runs the aggregate."""
     wind = _wind(wind_unit)
     at = apparent_temperature("temperature_2m", "relative_humidity_2m", wind)
     base = (_hourly_keys(silver)
@@ -145,17 +161,25 @@ def hourly_pair(silver: DataFrame, wind_unit: str = "as_is") -> tuple[DataFrame,
                  F.avg("relative_humidity_2m").alias("humidity_avg_pct"),
                  F.avg(wind).alias("wind_speed_avg_ms"))
             .filter(F.col("city").isNotNull()))
-    keys = ["window_date", "window_hour", "city", "samples_cnt"]
-    g1 = base.select(*keys, "temperature_avg_c", "temperature_min_c",
-                     "temperature_max_c", "temperature_stddev_c")
-    g5 = base.select(*keys, "comfort_index_c", "temperature_avg_c",
-                     "humidity_avg_pct", "wind_speed_avg_ms")
-    return g1, g5
+    return base
 
 
 def daily_pair(silver: DataFrame, threshold_mm: float = RAIN_THRESHOLD_MM,
                subzero_c: float = SUBZERO_C) -> tuple[DataFrame, DataFrame]:
     """G2 and G4 from one (date, city, hour) first-level aggregate."""
+    return split_daily(daily_base(silver, threshold_mm, subzero_c))
+
+
+def split_daily(daily: DataFrame) -> tuple[DataFrame, DataFrame]:
+    g2 = daily.select("window_date", "city", "total_precip_mm", "hours_observed", "rainy_hours")
+    g4 = daily.select("window_date", "city", "hours_observed", "coldest_hour_temp_c",
+                      "avg_hourly_min_temp_c", "subzero_hours")
+    return g2, g4
+
+
+def daily_base(silver: DataFrame, threshold_mm: float = RAIN_THRESHOLD_MM,
+               subzero_c: float = SUBZERO_C) -> DataFrame:
+    """The fused G2 + G4 aggregate (two-level, computed once)."""
     hourly = _city_hours(silver, hour_precip_mm=F.sum("precipitation"),
                          hour_min_temp_c=F.min("temperature_2m"))
     daily = (hourly.groupBy("window_date", "city")
@@ -167,10 +191,7 @@ def daily_pair(silver: DataFrame, threshold_mm: float = RAIN_THRESHOLD_MM,
                   F.avg("hour_min_temp_c").alias("avg_hourly_min_temp_c"),
                   F.count(F.when(F.col("hour_min_temp_c") < subzero_c, True)).alias("subzero_hours"))
              .filter(F.col("city").isNotNull()))
-    g2 = daily.select("window_date", "city", "total_precip_mm", "hours_observed", "rainy_hours")
-    g4 = daily.select("window_date", "city", "hours_observed", "coldest_hour_temp_c",
-                      "avg_hourly_min_temp_c", "subzero_hours")
-    return g2, g4
+    return daily
 
 
 # ---- G7 lineage, G6 registry -------------------------------------------------

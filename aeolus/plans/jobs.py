@@ -118,10 +118,24 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str, source: str,
         if rows == 0:
             log.warning("no Silver rows for producer=%s; nothing written", producer)
             return result
-        for name, m in plan.items():
-            out = gold.finalize_metric(m.compute(shared), producer, run_id, name)
-            result.paths[name] = W.write_gold(out, gold_root, "weather", name, run_id,
-                                              m.partition_cols, fmt)
+        frames = {name: m.compute(shared) for name, m in plan.items()}
+        fused: list[DataFrame] = []
+        # Pairs sharing grouping keys come from one persisted aggregate: one
+        # shuffle (two for the daily pair) instead of one per metric.
+        for pair, base_fn, split in ((gold.HOURLY_PAIR, gold.hourly_base, gold.split_hourly),
+                                     (gold.DAILY_PAIR, gold.daily_base, gold.split_daily)):
+            if all(n in plan for n in pair):
+                base = base_fn(shared).persist(StorageLevel.MEMORY_AND_DISK)
+                fused.append(base)
+                frames.update(zip(pair, split(base)))
+        try:
+            for name, m in plan.items():
+                out = gold.finalize_metric(frames[name], producer, run_id, name)
+                result.paths[name] = W.write_gold(out, gold_root, "weather", name, run_id,
+                                                  m.partition_cols, fmt)
+        finally:
+            for base in fused:
+                base.unpersist()
         return result
     finally:
         shared.unpersist()

@@ -177,3 +177,16 @@ def test_build_datasets_matches_registered_joins(spark):
     assert kpt.count() == 574
     assert road.count() == 4848
     assert {"temp_c", "precip_mm", "wind_mps", "humidity_pct", "direction_bucket"} <= set(kpt.columns)
+
+
+def test_gold_all_metrics_with_fused_pairs(spark, tmp_dir):
+    bronze, silver_root, gold_root = (os.path.join(tmp_dir, d) for d in ("b", "s", "g"))
+    _bronze(spark, bronze)
+    jobs.run_silver(spark, bronze, silver_root, "open_meteo_current", producer="fixture")
+    g = jobs.run_gold(spark, silver_root, gold_root, "open_meteo_current", "fixture", run_id="all")
+    counts = {n: spark.read.parquet(p).count() for n, p in g.paths.items()}
+    assert counts == {"temperature_hourly": 851, "comfort_index_hourly": 851,
+                      "precipitation_daily": 149, "wind_daily_extremes": 149,
+                      "subzero_hours_daily": 149}
+    th = spark.read.parquet(g.paths["comfort_index_hourly"])
+    assert set(th.columns) >= {"comfort_index_c", "humidity_avg_pct", "metric_name"}
