@@ -805,3 +805,13 @@ def q_center_labels(spark, sf_dir):
     })
     return centers.select("dataset", "cluster_id",
                           *[_r(c).alias(c) for c in ("lat", "lon", "intensity_mean")], "size")
+
+
+@register("bronze_quarantine")
+def q_bronze_quarantine(spark, sf_dir):
+    """S1 + P7: malformed Bronze lines land in quarantine (the rest parse);
+    Silver over the same files keeps only well-formed, valid rows."""
+    from .. import schemas
+    from ..sources.bronze import quarantine, read_bronze_json
+    raw = read_bronze_json(spark, landing.bronze_text_path(spark, sf_dir), schemas.WEATHER_ENVELOPE)
+    return quarantine(raw).select("event_id", "_corrupt_record")

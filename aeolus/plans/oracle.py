@@ -747,3 +747,8 @@ UNION ALL
 SELECT 'kpt', CAST(hour_of_day % 4 AS INTEGER), {R("avg(lat)")}, {R("avg(lon)")},
        {R("avg(CAST(events_count AS DOUBLE))")}, count(*)
 FROM kptset WHERE is_congested = 1 GROUP BY 2"""
+
+
+ORACLE["bronze_quarantine"] = f"""{with_ctes(BASE)}
+SELECT CAST(NULL AS VARCHAR) AS event_id, '{{"broken": ' || CAST(src_id AS VARCHAR) AS _corrupt_record
+FROM base WHERE k = 7"""

@@ -60,7 +60,7 @@ def weather_raw(events: DataFrame) -> DataFrame:
     observed_at = (F.when(_is("purchase") & (k == 50), F.lit(""))
                    .otherwise(F.date_format("ts", OBSERVED_AT_FORMAT)))
     return b.select(
-        "src_id", "ts", "event_type",
+        "src_id", "ts", "event_type", "k",
         city_raw.alias("city_raw"),
         lat.alias("latitude"),
         lon.alias("longitude"),
@@ -80,7 +80,8 @@ def weather_raw(events: DataFrame) -> DataFrame:
     )
 
 
-def weather_bronze(events: DataFrame, author: str = FIXTURE_AUTHOR) -> DataFrame:
+def weather_bronze(events: DataFrame, author: str = FIXTURE_AUTHOR,
+                   keep: tuple[str, ...] = ("src_id",)) -> DataFrame:
     """Bronze weather envelopes with a nested payload, plus ``src_id``."""
     r = weather_raw(events)
     metrics = F.struct(*[F.col(m).alias(m) for m in CURRENT_METRICS])
@@ -93,7 +94,7 @@ def weather_bronze(events: DataFrame, author: str = FIXTURE_AUTHOR) -> DataFrame
     natural_key = F.concat(F.trim("city_raw"), F.lit("|"), F.col("observed_at"))
     return build_envelope(r, WEATHER_SOURCE, author, payload,
                           event_id=stable_event_id(WEATHER_SOURCE, natural_key),
-                          ingested_at=F.col("ts"), keep=("src_id",))
+                          ingested_at=F.col("ts"), keep=keep)
 
 
 def weather_api_feed(events: DataFrame) -> DataFrame:
@@ -287,3 +288,12 @@ def scored_predictions(roads: DataFrame) -> DataFrame:
         (ratio < F.lit(0.7)).cast("int").alias("is_congested_actual"),
         proba.alias("congestion_proba"),
     ).withColumn("is_congested_pred", (F.col("congestion_proba") >= F.lit(0.5)).cast("int"))
+
+
+def bronze_lines_with_corruption(events: DataFrame) -> DataFrame:
+    """Bronze weather envelopes as JSON text lines; for ``k = 7`` the line is
+    malformed (``{"broken": <event id>``), as a truncated upload would be."""
+    env = weather_bronze(events, keep=("src_id", "k"))
+    line = (F.when(F.col("k") == 7, F.concat(F.lit('{"broken": '), F.col("src_id").cast("string")))
+            .otherwise(F.to_json(F.struct(*[c for c in env.columns if c not in ("src_id", "k")]))))
+    return env.select(line.alias("value"))

@@ -82,6 +82,11 @@ def read_layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_silver_recursive(spark, path)
 
 
+def bronze_text_path(spark: SparkSession, sf_dir: str) -> str:
+    """Bronze weather lines with some malformed ones, landed as plain text."""
+    return _land(spark, sf_dir, "bronze_text", "text", fx.bronze_lines_with_corruption)
+
+
 def land_all(spark: SparkSession, sf_dir: str, threads: int = 6) -> dict[str, str]:
     """Land every input at once: the writes are independent jobs, so they are
     submitted concurrently and Spark interleaves their tasks."""
