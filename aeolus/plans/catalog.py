@@ -815,3 +815,64 @@ def q_bronze_quarantine(spark, sf_dir):
     from ..sources.bronze import quarantine, read_bronze_json
     raw = read_bronze_json(spark, landing.bronze_text_path(spark, sf_dir), schemas.WEATHER_ENVELOPE)
     return quarantine(raw).select("event_id", "_corrupt_record")
+
+
+# ---- ML on the probe (KPT) dataset ----------------------------------------------
+
+KPT_KEY = "cell_key"
+
+
+def kpt_ml_dataset(spark, sf_dir) -> DataFrame:
+    """Probe cells x hourly weather with an integer cell-hour key (hour epoch,
+    then the two grid indices) for the hash split."""
+    df = fe.join_weather(labelled_cells(spark, sf_dir), hourly_fixture(spark, sf_dir),
+                         fx.FIXTURE_TIME_FROM, fx.FIXTURE_TIME_TO)
+    key = (F.unix_timestamp("event_hour") * F.lit(100000000)
+           + F.round(F.col("lat") * 100).cast("bigint") * F.lit(10000)
+           + F.round(F.col("lon") * 100).cast("bigint"))
+    return df.withColumn(KPT_KEY, key)
+
+
+@register("kpt_run_summary")
+def q_kpt_run_summary(spark, sf_dir):
+    """M1/M3/M18 on the probe dataset: rows, split, features, positive rate."""
+    df = mp.hash_split(mp.check_dataset(kpt_ml_dataset(spark, sf_dir), mp.PROBE_SPEC), KPT_KEY)
+    n_levels = len(mp.category_levels(df, "direction_bucket"))
+    return df.agg(F.count(F.lit(1)).alias("rows_total"),
+                  F.count(F.when(~F.col("is_test"), 1)).alias("rows_train"),
+                  F.count(F.when(F.col("is_test"), 1)).alias("rows_test"),
+                  _r(F.avg(F.when(~F.col("is_test"), F.col("is_congested").cast("double"))))
+                  .alias("positive_rate_train")) \
+             .withColumn("feature_count", F.lit(len(mp.PROBE_SPEC.numeric) + n_levels))
+
+
+@register("kpt_class_weights")
+def q_kpt_class_weights(spark, sf_dir):
+    """M11 on the probe dataset's train rows."""
+    df = mp.hash_split(mp.check_dataset(kpt_ml_dataset(spark, sf_dir), mp.PROBE_SPEC), KPT_KEY)
+    w = mp.class_weights(df.filter(~F.col("is_test")), "is_congested")
+    return w.select("is_congested", "rows", _r("weight").alias("weight"))
+
+
+@register("kpt_models")
+def q_kpt_models(spark, sf_dir):
+    """M5-M16 on the probe dataset: baseline, OLS, ridge, lasso (avg speed)
+    and weighted logistic regression (congestion), scored on the test rows
+    (rows-only: model fits)."""
+    rows = []
+    with mp.prepare(kpt_ml_dataset(spark, sf_dir), mp.PROBE_SPEC, KPT_KEY) as p:
+        y = mp.PROBE_SPEC.regression_target
+        for metric, v in mr.baseline_scores(p, y).drop("rows").first().asDict().items():
+            rows.append(("baseline_mean", metric, float(v)))
+        for model in mr.MODELS:
+            sc = mr.model_scores(p, y, model).drop("model", "rows").first().asDict()
+            rows += [(model, m, float(v)) for m, v in sc.items()]
+        lr = mc.fit_logistic(p, "is_congested")
+        test = mc.score(lr, p.data.filter(F.col("is_test"))).withColumnRenamed(
+            "is_congested", "is_congested_actual")
+        cls = mc.classification_scores(test).first().asDict()
+        cls["roc_auc"] = mc.roc_auc(test)
+        rows += [("logistic_regression", m, None if v is None else float(v))
+                 for m, v in cls.items()]
+    out = spark.createDataFrame(rows, "model string, metric string, value double")
+    return out.select("model", "metric", _r("value").alias("value"))

@@ -752,3 +752,30 @@ FROM kptset WHERE is_congested = 1 GROUP BY 2"""
 ORACLE["bronze_quarantine"] = f"""{with_ctes(BASE)}
 SELECT CAST(NULL AS VARCHAR) AS event_id, '{{"broken": ' || CAST(src_id AS VARCHAR) AS _corrupt_record
 FROM base WHERE k = 7"""
+
+
+# ---- ML on the probe dataset ----------------------------------------------------
+
+KPT_ML = f"""{with_ctes(BASE, WRAW, FLAT, SILVER, NORM_A, NORM_B, NORM_C, HOURLY, PROBE, PREP)},
+kptml AS (
+  SELECT l.*, h.temp_c, h.precip_mm, h.wind_mps, h.humidity_pct,
+         CAST(epoch(l.event_hour) AS BIGINT) * 100000000
+           + CAST(round(l.lat * 100) AS BIGINT) * 10000
+           + CAST(round(l.lon * 100) AS BIGINT) AS cell_key
+  FROM labelled l JOIN hourly h ON l.event_hour = h.event_hour),
+kpt AS (
+  SELECT *, substr(sha1(CAST(cell_key AS VARCHAR)), 1, 4) < '3333' AS is_test
+  FROM kptml
+  WHERE heading_sin IS NOT NULL AND heading_cos IS NOT NULL AND temp_c IS NOT NULL
+    AND wind_mps IS NOT NULL AND humidity_pct IS NOT NULL)"""
+
+ORACLE["kpt_run_summary"] = f"""{KPT_ML}
+SELECT count(*) AS rows_total, count_if(NOT is_test) AS rows_train, count_if(is_test) AS rows_test,
+       {R("avg(CASE WHEN NOT is_test THEN CAST(is_congested AS DOUBLE) END)")} AS positive_rate_train,
+       CAST(12 + count(DISTINCT coalesce(direction_bucket, 'None')) AS INTEGER) AS feature_count
+FROM kpt"""
+
+ORACLE["kpt_class_weights"] = f"""{KPT_ML}
+SELECT is_congested, count(*) AS rows,
+       {R("CAST(sum(count(*)) OVER () AS DOUBLE) / (count(*) OVER () * count(*))")} AS weight
+FROM kpt WHERE NOT is_test GROUP BY is_congested"""

@@ -10,7 +10,8 @@ from tools.check_oracle import TABLES, digest
 SQL = E.oracle_sql()
 # Model fits and k selection have no SQL form; they are covered by
 # test_ml_parity.py. Everything else is compared with DuckDB here.
-NO_SQL = {"linreg", "ridge", "lasso", "logreg", "predictions", "kmeans_select", "kmeans_centers"}
+NO_SQL = {"linreg", "ridge", "lasso", "logreg", "predictions", "kmeans_select", "kmeans_centers",
+          "kpt_models"}
 
 
 def test_entry_smoke(spark):
