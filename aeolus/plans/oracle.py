@@ -636,10 +636,10 @@ FROM ml WHERE NOT is_test GROUP BY is_congested"""
 ORACLE["classification_scores"] = f"""{SCORED_CTES},
 c AS (
   SELECT count(*) AS n,
-         count_if(is_congested_actual = 1 AND is_congested_pred = 1) AS tp,
-         count_if(is_congested_actual = 0 AND is_congested_pred = 1) AS fp,
-         count_if(is_congested_actual = 1 AND is_congested_pred = 0) AS fn,
-         count_if(is_congested_actual = is_congested_pred) AS hit
+         count(CASE WHEN is_congested_actual = 1 AND is_congested_pred = 1 THEN 1 END) AS tp,
+         count(CASE WHEN is_congested_actual = 0 AND is_congested_pred = 1 THEN 1 END) AS fp,
+         count(CASE WHEN is_congested_actual = 1 AND is_congested_pred = 0 THEN 1 END) AS fn,
+         count(CASE WHEN is_congested_actual = is_congested_pred THEN 1 END) AS hit
   FROM scored)
 SELECT {R("CAST(hit AS DOUBLE) / n")} AS accuracy,
        {R("coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0e0)")} AS precision,
@@ -661,7 +661,7 @@ ranked AS (
          rank() OVER (ORDER BY congestion_proba)
            + (count(*) OVER (PARTITION BY congestion_proba) - 1) / 2e0 AS r
   FROM scored)
-SELECT {R("(sum(CASE WHEN y = 1 THEN r ELSE 0e0 END) - count_if(y = 1) * (count_if(y = 1) + 1) / 2e0) / (CAST(count_if(y = 1) AS DOUBLE) * count_if(y = 0))")} AS auc
+SELECT {R("(sum(CASE WHEN y = 1 THEN r ELSE 0e0 END) - count(CASE WHEN y = 1 THEN 1 END) * (count(CASE WHEN y = 1 THEN 1 END) + 1) / 2e0) / (CAST(count(CASE WHEN y = 1 THEN 1 END) AS DOUBLE) * count(CASE WHEN y = 0 THEN 1 END))")} AS auc
 FROM ranked"""
 
 ORACLE["congested_points"] = f"""{ML_CTES}
@@ -683,7 +683,8 @@ SELECT round(lat, 3) AS lat, round(lon, 3) AS lon, {R("avg(congestion_proba)")}
 FROM scored GROUP BY 1, 2"""
 
 ORACLE["run_summary"] = f"""{ML_CTES}
-SELECT count(*) AS rows_total, count_if(NOT is_test) AS rows_train, count_if(is_test) AS rows_test,
+SELECT count(*) AS rows_total, count(CASE WHEN NOT is_test THEN 1 END) AS rows_train,
+       count(CASE WHEN is_test THEN 1 END) AS rows_test,
        {R("avg(CASE WHEN NOT is_test THEN CAST(is_congested AS DOUBLE) END)")} AS positive_rate_train,
        CAST({len(ROAD_NUMERIC_FEATURES)} + count(DISTINCT coalesce(road_id, 'None')) AS INTEGER)
          AS feature_count
@@ -770,7 +771,8 @@ kpt AS (
     AND wind_mps IS NOT NULL AND humidity_pct IS NOT NULL)"""
 
 ORACLE["kpt_run_summary"] = f"""{KPT_ML}
-SELECT count(*) AS rows_total, count_if(NOT is_test) AS rows_train, count_if(is_test) AS rows_test,
+SELECT count(*) AS rows_total, count(CASE WHEN NOT is_test THEN 1 END) AS rows_train,
+       count(CASE WHEN is_test THEN 1 END) AS rows_test,
        {R("avg(CASE WHEN NOT is_test THEN CAST(is_congested AS DOUBLE) END)")} AS positive_rate_train,
        CAST(12 + count(DISTINCT coalesce(direction_bucket, 'None')) AS INTEGER) AS feature_count
 FROM kpt"""
