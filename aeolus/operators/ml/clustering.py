@@ -130,7 +130,14 @@ def cluster(points: DataFrame, ks=K_CANDIDATES, restarts_search: int = KMEANS_RE
         k = pick_best(evals)
         if k is None:
             return {"skipped": True, "reason": "no_valid_k", "rows": n}
-        model = best_of(data, k, restarts_final, seed)
+        # Seeds seed..seed+restarts_search-1 were already fitted for this k
+        # during selection (fits are deterministic per seed), so only the
+        # remaining seeds run; the lower seeds keep priority on ties.
+        searched = next(e["model"] for e in evals if e["k"] == k)
+        extra = [(k, seed + r) for r in range(restarts_search, restarts_final)]
+        fits = _fit_many(data, extra, 300) if extra else {}
+        model = _lowest_cost([searched] + [fits[j] for j in extra]) \
+            if restarts_final > restarts_search else best_of(data, k, restarts_final, seed)
         labelled = model.transform(data)
         sil = next(e["silhouette"] for e in evals if e["k"] == k)
         return {"skipped": False, "evaluations": evals, "best_k": k, "silhouette": sil,
