@@ -70,10 +70,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured shared folder; only when none is set (local runs,
-    tests) create a private one."""
+    """Use the configured shared folder. Only a local-mode session (tests,
+    single-machine runs) may fall back to a private temporary folder; on a
+    cluster a machine-local folder is invisible to the other executors, so an
+    unset ``spark.checkpoint.dir`` is an error there."""
     path = spark.sparkContext.getCheckpointDir() or spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                f"{CHECKPOINT_CONF} is not set; the cluster must name a shared folder")
         path = tempfile.mkdtemp(prefix="aeolus-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
