@@ -876,3 +876,34 @@ def q_kpt_models(spark, sf_dir):
                  for m, v in cls.items()]
     out = spark.createDataFrame(rows, "model string, metric string, value double")
     return out.select("model", "metric", _r("value").alias("value"))
+
+
+LATE_SPLIT = "2024-01-15"
+
+
+@register("stream_late_data")
+def q_stream_late_data(spark, sf_dir):
+    """T4: Bronze arrives in two uploads to one landing folder — first every
+    envelope ingested from 2024-01-15 on, then the earlier ones. The same
+    streaming Silver query (one checkpoint) processes each upload as it lands;
+    by the second run the watermark (newest event - 1 hour) is past all of
+    the earlier envelopes, so they are dropped as late. What remains is the
+    first upload's events that the watermark has closed."""
+    import uuid
+    from ..session import scratch_path
+    run = uuid.uuid4().hex[:12]
+    landing_dir = scratch_path(spark, "late", run, "landing")
+    bronze = landing.bronze_weather(spark, sf_dir).drop("_corrupt_record")
+    stream = silver_stream(
+        spark.readStream.schema(landing.BRONZE_WEATHER_SCHEMA).json(f"{landing_dir}/*/"),
+        producer=fx.FIXTURE_AUTHOR, delay=STREAM_DELAY, order_by=("src_id",), carry=("src_id",))
+    out = None
+    for wave, cond in (("wave=1", F.col("ingest_ts") >= LATE_SPLIT),
+                       ("wave=2", F.col("ingest_ts") < LATE_SPLIT)):
+        bronze.filter(cond).write.mode("overwrite").json(f"{landing_dir}/{wave}")
+        q, out = sr.start(stream, "stream_late_data", spark, run=run)
+        q.awaitTermination()
+        if wave == "wave=2":
+            dropped = sr.rows_dropped_by_watermark(q)
+            assert dropped > 0 or bronze.filter(cond).isEmpty(), "late rows were not dropped"
+    return _silver_out(spark.read.parquet(out))

@@ -781,3 +781,9 @@ ORACLE["kpt_class_weights"] = f"""{KPT_ML}
 SELECT is_congested, count(*) AS rows,
        {R("CAST(sum(count(*)) OVER () AS DOUBLE) / (count(*) OVER () * count(*))")} AS weight
 FROM kpt WHERE NOT is_test GROUP BY is_congested"""
+
+
+ORACLE["stream_late_data"] = f"""{SILVER_CTES},
+wm AS (SELECT max(event_ts) - INTERVAL 1 HOUR AS wm FROM valid WHERE ingest_ts >= '2024-01-15')
+SELECT {SILVER_COLS} FROM silver, wm
+WHERE ingest_ts >= '2024-01-15' AND event_ts < wm.wm"""
