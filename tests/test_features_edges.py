@@ -79,3 +79,11 @@ def test_bbox_pushed_to_parquet_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(lat), IsNotNull(lon), GreaterThanOrEqual(lat,50.2)" in plan
     assert "ReadSchema: struct<lat:double,lon:double>" in plan
+
+
+def test_timestamp_coercion_to_utc(spark):
+    df = spark.createDataFrame([("2024-01-05T12:00:00+02:00",), ("2024-01-05 10:30:00",), ("nope",)],
+                               "event_ts string")
+    got = [r.h for r in fe.coerce_road(df, numeric=()).select(
+        F.date_format("event_ts", "yyyy-MM-dd HH:mm").alias("h")).collect()]
+    assert got == ["2024-01-05 10:00", "2024-01-05 10:30", None]
