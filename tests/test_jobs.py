@@ -190,3 +190,35 @@ def test_gold_all_metrics_with_fused_pairs(spark, tmp_dir):
                       "subzero_hours_daily": 149}
     th = spark.read.parquet(g.paths["comfort_index_hourly"])
     assert set(th.columns) >= {"comfort_index_c", "humidity_avg_pct", "metric_name"}
+
+
+def test_cli_datasets_and_train(spark, tmp_dir):
+    """Silver layout as the jobs write it -> `datasets` -> `train`."""
+    import subprocess
+    import sys
+    from aeolus.sources.silver import silver_root
+    from conftest import SF01
+    root, out, reports = (os.path.join(tmp_dir, d) for d in ("silver", "datasets", "reports"))
+    ev = fx.read_table(spark, SF01, "events")
+    bronze = os.path.join(tmp_dir, "bronze")
+    write_bronze(fx.weather_bronze(ev).drop("src_id"), bronze, "weather", "open_meteo_current")
+    jobs.run_silver(spark, bronze, root, "open_meteo_current", producer="fixture")
+    for domain, source, frame in (("weather", "open_meteo_api", fx.weather_api_feed(ev)),
+                                  ("weather", "openweathermap_api", fx.owm_feed(ev)),
+                                  ("traffic", "kpt_socketio", fx.probe_traffic(ev)),
+                                  ("traffic", "road_sensors", fx.road_traffic(ev))):
+        frame.write.parquet(f"{silver_root(root, domain, source)}/run_id=r1")
+    base = [sys.executable, "-m", "aeolus.plans.cli", "--master", "local[4]"]
+    cwd = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    r = subprocess.run(base + ["datasets", "--silver", root, "--out", out,
+                               "--time-from", fx.FIXTURE_TIME_FROM, "--time-to", fx.FIXTURE_TIME_TO],
+                       cwd=cwd, capture_output=True, text=True, timeout=900)
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert spark.read.parquet(os.path.join(out, "dataset_kpt")).count() == 574
+    assert spark.read.parquet(os.path.join(out, "dataset_tomtom")).count() == 4848
+    t = subprocess.run(base + ["train", "--datasets", out, "--out", reports, "--dataset", "tomtom"],
+                       cwd=cwd, capture_output=True, text=True, timeout=1200)
+    assert t.returncode == 0, t.stderr[-2000:]
+    metrics = spark.read.parquet(os.path.join(reports, "metrics"))
+    assert {r.section for r in metrics.select("section").distinct().collect()} == {
+        "regression", "classification", "kmeans"}
