@@ -76,3 +76,14 @@ def test_first_seen_mode_and_hourly_windows(spark, tmp_dir):
     rows = hourly.collect()
     assert [(r.window_hour, r.samples_cnt, r.temperature_avg_c) for r in rows] == [("10", 2, 2.0)]
     assert F is not None
+
+
+def test_ordered_dedup_aggregates_before_state_store(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    drop(landing, "1.json", [env("a", "2024-01-05T10:10"), env("a", "2024-01-05T10:10"),
+                             env("b", "2024-01-05T13:20")])
+    q, _ = runner.start(_stream(spark, landing, "ordered"), "t_plan", spark)
+    q.awaitTermination()
+    plan = q._jsq.explainInternal(True)
+    assert "StateStoreSave" in plan
+    assert "partial_min_by" in plan or "partial_min(" in plan
