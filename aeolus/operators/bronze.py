@@ -171,12 +171,7 @@ def expand_alert_lines(lines: DataFrame, header: Sequence[str], line_col: str =
     cells = F.transform(F.split(F.col(line_col), ","), lambda x: F.trim(x))
     padded = [F.coalesce(F.get(F.col("_cells"), i), F.lit("")) for i in range(len(header))]
     row_map = F.map_from_arrays(F.array(*[F.lit(h) for h in header]), F.array(*padded))
-    present = [k for k in key_columns if k in header]
-    if present:
-        key = F.concat_ws("|", *[
-            (padded[header.index(k)] if k in header else F.lit("")) for k in key_columns])
-    else:
-        key = F.concat_ws("|", *padded)
+    key = _alert_key(header, padded, key_columns)
     return (lines.filter(F.trim(F.col(line_col)) != "")
                  .withColumn("_cells", cells)
                  .select(*keep, row_map.alias("row"),
@@ -198,14 +193,21 @@ def alert_rows(csv_df: DataFrame, key_columns: Sequence[str] = ALERT_KEY_COLUMNS
     names = csv_df.columns
     vals = [F.coalesce(F.col(f"`{n}`").cast("string"), F.lit("")) for n in names]
     row_map = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*vals))
-    if any(k in names for k in key_columns):
-        key = F.concat_ws("|", *[vals[names.index(k)] if k in names else F.lit("")
-                                 for k in key_columns])
-    else:
-        key = F.concat_ws("|", *vals)
+    key = _alert_key(names, vals, key_columns)
     return csv_df.select(row_map.alias("row"), stable_event_id(source, key).alias("event_id"))
 
 
+def _alert_key(names: Sequence[str], values: Sequence[Column],
+               key_columns: Sequence[str]) -> Column:
+    """Six key values joined by "|"; when all six are empty (or absent) the
+    key would be five bare pipes shared by every such row, so the whole row
+    is the key instead."""
+    picked = [values[list(names).index(k)] if k in names else F.lit("") for k in key_columns]
+    six = F.concat_ws("|", *picked)
+    all_empty = F.concat(*picked) == F.lit("")
+    return F.when(all_empty, F.concat_ws("|", *values)).otherwise(six)
+
+
 # ---- B7 -----------------------------------------------------------------------
 
 ROAD_ELEMENT = T.StructType([

@@ -91,3 +91,11 @@ def test_first_capture_per_hour(spark):
         "domain string, ingest_ts timestamp, file string")
     got = sorted((r.domain, r.hour_start.hour, r.file) for r in br.first_capture_per_hour(caps).collect())
     assert got == [("alerts", 10, "a"), ("roads", 10, "z"), ("roads", 11, "c")]
+
+
+def test_alert_rows_with_empty_keys_get_distinct_ids(spark):
+    header = ["region", "start", "end", "start_time", "end_time", "oblast", "notes"]
+    lines = spark.createDataFrame([(",,,,,,first",), (",,,,,,second",), ("R,a,b,c,d,e,x",)], "line string")
+    out = br.expand_alert_lines(lines, header).collect()
+    assert len({r.event_id for r in out}) == 3
+    assert {r.natural_key for r in out} == {"R|a|b|c|d|e", "||||||first", "||||||second"}
