@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_size(texts: Iterable[str], chars: int = 1_000_000) -> Iterator[list[str]]:
+    """The texts in order, in lists of so many characters or one longer text."""
+    out: list[str] = []
+    held = 0
+    for text in texts:
+        if out and held + len(text) > chars:
+            yield out
+            out, held = [], 0
+        out.append(text)
+        held += len(text)
+    if out:
+        yield out
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Components of an undirected graph given as distinct (src, dst) pairs.
 

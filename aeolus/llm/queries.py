@@ -6,18 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aeolus.llm import sharding
+from aeolus.llm import sharding, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_token_counts": op4_token_counts,
     "op7_sharding": op7_sharding,
 }
 
