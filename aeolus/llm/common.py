@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Temporary folders of local sessions, by application.
 _OWN: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,6 +34,18 @@ def shared_folder(spark: SparkSession) -> str:
     return _OWN[sc.applicationId]
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once an application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        archive = shutil.make_archive(
+            f"{tempfile.mkdtemp(prefix='llm-package-')}/{package.name}", "zip", package.parent, package.name
+        )
+        sc.addPyFile(archive)
+        _SHIPPED.add(sc.applicationId)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
