@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aeolus.llm import language_id, packing, sharding, token_counts
+from aeolus.llm import language_id, packing, sharding, token_counts, toxicity
 from aeolus.llm.common import ship
 
 
@@ -31,11 +31,16 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(_table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_counts": op4_token_counts,
     "op7_sharding": op7_sharding,
     "op9_language_id": op9_language_id,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
