@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from aeolus.llm import language_id, packing, sharding, token_counts, toxicity
+from aeolus.llm import language_id, ngram_join, packing, sharding, token_counts, toxicity
 from aeolus.llm.common import ship
 
 
@@ -23,6 +24,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_groups(_table(spark, sf_dir, "documents"), n=3, num=9, den=10).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id"
+    )
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
@@ -38,6 +45,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_counts": op4_token_counts,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_sharding": op7_sharding,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
