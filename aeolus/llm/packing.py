@@ -30,7 +30,7 @@ SEQUENCE = 1_024
 #: Pieces in a block on average; a block's loss is below one sequence.
 BLOCK = 4_096
 ISLANDS, MEMBERS, EPOCHS, GENERATIONS = 2, 4, 2, 6
-KEPT_PIECES = 400_000
+KEPT_PIECES = 800_000
 #: Longer texts are encoded in segments cut at stable boundaries.
 SEGMENT = 1_000_000
 
@@ -42,40 +42,61 @@ _BOUNDARY = re.compile(rf"(?<=[\S\x1c-\x1f])(?={_WHITE})")
 _PIECES = "_row long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+# A word of Latin letters, with at most a space before it, is one pre-token.
+_WORD = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+
+
 # -- tokens ---------------------------------------------------------------
 
 
+def byte_letters() -> dict[int, int]:
+    """The letter by which byte-level models write each byte: itself if it is
+    visible, else the next one from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(0x100) if b not in visible]
+    return {b: b for b in visible} | {b: 0x100 + k for k, b in enumerate(other)}
+
+
+_LETTERS = byte_letters()
+
+
+class _Ids(dict):
+    """Ids of a piece of text as bytes, encoded when first asked for."""
+
+    def __init__(self, name: str):
+        self.encode, self.model = tokenizer(name).encode, tokenizer(name).model
+
+    def __missing__(self, piece: str) -> bytes:
+        if _WORD.fullmatch(piece):
+            letters = piece.encode().decode("latin-1").translate(_LETTERS)
+            ids = np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+        elif piece[-1] in ".," and _WORD.fullmatch(piece, 0, len(piece) - 1):
+            ids = self[piece[:-1]] + self[piece[-1]]  # no pre-token reaches from a letter into it
+        else:
+            ids = np.array(self.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(piece) <= 64:
+            self[piece] = ids
+        return ids
+
+
 @lru_cache(maxsize=4)
-def _kept(name: str) -> dict[str, bytes]:
-    return {}
+def _ids(name: str) -> _Ids:
+    return _Ids(name)
 
 
 def encode_texts(texts: list[str], name: str = TOKENIZER) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers.
 
     No pre-token reaches from something other than white space into white
-    space, and none looks back, so the ids of a text are those of its pieces
-    that start with white space. Pieces not yet known are encoded in one go.
+    space, and none looks back, so the ids of a text are those of its pieces.
     """
-    kept = _kept(name)
-    if len(kept) > KEPT_PIECES:
-        kept.clear()
-    pieces = [_PIECE.findall(t) for t in texts]
-    joined: list[str] = []
-    encode = tokenizer(name).encode
-    for piece in {p for own in pieces for p in own if p not in kept}:
-        if piece[0].isspace() and not piece[-1].isspace() and not "\x1c" <= piece[0] <= "\x1f":
-            joined.append(piece)
-        else:
-            kept[piece] = np.array(encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-    if joined:
-        ends = np.cumsum([len(p) for p in joined])
-        whole = encode("".join(joined), add_special_tokens=False)
-        ids = np.array(whole.ids, "<u4")
-        last = np.fromiter((o[1] for o in whole.offsets), int, len(ids))
-        cuts = [0, *np.searchsorted(last, ends, "right").tolist()]
-        kept.update((p, ids[a:b].tobytes()) for p, a, b in zip(joined, cuts, cuts[1:]))
-    return [b"".join(map(kept.__getitem__, own)) for own in pieces]
+    ids = _ids(name)
+    out = []
+    for text in texts:
+        if len(ids) > KEPT_PIECES:
+            ids.clear()
+        out.append(b"".join(map(ids.__getitem__, _PIECE.findall(text))))
+    return out
 
 
 def _segments(text: str) -> Iterator[str]:

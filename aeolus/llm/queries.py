@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeolus.llm import language_id, ngram_join, packing, sharding, token_counts, toxicity
+from aeolus.llm import decontamination, language_id, ngram_join, packing, sharding, token_counts, toxicity
 from aeolus.llm.common import ship
 
 
@@ -34,6 +34,13 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    return found.select(F.col("id").alias("doc_id"), "item_id", "begin", "finish", "edits")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(_table(spark, sf_dir, "documents"))
 
@@ -47,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_sharding": op7_sharding,
+    "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
 }

@@ -32,7 +32,8 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of the base modulo 2**64, and of its inverse."""
     if not _powers or len(_powers["up"]) < n:
         size = max(n, SEGMENT + 1)
         for name, base in (("up", _BASE), ("down", _UNBASE)):
@@ -54,7 +55,7 @@ def _words(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray
     ends[-1] = letter[-1]
     ends[breaks] |= before[breaks]
     a, b = np.flatnonzero(starts), np.flatnonzero(ends)
-    up, down = _power(len(data) + 1)
+    up, down = powers(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * up[: len(data)], out=total[1:])
     return a, mix((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64))
