@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from aeolus.llm import (
     decontamination,
     embedding_join,
+    html_extract,
     language_id,
     ngram_join,
     packing,
@@ -29,6 +30,10 @@ def op1_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_join.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_join": op1_embedding_join,
+    "op2_html_extract": op2_html_extract,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_counts": op4_token_counts,
     "op6_jaccard_join": op6_jaccard_join,
