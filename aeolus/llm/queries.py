@@ -12,6 +12,7 @@ from aeolus.llm import (
     embedding_join,
     html_extract,
     language_id,
+    lm_scoring,
     ngram_join,
     packing,
     sharding,
@@ -42,6 +43,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_groups(_table(spark, sf_dir, "documents"), n=3, num=9, den=10).select(
         F.col("id").alias("doc_id"), "n_shingles", "component_id"
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_extract": op2_html_extract,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_counts": op4_token_counts,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_sharding": op7_sharding,
     "op8_decontamination": op8_decontamination,

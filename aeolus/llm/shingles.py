@@ -83,8 +83,8 @@ def _combine(words: np.ndarray, n: int) -> np.ndarray:
     return mix(h)
 
 
-def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
-    """For each text its distinct shingles as ascending 64-bit hashes; null: none."""
+def word_sequences(texts: pa.Array) -> Iterator[np.ndarray]:
+    """For each text the 64-bit hashes of its words in order; null: none."""
     texts = texts.fill_null("").cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
@@ -93,15 +93,18 @@ def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SEGMENT, "right")) - 1)
         a, b = int(offsets[first]), int(offsets[last])
         if b - a > SEGMENT:
-            words = _long_words(data[a:b])
-            yield np.unique(_combine(words, n)) if len(words) else words
+            yield _long_words(data[a:b])
         elif a == b:
             yield from (np.zeros(0, np.uint64) for _ in range(first, last))
         else:
             own = offsets[first : last + 1] - a
-            inner = own[(own > 0) & (own < b - a)]
-            starts, hashes = _words(data[a:b], inner)
+            starts, hashes = _words(data[a:b], own[(own > 0) & (own < b - a)])
             cuts = np.searchsorted(starts, own)
-            for i, j in zip(cuts, cuts[1:]):
-                yield np.unique(_combine(hashes[i:j], n)) if j > i else hashes[:0]
+            yield from (hashes[i:j] for i, j in zip(cuts, cuts[1:]))
         first = last
+
+
+def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
+    """For each text its distinct shingles as ascending 64-bit hashes; null: none."""
+    for words in word_sequences(texts):
+        yield np.unique(_combine(words, n)) if len(words) else words
