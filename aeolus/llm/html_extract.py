@@ -75,6 +75,8 @@ _LABELLED = [
 ]
 #: A container key under this log-odds marks words that are no main text.
 _OUT = -0.5
+#: What any tag costs at least.
+_LEAST = -0.05
 #: Names that say little by themselves are not counted.
 _PLAIN = frozenset("div body ul ol td table section dl .the .and .site .page .list .box .block .col .row .wrap .wrapper".split())
 
@@ -91,8 +93,9 @@ def _keys(name: str, attributes: str) -> list[str]:
 def tokens(page: str):
     """Runs of text with their containers, and tags, in page order.
 
-    Yields (None, text, keys) for text and (tag name, is_end, None) for tags;
-    ``keys`` are the names around the text, or None if it isn't shown.
+    Yields (None, text, keys) for text and (tag name, is_end, keys) for tags;
+    ``keys`` are the names of the containers it stands in, or None if they
+    aren't shown.
     """
     stack: list[tuple[str, tuple[str, ...] | None]] = []
     keys: tuple[str, ...] | None = ()
@@ -111,23 +114,21 @@ def tokens(page: str):
         if not match[2]:
             continue
         name, end = match[2].lower(), bool(match[1])
-        yield name, end, None
+        if name in CONTAINERS and not end:
+            hidden = keys is None or bool(_HIDDEN.search(match[3]))
+            keys = None if hidden else (*keys, *(k for k in _keys(name, match[3]) if k not in keys))
+            stack.append((name, keys))
+        yield name, end, keys
         if name in RAW and not end and not match[3].rstrip().endswith("/"):
             close = None if name in unclosed else re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(page, at)
             if not close:
                 unclosed.add(name)
             if close or name in ("script", "style", "title", "textarea"):
                 at = close.end() if close else len(page)
-        elif name in CONTAINERS:
-            if end:
-                if any(open_ == name for open_, _ in stack):
-                    while stack.pop()[0] != name:
-                        pass
-                    keys = stack[-1][1] if stack else ()
-            else:
-                hidden = keys is None or bool(_HIDDEN.search(match[3]))
-                keys = None if hidden else (*keys, *(k for k in _keys(name, match[3]) if k not in keys))
-                stack.append((name, keys))
+        elif name in CONTAINERS and end and any(open_ == name for open_, _ in stack):
+            while stack.pop()[0] != name:
+                pass
+            keys = stack[-1][1] if stack else ()
 
 
 @lru_cache(maxsize=1)
@@ -146,7 +147,7 @@ def weights() -> tuple[dict[str, float], dict[str, float], float]:
     odds = {k: float(np.log((inside[k] + 0.5) / (outside[k] + 0.5))) for k in {*inside, *outside}}
     # Log-odds that a tag stands in main text; every tag costs something.
     cost = {
-        name: float(np.clip(np.log((tags[1][name] + 0.5) / (tags[0][name] + 0.5)), -6, -0.05))
+        name: float(np.clip(np.log((tags[1][name] + 0.5) / (tags[0][name] + 0.5)), -6, _LEAST))
         for name in {*tags[0], *tags[1]}
     }
     return odds, cost, 1.0
@@ -166,13 +167,14 @@ def main_text(page: str | None) -> str:
     best = total = 0.0
     first = start = last = 0
     for name, text, keys in tokens(page):
+        if keys not in known:
+            known[keys] = is_main(keys, odds)
+        shown = known[keys]
         if name:
-            score = cost.get(name, -0.05)
+            # What is left out anyway hardly parts what stands on both sides.
+            score = cost.get(name, _LEAST) if shown else _LEAST
             parts.append((name, ""))
         else:
-            if keys not in known:
-                known[keys] = is_main(keys, odds)
-            shown = known[keys]
             score = word * len(text.split()) if shown else 0.0
             parts.append((None, text if shown else ""))
         # The best region so far that ends here, and the best of all.
