@@ -162,14 +162,16 @@ def expand_alert_lines(lines: DataFrame, header: Sequence[str], line_col: str =
                        key_columns: Sequence[str] = ALERT_KEY_COLUMNS,
                        source: str = "vadimkin_air_raid", keep: Sequence[str] = ()) -> DataFrame:
     """Naive comma split (no quoting), trimmed cells, blank lines skipped,
-    short rows padded with "", extra cells ignored; the row becomes a
-    ``map<string,string>``; the natural key joins six columns with "|".
+    short rows padded with "", extra cells ignored, of equal header names the
+    last cell kept; the row becomes a ``map<string,string>``; the natural key joins six columns with "|".
 
     When none of the key columns exists the key would be five bare pipes for
     every row; then the whole row (all cells) is the key instead."""
     header = [h.strip() for h in header]
     cells = F.transform(F.split(F.col(line_col), ","), lambda x: F.trim(x))
-    padded = [F.coalesce(F.get(F.col("_cells"), i), F.lit("")) for i in range(len(header))]
+    last = {h: i for i, h in enumerate(header)}
+    header = list(last)
+    padded = [F.coalesce(F.get(F.col("_cells"), i), F.lit("")) for i in last.values()]
     row_map = F.map_from_arrays(F.array(*[F.lit(h) for h in header]), F.array(*padded))
     key = _alert_key(header, padded, key_columns)
     return (lines.filter(F.trim(F.col(line_col)) != "")

@@ -119,12 +119,12 @@ def centers_from_labels(points: DataFrame, label: str = "cluster") -> DataFrame:
 def cluster(points: DataFrame, ks=K_CANDIDATES, restarts_search: int = KMEANS_RESTARTS_SEARCH,
             restarts_final: int = KMEANS_RESTARTS_FINAL, seed: int = SEED) -> dict:
     """M20-M24 composed: guard, selection, final fit, centers, inertia."""
+    n = points.count()
+    if n < MIN_POINTS:
+        return {"skipped": True, "reason": "insufficient_samples", "rows": n}
     scaled = scale_points(points)
     data = scaled.data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = data.count()
-        if n < MIN_POINTS:
-            return {"skipped": True, "reason": "insufficient_samples", "rows": n}
         scaled = Scaled(data, scaled.stats)
         evals = choose_k(scaled, ks, restarts_search, seed)
         k = pick_best(evals)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import (ElementwiseProduct, OneHotEncoder, StringIndexer,
+                                StringIndexerModel, VectorAssembler)
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -12,9 +15,6 @@ from pyspark.storagelevel import StorageLevel
 from ...constants import TEST_SHARE
 
 NULL_LEVEL = "None"
-# One-hot columns are materialised densely (and standardised, like the source
-# models) while a categorical has at most this many levels.
-MAX_DENSE_LEVELS = 2048
 
 
 # ---- M1 ------------------------------------------------------------------------
@@ -93,14 +93,21 @@ def level_counts(df: DataFrame, c: str) -> DataFrame:
     return model.transform(counts).withColumn("level_index", F.col("level_index").cast("int"))
 
 
-def one_hot_columns(spec: DatasetSpec, levels: dict[str, list[str]]) -> dict[str, Column]:
-    """``<cat>_<level>`` indicator columns (all levels kept)."""
-    out: dict[str, Column] = {}
-    for c in spec.categorical:
-        lv = levels[c]
-        for v in lv:
-            out[f"{c}_{v}"] = F.when(level_col(c) == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0))
-    return out
+def count_levels(df: DataFrame, c: str) -> int:
+    """Number of levels; only the number reaches the driver."""
+    return df.agg(F.count_distinct(level_col(c))).first()[0]
+
+
+def level_scales(train: DataFrame, c: str, levels: list[str]) -> list[float]:
+    """1 / population std of each level's indicator on the train rows.
+
+    The std of an indicator follows from its share p: sqrt(p (1 - p)). A level
+    that is everywhere or nowhere in them is constant and keeps its scale."""
+    rows = train.groupBy(level_col(c).alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()
+    n = {r["level"]: r["n"] for r in rows}
+    total = sum(n.values()) or 1
+    share = [n.get(v, 0) / total for v in levels]
+    return [1 / math.sqrt(p * (1 - p)) if 0 < p < 1 else 1.0 for p in share]
 
 
 # ---- M3, M4 ----------------------------------------------------------------------
@@ -125,12 +132,12 @@ def hash_split(df: DataFrame, key: str, test_share: float = TEST_SHARE,
 # ---- M5 ------------------------------------------------------------------------
 
 def scaler_stats(train: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population std per column, in one aggregate pass."""
+    """Mean and population std per column, in one aggregate pass; 0 without rows."""
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}")]
     row = train.agg(*aggs).first()
-    return {c: (float(row[f"m{i}"]), float(row[f"s{i}"])) for i, c in enumerate(cols)}
+    return {c: (float(row[f"m{i}"] or 0.0), float(row[f"s{i}"] or 0.0)) for i, c in enumerate(cols)}
 
 
 def stats_frame(train: DataFrame, cols: list[str]) -> DataFrame:
@@ -171,49 +178,46 @@ class Prepared:
 
 
 def prepare(df: DataFrame, spec: DatasetSpec, key: str, test_share: float = TEST_SHARE,
-            seed: int | None = None, persist: bool = True,
-            max_dense_levels: int = MAX_DENSE_LEVELS) -> Prepared:
-    """M1-M5: contract check, one-hot, hash split, train-fitted scaling, vector.
-
-    Up to ``max_dense_levels`` levels per categorical, indicators are dense
-    columns standardised with the numeric features (as the source models do).
-    Beyond that they become sparse one-hot vectors (``StringIndexer`` +
-    ``OneHotEncoder``), left unscaled so the vectors stay sparse; numeric
-    features are still standardised.
-
-    Model fitting passes over the data many times, so the checked dataset is
-    persisted (memory, spilling to disk) once; a lost block is recomputed
-    from lineage. Call ``release()`` (or use ``with``) when done."""
+            seed: int | None = None, persist: bool = True) -> Prepared:
+    """M1-M5: contract check, hash split, train-fitted scaling, sparse one-hot.
+
+    Numeric features are standardised. Indicators are divided by their std but
+    not centred, so a row holds one value for each categorical however many
+    levels there are. The models leave the intercept unpenalised, and centring
+    only moves the intercept: the fits are those of standardised indicators.
+
+    Model fitting passes over the data many times, so the vectors are
+    persisted (memory, spilling to disk); a lost block is recomputed from
+    lineage. Call ``release()`` (or use ``with``) when done."""
     checked = check_dataset(df, spec).withColumns(
         {c: F.col(c).cast("double") for c in spec.numeric})
+    base = hash_split(checked, key, test_share, seed)
     cached = None
     if persist:
-        cached = checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
-    levels = {c: category_levels(checked, c) for c in spec.categorical}
-    if all(len(v) <= max_dense_levels for v in levels.values()):
-        onehot = one_hot_columns(spec, levels)
-        base = hash_split(checked.withColumns(onehot), key, test_share, seed)
-        names = [*spec.numeric, *onehot]
-        stats = scaler_stats(base.filter(~F.col("is_test")), names)
-        scaled = standardise(base, stats)
-        vec = VectorAssembler(inputCols=names, outputCol="features").transform(scaled)
-        return Prepared(vec, names, stats, cached)
-
-    base = hash_split(checked, key, test_share, seed)
-    stats = scaler_stats(base.filter(~F.col("is_test")), list(spec.numeric))
-    scaled = standardise(base, stats).withColumns(
-        {f"_lvl_{c}": level_col(c) for c in spec.categorical})
-    oh_cols, names = [], list(spec.numeric)
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    train = base.filter(~F.col("is_test"))
+    stats = scaler_stats(train, list(spec.numeric))
+    out = standardise(base, stats).withColumns({f"_lvl_{c}": level_col(c) for c in spec.categorical})
+    names, columns = list(spec.numeric), list(spec.numeric)
     for c in spec.categorical:
-        indexer = StringIndexerModel.from_labels(levels[c], inputCol=f"_lvl_{c}",
-                                                 outputCol=f"_idx_{c}", handleInvalid="keep")
-        scaled = indexer.transform(scaled)
-        oh_cols.append(f"_oh_{c}")
-        names += [f"{c}_{v}" for v in levels[c]] + [f"{c}_<unseen>"]
-    encoder = OneHotEncoder(inputCols=[f"_idx_{c}" for c in spec.categorical],
-                            outputCols=oh_cols, dropLast=False).fit(scaled)
-    vec = VectorAssembler(inputCols=[*spec.numeric, *oh_cols], outputCol="features").transform(
-        encoder.transform(scaled))
+        levels = category_levels(base, c)
+        if not levels:
+            continue
+        out = StringIndexerModel.from_labels(levels, inputCol=f"_lvl_{c}",
+                                             outputCol=f"_idx_{c}").transform(out)
+        # The number of categories comes from the index's metadata.
+        out = OneHotEncoder(inputCol=f"_idx_{c}", outputCol=f"_hot_{c}",
+                            dropLast=False).fit(out).transform(out)
+        out = ElementwiseProduct(scalingVec=Vectors.dense(level_scales(train, c, levels)),
+                                 inputCol=f"_hot_{c}", outputCol=f"_scaled_{c}").transform(out)
+        names += [f"{c}_{v}" for v in levels]
+        columns.append(f"_scaled_{c}")
+    vec = VectorAssembler(inputCols=columns, outputCol="features").transform(out)
+    vec = vec.drop(*[f"{p}_{c}" for p in ("_lvl", "_idx", "_hot", "_scaled") for c in spec.categorical])
+    if persist:
+        cached = vec = vec.persist(StorageLevel.MEMORY_AND_DISK)
+        vec.count()
+        base.unpersist()
     return Prepared(vec, names, stats, cached)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -9,8 +11,9 @@ from pyspark.sql import functions as F
 from ...constants import LASSO_ALPHA, RIDGE_ALPHA
 from .prep import Prepared
 
+log = logging.getLogger("aeolus.ml")
+
 MODELS = ("linear_regression", "ridge", "lasso")
-NORMAL_SOLVER_MAX_FEATURES = 4096
 
 
 def regression_scores(df: DataFrame, label: str, prediction: str | Column = "prediction") -> DataFrame:
@@ -31,8 +34,8 @@ def regression_scores(df: DataFrame, label: str, prediction: str | Column = "pre
 
 
 def train_mean(train: DataFrame, label: str) -> float:
-    """M6: mean of the training target (one number to the driver)."""
-    return float(train.agg(F.avg(label)).first()[0])
+    """M6: mean of the training target (one number to the driver); 0 without rows."""
+    return float(train.agg(F.coalesce(F.avg(label), F.lit(0.0))).first()[0])
 
 
 def baseline_scores(prep: Prepared, label: str) -> DataFrame:
@@ -42,39 +45,39 @@ def baseline_scores(prep: Prepared, label: str) -> DataFrame:
 
 
 def fit(prep: Prepared, label: str, model: str, alpha: float | None = None) -> LinearRegressionModel:
-    """M7-M9 on standardised features.
+    """M7-M9 on scaled features, by L-BFGS (OWL-QN for the lasso) at every width.
 
-    * OLS: no penalty, normal equations (one distributed X'X pass).
-    * ridge ``||y - Xw||^2 + a||w||^2``: Spark scales the L2 term by the
-      label's std and the loss by 1/n, so ``regParam = a * std_pop(y) / n``.
+    * OLS: no penalty.
+    * ridge ``||y - Xw||^2 + a||w||^2``: Spark halves the squared error, takes
+      its mean and divides the label by its sample std, so
+      ``regParam = a * std_samp(y) / n``.
     * lasso ``||y - Xw||^2 / 2n + a||w||_1``: ``regParam = a`` with
-      ``elasticNetParam = 1`` (OWL-QN)."""
+      ``elasticNetParam = 1``.
+
+    All one-hot levels are kept, which leaves the unpenalised coefficients free
+    along one direction; predictions are unique, and the tolerance is tight
+    enough for them to match an exact solution. A fit that stops at the
+    iteration limit is reported."""
     train = prep.data.filter(~F.col("is_test"))
-    # The normal equations are limited to 4096 features; wider (sparse
-    # one-hot) designs use L-BFGS, where Spark scales the L2 term by the
-    # sample rather than the population std of the label.
-    wide = len(prep.feature_names) > NORMAL_SOLVER_MAX_FEATURES
-    solver = "l-bfgs" if wide else "normal"
-    # All one-hot levels are kept (as in the source models), which makes the
-    # design collinear with the intercept: Cholesky then falls back to L-BFGS,
-    # so the tolerance is tight enough for predictions to match exact OLS.
     common = dict(featuresCol="features", labelCol=label, standardization=False,
-                  fitIntercept=True, maxIter=1000, tol=1e-12)
+                  fitIntercept=True, tol=1e-12, solver="l-bfgs")
+    limit = 20000 if model == "lasso" else 1000
     if model == "linear_regression":
-        est = LinearRegression(regParam=0.0, elasticNetParam=0.0, solver=solver, **common)
+        est = LinearRegression(regParam=0.0, elasticNetParam=0.0, maxIter=limit, **common)
     elif model == "ridge":
         a = RIDGE_ALPHA if alpha is None else alpha
-        sd = F.stddev_samp(label) if wide else F.stddev_pop(label)
-        row = train.agg(F.count(F.lit(1)).alias("n"), sd.alias("sd")).first()
-        reg = a * float(row["sd"]) / float(row["n"]) if row["n"] else 0.0
-        est = LinearRegression(regParam=reg, elasticNetParam=0.0, solver=solver, **common)
+        row = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(label).alias("sd")).first()
+        reg = a * float(row["sd"] or 0.0) / float(row["n"]) if row["n"] else 0.0
+        est = LinearRegression(regParam=reg, elasticNetParam=0.0, maxIter=limit, **common)
     elif model == "lasso":
         a = LASSO_ALPHA if alpha is None else alpha
-        est = LinearRegression(regParam=a, elasticNetParam=1.0, solver="l-bfgs",
-                               **{**common, "maxIter": 20000})
+        est = LinearRegression(regParam=a, elasticNetParam=1.0, maxIter=limit, **common)
     else:
         raise ValueError(f"unknown model {model!r}; expected one of {MODELS}")
-    return est.fit(train)
+    fitted = est.fit(train)
+    if fitted.hasSummary and fitted.summary.totalIterations >= limit:
+        log.warning("%s on %s stopped at the limit of %d iterations", model, label, limit)
+    return fitted
 
 
 def model_scores(prep: Prepared, label: str, model: str, alpha: float | None = None) -> DataFrame:

@@ -127,12 +127,17 @@ def silver_weather(bronze: DataFrame, producer: str | None = None, restamp: bool
     ``producer`` filters on the recorded author. ``restamp=True`` reproduces
     the source pipeline, which overwrites the author first (so its author
     filter can never reject a row)."""
+    return dedup_events(valid_weather(bronze, producer, restamp, as_of, carry), order_by=order_by)
+
+
+def valid_weather(bronze: DataFrame, producer: str | None = None, restamp: bool = False,
+                  as_of: str | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """The row-wise steps of V9: everything but the dedup, so no shuffle."""
     df = stamp_producer(bronze, producer) if (restamp and producer is not None) else bronze
     return (flatten_weather(df, carry)
             .transform(reject_nulls)
             .transform(lambda d: domain_filter(d, producer))
-            .transform(lambda d: time_filter(d, as_of=as_of))
-            .transform(lambda d: dedup_events(d, order_by=order_by)))
+            .transform(lambda d: time_filter(d, as_of=as_of)))
 
 
 # ---- V7: reject accounting --------------------------------------------------

@@ -233,12 +233,20 @@ def hourly_fixture(spark, sf_dir) -> DataFrame:
                              time_from=fx.FIXTURE_TIME_FROM, time_to=fx.FIXTURE_TIME_TO)
 
 
-def labelled_cells(spark, sf_dir) -> DataFrame:
-    return fe.probe_cells(_probes(spark, sf_dir))
+# Mean headings come out of atan2, whose last bit differs between math
+# libraries (Java's and glibc's disagree at -135 degrees); queries and SQL
+# both bucket the angle rounded to this many decimals.
+HEADING_DIGITS = 9
 
+FIXTURE_RANGE = {"time_from": fx.FIXTURE_TIME_FROM, "time_to": fx.FIXTURE_TIME_TO}
 
-def road_dataset(spark, sf_dir) -> DataFrame:
-    return fe.road_readings(_roads(spark, sf_dir))
+
+def labelled_cells(spark, sf_dir, **time_range) -> DataFrame:
+    return fe.probe_cells(_probes(spark, sf_dir), snap_digits=HEADING_DIGITS, **time_range)
+
+
+def road_dataset(spark, sf_dir, **options) -> DataFrame:
+    return fe.road_readings(_roads(spark, sf_dir), **options)
 
 
 def _round_doubles(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -308,7 +316,8 @@ def q_kpt_cell_hour(spark, sf_dir):
 @register("kpt_circular")
 def q_kpt_circular(spark, sf_dir):
     """D8 + D9."""
-    cells = fe.with_heading(fe.cell_hour_stats(fe.prepare_probes(_probes(spark, sf_dir))))
+    cells = fe.with_heading(fe.cell_hour_stats(fe.prepare_probes(_probes(spark, sf_dir))),
+                            HEADING_DIGITS)
     return _round_doubles(cells.select("event_hour", "lat_cell", "lon_cell",
                                        "heading_deg_mean", "direction_bucket"),
                           keep=("lat_cell", "lon_cell"))
@@ -367,7 +376,7 @@ def q_weather_hourly(spark, sf_dir):
 @register("kpt_weather")
 def q_kpt_weather(spark, sf_dir):
     """Probe dataset (D25) = labelled cells x hourly weather."""
-    df = fe.join_weather(labelled_cells(spark, sf_dir), hourly_fixture(spark, sf_dir),
+    df = fe.join_weather(labelled_cells(spark, sf_dir, **FIXTURE_RANGE), hourly_fixture(spark, sf_dir),
                          fx.FIXTURE_TIME_FROM, fx.FIXTURE_TIME_TO)
     return _round_doubles(df, keep=("lat", "lon"))
 
@@ -375,7 +384,7 @@ def q_kpt_weather(spark, sf_dir):
 @register("tomtom_weather")
 def q_tomtom_weather(spark, sf_dir):
     """Road dataset (D25) = road readings x hourly weather."""
-    df = fe.join_weather(road_dataset(spark, sf_dir), hourly_fixture(spark, sf_dir),
+    df = fe.join_weather(road_dataset(spark, sf_dir, **FIXTURE_RANGE), hourly_fixture(spark, sf_dir),
                          fx.FIXTURE_TIME_FROM, fx.FIXTURE_TIME_TO)
     return _round_doubles(df, keep=("lat", "lon"))
 
@@ -478,7 +487,7 @@ ML_KEY = "src_id"
 
 def ml_dataset(spark, sf_dir) -> DataFrame:
     """Road dataset joined with hourly weather, row key carried."""
-    roads = fe.road_readings(_roads(spark, sf_dir), keep=(ML_KEY,))
+    roads = road_dataset(spark, sf_dir, keep=(ML_KEY,), **FIXTURE_RANGE)
     return fe.join_weather(roads, hourly_fixture(spark, sf_dir),
                            fx.FIXTURE_TIME_FROM, fx.FIXTURE_TIME_TO)
 
@@ -608,7 +617,7 @@ def q_heatmap_predicted(spark, sf_dir):
 def q_run_summary(spark, sf_dir):
     """Rows, split sizes, feature count, train positive rate."""
     df = mp.hash_split(mp.check_dataset(ml_dataset(spark, sf_dir), mp.ROAD_SPEC), ML_KEY)
-    n_levels = len(mp.category_levels(df, "road_id"))
+    n_levels = mp.count_levels(df, "road_id")
     return df.agg(F.count(F.lit(1)).alias("rows_total"),
                   F.count(F.when(~F.col("is_test"), 1)).alias("rows_train"),
                   F.count(F.when(F.col("is_test"), 1)).alias("rows_test"),
@@ -825,7 +834,7 @@ KPT_KEY = "cell_key"
 def kpt_ml_dataset(spark, sf_dir) -> DataFrame:
     """Probe cells x hourly weather with an integer cell-hour key (hour epoch,
     then the two grid indices) for the hash split."""
-    df = fe.join_weather(labelled_cells(spark, sf_dir), hourly_fixture(spark, sf_dir),
+    df = fe.join_weather(labelled_cells(spark, sf_dir, **FIXTURE_RANGE), hourly_fixture(spark, sf_dir),
                          fx.FIXTURE_TIME_FROM, fx.FIXTURE_TIME_TO)
     key = (F.unix_timestamp("event_hour") * F.lit(100000000)
            + F.round(F.col("lat") * 100).cast("bigint") * F.lit(10000)
@@ -837,7 +846,7 @@ def kpt_ml_dataset(spark, sf_dir) -> DataFrame:
 def q_kpt_run_summary(spark, sf_dir):
     """M1/M3/M18 on the probe dataset: rows, split, features, positive rate."""
     df = mp.hash_split(mp.check_dataset(kpt_ml_dataset(spark, sf_dir), mp.PROBE_SPEC), KPT_KEY)
-    n_levels = len(mp.category_levels(df, "direction_bucket"))
+    n_levels = mp.count_levels(df, "direction_bucket")
     return df.agg(F.count(F.lit(1)).alias("rows_total"),
                   F.count(F.when(~F.col("is_test"), 1)).alias("rows_train"),
                   F.count(F.when(F.col("is_test"), 1)).alias("rows_test"),

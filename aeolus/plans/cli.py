@@ -4,7 +4,7 @@
     python -m aeolus.plans.cli gold    --silver ROOT --gold ROOT --producer P [--metrics m ...]
     python -m aeolus.plans.cli datasets --silver ROOT --out DIR [--time-from D --time-to D] [--force]
     python -m aeolus.plans.cli train   --datasets DIR --out DIR [--dataset kpt|tomtom|all]
-    python -m aeolus.plans.cli ingest  --landing ROOT --bronze ROOT [--interval 600]
+    python -m aeolus.plans.cli ingest  --landing ROOT --bronze ROOT [--interval 600] [--checkpoint DIR]
 
 The master comes from ``spark-submit`` (or ``--master`` for local runs). Exit
 codes: 1 for an unknown domain or metric, 2 for a failed run.
@@ -31,12 +31,11 @@ from ..operators import gold
 from ..operators.ml import prep as mp
 from ..session import build_session
 from ..sinks import write_dataset
-from ..sources.silver import load_sources, read_silver_recursive, silver_root
+from ..sources.silver import load_sources, read_road_files, read_silver_recursive, silver_root
 from . import jobs
 
 log = logging.getLogger("aeolus.cli")
 
-ROAD_SOURCE = "road_sensors"
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -69,6 +68,7 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--time-from", default=DEFAULT_TIME_FROM)
     d.add_argument("--time-to", default=DEFAULT_TIME_TO)
     d.add_argument("--producer", default="aeolus")
+    d.add_argument("--road-source", default="road_sensors")
     d.add_argument("--force", action="store_true")
 
     t = sub.add_parser("train")
@@ -81,6 +81,8 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--landing", required=True)
     i.add_argument("--bronze", required=True)
     i.add_argument("--interval", type=int, default=600)
+    i.add_argument("--checkpoint", default=None,
+                   help="folder for the streams' progress; default: under spark.checkpoint.dir")
     return ap
 
 
@@ -108,16 +110,20 @@ def run(argv: list[str] | None = None) -> int:
                               dedup_runs=not args.keep_run_duplicates)
             print(f"gold run {r.run_id}: silver_rows={r.silver_rows} metrics={sorted(r.paths)}")
         elif args.cmd == "datasets":
-            def src(source):
-                return lambda: read_silver_recursive(spark, silver_root(args.silver, "weather", source))
             from ..operators import features as fe
+
+            def src(source):
+                return lambda: jobs.one_per_event(
+                    read_silver_recursive(spark, silver_root(args.silver, "weather", source)))
             feeds = load_sources({
                 WEATHER_SOURCE: lambda: fe.normalize_current(src(WEATHER_SOURCE)()),
                 WEATHER_API_SOURCE: lambda: fe.normalize_api(src(WEATHER_API_SOURCE)()),
                 OWM_SOURCE: lambda: fe.normalize_owm(src(OWM_SOURCE)()),
             })
-            probes = read_silver_recursive(spark, silver_root(args.silver, "traffic", PROBE_SOURCE))
-            roads = read_silver_recursive(spark, silver_root(args.silver, "traffic", ROAD_SOURCE))
+            probes = jobs.one_per_event(
+                read_silver_recursive(spark, silver_root(args.silver, "traffic", PROBE_SOURCE)))
+            roads = jobs.one_per_event(
+                read_road_files(spark, silver_root(args.silver, "traffic", args.road_source)))
             kpt, road = jobs.build_datasets(probes, roads, list(feeds.values()),
                                             args.time_from, args.time_to)
             write_dataset(kpt, f"{args.out}/dataset_kpt", args.producer, args.force)
@@ -130,15 +136,17 @@ def run(argv: list[str] | None = None) -> int:
                 ds = ds.withColumn(key, F.xxhash64(*[F.col(c) for c in ds.columns]))
                 jobs.train(spark, ds, mp.SPECS[name], key, args.producer, args.out)
         elif args.cmd == "ingest":
-            from ..streaming.ingest import ingest_all
-            qs = ingest_all(spark, args.landing, args.bronze, {
+            from ..streaming.ingest import ingest_all, wait_all
+            running, failed = ingest_all(spark, args.landing, args.bronze, {
                 "weather": (WEATHER_SOURCE, schemas.WEATHER_ENVELOPE),
                 "traffic": ("lviv_gtfs_rt", schemas.envelope(schemas.CAPTURE_PAYLOAD)),
                 "alerts": ("vadimkin_air_raid", schemas.envelope(schemas.ALERT_PAYLOAD)),
                 "roads": ("overpass_kyiv_highways", schemas.envelope(schemas.ROAD_PAYLOAD)),
-            }, interval_seconds=args.interval)
-            for q in qs.values():
-                q.awaitTermination()
+            }, interval_seconds=args.interval, checkpoint=args.checkpoint)
+            failed |= wait_all(running)
+            if failed:
+                log.error("ingest failed for %s", ", ".join(sorted(failed)))
+                return 2
         return 0
     except Exception:  # noqa: BLE001 - reported as exit code 2
         log.exception("%s run failed", args.cmd)

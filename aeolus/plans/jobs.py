@@ -60,8 +60,8 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, source:
                run_id: str | None = None, fmt: str = "parquet",
                partitions: int | None = None) -> SilverResult:
     """V9 + K2 in one job. Raw and valid counts are observed metrics of the
-    write itself (no extra scans); an empty result leaves only an empty run
-    directory, which readers ignore."""
+    write itself. Without a valid row nothing is written: the first valid row
+    ends that look, so it costs a scan only when there is none."""
     run_id = run_id or new_run_id()
     # Observations run in a child session (same SparkContext and cache): in
     # Spark 4.1, using an ``Observation`` leaves the session holding a
@@ -71,13 +71,17 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, source:
     spark = configure(spark.newSession())
     raw_obs, valid_obs = Observation("raw"), Observation("valid")
     bronze = read_bronze(spark, bronze_root, "weather", source, schemas.WEATHER_ENVELOPE)
+    if silver.valid_weather(bronze, producer, restamp, as_of).isEmpty():
+        raw = bronze.count()
+        log.warning("silver run %s: none of %d rows is valid; nothing written", run_id, raw)
+        return SilverResult(run_id, None, raw, 0)
     bronze = bronze.observe(raw_obs, F.count(F.lit(1)).alias("rows"))
     out = silver.silver_weather(bronze, producer=producer, restamp=restamp, as_of=as_of)
     out = out.observe(valid_obs, F.count(F.lit(1)).alias("rows"))
     path = W.write_silver(out, silver_root, "weather", source, run_id, fmt, partitions)
     raw, valid = raw_obs.get["rows"], valid_obs.get["rows"]
     log.info("silver run %s: raw=%d valid=%d rejected=%d", run_id, raw, valid, raw - valid)
-    return SilverResult(run_id, path if valid else None, raw, valid)
+    return SilverResult(run_id, path, raw, valid)
 
 
 # ---- Gold -----------------------------------------------------------------------
@@ -141,6 +145,16 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str, source: str,
         shared.unpersist()
 
 
+def one_per_event(df: DataFrame) -> DataFrame:
+    """P2 for dataset inputs: rerunning a layer adds a run with the same
+    events, which must count once. Rows are told apart by ``event_id`` where
+    the feed has one (the latest ingest wins), else by all their columns."""
+    if "event_id" in df.columns:
+        order = ("ingest_ts",) if "ingest_ts" in df.columns else ("event_id",)
+        return silver.latest_per_key(df, "event_id", order)
+    return df.dropDuplicates()
+
+
 # ---- datasets ---------------------------------------------------------------------
 
 def build_datasets(probes: DataFrame, roads: DataFrame, weather_frames: list[DataFrame],

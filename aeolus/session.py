@@ -21,7 +21,6 @@ RUNTIME_CONFS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -43,7 +42,6 @@ def build_session(app_name: str = "aeolus", master: str | None = None,
     confs = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.sql.shuffle.partitions": "8",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **RUNTIME_CONFS,
         **(extra or {}),

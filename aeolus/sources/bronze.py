@@ -7,6 +7,7 @@ Silver null reject drops it and ``quarantine`` keeps it for inspection.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,10 +34,27 @@ def bronze_root(root: str, domain: str, source: str, schema_v: int = SCHEMA_VERS
     return f"{root.rstrip('/')}/domain={domain}/source={source}/schema_v={schema_v}"
 
 
+def stream_root(root: str) -> str:
+    """Where streaming ingest keeps its share of a Bronze layer."""
+    return f"{root.rstrip('/')}/streamed"
+
+
 def read_bronze(spark: SparkSession, root: str, domain: str, source: str,
                 schema: T.StructType) -> DataFrame:
-    """S1 over a Bronze layer written by ``sinks.write_bronze``."""
-    return read_bronze_json(spark, bronze_root(root, domain, source), schema)
+    """S1 over a Bronze layer: what ``sinks.write_bronze`` and streaming
+    ingest wrote. Either may be missing; both missing is an error."""
+    found: list[DataFrame] = []
+    missing: AnalysisException | None = None
+    for base in (root, stream_root(root)):
+        try:
+            found.append(read_bronze_json(spark, bronze_root(base, domain, source), schema))
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            missing = exc
+    if not found:
+        raise missing
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1], allowMissingColumns=True)
 
 
 def quarantine(bronze: DataFrame) -> DataFrame:

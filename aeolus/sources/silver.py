@@ -6,12 +6,14 @@ from __future__ import annotations
 import logging
 from typing import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import SCHEMA_VERSION
 from ..functions import lenient_double
+from ..schemas import SILVER_WEATHER
 
 log = logging.getLogger("aeolus.sources")
 
@@ -25,7 +27,10 @@ def read_silver(spark: SparkSession, root: str, domain: str, source: str,
     """Every ``run_id=`` directory of a Silver table. ``run_id`` stays a
     string column (partition type inference is off in ``session.configure``;
     ``run_id=123e4`` would otherwise become a double)."""
-    return spark.read.format(fmt).load(silver_root(root, domain, source))
+    reader = spark.read.format(fmt)
+    if fmt == "json" and domain == "weather":
+        reader = reader.schema(SILVER_WEATHER)  # JSON leaves out null fields
+    return reader.load(silver_root(root, domain, source))
 
 
 def read_silver_recursive(spark: SparkSession, path: str) -> DataFrame:
@@ -46,8 +51,8 @@ def read_road_files(spark: SparkSession, path: str,
     try:
         df = read_silver_recursive(spark, path)
         df.schema  # noqa: B018 - forces footer merge
-    except Exception as exc:  # noqa: BLE001 - re-raised unless it is a merge conflict
-        if not isinstance(exc, AnalysisException) and "CANNOT_MERGE_SCHEMAS" not in str(exc):
+    except (PySparkException, Py4JJavaError) as exc:
+        if "CANNOT_MERGE_SCHEMAS" not in str(exc):
             raise
         log.info("schema merge failed (%s); reading per schema group", str(exc)[:200])
         # File listing only (binaryFile prunes the content column); footers

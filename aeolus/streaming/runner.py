@@ -1,8 +1,10 @@
 """Run a streaming query to completion over the files available now.
 
 Checkpoints and sink tables live under the shared folder
-(``spark.checkpoint.dir``), one fresh directory per run, so a restarted
-driver resumes from its checkpoint and never reuses another run's state.
+(``spark.checkpoint.dir``). A run that is given a name can be resumed under
+it: the folder is that of the configured value, which stays the same over
+applications, and windows left open are emitted once later events arrive. A
+run without a name gets a fresh folder and is not resumed.
 """
 
 from __future__ import annotations
@@ -12,11 +14,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import scratch_path
+from ..session import CHECKPOINT_CONF, scratch_path
 
 
 def stream_paths(spark: SparkSession, name: str, run: str | None = None) -> tuple[str, str]:
-    base = scratch_path(spark, "streams", name, run or uuid.uuid4().hex[:12])
+    configured = spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    if run and configured:
+        base = f"{configured.rstrip('/')}/aeolus/streams/{name}/{run}"
+    else:
+        base = scratch_path(spark, "streams", name, run or uuid.uuid4().hex[:12])
     return f"{base}/_checkpoint", f"{base}/table"
 
 
@@ -49,10 +55,13 @@ def start(df: DataFrame, name: str, spark: SparkSession, fmt: str = "parquet",
     return w.start(out), out
 
 
-def run_available_now(df: DataFrame, name: str, spark: SparkSession,
-                      fmt: str = "parquet") -> tuple[DataFrame, StreamingQuery]:
-    """Process everything available, wait, and return the sink as a table."""
-    q, out = start(df, name, spark, fmt)
+def run_available_now(df: DataFrame, name: str, spark: SparkSession, fmt: str = "parquet",
+                      run: str | None = None) -> tuple[DataFrame, StreamingQuery]:
+    """Process everything available, wait, and return the sink as a table.
+
+    With ``run``, a later call under the same name and run goes on from here,
+    with the windows that this one leaves open."""
+    q, out = start(df, name, spark, fmt, run=run)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

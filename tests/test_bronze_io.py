@@ -99,3 +99,10 @@ def test_alert_rows_with_empty_keys_get_distinct_ids(spark):
     out = br.expand_alert_lines(lines, header).collect()
     assert len({r.event_id for r in out}) == 3
     assert {r.natural_key for r in out} == {"R|a|b|c|d|e", "||||||first", "||||||second"}
+
+
+def test_of_equal_header_names_the_last_counts(spark):
+    lines = spark.createDataFrame([("R1,x,y,z",), ("R2,x",)], "line string")
+    rows = br.expand_alert_lines(lines, ["region", "note", "other", "note"]).collect()
+    assert sorted((r.row["region"], r.row["note"], r.row["other"]) for r in rows) == [
+        ("R1", "z", "y"), ("R2", "", "")]

@@ -13,7 +13,9 @@ def test_null_heading_falls_to_west(spark):
     df = spark.createDataFrame([(None,), (0.0,), (44.99,), (45.0,), (135.0,), (224.9999999999999,),
                                 (225.0,), (315.0,)], "d double")
     got = [r.b for r in df.select(direction_bucket("d").alias("b")).collect()]
-    assert got == ["W", "N", "N", "E", "S", "W", "W", "N"]
+    assert got == ["W", "N", "N", "E", "S", "S", "W", "N"]
+    snapped = [r.b for r in df.select(direction_bucket("d", 9).alias("b")).collect()]
+    assert snapped == ["W", "N", "N", "E", "S", "W", "W", "N"]
 
 
 def test_week_conventions(spark):
@@ -87,3 +89,22 @@ def test_timestamp_coercion_to_utc(spark):
     got = [r.h for r in fe.coerce_road(df, numeric=()).select(
         F.date_format("event_ts", "yyyy-MM-dd HH:mm").alias("h")).collect()]
     assert got == ["2024-01-05 10:00", "2024-01-05 10:30", None]
+
+
+def test_direction_edges_are_exact(spark):
+    want = {314.9999999999: "W", 315.0: "N", 44.9999999999: "N", 45.0: "E", 134.99: "E", 135.0: "S",
+            224.99: "S", 225.0: "W", 0.0: "N", 359.9: "N", None: "W"}
+    df = spark.createDataFrame([(d,) for d in want], "d double")
+    got = {r.d: r.b for r in df.select("d", direction_bucket("d").alias("b")).collect()}
+    assert got == want
+
+
+def test_launcher_partition_count_is_kept(spark):
+    from aeolus.session import build_session
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "777")
+        assert build_session("again").conf.get("spark.sql.shuffle.partitions") == "777"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

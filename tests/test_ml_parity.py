@@ -37,7 +37,9 @@ def _test_order(p):
 
 def test_train_stats_standardise(prepared):
     p, X, test, *_ = prepared
-    assert np.allclose(X[~test].mean(axis=0), 0.0, atol=1e-9)
+    # Numeric features are centred too; indicators are only scaled.
+    wide = len(mp.ROAD_SPEC.numeric)
+    assert np.allclose(X[~test][:, :wide].mean(axis=0), 0.0, atol=1e-9)
     sd = X[~test].std(axis=0)
     assert np.all((np.abs(sd - 1) < 1e-9) | (sd < 1e-12))
 
@@ -163,16 +165,51 @@ def test_dataset_contract(spark):
         mp.check_dataset(df, mp.ROAD_SPEC)
 
 
-def test_sparse_one_hot_path_gives_same_ols_fit(spark):
-    dense = mp.prepare(ml_dataset(spark, SF01), mp.ROAD_SPEC, ML_KEY)
-    sparse = mp.prepare(ml_dataset(spark, SF01), mp.ROAD_SPEC, ML_KEY, max_dense_levels=5)
-    try:
-        assert sparse.data.first().features.numNonzeros() <= len(mp.ROAD_SPEC.numeric) + 1
-        a = _spark_test_pred(mr.fit(dense, "current_speed_kmh", "linear_regression"), dense)
-        b = _spark_test_pred(mr.fit(sparse, "current_speed_kmh", "linear_regression"), sparse)
-        # Scaling the indicators re-parametrises the same column space: OLS
-        # fitted values agree.
-        assert np.allclose(a, b, rtol=1e-5, atol=1e-4)
-    finally:
-        dense.release()
-        sparse.release()
+def _many_levels(spark, levels, rows):
+    """A road dataset of so many levels, with plain arithmetic for its numbers."""
+    numeric = {c: ((F.col("id") * (7 + 2 * k)) % (11 + 3 * k)).cast("double")
+               for k, c in enumerate(mp.ROAD_SPEC.numeric)}
+    y = (F.col("id") * 13 % 47 + F.col("road_id").cast("int") % 5).cast("double")
+    return (spark.range(rows).withColumn("road_id", (F.col("id") * 31 % levels).cast("string"))
+            .withColumns(numeric)
+            .withColumn("current_speed_kmh", y)
+            .withColumn("is_congested", (F.col("id") * 17 % 29 < 11).cast("int"))
+            .withColumn("event_hour", F.lit("2024-01-01 00:00:00").cast("timestamp")))
+
+
+@pytest.mark.parametrize(("levels", "rows"), [(20, 2000), (5000, 9000)])
+def test_one_sparse_path_at_any_number_of_levels(spark, levels, rows):
+    with mp.prepare(_many_levels(spark, levels, rows), mp.ROAD_SPEC, "id") as p:
+        wide = len(mp.ROAD_SPEC.numeric)
+        assert len(p.feature_names) == wide + levels
+        got = p.data.select("id", "features", "is_test", "current_speed_kmh", "is_congested").collect()
+        assert all(r.features.numNonzeros() <= wide + 1 for r in got)
+        X = np.array([r.features.toArray()[:wide] for r in got])
+        level = np.array([int(np.flatnonzero(r.features.toArray()[wide:])[0]) for r in got])
+        test = np.array([r.is_test for r in got])
+        n = np.bincount(level[~test], minlength=levels)
+        share = n / (~test).sum()
+        scale = np.where((share > 0) & (share < 1), 1 / np.sqrt(np.maximum(share * (1 - share), 1e-300)), 1.0)
+        value = np.array([r.features.toArray()[wide + k] for r, k in zip(got, level)])
+        assert np.allclose(value, scale[level])
+        y = np.array([r.current_speed_kmh for r in got])
+        # Ridge in closed form: standardised indicators, intercept unpenalised.
+        # Centred columns share one penalty, so the indicators are solved out
+        # by their (diagonal plus rank-one) block only in the small case.
+        if levels <= 20:
+            hot = np.zeros((len(got), levels))
+            hot[np.arange(len(got)), level] = scale[level]
+            A = np.c_[X, hot]
+            At, yt = A[~test], y[~test]
+            m, ym = At.mean(0), yt.mean()
+            w = np.linalg.solve((At - m).T @ (At - m) + np.eye(A.shape[1]), (At - m).T @ (yt - ym))
+            ref = {r.id: v for r, v, t in zip(got, (A - m) @ w + ym, test) if t}
+            out = mr.fit(p, "current_speed_kmh", "ridge").transform(p.data.filter(F.col("is_test")))
+            pairs = [(r.prediction, ref[r.id]) for r in out.select("id", "prediction").collect()]
+            assert np.allclose(*zip(*pairs), rtol=1e-5, atol=1e-5)
+
+
+def test_clustering_skips_without_points(spark):
+    none = spark.createDataFrame([], "lat double, lon double, intensity double")
+    res = mk.cluster(none)
+    assert res["skipped"] and res["rows"] == 0

@@ -3,12 +3,15 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from aeolus import schemas
+from aeolus.sinks import write_bronze
 from aeolus.sources.bronze import read_bronze
 from aeolus.streaming import runner
-from aeolus.streaming.ingest import ingest_domain
+from aeolus.streaming.ingest import checkpoint_root, ingest_all, ingest_domain, wait_all
 from aeolus.streaming.metrics import hourly_stream
 from aeolus.streaming.silver import silver_stream
 
@@ -36,7 +39,8 @@ def test_ingest_available_now(spark, tmp_dir):
     drop(landing, "a.json", [env("a", "2024-01-05T10:00"), env("b", "2024-01-05T11:00",
                                                                ingest="2024-01-05T11:00:01Z")])
     q = ingest_domain(spark, landing, root, "weather", "open_meteo_current",
-                      schemas.WEATHER_ENVELOPE, interval_seconds=0)
+                      schemas.WEATHER_ENVELOPE, interval_seconds=0,
+                      checkpoint=os.path.join(tmp_dir, "progress"))
     q.awaitTermination()
     back = read_bronze(spark, root, "weather", "open_meteo_current", schemas.WEATHER_ENVELOPE)
     assert sorted(r.hour for r in back.select("hour").collect()) == ["10", "11"]
@@ -87,3 +91,52 @@ def test_ordered_dedup_aggregates_before_state_store(spark, tmp_dir):
     plan = q._jsq.explainInternal(True)
     assert "StateStoreSave" in plan
     assert "partial_min_by" in plan or "partial_min(" in plan
+
+
+def _round(session, tmp_dir):
+    running, failed = ingest_all(
+        session, os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "bronze"),
+        {"weather": ("open_meteo_current", schemas.WEATHER_ENVELOPE),
+         "missing": ("nowhere", schemas.WEATHER_ENVELOPE)},
+        interval_seconds=0, checkpoint=os.path.join(tmp_dir, "progress"))
+    return failed | wait_all(running, 0.1)
+
+
+def test_ingest_goes_on_after_a_restart_and_isolates_failures(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing", "weather")
+    drop(landing, "a.json", [env("a", "2024-01-05T10:00"), env("b", "2024-01-05T11:00")])
+    # The domain without a landing folder fails alone.
+    assert set(_round(spark.newSession(), tmp_dir)) == {"missing"}
+    drop(landing, "b.json", [env("c", "2024-01-05T12:00"), env("d", "2024-01-05T13:00")])
+    assert set(_round(spark.newSession(), tmp_dir)) == {"missing"}
+    back = read_bronze(spark, os.path.join(tmp_dir, "bronze"), "weather", "open_meteo_current",
+                       schemas.WEATHER_ENVELOPE)
+    assert sorted(r.event_id for r in back.collect()) == ["a", "b", "c", "d"]
+
+
+def test_batch_and_stream_rows_are_both_read(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "bronze")
+    drop(os.path.join(tmp_dir, "landing", "weather"), "a.json", [env("a", "2024-01-05T10:00")])
+    _round(spark, tmp_dir)
+    batch = spark.createDataFrame([env("z", "2024-01-05T10:00")], schemas.WEATHER_ENVELOPE)
+    write_bronze(batch, root, "weather", "open_meteo_current")
+    back = read_bronze(spark, root, "weather", "open_meteo_current", schemas.WEATHER_ENVELOPE)
+    assert sorted(r.event_id for r in back.collect()) == ["a", "z"]
+
+
+def test_ingest_needs_a_lasting_checkpoint(spark):
+    if not spark.sparkContext.getConf().get("spark.checkpoint.dir"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            checkpoint_root(spark)
+    assert checkpoint_root(spark, "/x/y/") == "/x/y"
+
+
+def test_resumed_stream_emits_windows_left_open(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    drop(landing, "1.json", [env("a", "2024-01-05T10:10"), env("b", "2024-01-05T10:50")])
+    run = os.path.basename(tmp_dir)
+    first, _ = runner.run_available_now(_stream(spark, landing, "ordered"), "t_resume", spark, run=run)
+    assert first.count() == 0
+    drop(landing, "2.json", [env("c", "2024-01-05T14:00")])
+    then, _ = runner.run_available_now(_stream(spark, landing, "ordered"), "t_resume", spark, run=run)
+    assert sorted(r.event_id for r in then.collect()) == ["a", "b"]
