@@ -43,155 +43,178 @@ def window_hour(ts: str = "event_ts") -> Column:
     return F.date_format(F.col(ts), WINDOW_HOUR_FORMAT)
 
 
-def _hourly_keys(silver: DataFrame) -> DataFrame:
-    return silver.withColumns({"window_date": window_date(), "window_hour": window_hour()})
+# ---- metrics as declarations --------------------------------------------------
+#
+# A metric is a grain, the measures at that grain and, for two-level metrics,
+# the values that each hour contributes first. ``aggregate`` builds one plan for
+# any metrics of one grain, so a metric alone and several from one shuffle are
+# the same declaration.
 
+HOURLY = ("window_date", "window_hour", "city")
+DAILY = ("window_date", "city")
 
-def temperature_hourly(silver: DataFrame) -> DataFrame:
-    """G1: samples, avg/min/max and population stddev of temperature."""
-    return (_hourly_keys(silver)
-            .groupBy("window_date", "window_hour", "city")
-            .agg(F.count(F.lit(1)).alias("samples_cnt"),
-                 F.avg("temperature_2m").alias("temperature_avg_c"),
-                 F.min("temperature_2m").alias("temperature_min_c"),
-                 F.max("temperature_2m").alias("temperature_max_c"),
-                 F.stddev_pop("temperature_2m").alias("temperature_stddev_c"))
-            .filter(F.col("city").isNotNull()))
 
+@dataclass(frozen=True)
+class Options:
+    """Parameters of the metrics; the defaults are the fixed values."""
+    wind_unit: str = "as_is"
+    threshold_mm: float = RAIN_THRESHOLD_MM
+    subzero_c: float = SUBZERO_C
 
-def comfort_index_hourly(silver: DataFrame, wind_unit: str = "as_is") -> DataFrame:
-    """Mean apparent temperature and its inputs per city-hour."""
-    wind = _wind(wind_unit)
-    at = apparent_temperature("temperature_2m", "relative_humidity_2m", wind)
-    return (_hourly_keys(silver)
-            .groupBy("window_date", "window_hour", "city")
-            .agg(F.count(F.lit(1)).alias("samples_cnt"),
-                 F.avg(at).alias("comfort_index_c"),
-                 F.avg("temperature_2m").alias("temperature_avg_c"),
-                 F.avg("relative_humidity_2m").alias("humidity_avg_pct"),
-                 F.avg(wind).alias("wind_speed_avg_ms"))
-            .filter(F.col("city").isNotNull()))
 
+Columns = Callable[[Options], dict[str, Column]]
 
-def _city_hours(silver: DataFrame, **aggs: Column) -> DataFrame:
-    """First level of the daily metrics: one row per (date, city, hour)."""
-    return (silver.withColumns({"window_date": window_date(),
-                                "sample_hour": F.hour("event_ts")})
-            .groupBy("window_date", "city", "sample_hour")
-            .agg(*[c.alias(n) for n, c in aggs.items()]))
 
+@dataclass(frozen=True)
+class MetricDef:
+    grain: tuple[str, ...]
+    measures: Columns
+    columns: tuple[str, ...]                 # Silver columns it reads
+    by_hour: Columns | None = None           # first level: values of a city-hour
+    derived: Columns | None = None           # from measures, which then aren't output
 
-def precipitation_daily(silver: DataFrame, threshold_mm: float = RAIN_THRESHOLD_MM) -> DataFrame:
-    """Daily precipitation from hourly sums; rainy hour = sum >= threshold.
-
-    Hourly values are sums of samples, so several polls in one hour add up."""
-    hourly = _city_hours(silver, hour_precip_mm=F.sum("precipitation"))
-    return (hourly.groupBy("window_date", "city")
-            .agg(F.sum("hour_precip_mm").alias("total_precip_mm"),
-                 F.count(F.lit(1)).alias("hours_observed"),
-                 F.sum(F.when(F.col("hour_precip_mm") >= threshold_mm, 1).otherwise(0))
-                  .alias("rainy_hours"))
-            .filter(F.col("city").isNotNull()))
+    @property
+    def partition_cols(self) -> tuple[str, ...]:
+        return tuple(c for c in self.grain if c.startswith("window_"))
 
+    @property
+    def level(self) -> tuple[tuple[str, ...], bool]:
+        """Metrics of the same level can share their aggregation."""
+        return self.grain, self.by_hour is not None
 
-def subzero_hours_daily(silver: DataFrame, subzero_c: float = SUBZERO_C) -> DataFrame:
-    """Hours whose minimum temperature is strictly below zero."""
-    hourly = _city_hours(silver, hour_min_temp_c=F.min("temperature_2m"))
-    return (hourly.groupBy("window_date", "city")
-            .agg(F.count(F.lit(1)).alias("hours_observed"),
-                 F.min("hour_min_temp_c").alias("coldest_hour_temp_c"),
-                 F.avg("hour_min_temp_c").alias("avg_hourly_min_temp_c"),
-                 F.count(F.when(F.col("hour_min_temp_c") < subzero_c, True)).alias("subzero_hours"))
-            .filter(F.col("city").isNotNull()))
 
+def _samples() -> dict[str, Column]:
+    return {"samples_cnt": F.count(F.lit(1))}
+
+
+def _temperature(o: Options) -> dict[str, Column]:
+    stats = (("avg", F.avg), ("min", F.min), ("max", F.max), ("stddev", F.stddev_pop))
+    return _samples() | {f"temperature_{n}_c": f("temperature_2m") for n, f in stats}
+
+
+def _comfort(o: Options) -> dict[str, Column]:
+    wind = _wind(o.wind_unit)
+    felt = apparent_temperature("temperature_2m", "relative_humidity_2m", wind)
+    means = {"comfort_index_c": felt, "temperature_avg_c": F.col("temperature_2m"),
+             "humidity_avg_pct": F.col("relative_humidity_2m"), "wind_speed_avg_ms": wind}
+    return _samples() | {n: F.avg(c) for n, c in means.items()}
+
+
+def _count_if(condition: Column) -> Column:
+    return F.count(F.when(condition, True))
+
+
+def _rain(o: Options) -> dict[str, Column]:
+    # Hourly values are sums of samples, so several polls in one hour add up.
+    return {"total_precip_mm": F.sum("hour_precip_mm"),
+            "hours_observed": F.count(F.lit(1)),
+            "rainy_hours": _count_if(F.col("hour_precip_mm") >= o.threshold_mm)}
+
+
+def _cold(o: Options) -> dict[str, Column]:
+    # An hour counts by its minimum, strictly below the limit.
+    return {"hours_observed": F.count(F.lit(1)),
+            "coldest_hour_temp_c": F.min("hour_min_temp_c"),
+            "avg_hourly_min_temp_c": F.avg("hour_min_temp_c"),
+            "subzero_hours": _count_if(F.col("hour_min_temp_c") < o.subzero_c)}
 
-def wind_daily_extremes(silver: DataFrame, wind_unit: str = "as_is") -> DataFrame:
-    """max/avg speed and the vector-mean (prevailing) direction.
 
-    Rows with a null direction still count for speed but not for the vector."""
-    wind = _wind(wind_unit)
+def _wind_extremes(o: Options) -> dict[str, Column]:
+    # Rows with a null direction still count for speed but not for the vector.
+    wind = _wind(o.wind_unit)
     u, v = wind_components(wind, "wind_direction_10m")
-    daily = (silver.withColumn("window_date", window_date())
-             .groupBy("window_date", "city")
-             .agg(F.max(wind).alias("wind_speed_max_ms"),
-                  F.avg(wind).alias("wind_speed_avg_ms"),
-                  F.avg(u).alias("_mean_u"),
-                  F.avg(v).alias("_mean_v")))
-    return (daily
-            .withColumn("prevailing_wind_deg", prevailing_direction_deg("_mean_u", "_mean_v"))
-            .withColumn("mean_wind_vector_ms",
-                        F.sqrt(F.col("_mean_u") * F.col("_mean_u") + F.col("_mean_v") * F.col("_mean_v")))
-            .drop("_mean_u", "_mean_v")
+    return {"wind_speed_max_ms": F.max(wind), "wind_speed_avg_ms": F.avg(wind),
+            "_mean_u": F.avg(u), "_mean_v": F.avg(v)}
+
+
+def _wind_vector(o: Options) -> dict[str, Column]:
+    return {"prevailing_wind_deg": prevailing_direction_deg("_mean_u", "_mean_v"),
+            "mean_wind_vector_ms": F.sqrt(F.col("_mean_u") * F.col("_mean_u")
+                                          + F.col("_mean_v") * F.col("_mean_v"))}
+
+
+WEATHER_METRICS: dict[str, MetricDef] = {
+    # G1: samples, avg/min/max and population stddev of temperature.
+    "temperature_hourly": MetricDef(
+        HOURLY, _temperature, ("event_ts", "city", "temperature_2m")),
+    # Daily precipitation from hourly sums; rainy hour = sum >= threshold.
+    "precipitation_daily": MetricDef(
+        DAILY, _rain, ("event_ts", "city", "precipitation"),
+        by_hour=lambda o: {"hour_precip_mm": F.sum("precipitation")}),
+    # max/avg speed and the vector-mean (prevailing) direction.
+    "wind_daily_extremes": MetricDef(
+        DAILY, _wind_extremes, ("event_ts", "city", "wind_speed_10m", "wind_direction_10m"),
+        derived=_wind_vector),
+    # Hours whose minimum temperature is strictly below zero.
+    "subzero_hours_daily": MetricDef(
+        DAILY, _cold, ("event_ts", "city", "temperature_2m"),
+        by_hour=lambda o: {"hour_min_temp_c": F.min("temperature_2m")}),
+    # Mean apparent temperature and its inputs per city-hour.
+    "comfort_index_hourly": MetricDef(
+        HOURLY, _comfort,
+        ("event_ts", "city", "temperature_2m", "relative_humidity_2m", "wind_speed_10m")),
+}
+
+
+def aggregate(silver: DataFrame, names: Iterable[str], options: Options = Options()) -> DataFrame:
+    """All measures of metrics of one level from one aggregation: a shuffle for
+    one-level metrics, two for two-level ones. Rows without a city are left out."""
+    metrics = [WEATHER_METRICS[n] for n in names]
+    (grain, two_level), = {m.level for m in metrics}
+    base = silver.withColumns({c: k for c, k in (
+        ("window_date", window_date()), ("window_hour", window_hour())) if c in grain})
+    if two_level:
+        values: dict[str, Column] = {}
+        for m in metrics:
+            values |= m.by_hour(options)
+        base = (base.withColumn("sample_hour", F.hour("event_ts")).groupBy(*grain, "sample_hour")
+                .agg(*[c.alias(n) for n, c in values.items()]))
+    measures: dict[str, Column] = {}
+    for m in metrics:
+        measures |= m.measures(options)
+    return (base.groupBy(*grain).agg(*[c.alias(n) for n, c in measures.items()])
             .filter(F.col("city").isNotNull()))
 
 
-# ---- fused pairs: one shuffle for metrics sharing grouping keys -------------
+def output(aggregated: DataFrame, name: str, options: Options = Options()) -> DataFrame:
+    """One metric's columns of an aggregation that holds its measures."""
+    m = WEATHER_METRICS[name]
+    derived = m.derived(options) if m.derived else {}
+    return aggregated.select(
+        *m.grain, *[n for n in m.measures(options) if not n.startswith("_")],
+        *[c.alias(n) for n, c in derived.items()])
 
-HOURLY_PAIR = ("temperature_hourly", "comfort_index_hourly")
-DAILY_PAIR = ("precipitation_daily", "subzero_hours_daily")
 
+def metric(silver: DataFrame, name: str, options: Options = Options()) -> DataFrame:
+    return output(aggregate(silver, [name], options), name, options)
 
-def hourly_pair(silver: DataFrame, wind_unit: str = "as_is") -> tuple[DataFrame, DataFrame]:
-    """G1 and G5 from one aggregate over (date, hour, city)."""
-    return split_hourly(hourly_base(silver, wind_unit))
 
+def shared_levels(names: Iterable[str]) -> list[list[str]]:
+    """The metrics grouped so that each group takes one aggregation."""
+    groups: dict[tuple, list[str]] = {}
+    for n in names:
+        groups.setdefault(WEATHER_METRICS[n].level, []).append(n)
+    return list(groups.values())
 
-def split_hourly(base: DataFrame) -> tuple[DataFrame, DataFrame]:
-    keys = ["window_date", "window_hour", "city", "samples_cnt"]
-    g1 = base.select(*keys, "temperature_avg_c", "temperature_min_c",
-                     "temperature_max_c", "temperature_stddev_c")
-    g5 = base.select(*keys, "comfort_index_c", "temperature_avg_c",
-                     "humidity_avg_pct", "wind_speed_avg_ms")
-    return g1, g5
 
+def temperature_hourly(silver: DataFrame) -> DataFrame:
+    return metric(silver, "temperature_hourly")
 
-def hourly_base(silver: DataFrame, wind_unit: str = "as_is") -> DataFrame:
-    """The fused G1 + G5 aggregate (one shuffle). Persist it when both
-    outputs are consumed; otherwise each re-runs the aggregate."""
-    wind = _wind(wind_unit)
-    at = apparent_temperature("temperature_2m", "relative_humidity_2m", wind)
-    base = (_hourly_keys(silver)
-            .groupBy("window_date", "window_hour", "city")
-            .agg(F.count(F.lit(1)).alias("samples_cnt"),
-                 F.avg("temperature_2m").alias("temperature_avg_c"),
-                 F.min("temperature_2m").alias("temperature_min_c"),
-                 F.max("temperature_2m").alias("temperature_max_c"),
-                 F.stddev_pop("temperature_2m").alias("temperature_stddev_c"),
-                 F.avg(at).alias("comfort_index_c"),
-                 F.avg("relative_humidity_2m").alias("humidity_avg_pct"),
-                 F.avg(wind).alias("wind_speed_avg_ms"))
-            .filter(F.col("city").isNotNull()))
-    return base
+
+def comfort_index_hourly(silver: DataFrame, wind_unit: str = "as_is") -> DataFrame:
+    return metric(silver, "comfort_index_hourly", Options(wind_unit=wind_unit))
 
 
-def daily_pair(silver: DataFrame, threshold_mm: float = RAIN_THRESHOLD_MM,
-               subzero_c: float = SUBZERO_C) -> tuple[DataFrame, DataFrame]:
-    """G2 and G4 from one (date, city, hour) first-level aggregate."""
-    return split_daily(daily_base(silver, threshold_mm, subzero_c))
+def precipitation_daily(silver: DataFrame, threshold_mm: float = RAIN_THRESHOLD_MM) -> DataFrame:
+    return metric(silver, "precipitation_daily", Options(threshold_mm=threshold_mm))
 
 
-def split_daily(daily: DataFrame) -> tuple[DataFrame, DataFrame]:
-    g2 = daily.select("window_date", "city", "total_precip_mm", "hours_observed", "rainy_hours")
-    g4 = daily.select("window_date", "city", "hours_observed", "coldest_hour_temp_c",
-                      "avg_hourly_min_temp_c", "subzero_hours")
-    return g2, g4
+def subzero_hours_daily(silver: DataFrame, subzero_c: float = SUBZERO_C) -> DataFrame:
+    return metric(silver, "subzero_hours_daily", Options(subzero_c=subzero_c))
 
 
-def daily_base(silver: DataFrame, threshold_mm: float = RAIN_THRESHOLD_MM,
-               subzero_c: float = SUBZERO_C) -> DataFrame:
-    """The fused G2 + G4 aggregate (two-level, computed once)."""
-    hourly = _city_hours(silver, hour_precip_mm=F.sum("precipitation"),
-                         hour_min_temp_c=F.min("temperature_2m"))
-    daily = (hourly.groupBy("window_date", "city")
-             .agg(F.sum("hour_precip_mm").alias("total_precip_mm"),
-                  F.count(F.lit(1)).alias("hours_observed"),
-                  F.sum(F.when(F.col("hour_precip_mm") >= threshold_mm, 1).otherwise(0))
-                   .alias("rainy_hours"),
-                  F.min("hour_min_temp_c").alias("coldest_hour_temp_c"),
-                  F.avg("hour_min_temp_c").alias("avg_hourly_min_temp_c"),
-                  F.count(F.when(F.col("hour_min_temp_c") < subzero_c, True)).alias("subzero_hours"))
-             .filter(F.col("city").isNotNull()))
-    return daily
+def wind_daily_extremes(silver: DataFrame, wind_unit: str = "as_is") -> DataFrame:
+    return metric(silver, "wind_daily_extremes", Options(wind_unit=wind_unit))
 
 
 # ---- G7 lineage, G6 registry -------------------------------------------------
@@ -206,50 +229,20 @@ def finalize_metric(df: DataFrame, producer: str, run_id: str, metric_name: str)
     })
 
 
-@dataclass(frozen=True)
-class MetricDef:
-    compute: Callable[[DataFrame], DataFrame]
-    partition_cols: tuple[str, ...]
-    columns: tuple[str, ...]
-
-
-WEATHER_METRICS: dict[str, MetricDef] = {
-    "temperature_hourly": MetricDef(temperature_hourly, ("window_date", "window_hour"),
-                                    ("event_ts", "city", "temperature_2m")),
-    "precipitation_daily": MetricDef(precipitation_daily, ("window_date",),
-                                     ("event_ts", "city", "precipitation")),
-    "wind_daily_extremes": MetricDef(wind_daily_extremes, ("window_date",),
-                                     ("event_ts", "city", "wind_speed_10m", "wind_direction_10m")),
-    "subzero_hours_daily": MetricDef(subzero_hours_daily, ("window_date",),
-                                     ("event_ts", "city", "temperature_2m")),
-    "comfort_index_hourly": MetricDef(comfort_index_hourly, ("window_date", "window_hour"),
-                                      ("event_ts", "city", "temperature_2m",
-                                       "relative_humidity_2m", "wind_speed_10m")),
-}
-
 METRIC_DOMAINS: dict[str, dict[str, MetricDef]] = {"weather": WEATHER_METRICS}
 
 
 def select_metrics(domain: str, requested: Iterable[str] | None = None) -> dict[str, MetricDef]:
     """The domain's metrics, or the requested subset; unknown names raise."""
-    if domain not in METRIC_DOMAINS:
-        raise ValueError(f"no Gold metrics registered for domain {domain!r}")
-    registry = METRIC_DOMAINS[domain]
-    names = list(requested or [])
-    if not names:
-        return dict(registry)
-    unknown = [n for n in names if n not in registry]
-    if unknown:
-        raise ValueError(f"unknown metrics requested: {unknown}")
-    return {n: registry[n] for n in names}
+    known = METRIC_DOMAINS.get(domain, {})
+    wanted = list(dict.fromkeys(requested or known))
+    if not known or not known.keys() >= set(wanted):
+        strange = sorted(set(wanted) - known.keys()) or "any"
+        raise ValueError(f"domain {domain!r} has no Gold metrics {strange}; known: {sorted(known)}")
+    return {n: known[n] for n in wanted}
 
 
 def needed_columns(metrics: dict[str, MetricDef]) -> list[str]:
     """Union of the Silver columns the selected metrics read (for pruning
     before a cache)."""
-    cols: list[str] = []
-    for m in metrics.values():
-        for c in m.columns:
-            if c not in cols:
-                cols.append(c)
-    return cols
+    return list(dict.fromkeys(c for m in metrics.values() for c in m.columns))

@@ -122,16 +122,14 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str, source: str,
         if rows == 0:
             log.warning("no Silver rows for producer=%s; nothing written", producer)
             return result
-        frames = {name: m.compute(shared) for name, m in plan.items()}
+        frames: dict[str, DataFrame] = {}
         fused: list[DataFrame] = []
-        # Pairs sharing grouping keys come from one persisted aggregate: one
-        # shuffle (two for the daily pair) instead of one per metric.
-        for pair, base_fn, split in ((gold.HOURLY_PAIR, gold.hourly_base, gold.split_hourly),
-                                     (gold.DAILY_PAIR, gold.daily_base, gold.split_daily)):
-            if all(n in plan for n in pair):
-                base = base_fn(shared).persist(StorageLevel.MEMORY_AND_DISK)
-                fused.append(base)
-                frames.update(zip(pair, split(base)))
+        # Metrics of one level come from one aggregation, kept if several read it.
+        for names in gold.shared_levels(plan):
+            base = gold.aggregate(shared, names)
+            if len(names) > 1:
+                fused.append(base.persist(StorageLevel.MEMORY_AND_DISK))
+            frames.update({n: gold.output(base, n) for n in names})
         try:
             for name, m in plan.items():
                 out = gold.finalize_metric(frames[name], producer, run_id, name)

@@ -56,8 +56,13 @@ def test_fused_pairs_equal_individual(spark):
     from conftest import SF001
     from aeolus.plans.catalog import silver_fixture
     s = silver_fixture(spark, SF001)
-    g1, g5 = gold.hourly_pair(s)
-    g2, g4 = gold.daily_pair(s)
+    levels = gold.shared_levels(gold.select_metrics("weather"))
+    assert sorted(map(sorted, levels)) == [
+        ["comfort_index_hourly", "temperature_hourly"],
+        ["precipitation_daily", "subzero_hours_daily"], ["wind_daily_extremes"]]
+    shared = {n: gold.output(gold.aggregate(s, names), n) for names in levels for n in names}
+    g1, g5 = shared["temperature_hourly"], shared["comfort_index_hourly"]
+    g2, g4 = shared["precipitation_daily"], shared["subzero_hours_daily"]
 
     def same(a, b):
         cols = sorted(b.columns)
