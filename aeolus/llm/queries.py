@@ -85,4 +85,91 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+# CRC-32 by its table of 256 steps, byte by byte; then the running sizes in the
+# order of checksum and id decide the shard in which each middle byte falls.
+_SHARDS_SQL = """
+WITH RECURSIVE step(b, v, k) AS (
+  SELECT i, i, 0 FROM range(256) t(i)
+  UNION ALL
+  SELECT b, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM step WHERE k < 8
+), crc_table AS (SELECT list(v ORDER BY b) AS t FROM step WHERE k = 8),
+hexed AS (
+  SELECT doc_id, coalesce(octet_length(encode(text)), 0) + 1 AS size, hex(encode(coalesce(text, ''))) AS h
+  FROM documents
+), bytes AS (
+  SELECT doc_id, size,
+         list_transform(range(size - 1), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS l
+  FROM hexed
+), crced AS (
+  SELECT doc_id, size, xor(list_reduce(l, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]),
+                                       4294967295::BIGINT), 4294967295)::BIGINT AS text_crc32
+  FROM bytes, crc_table
+), ordered AS (
+  SELECT *, sum(size) OVER (ORDER BY text_crc32, doc_id ROWS UNBOUNDED PRECEDING) - size AS before,
+         sum(size) OVER () AS total
+  FROM crced
+), placed AS (
+  SELECT *, (((2 * before + size) * 16) // (2 * total))::INTEGER AS shard FROM ordered
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY text_crc32, doc_id) - 1 AS slot,
+       NULL::INTEGER AS grown_shard
+FROM placed
+"""
+
+_VECTORS_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM usable a
+  JOIN usable b ON a.vec_id < b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT r.vec_id, e.y FROM reach r JOIN edges e ON r.other = e.x
+), component AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+degree AS (SELECT x AS vec_id, count(*) AS n FROM edges GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN component USING (vec_id) LEFT JOIN degree USING (vec_id)
+"""
+
+_JACCARD_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE
+      WHEN len(w) = 0 THEN []
+      WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    END) AS s FROM words)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * k >= 90 * (p.n + q.n - k)
+), edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, e.y FROM reach r JOIN edges e ON r.other = e.x
+), component AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM documents JOIN component USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_embedding_join": _VECTORS_SQL,
+    "op6_jaccard_join": _JACCARD_SQL,
+    "op7_sharding": _SHARDS_SQL,
+}
