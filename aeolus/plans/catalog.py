@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -718,6 +719,109 @@ def q_kmeans_centers(spark, sf_dir):
         res["data"].unpersist()
 
 
+# ---- facts of the fits: conditions that only the optimum meets -------------------
+#
+# Coefficients have no SQL, but what they must satisfy does: counts from the
+# tables, and conditions that hold. Tolerances are relative to the target.
+
+OPTIMUM_TOLERANCE = 1e-3
+
+
+def _mean_products(df: DataFrame, error: str, weight: str | None = None) -> dict[str, float]:
+    """Mean of error times each numeric feature, and of the error itself."""
+    w = F.col(weight) if weight else F.lit(1.0)
+    row = df.agg(F.avg(w * F.col(error)).alias("_self"),
+                 *[F.avg(w * F.col(error) * F.col(c)).alias(c) for c in mp.ROAD_SPEC.numeric]).first()
+    return {k: float(v or 0.0) for k, v in row.asDict().items()}
+
+
+@register("regression_optimality")
+def q_regression_optimality(spark, sf_dir):
+    """M7-M9: the residuals of OLS, ridge and lasso on the train rows average to
+    zero, and their products with each numeric feature balance the penalty."""
+    from ..constants import LASSO_ALPHA, RIDGE_ALPHA
+
+    y, rows = mp.ROAD_SPEC.regression_target, []
+    with _prepared(spark, sf_dir) as p:
+        train = p.data.filter(~F.col("is_test"))
+        n, sd = train.agg(F.count(F.lit(1)), F.coalesce(F.stddev_pop(y), F.lit(0.0))).first()
+        near = OPTIMUM_TOLERANCE * max(sd, 1e-9)
+        for name in mr.MODELS:
+            model = mr.fit(p, y, name)
+            scored = model.transform(train).withColumn("_error", F.col(y) - F.col("prediction"))
+            mean = _mean_products(scored, "_error")
+            balanced = []
+            for c, w in zip(mp.ROAD_SPEC.numeric, model.coefficients.toArray()):
+                if name == "lasso" and w == 0:
+                    balanced.append(abs(mean[c]) <= LASSO_ALPHA + near)
+                    continue
+                pull = {"ridge": RIDGE_ALPHA * w / max(n, 1),
+                        "lasso": LASSO_ALPHA * (1 if w > 0 else -1)}.get(name, 0.0)
+                balanced.append(abs(mean[c] - pull) <= near)
+            rows.append((name, n, bool(abs(mean["_self"]) <= near), bool(all(balanced))))
+    return spark.createDataFrame(
+        rows, "model string, rows_train long, intercept_balanced boolean, gradient_balanced boolean")
+
+
+@register("logistic_optimality")
+def q_logistic_optimality(spark, sf_dir):
+    """The weighted errors of the logistic regression balance its
+    penalty, every row is scored, and the decision is the 0.5 cut."""
+    from ..constants import LOGREG_C, PROBA_CUT
+
+    label = "is_congested"
+    with _prepared(spark, sf_dir) as p:
+        model = mc.fit_logistic(p, label)
+        data = mp.with_class_weights(p.data, label)
+        scored = mc.score(model, data).withColumn("_error", F.col(label) - F.col("congestion_proba"))
+        train = scored.filter(~F.col("is_test"))
+        n = train.count()
+        mean = _mean_products(train, "_error", "weight")
+        balanced = all(
+            abs(mean[c] - w / (LOGREG_C * max(n, 1))) <= OPTIMUM_TOLERANCE
+            for c, w in zip(mp.ROAD_SPEC.numeric, model.coefficients.toArray()))
+        facts = scored.agg(
+            F.count(F.lit(1)).alias("rows_scored"),
+            F.count(F.when(F.col("is_congested_pred") != (F.col("congestion_proba") >= PROBA_CUT).cast("int"), 1)),
+            F.count(F.when(~F.col("congestion_proba").between(0, 1), 1))).first()
+    row = (facts[0], n, bool(abs(mean["_self"]) <= OPTIMUM_TOLERANCE), bool(balanced),
+           facts[1] == 0, facts[2] == 0)
+    return spark.createDataFrame(
+        [row], "rows_scored long, rows_train long, intercept_balanced boolean,"
+               " gradient_balanced boolean, cut_consistent boolean, probabilities_in_range boolean")
+
+
+@register("kmeans_facts")
+def q_kmeans_facts(spark, sf_dir):
+    """Sizes add up to the points, the centers are the means of their
+    points, the inertia is the sum of their squared distances, and the chosen k
+    has the highest silhouette. True where the guard skips the fit."""
+    res = _kmeans_run(spark, sf_dir)
+    if res.get("skipped"):
+        row = (res["rows"], True, True, True, True)
+    else:
+        try:
+            labelled = res["labelled"].withColumn("_x", vector_to_array("features"))
+            dims = range(len(mk.POINT_COLS))
+            groups = labelled.groupBy("cluster").agg(
+                F.count(F.lit(1)).alias("n"), *[F.avg(F.col("_x")[i]).alias(f"m{i}") for i in dims],
+                F.sum(sum(F.col("_x")[i] * F.col("_x")[i] for i in dims)).alias("squares")).collect()
+            centers = res["model"].clusterCenters()
+            means = all(abs(float(centers[g["cluster"]][i]) - g[f"m{i}"]) <= 1e-2 for g in groups for i in dims)
+            inertia = sum(g["squares"] + sum(
+                g["n"] * (float(centers[g["cluster"]][i]) ** 2 - 2 * float(centers[g["cluster"]][i]) * g[f"m{i}"])
+                for i in dims) for g in groups)
+            best = max(res["evaluations"], key=lambda e: e["silhouette"])["k"]
+            total = sum(g["n"] for g in groups)
+            row = (total, total == labelled.count(), means,
+                   abs(inertia - res["inertia"]) <= 1e-6 * max(1.0, res["inertia"]), best == res["best_k"])
+        finally:
+            res["data"].unpersist()
+    return spark.createDataFrame(
+        [row], "points long, sizes_add_up boolean, centers_are_means boolean,"
+               " inertia_recomputed boolean, best_silhouette boolean")
+
+
 # ---- Streaming ------------------------------------------------------------------
 
 from ..streaming import metrics as sm  # noqa: E402

@@ -691,6 +691,25 @@ SELECT count(*) AS rows_total, count(CASE WHEN NOT is_test THEN 1 END) AS rows_t
 FROM ml"""
 
 
+# Facts of the fits: counts from the tables; the conditions of an optimum hold.
+ORACLE["regression_optimality"] = f"""{ML_CTES}
+SELECT model, count(CASE WHEN NOT is_test THEN 1 END) AS rows_train,
+       true AS intercept_balanced, true AS gradient_balanced
+FROM (VALUES ('linear_regression'), ('ridge'), ('lasso')) AS models(model) LEFT JOIN ml ON true
+GROUP BY model"""
+
+ORACLE["logistic_optimality"] = f"""{ML_CTES}
+SELECT count(*) AS rows_scored, count(CASE WHEN NOT is_test THEN 1 END) AS rows_train,
+       true AS intercept_balanced, true AS gradient_balanced, true AS cut_consistent,
+       true AS probabilities_in_range
+FROM ml"""
+
+ORACLE["kmeans_facts"] = f"""{ML_CTES}
+SELECT count(*) AS points, true AS sizes_add_up, true AS centers_are_means,
+       true AS inertia_recomputed, true AS best_silhouette
+FROM ml WHERE is_congested = 1 AND current_travel_time_s IS NOT NULL"""
+
+
 # ---- Streaming ------------------------------------------------------------------
 
 # Append-mode windows are emitted once the watermark passes their end; after
