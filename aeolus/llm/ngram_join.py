@@ -20,7 +20,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +27,9 @@ from pyspark.sql import functions as F
 from aeolus.llm.common import connected_components, materialise
 from aeolus.llm.shingles import mix, shingle_sets
 
-#: Coordinates of a point.
-GROUPS = 32
+#: Coordinates of a point in the R-tree; and shingles for each coordinate, on
+#: average, of the finer point by which surviving pairs are bounded again.
+GROUPS, FINE = 64, 8
 #: Bins by which the frequency of shingles is told, for the order of the keys.
 BINS = 1 << 16
 #: Children of a node of the R-tree; documents of a key in one task.
@@ -118,7 +118,7 @@ class _Describe:
 
     fields = [
         ("n", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()),
-        ("keys", pa.list_(pa.int64())), ("point", pa.binary()),
+        ("keys", pa.list_(pa.int64())), ("point", pa.binary()), ("fine", pa.binary()),
     ]
 
     def __init__(self, frequency: np.ndarray, num: int, den: int):
@@ -130,8 +130,25 @@ class _Describe:
         rare = np.lexsort((s, self.frequency[s & np.uint64(BINS - 1)]))[:first] if n else []
         fp1 = int(np.add.reduce(mix(s + np.uint64(1)), dtype=np.uint64)) if n else 0
         fp2 = int(np.bitwise_xor.reduce(mix(s ^ np.uint64(0x5851F42D4C957F2D)))) if n else 0
-        point = np.bincount((s >> np.uint64(40)) % np.uint64(GROUPS), minlength=GROUPS).astype("<i4")
-        return n, _signed(fp1), _signed(fp2), s[rare].view(np.int64), point.tobytes()
+        group = s >> np.uint64(40)
+        point = np.bincount(group & np.uint64(GROUPS - 1), minlength=GROUPS).astype("<u4")
+        fine = 1 << max(GROUPS.bit_length() - 1, (n // FINE).bit_length())
+        counts = np.bincount(group & np.uint64(fine - 1), minlength=fine)
+        return n, _signed(fp1), _signed(fp2), s[rare].view(np.int64), point.tobytes(), pack_counts(counts)
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs; that number comes first."""
+    size = 1 if counts.max() < 1 << 8 else 2 if counts.max() < 1 << 16 else 4
+    return bytes([size]) + counts.astype(f"<u{size}").tobytes()
+
+
+def shared_at_most(a: bytes, b: bytes) -> int:
+    """Sum of the smaller counts; the finer of two points is folded first."""
+    a, b = (np.frombuffer(x, f"<u{x[0]}", offset=1).astype(np.int64) for x in (a, b))
+    if len(a) < len(b):
+        a, b = b, a
+    return int(np.minimum(a.reshape(-1, len(b)).sum(0), b).sum())
 
 
 class _Set:
@@ -173,28 +190,41 @@ def _frequencies(texts: DataFrame, n: int) -> np.ndarray:
 def _candidates(num: int, den: int):
     """Pairs of different components in each group of (key, one, two)."""
 
-    def pairs_of(group: pd.DataFrame) -> pd.DataFrame:
-        points = np.frombuffer(b"".join(group["point"]), "<i4").reshape(-1, GROUPS).astype(np.int64)
-        sizes, owner, node = (group[c].to_numpy() for c in ("n", "component", "node"))
-        home = (group["tile"] == group["one"]).to_numpy()
-        away = (group["tile"] == group["two"]).to_numpy()
+    def pairs_of(tile, one, two, node, owner, sizes, points):
+        home, away = tile == one, tile == two
         tree = RTree(points[home], sizes[home], owner[home], num, den)
         q, p = tree.search(points[away], sizes[away], owner[away])
         a, b = node[away][q], node[home][p]
-        out = pd.DataFrame({"src": np.minimum(a, b), "dst": np.maximum(a, b)})
-        return out[out["src"] < out["dst"]].drop_duplicates()
+        return np.minimum(a, b), np.maximum(a, b)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def groups(table: pa.Table) -> pa.RecordBatch:
+        key, one, two, tile, node, owner, sizes = (
+            table.column(c).to_numpy() for c in ("key", "one", "two", "tile", "node", "component", "n")
+        )
+        points = np.frombuffer(b"".join(table.column("point").to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int64)
+        cuts = np.flatnonzero((np.diff(key) != 0) | (np.diff(one) != 0) | (np.diff(two) != 0)) + 1
+        found = [
+            pairs_of(tile[a:b], one[a], two[a], node[a:b], owner[a:b], sizes[a:b], points[a:b])
+            for a, b in zip([0, *cuts], [*cuts, len(key)])
+        ]
+        src, dst = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+        pairs = np.unique(np.stack([src, dst], 1)[src < dst], axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["src", "dst"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            last = rows.iloc[-1][["key", "one", "two"]]
-            open_ = ((rows[["key", "one", "two"]] == last).all(axis=1)).to_numpy()
-            held = rows[open_]
-            for _, group in rows[~open_].groupby(["key", "one", "two"], sort=False):
-                yield pairs_of(group)
-        if held is not None and len(held):
-            yield pairs_of(held)
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            # The last group may go on in the next batch.
+            ids = [table.column(c).to_numpy() for c in ("key", "one", "two")]
+            other = np.flatnonzero(np.logical_or.reduce([x != x[-1] for x in ids]))
+            cut = int(other[-1]) + 1 if len(other) else 0
+            if cut:
+                yield groups(table.slice(0, cut))
+            held = table.slice(cut)
+        if held is not None and held.num_rows:
+            yield groups(held)
 
     return run
 
@@ -205,13 +235,22 @@ def _verify(pairs: DataFrame, points: DataFrame, texts: DataFrame, n: int, num:
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<i4").reshape(-1, GROUPS)
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, GROUPS)
                 for c in ("point_a", "point_b")
             )
             size_a, size_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
             keep = np.minimum(a, b).sum(1) >= least_overlap(size_a, size_b, num, den)
             yield batch.select(["src", "dst"]).filter(pa.array(keep))
 
+    def finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shared = [
+                shared_at_most(a, b)
+                for a, b in zip(batch.column("fine_a").to_pylist(), batch.column("fine_b").to_pylist())
+            ]
+            need = least_overlap(batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), num, den)
+            yield batch.select(["src", "dst"]).filter(pa.array(np.array(shared, int) >= need))
+
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -221,12 +260,14 @@ def _verify(pairs: DataFrame, points: DataFrame, texts: DataFrame, n: int, num:
                 keep.append(both >= least_overlap(len(a), len(b), num, den))
             yield batch.select(["src", "dst"]).filter(pa.array(keep, pa.bool_()))
 
-    slim = points.select("node", "n", "point")
-    near = materialise(
-        pairs.join(slim.toDF("src", "n_a", "point_a"), "src").join(slim.toDF("dst", "n_b", "point_b"), "dst")
-        .mapInArrow(bounded, "src long, dst long"),
-        "bounded",
-    )
+    near = pairs
+    for name, test in (("point", bounded), ("fine", finer)):
+        slim = points.select("node", "n", name)
+        near = materialise(
+            near.join(slim.toDF("src", "n_a", f"{name}_a"), "src").join(slim.toDF("dst", "n_b", f"{name}_b"), "dst")
+            .mapInArrow(test, "src long, dst long"),
+            "bounded",
+        )
     wanted = (
         near.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
         .join(points.select("node", "id", "mark"), "node")
@@ -264,7 +305,7 @@ def jaccard_groups(documents: DataFrame, n: int = 3, num: int = 9, den: int = 10
     rows = materialise(
         texts.mapInArrow(
             _batches(n, ["id", "mark"], describe),
-            "id long, mark long, n long, fp1 long, fp2 long, keys array<long>, point binary",
+            "id long, mark long, n long, fp1 long, fp2 long, keys array<long>, point binary, fine binary",
         ).withColumn("row", F.monotonically_increasing_id()),
         "rows",
     )
@@ -275,32 +316,51 @@ def jaccard_groups(documents: DataFrame, n: int = 3, num: int = 9, den: int = 10
     classes = materialise(classes, "classes")
     points = materialise(
         rows.join(classes.select(F.col("node").alias("row")), "row")
-        .select(F.col("row").alias("node"), "id", "mark", "n", "keys", "point"),
+        .select(F.col("row").alias("node"), "id", "mark", "n", "keys", "point", "fine"),
         "points",
     )
-    keys = points.select(F.explode("keys").alias("key"), "node")
+    def similar(one: str, two: str):
+        """Sizes that can reach the similarity."""
+        return (F.col(one) * den >= F.col(two) * num) & (F.col(two) * den >= F.col(one) * num)
+
+    keys = points.select(F.explode("keys").alias("key"), "node", "n")
     shared = keys.groupBy("key").agg(F.count("*").alias("width")).where("width > 1")
     postings = materialise(keys.join(shared, "key"), "postings")
 
     # A document of many shared keys is the hub of its group.
     weight = postings.groupBy("node").agg(F.sum("width").alias("weight"))
     hubs = postings.join(weight, "node").groupBy("key").agg(
-        F.max(F.struct("weight", "node"))["node"].alias("hub")
-    )
+        F.max(F.struct("weight", "node", "n")).alias("hub")
+    ).select("key", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
     stars = materialise(
-        postings.join(hubs, "key").where("node <> hub")
+        postings.join(hubs, "key").where("node <> hub").where(similar("n", "hub_n"))
         .select(F.least("node", "hub").alias("src"), F.greatest("node", "hub").alias("dst")).distinct(),
         "stars",
     )
     links = materialise(_verify(stars, points, texts, n, num, den), "links")
     joined = connected_components(links)
 
-    # What the hubs left apart: all pairs of different components by the R-tree.
+    # What the hubs left apart: all pairs of different components. Of keys that
+    # have the same documents one is enough.
     labelled = postings.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    apart = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    apart = (
+        labelled.groupBy("key", "width").agg(
+            F.min("component").alias("lo"), F.max("component").alias("hi"),
+            F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("same"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("same2"),
+        )
+        .where("lo <> hi").groupBy("width", "same", "same2").agg(F.min("key").alias("key"))
+    )
+    left = materialise(labelled.join(apart.select("key"), "key"), "left")
+    # No more documents than a node of the tree has children need no tree.
+    small = left.where(F.col("width") <= FANOUT).select("key", "node", "n", "component")
+    few = (
+        small.toDF("key", "src", "n_a", "one").join(small.toDF("key", "dst", "n_b", "two"), "key")
+        .where((F.col("src") < F.col("dst")) & (F.col("one") != F.col("two"))).where(similar("n_a", "n_b"))
+        .select("src", "dst")
+    )
     tiles = F.ceil(F.col("width") / TILE).cast("int")
-    each = (
-        labelled.join(apart.select("key"), "key").join(points.select("node", "n", "point"), "node")
+    many = (
+        left.where(F.col("width") > FANOUT).join(points.select("node", "point"), "node")
         .withColumn("tile", F.pmod(F.xxhash64("node"), tiles).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
         .select(
@@ -308,10 +368,9 @@ def jaccard_groups(documents: DataFrame, n: int = 3, num: int = 9, den: int = 10
             "tile", "node", "component", "n", "point",
         )
         .repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
+        .mapInArrow(_candidates(num, den), "src long, dst long")
     )
-    rest = each.mapInPandas(_candidates(num, den), "src long, dst long").distinct().join(
-        stars, ["src", "dst"], "left_anti"
-    )
+    rest = few.unionByName(many).distinct().join(stars, ["src", "dst"], "left_anti")
     more = _verify(materialise(rest, "rest"), points, texts, n, num, den)
     found = connected_components(links.unionByName(more))
 
