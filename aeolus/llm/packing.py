@@ -18,10 +18,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeolus.llm.common import by_size, materialise
+from aeolus.llm.common import materialise
+from aeolus.llm.shingles import mix, powers
 from aeolus.llm.token_counts import tokenizer
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -30,9 +32,10 @@ SEQUENCE = 1_024
 #: Pieces in a block on average; a block's loss is below one sequence.
 BLOCK = 4_096
 ISLANDS, MEMBERS, EPOCHS, GENERATIONS = 2, 4, 2, 6
-KEPT_PIECES = 800_000
-#: Longer texts are encoded in segments cut at stable boundaries.
-SEGMENT = 1_000_000
+#: Pieces whose ids a Python worker keeps; beyond that it starts afresh.
+KEPT_PIECES = 2_000_000
+#: Bytes encoded at a time; longer texts are cut at stable boundaries.
+SEGMENT = 1 << 21
 
 # White space as the tokenizer's patterns have it: without U+001C to U+001F.
 _WHITE = r"[^\S\x1c-\x1f]"
@@ -59,44 +62,122 @@ def byte_letters() -> dict[int, int]:
 
 _LETTERS = byte_letters()
 
+_BYTES = np.random.default_rng(3).integers(1, 2**63, 256, dtype=np.uint64)
+#: 1 white space, 2 comma and full stop, 3 letters.
+_KIND = np.zeros(256, np.uint8)
+_KIND[[0x20, *range(0x09, 0x0E)]] = 1
+_KIND[[0x2C, 0x2E]] = 2
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 3
+#: First two bytes of other white space, and of some other characters.
+_WHITE_NEXT = np.zeros((256, 256), bool)
+for _pair in {c.encode()[:2] for c in "\x85\xa0\u1680\u2000\u2028\u202f\u205f\u3000"}:
+    _WHITE_NEXT[_pair[0], _pair[1]] = True
+_WHITE_LEAD = _WHITE_NEXT.any(1)
 
-class _Ids(dict):
-    """Ids of a piece of text as bytes, encoded when first asked for."""
+
+def encode_piece(piece: str, name: str = TOKENIZER) -> np.ndarray:
+    """Ids of a piece of text that begins and ends at stable boundaries."""
+    if _WORD.fullmatch(piece):
+        letters = piece.encode().decode("latin-1").translate(_LETTERS)
+        return np.array([t.id for t in tokenizer(name).model.tokenize(letters)], "<u4")
+    return np.array(tokenizer(name).encode(piece, add_special_tokens=False).ids, "<u4")
+
+
+class PieceTable:
+    """Ids of the pieces seen so far, found by 64-bit hashes."""
 
     def __init__(self, name: str):
-        self.encode, self.model = tokenizer(name).encode, tokenizer(name).model
-
-    def __missing__(self, piece: str) -> bytes:
-        if _WORD.fullmatch(piece):
-            letters = piece.encode().decode("latin-1").translate(_LETTERS)
-            ids = np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
-        elif piece[-1] in ".," and _WORD.fullmatch(piece, 0, len(piece) - 1):
-            ids = self[piece[:-1]] + self[piece[-1]]  # no pre-token reaches from a letter into it
-        else:
-            ids = np.array(self.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(piece) <= 64:
-            self[piece] = ids
-        return ids
+        self.name = name
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.used = np.zeros(1 << 16, "<u4"), 0
+
+    def place(self, hashes: np.ndarray, piece_of) -> np.ndarray:
+        """Rows of the ascending hashes; new ones are encoded, ``piece_of`` gives them."""
+        if len(self.hashes) > KEPT_PIECES or self.used > 16 * KEPT_PIECES:
+            self.clear()
+        at = np.searchsorted(self.hashes, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = at < len(self.hashes)
+        new[inside] = self.hashes[at[inside]] != hashes[inside]
+        fresh = np.flatnonzero(new)
+        if len(fresh):
+            ids = [encode_piece(piece_of(k), self.name) for k in fresh.tolist()]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            end = self.used + int(sizes.sum())
+            if end > len(self.flat):
+                self.flat = np.concatenate([self.flat[: self.used], np.zeros(end, "<u4")])
+            self.flat[self.used : end] = np.concatenate(ids)
+            starts = self.used + np.cumsum(sizes) - sizes
+            self.used = end
+            self.hashes = np.insert(self.hashes, at[fresh], hashes[fresh])
+            self.starts = np.insert(self.starts, at[fresh], starts)
+            self.sizes = np.insert(self.sizes, at[fresh], sizes)
+            at = np.searchsorted(self.hashes, hashes)
+        return at
 
 
 @lru_cache(maxsize=4)
-def _ids(name: str) -> _Ids:
-    return _Ids(name)
+def _table(name: str) -> PieceTable:
+    return PieceTable(name)
 
 
-def encode_texts(texts: list[str], name: str = TOKENIZER) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit numbers.
+def encode_bytes(data: np.ndarray, breaks: np.ndarray, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of UTF-8 texts in a row, and how many ids stand before each of ``breaks``.
 
-    No pre-token reaches from something other than white space into white
-    space, and none looks back, so the ids of a text are those of its pieces.
+    ``breaks``: where texts begin, and the end. No pre-token reaches from
+    something other than white space into white space, or from a letter into a
+    comma or full stop, and none looks back, so the ids of a text are those of
+    its pieces between such places. Texts here hold no white space but ASCII's.
     """
-    ids = _ids(name)
-    out = []
-    for text in texts:
-        if len(ids) > KEPT_PIECES:
-            ids.clear()
-        out.append(b"".join(map(ids.__getitem__, _PIECE.findall(text))))
-    return out
+    kind = _KIND[data]
+    first = np.zeros(len(data) + 1, bool)
+    first[1:-1] = ((kind[1:] == 1) & (kind[:-1] != 1)) | ((kind[1:] == 2) & (kind[:-1] == 3))
+    first[breaks] = True
+    starts = np.flatnonzero(first[:-1])
+    ends = np.append(starts[1:], len(data))
+    up, down = powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTES[data] * up[: len(data)], out=total[1:])
+    hashes = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    own, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+    table = _table(name)
+    row = table.place(own, lambda k: data[starts[at[k]] : ends[at[k]]].tobytes().decode())[which]
+    sizes = table.sizes[row]
+    before = np.concatenate(([0], np.cumsum(sizes)))
+    ids = table.flat[np.repeat(table.starts[row] - before[:-1], sizes) + np.arange(before[-1])]
+    return ids, before[np.searchsorted(starts, breaks)]
+
+
+def encode_texts(texts: pa.Array, name: str = TOKENIZER) -> Iterator[np.ndarray]:
+    """For each text its ids, as the tokenizer's library gives them; null: none."""
+    texts = texts.fill_null("").cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    first = 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SEGMENT, "right")) - 1)
+        a, b = int(offsets[first]), int(offsets[last])
+        if b - a > 4 * SEGMENT or _other_white(data[a:b]):
+            for text in texts.slice(first, last - first).to_pylist():
+                parts = [encode_piece(p, name) for s in _segments(text) for p in _PIECE.findall(s)]
+                yield np.concatenate([*parts, np.zeros(0, "<u4")])
+        elif a == b:
+            yield from (np.zeros(0, "<u4") for _ in range(first, last))
+        else:
+            ids, cuts = encode_bytes(data[a:b], offsets[first : last + 1] - a, name)
+            yield from (ids[i:j] for i, j in zip(cuts, cuts[1:]))
+        first = last
+
+
+def _other_white(data: np.ndarray) -> bool:
+    """Whether UTF-8 bytes may hold white space other than ASCII's."""
+    lead = np.flatnonzero(_WHITE_LEAD[data])
+    lead = lead[lead + 1 < len(data)]
+    return bool((_WHITE_NEXT[data[lead], data[lead + 1]]).any())
 
 
 def _segments(text: str) -> Iterator[str]:
@@ -110,13 +191,6 @@ def _segments(text: str) -> Iterator[str]:
     yield text[at:] if at else text
 
 
-def document_ids(texts: list[str], name: str = TOKENIZER, end_id: int = END_ID) -> list[bytes]:
-    end = np.array([end_id], "<u4").tobytes()
-    if len(texts) == 1 and len(texts[0]) > SEGMENT:
-        return [b"".join(encode_texts([s], name)[0] for s in _segments(texts[0])) + end]
-    return [ids + end for ids in encode_texts(texts, name)]
-
-
 def cut_points(n: int, most: int) -> list[int]:
     """Starts of the pieces of n ids; only the first may be shorter than ``most``."""
     first = n % most or most
@@ -128,29 +202,29 @@ def token_pieces(
 ) -> DataFrame:
     """One row a piece of every document's ids."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = 0
-            for texts in by_size(batch["text"]):
-                rows = []
-                for k, ids in enumerate(document_ids(texts, name, end_id), at):
-                    starts = cut_points(len(ids) // 4, most)
-                    rows += [
-                        (k, i, a, b - a, zlib.crc32(ids[a * 4 : b * 4]))
-                        for i, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids) // 4]))
-                    ]
-                at += len(texts)
-                out = pd.DataFrame(rows, columns=["k", "piece", "start", "length", "ids_crc32"])
-                own = batch.iloc[out.pop("k")]
-                out.insert(0, "_row", own["_row"].array)
-                out.insert(1, "doc_id", own["doc_id"].astype("Int64").array)
-                yield out
+            rows: list[tuple] = []
+            for k, ids in enumerate(encode_texts(batch.column("text"), name)):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                starts = cut_points(len(ids), most)
+                rows += [
+                    (k, i, a, b - a, zlib.crc32(ids[a:b].tobytes()))
+                    for i, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)]))
+                ]
+            k, *rest = (pa.array(x, t) for x, t in zip(
+                zip(*rows) if rows else [()] * 5, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            ))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_row").take(k), batch.column("doc_id").take(k), *rest],
+                ["_row", "doc_id", "piece", "start", "length", "ids_crc32"],
+            )
 
     return documents.select(
         F.monotonically_increasing_id().alias("_row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
-    ).mapInPandas(cut, _PIECES)
+    ).mapInArrow(cut, _PIECES)
 
 
 # -- the genetic algorithm on one block -----------------------------------
