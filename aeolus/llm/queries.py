@@ -13,9 +13,12 @@ from aeolus.llm import (
     html_extract,
     language_id,
     lm_scoring,
+    mixing,
     ngram_join,
     packing,
+    periodic_runs,
     sharding,
+    token_alignment,
     token_counts,
     toxicity,
 )
@@ -72,6 +75,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(_table(spark, sf_dir, "documents")).drop("copies")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokens(_table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(_table(spark, sf_dir, "documents"), plant=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_join": op1_embedding_join,
     "op2_html_extract": op2_html_extract,
@@ -83,6 +98,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
+    "op11_entropy_balancing": op11_entropy_balancing,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 # CRC-32 by its table of 256 steps, byte by byte; then the running sizes in the
@@ -168,8 +186,63 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
 FROM documents JOIN component USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
+# The targets fill the sources in order of size to weight; the tilts come from
+# bisection instead of Newton steps.
+_MIX_SQL = r"""
+WITH RECURSIVE sized AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         md5(concat_ws(':', doc_id, coalesce(text, ''))) AS mark
+  FROM documents
+), ranked AS (
+  SELECT source, sum(size)::DOUBLE AS own, count(*) FILTER (size > 0) AS worded,
+         [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS w
+  FROM sized GROUP BY source
+), levels AS (
+  SELECT *, (15e-1 * sum(own) OVER () - 2 * coalesce(sum(own) OVER (fullest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(w) OVER (fullest ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level, own / w AS room
+  FROM ranked WINDOW fullest AS (ORDER BY own / w, source NULLS LAST)
+), open_level AS (
+  SELECT level FROM levels WHERE NOT level * w > 2 * own ORDER BY room, source NULLS LAST LIMIT 1
+), targets AS MATERIALIZED (
+  SELECT source, own, own / greatest(worded, 1) AS mean, levels.level * w > 2 * own AS full,
+         CASE WHEN levels.level * w > 2 * own THEN 2 * own ELSE (SELECT level FROM open_level) * w END AS target
+  FROM levels
+), histogram AS MATERIALIZED (
+  SELECT s.source, s.size / t.mean AS x, count(*) AS n
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+  WHERE s.size > 0 AND t.target < 2 * t.own GROUP BY ALL
+), solve(source, lo, hi, k) AS (
+  SELECT source, least(0, ln(target / own)) * mean - 1, ln(2) * mean + 1, 0 FROM targets WHERE own > 0 AND target < 2 * own
+  UNION ALL
+  SELECT source, CASE WHEN f < t THEN m ELSE lo END, CASE WHEN f < t THEN hi ELSE m END, k + 1
+  FROM (
+    SELECT s.source, any_value(s.lo) AS lo, any_value(s.hi) AS hi, any_value(s.k) AS k,
+           any_value((s.lo + s.hi) / 2) AS m, any_value(t.target / t.mean) AS t,
+           sum(h.n * h.x * least(2, exp(least((s.lo + s.hi) / 2 * h.x, 17e-1)))) AS f
+    FROM solve s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+    JOIN histogram h ON h.source IS NOT DISTINCT FROM s.source
+    WHERE s.k < 70 GROUP BY s.source
+  )
+), tilts AS (SELECT source, (lo + hi) / 2 AS tilt FROM solve WHERE k = 70),
+rated AS (
+  SELECT s.*, t.own, t.target, round(1048576 * CASE
+           WHEN t.full OR t.target >= 2 * t.own AND t.own > 0 THEN 2
+           ELSE least(2, exp(least(coalesce(i.tilt, 0) * s.size / t.mean, 17e-1))) END)::BIGINT AS units
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+  LEFT JOIN tilts i ON i.source IS NOT DISTINCT FROM s.source
+), summed AS (
+  SELECT *, sum(units) OVER (PARTITION BY source ORDER BY size DESC, mark, r ROWS UNBOUNDED PRECEDING)::BIGINT + 524288 AS upto
+  FROM rated
+)
+SELECT doc_id, size, own::BIGINT AS source_size, target,
+       ((upto // 1048576 - (upto - units) // 1048576) * size)::BIGINT AS taken
+FROM summed
+"""
+
 ORACLE: dict[str, str] = {
     "op1_embedding_join": _VECTORS_SQL,
     "op6_jaccard_join": _JACCARD_SQL,
     "op7_sharding": _SHARDS_SQL,
+    "op11_entropy_balancing": _MIX_SQL,
 }
