@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from ..constants import (
     ALERT_KEY_COLUMNS,
+    ALERTS_SOURCE,
     CURRENT_METRICS,
     INGEST_TS_FORMAT,
     ROAD_TAG_PICKS,
@@ -181,6 +182,32 @@ def expand_alert_lines(lines: DataFrame, header: Sequence[str], line_col: str =
                          key.alias("natural_key")))
 
 
+def expand_alert_bodies(bodies: DataFrame, body: str = "text",
+                        key_columns: Sequence[str] = ALERT_KEY_COLUMNS,
+                        source: str = ALERTS_SOURCE, keep: Sequence[str] = ()) -> DataFrame:
+    """B6 over whole bodies, each with its own header: the first line that is
+    not blank. Rows as in ``expand_alert_lines``; a body without lines below
+    its header gives none."""
+    def cells(line):
+        return F.transform(F.split(line, ","), lambda x: F.trim(x))
+
+    lines = F.filter(F.split(F.col(body), r"\R"), lambda x: F.trim(x) != "")
+    header = cells(F.get(F.col("_lines"), 0))
+    rows = (bodies.select(*keep, lines.alias("_lines"))
+            .select(*keep, header.alias("_header"),
+                    F.explode(F.slice("_lines", 2, F.greatest(F.size("_lines") - 1, F.lit(0)))).alias("_line"))
+            .select(*keep, "_header", F.array_distinct("_header").alias("_names"), cells(F.col("_line")).alias("_cells")))
+    # Of equal names the last cell counts.
+    place = lambda name: F.size("_header") - F.array_position(F.reverse("_header"), name)
+    values = F.transform("_names", lambda name: F.coalesce(F.get(F.col("_cells"), place(name).cast("int")), F.lit("")))
+    picked = [F.coalesce(F.col("row")[k], F.lit("")) for k in key_columns]
+    key = (F.when(F.concat(*picked) == "", F.concat_ws("|", "_values"))
+           .otherwise(F.concat_ws("|", *picked)))
+    return (rows.withColumn("_values", values)
+                .withColumn("row", F.map_from_arrays("_names", "_values"))
+                .select(*keep, "row", stable_event_id(source, key).alias("event_id"), key.alias("natural_key")))
+
+
 def read_alert_csv(spark: SparkSession, path: str) -> DataFrame:
     """B6 file reader: header from the file, no quoting, cells trimmed,
     blank lines skipped, extra cells dropped, short rows null (-> "")."""

@@ -1,10 +1,15 @@
 """Command line for the layer jobs.
 
     python -m aeolus.plans.cli silver  --bronze ROOT --silver ROOT [--source S] [--producer P]
+                                       [--incremental]
     python -m aeolus.plans.cli gold    --silver ROOT --gold ROOT --producer P [--metrics m ...]
     python -m aeolus.plans.cli datasets --silver ROOT --out DIR [--time-from D --time-to D] [--force]
     python -m aeolus.plans.cli train   --datasets DIR --out DIR [--dataset kpt|tomtom|all]
     python -m aeolus.plans.cli ingest  --landing ROOT --bronze ROOT [--interval 600] [--checkpoint DIR]
+    python -m aeolus.plans.cli collect --landing ROOT --bronze ROOT --producer P [--domains d ...]
+                                       [--layout files|log] [--interval 600] [--checkpoint DIR]
+
+``ingest`` takes finished envelopes, ``collect`` response bodies.
 
 The master comes from ``spark-submit`` (or ``--master`` for local runs). Exit
 codes: 1 for an unknown domain or metric, 2 for a failed run.
@@ -23,6 +28,7 @@ from ..constants import (
     DEFAULT_TIME_FROM,
     DEFAULT_TIME_TO,
     OWM_SOURCE,
+    POLL_INTERVAL_SECONDS,
     PROBE_SOURCE,
     WEATHER_API_SOURCE,
     WEATHER_SOURCE,
@@ -50,6 +56,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--source", default=WEATHER_SOURCE)
     s.add_argument("--producer", default=None)
     s.add_argument("--restamp", action="store_true")
+    s.add_argument("--incremental", action="store_true",
+                   help="read only Bronze files that are new since the last such run")
     s.add_argument("--output-format", choices=("parquet", "json"), default="parquet")
 
     g = sub.add_parser("gold")
@@ -83,6 +91,16 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--interval", type=int, default=600)
     i.add_argument("--checkpoint", default=None,
                    help="folder for the streams' progress; default: under spark.checkpoint.dir")
+
+    c = sub.add_parser("collect")
+    c.add_argument("--landing", required=True, help="folder with a folder of bodies per domain")
+    c.add_argument("--bronze", required=True)
+    c.add_argument("--producer", required=True)
+    c.add_argument("--domains", nargs="*")
+    c.add_argument("--layout", choices=("files", "log"), default="files")
+    c.add_argument("--interval", type=int, default=POLL_INTERVAL_SECONDS)
+    c.add_argument("--checkpoint", default=None,
+                   help="folder for the streams' progress; default: under spark.checkpoint.dir")
     return ap
 
 
@@ -97,11 +115,23 @@ def run(argv: list[str] | None = None) -> int:
         except ValueError as exc:
             log.error("%s", exc)
             return 1
+    if args.cmd == "collect":
+        from ..streaming import capture
+        try:
+            capture.select_domains(args.domains)
+        except ValueError as exc:
+            log.error("%s", exc)
+            return 1
     spark = build_session(f"aeolus-{args.cmd}", master=args.master)
     try:
         if args.cmd == "silver":
-            r = jobs.run_silver(spark, args.bronze, args.silver, args.source, args.producer,
-                                args.restamp, fmt=args.output_format)
+            if args.incremental:
+                from .incremental import run_silver_incremental
+                r = run_silver_incremental(spark, args.bronze, args.silver, args.source, args.producer,
+                                           args.restamp)
+            else:
+                r = jobs.run_silver(spark, args.bronze, args.silver, args.source, args.producer,
+                                    args.restamp, fmt=args.output_format)
             print(f"silver run {r.run_id}: raw={r.raw_rows} valid={r.valid_rows} "
                   f"rejected={r.rejected_rows}")
         elif args.cmd == "gold":
@@ -147,6 +177,15 @@ def run(argv: list[str] | None = None) -> int:
             if failed:
                 log.error("ingest failed for %s", ", ".join(sorted(failed)))
                 return 2
+        elif args.cmd == "collect":
+            from ..streaming.ingest import wait_all
+            running, failed = capture.collect_all(
+                spark, args.landing, args.bronze, args.producer, args.domains, args.interval,
+                args.layout, args.checkpoint)
+            failed |= wait_all(running)
+            if failed:
+                log.error("collect failed for %s", ", ".join(sorted(failed)))
+                return 2
         return 0
     except Exception:  # noqa: BLE001 - reported as exit code 2
         log.exception("%s run failed", args.cmd)

@@ -31,6 +31,7 @@ from ..operators.ml import clustering as mk
 from ..operators.ml import prep as mp
 from ..operators.ml import regression as mr
 from ..sinks import writers as W
+from ..sinks.manifest import committed
 from ..sources.bronze import read_bronze
 from ..sources.silver import read_silver
 
@@ -97,7 +98,12 @@ def silver_for_gold(spark: SparkSession, silver_root: str, source: str,
                     producer: str | None = None, dedup_runs: bool = True,
                     fmt: str = "parquet") -> DataFrame:
     """S2 + P2: all runs, one row per event (the latest run wins: runs are
-    ordered by ingest time, then by file modification time)."""
+    ordered by ingest time, then by file modification time). Of a layer kept by
+    incremental runs, what they committed, as a full run would have it."""
+    if dedup_runs and not committed(spark, silver_root, "weather", source).isEmpty():
+        from .incremental import current_silver
+        df = current_silver(spark, silver_root, source)
+        return df if producer is None else df.filter(F.col("author") == producer)
     df = read_silver(spark, silver_root, "weather", source, fmt)
     if producer is not None:
         df = df.filter(F.col("author") == producer)

@@ -806,3 +806,44 @@ ORACLE["stream_late_data"] = f"""{SILVER_CTES},
 wm AS (SELECT max(event_ts) - INTERVAL 1 HOUR AS wm FROM valid WHERE ingest_ts >= '2024-01-15')
 SELECT {SILVER_COLS} FROM silver, wm
 WHERE ingest_ts >= '2024-01-15' AND event_ts < wm.wm"""
+
+
+# ---- Bronze from response bodies --------------------------------------------------
+
+_SLOT = "strftime(ts, '%Y-%m-%d') AS ingest_date, strftime(ts, '%H') AS hour"
+_STAMPED = "strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS ingest_ts"
+
+ORACLE["collect_weather"] = f"""
+SELECT {_STAMPED}, 'open_meteo_current' AS source, 'fixture' AS author, {_SLOT},
+       x.* EXCLUDE (src_id, pos)
+FROM ({ORACLE["response_expand"]}) x JOIN events e ON e.event_id = x.src_id"""
+
+ORACLE["collect_traffic"] = f"""
+SELECT {_STAMPED}, {_SLOT}, x.* EXCLUDE (page_id), url AS endpoint
+FROM ({ORACLE["raw_capture"]}) x JOIN (
+  SELECT page_id, url, make_timestamp((1704412800 + page_id) * 1000000) AS ts FROM pages) p USING (page_id)"""
+
+# A static domain's first capture of each hour, by time, then name.
+_FIRST_OF_HOUR = """
+firsts AS (
+  SELECT event_id AS src_id, ts, 'poll-' || CAST(event_id AS VARCHAR) AS endpoint FROM events
+  QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', ts) ORDER BY date_trunc('second', ts), endpoint) = 1)"""
+
+ORACLE["collect_alerts"] = f"""WITH {_FIRST_OF_HOUR}
+SELECT {_STAMPED}, {_SLOT}, x.event_id, f.endpoint AS source_url, x.n_cells,
+       split_part(x.natural_key, '|', 1) AS region, x.oblast, x.notes
+FROM ({ORACLE["alerts_expand"]}) x JOIN firsts f USING (src_id)"""
+
+ORACLE["collect_roads"] = f"""WITH {_FIRST_OF_HOUR}
+SELECT {_STAMPED}, {_SLOT}, x.event_id, x.way_id, x.highway_class, x.name, x.name_en, x.maxspeed, x.lanes,
+       x.center_lat, x.center_lon
+FROM ({ORACLE["roads_expand"]}) x JOIN firsts f USING (src_id)"""
+
+
+# ---- incremental Silver -----------------------------------------------------------
+
+ORACLE["silver_incremental"] = f"""{FLAT_CTES},
+valid AS (SELECT * FROM flat WHERE {NONNULL} AND {INRANGE} AND {TIMELY})
+SELECT {SILVER_COLS} FROM valid
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingest_ts, event_ts, city, latitude, longitude, elevation_m,
+  temperature_2m, relative_humidity_2m, precipitation, wind_speed_10m, wind_direction_10m, surface_pressure) = 1"""

@@ -39,22 +39,42 @@ def stream_root(root: str) -> str:
     return f"{root.rstrip('/')}/streamed"
 
 
+def capture_root(root: str) -> str:
+    """Where the streams over response bodies keep their share of a Bronze layer."""
+    return f"{root.rstrip('/')}/captured"
+
+
 def read_bronze(spark: SparkSession, root: str, domain: str, source: str,
-                schema: T.StructType) -> DataFrame:
-    """S1 over a Bronze layer: what ``sinks.write_bronze`` and streaming
-    ingest wrote. Either may be missing; both missing is an error."""
+                schema: T.StructType, newer_than: str | None = None,
+                file_time: bool = False) -> DataFrame:
+    """S1 over a Bronze layer: what ``sinks.write_bronze``, streaming ingest and
+    the streams over bodies wrote. Each may be missing; all missing is an error.
+
+    ``newer_than`` (a timestamp) keeps only files modified after it; other
+    files are left out of the scan by their listing, not read. ``file_time``
+    adds the files' modification time as ``_file_time``."""
+    modified = F.col("_metadata.file_modification_time")
     found: list[DataFrame] = []
     missing: AnalysisException | None = None
-    for base in (root, stream_root(root)):
+    for base in (root, stream_root(root), capture_root(root)):
         try:
-            found.append(read_bronze_json(spark, bronze_root(base, domain, source), schema))
+            scan = read_bronze_json(spark, bronze_root(base, domain, source), schema)
         except AnalysisException as exc:
             if exc.getCondition() != "PATH_NOT_FOUND":
                 raise
             missing = exc
+            continue
+        if newer_than is not None:
+            scan = scan.where(modified > F.lit(newer_than).cast("timestamp"))
+        if file_time:
+            scan = scan.withColumn("_file_time", modified)
+        found.append(scan)
     if not found:
         raise missing
-    return found[0] if len(found) == 1 else found[0].unionByName(found[1], allowMissingColumns=True)
+    out = found[0]
+    for scan in found[1:]:
+        out = out.unionByName(scan, allowMissingColumns=True)
+    return out
 
 
 def quarantine(bronze: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..constants import (
     CURRENT_METRICS,
     KMH_PER_MS,
+    INGEST_TS_FORMAT,
     OBSERVED_AT_FORMAT,
     OWM_SOURCE,
     WEATHER_API_SOURCE,
@@ -178,7 +179,7 @@ ALERT_HEADER = ("region", " start", "end ", "start_time", "end_time", "oblast",
 # --- end of fixed values ----------------------------------------------------
 
 
-def weather_polls(events: DataFrame) -> DataFrame:
+def weather_polls(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One multi-city forecast response per event, as JSON text: ``k % 6``
     items (0..5), item i describing city i; missing tail items exercise the
     positional defaults."""
@@ -206,10 +207,10 @@ def weather_polls(events: DataFrame) -> DataFrame:
         )
 
     items = F.transform(F.sequence(F.lit(0), F.lit(len(WEATHER_CITIES) - 1)), item)
-    return b.select("src_id", F.to_json(F.slice(items, 1, k % 6)).alias("body"))
+    return b.select("src_id", *keep, F.to_json(F.slice(items, 1, k % 6)).alias("body"))
 
 
-def alert_lines(events: DataFrame) -> DataFrame:
+def alert_lines(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """CSV lines of an alerts export (no quoting): short rows for ``error``,
     two extra cells when k > 90, blank lines when k = 0, padded cells."""
     b = events_base(events)
@@ -230,10 +231,10 @@ def alert_lines(events: DataFrame) -> DataFrame:
             .when(F.col("event_type") == "error", short)
             .when(k > 90, F.concat(full, F.lit(",x,y")))
             .otherwise(full))
-    return b.select("src_id", line.alias("line"))
+    return b.select("src_id", *keep, line.alias("line"))
 
 
-def road_responses(events: DataFrame) -> DataFrame:
+def road_responses(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One Overpass-like response per event with two elements: a way (a node
     for ``error`` events) and a node; tag keys present depend on ``k``."""
     b = events_base(events)
@@ -259,7 +260,31 @@ def road_responses(events: DataFrame) -> DataFrame:
     node = F.struct(F.lit("node").alias("type"), (F.col("src_id") + 1000000000).alias("id"),
                     center.alias("center"),
                     F.create_map().cast("map<string,string>").alias("tags"))
-    return b.select("src_id", F.array(way, node).alias("elements"))
+    return b.select("src_id", *keep, F.array(way, node).alias("elements"))
+
+
+def capture_log(spark: SparkSession, sf_dir: str, domain: str) -> DataFrame:
+    """Captured bodies of a domain as a collector logs them: a poll per event
+    (``weather``, ``roads``, ``alerts``: an export of one line), a raw capture
+    per page (``traffic``, a second apart)."""
+    if domain == "traffic":
+        pages = read_table(spark, sf_dir, "pages")
+        when = F.timestamp_seconds(F.lit(1704412800) + F.col("page_id"))
+        return pages.select(
+            F.date_format(when, INGEST_TS_FORMAT).alias("captured_at"), F.col("url").alias("endpoint"),
+            F.lit(None).cast("string").alias("body"), F.base64(F.encode("html", "UTF-8")).alias("body_b64"))
+    events = read_table(spark, sf_dir, "events")
+    if domain == "weather":
+        polls = weather_polls(events, keep=("ts",))
+    elif domain == "roads":
+        polls = road_responses(events, keep=("ts",)).withColumn("body", F.to_json(F.struct("elements")))
+    else:
+        polls = alert_lines(events, keep=("ts",)).withColumn(
+            "body", F.concat(F.lit(",".join(ALERT_HEADER) + "\n"), "line"))
+    return polls.select(
+        F.date_format("ts", INGEST_TS_FORMAT).alias("captured_at"),
+        F.concat(F.lit("poll-"), F.col("src_id").cast("string")).alias("endpoint"),
+        "body", F.lit(None).cast("string").alias("body_b64"))
 
 
 def static_captures(events: DataFrame) -> DataFrame:

@@ -16,10 +16,10 @@ from __future__ import annotations
 
 import logging
 import time
-from typing import Mapping
+from typing import Callable, Mapping
 
 from pyspark.errors import PySparkException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -52,14 +52,37 @@ def ingest_domain(spark: SparkSession, landing_dir: str, root: str, domain: str,
               .option("columnNameOfCorruptRecord", CORRUPT_COL))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    keyed = with_partition_keys(reader.json(landing_dir)).drop("part_stamp")
+    return append_bronze(reader.json(landing_dir), stream_root(root), domain, source,
+                         f"{checkpoint_root(spark, checkpoint)}/{domain}/{source}", f"ingest_{domain}",
+                         interval_seconds)
+
+
+def append_bronze(envelopes: DataFrame, root: str, domain: str, source: str, checkpoint: str,
+                  name: str, interval_seconds: int) -> StreamingQuery:
+    """Append a stream of envelopes to the hour partitions below ``root``.
+    ``interval_seconds=0`` takes what is there and ends."""
+    keyed = with_partition_keys(envelopes).drop("part_stamp")
     w = (keyed.writeStream.format("json").outputMode("append")
          .partitionBy("ingest_date", "hour")
-         .option("checkpointLocation", f"{checkpoint_root(spark, checkpoint)}/{domain}/{source}")
-         .queryName(f"ingest_{domain}"))
+         .option("checkpointLocation", checkpoint)
+         .queryName(name))
     w = (w.trigger(availableNow=True) if interval_seconds == 0
          else w.trigger(processingTime=f"{interval_seconds} seconds"))
-    return w.start(bronze_root(stream_root(root), domain, source))
+    return w.start(bronze_root(root, domain, source))
+
+
+def start_each(starters: Mapping[str, Callable[[], StreamingQuery]],
+               ) -> tuple[dict[str, StreamingQuery], dict[str, str]]:
+    """Start every query; one that can't start is logged and the others go on."""
+    running: dict[str, StreamingQuery] = {}
+    failed: dict[str, str] = {}
+    for domain, start in starters.items():
+        try:
+            running[domain] = start()
+        except PySparkException as exc:
+            log.error("ingest of %s did not start: %s", domain, str(exc)[:300])
+            failed[domain] = str(exc)
+    return running, failed
 
 
 def ingest_all(spark: SparkSession, landing_root: str, root: str,
@@ -71,17 +94,12 @@ def ingest_all(spark: SparkSession, landing_root: str, root: str,
     Returns the started queries and, for domains that could not start (no
     landing folder, unreadable files), the error; the others go on."""
     checkpoint_root(spark, checkpoint)
-    running: dict[str, StreamingQuery] = {}
-    failed: dict[str, str] = {}
-    for domain, (source, schema) in domains.items():
-        try:
-            running[domain] = ingest_domain(
-                spark, f"{landing_root.rstrip('/')}/{domain}", root, domain, source, schema,
-                interval_seconds, checkpoint=checkpoint)
-        except PySparkException as exc:
-            log.error("ingest of %s did not start: %s", domain, str(exc)[:300])
-            failed[domain] = str(exc)
-    return running, failed
+    return start_each({
+        domain: (lambda domain=domain, source=source, schema=schema: ingest_domain(
+            spark, f"{landing_root.rstrip('/')}/{domain}", root, domain, source, schema,
+            interval_seconds, checkpoint=checkpoint))
+        for domain, (source, schema) in domains.items()
+    })
 
 
 def wait_all(running: Mapping[str, StreamingQuery], poll_seconds: float = 1.0) -> dict[str, str]:
