@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.ml.feature import (ElementwiseProduct, OneHotEncoder, StringIndexer,
                                 StringIndexerModel, VectorAssembler)
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -129,6 +129,54 @@ def hash_split(df: DataFrame, key: str, test_share: float = TEST_SHARE,
     return df.withColumn("is_test", split_flag(key, test_share, seed))
 
 
+#: Hex digits of the hash that orders rows, and those that one refinement looks at.
+_ORDER_DIGITS, _STEP_DIGITS = 15, 3
+
+
+def exact_split(df: DataFrame, key: str, label: str, test_share: float = TEST_SHARE,
+                seed: int | None = None) -> DataFrame:
+    """M4: a split whose test rows are ``round(share * rows)`` of every class.
+
+    In each class the rows with the smallest hashes of the key are the test
+    rows. The last one's hash is found without a window over the class: counts
+    by the hash's first digits tell the digits it begins with, then counts
+    among those rows tell the next ones. Each step is a grouped count of at most
+    4096 buckets a class; only per-class rows are kept. Keys are unique (rows
+    of one key stay together); a null label is a class."""
+    k = F.col(key).cast("string")
+    if seed is not None:
+        k = F.concat(F.lit(f"{seed}:"), k)
+    rows = df.withColumn("_h", F.substring(F.sha1(F.coalesce(k, F.lit(""))), 1, _ORDER_DIGITS))
+    slim = rows.select(F.col(label).alias("_class"), "_h")
+    # Per class: digits known so far, and test rows still to find among rows that begin so.
+    state = slim.groupBy("_class").agg(
+        F.floor(F.count(F.lit(1)) * F.lit(test_share) + F.lit(0.5)).cast("long").alias("_need")
+    ).withColumn("_known", F.lit(""))
+    same = F.col("_class").eqNullSafe(F.col("_c"))
+    for begin in range(0, _ORDER_DIGITS, _STEP_DIGITS):
+        classes = state.select(F.col("_class").alias("_c"), "_need", "_known")
+        # One row a class, and as many classes as the label has values.
+        among = slim.join(F.broadcast(classes), same & F.col("_h").startswith(F.col("_known")))
+        counts = among.groupBy("_class", "_need", "_known", F.substring("_h", 1, begin + _STEP_DIGITS).alias("_to")).agg(
+            F.count(F.lit(1)).alias("_n"))
+        upto = Window.partitionBy("_class").orderBy("_to")
+        counts = counts.withColumn("_before", F.sum("_n").over(upto) - F.col("_n"))
+        # The bucket that holds the last test row; with none to find, no row is below the first.
+        state = (counts.where("_before < _need OR (_need = 0 AND _before = 0)")
+                 .groupBy("_class").agg(F.max(F.struct("_to", "_before", "_need")).alias("b"))
+                 .select("_class", F.col("b._to").alias("_known"), (F.col("b._need") - F.col("b._before")).alias("_need")))
+        state = _kept_small(state)
+    ends = state.select(F.col("_class").alias("_c"), "_known", "_need")
+    return (rows.join(F.broadcast(ends), F.col(label).eqNullSafe(F.col("_c")), "left")
+                .withColumn("is_test", (F.col("_need") > 0) & (F.col("_h") <= F.col("_known")))
+                .drop("_h", "_c", "_known", "_need"))
+
+
+def _kept_small(state: DataFrame) -> DataFrame:
+    """Computed now, so that later steps don't repeat it: a row a class."""
+    return state.sparkSession.createDataFrame(state.collect(), state.schema)
+
+
 # ---- M5 ------------------------------------------------------------------------
 
 def scaler_stats(train: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:

@@ -62,6 +62,14 @@ def silver_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  order_by=("src_id",), carry=("src_id",))
 
 
+def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, landed once a session as the Silver layer is: Bronze is parsed
+    and deduplicated by one job, and whatever comes after reads its Parquet."""
+    path = landing.land(spark, sf_dir, "silver_weather", "parquet",
+                        lambda _events: silver_fixture(spark, sf_dir))
+    return spark.read.parquet(path)
+
+
 SILVER_OUT = ("event_id", "author", "source", "schema_v", "ingest_ts", "event_ts", "city",
               "latitude", "longitude", "elevation_m", "temperature_2m",
               "relative_humidity_2m", "precipitation", "wind_speed_10m",
@@ -85,7 +93,7 @@ def q_silver_weather(spark, sf_dir):
 @register("temperature_hourly")
 def q_temperature_hourly(spark, sf_dir):
     """G1."""
-    g = gold.temperature_hourly(silver_fixture(spark, sf_dir))
+    g = gold.temperature_hourly(silver_table(spark, sf_dir))
     return g.select("window_date", "window_hour", "city", "samples_cnt",
                     *[_r(c).alias(c) for c in ("temperature_avg_c", "temperature_min_c",
                                                "temperature_max_c", "temperature_stddev_c")])
@@ -146,7 +154,7 @@ def q_silver_stamp_producer(spark, sf_dir):
 @register("precipitation_daily")
 def q_precipitation_daily(spark, sf_dir):
     """G2."""
-    g = gold.precipitation_daily(silver_fixture(spark, sf_dir))
+    g = gold.precipitation_daily(silver_table(spark, sf_dir))
     return g.select("window_date", "city", _r("total_precip_mm").alias("total_precip_mm"),
                     "hours_observed", "rainy_hours")
 
@@ -154,7 +162,7 @@ def q_precipitation_daily(spark, sf_dir):
 @register("wind_daily_extremes")
 def q_wind_daily_extremes(spark, sf_dir):
     """G3."""
-    g = gold.wind_daily_extremes(silver_fixture(spark, sf_dir))
+    g = gold.wind_daily_extremes(silver_table(spark, sf_dir))
     return g.select("window_date", "city",
                     *[_r(c).alias(c) for c in ("wind_speed_max_ms", "wind_speed_avg_ms",
                                                "prevailing_wind_deg", "mean_wind_vector_ms")])
@@ -163,7 +171,7 @@ def q_wind_daily_extremes(spark, sf_dir):
 @register("subzero_hours_daily")
 def q_subzero_hours_daily(spark, sf_dir):
     """G4."""
-    g = gold.subzero_hours_daily(silver_fixture(spark, sf_dir))
+    g = gold.subzero_hours_daily(silver_table(spark, sf_dir))
     return g.select("window_date", "city", "hours_observed",
                     _r("coldest_hour_temp_c").alias("coldest_hour_temp_c"),
                     _r("avg_hourly_min_temp_c").alias("avg_hourly_min_temp_c"),
@@ -173,7 +181,7 @@ def q_subzero_hours_daily(spark, sf_dir):
 @register("comfort_index_hourly")
 def q_comfort_index_hourly(spark, sf_dir):
     """G5."""
-    g = gold.comfort_index_hourly(silver_fixture(spark, sf_dir))
+    g = gold.comfort_index_hourly(silver_table(spark, sf_dir))
     return g.select("window_date", "window_hour", "city", "samples_cnt",
                     *[_r(c).alias(c) for c in ("comfort_index_c", "temperature_avg_c",
                                                "humidity_avg_pct", "wind_speed_avg_ms")])
@@ -182,7 +190,7 @@ def q_comfort_index_hourly(spark, sf_dir):
 @register("metric_lineage")
 def q_metric_lineage(spark, sf_dir):
     """Lineage columns stamped on a Gold metric."""
-    g = gold.temperature_hourly(silver_fixture(spark, sf_dir))
+    g = gold.temperature_hourly(silver_table(spark, sf_dir))
     g = gold.finalize_metric(g, fx.FIXTURE_AUTHOR, "run000000001", "temperature_hourly")
     return g.select("window_date", "window_hour", "city", "samples_cnt",
                     "author", "schema_v", "run_id", "metric_name")
@@ -223,7 +231,7 @@ def weather_frames(spark, sf_dir) -> list[DataFrame]:
     """The three weather feeds through the skip-on-failure registry."""
     from ..sources.silver import load_sources
     loaded = load_sources({
-        "open_meteo_current": lambda: fe.normalize_current(silver_fixture(spark, sf_dir)),
+        "open_meteo_current": lambda: fe.normalize_current(silver_table(spark, sf_dir)),
         "open_meteo_api": lambda: fe.normalize_api(landing.read_layer(spark, sf_dir, "weather_api")),
         "openweathermap_api": lambda: fe.normalize_owm(landing.read_layer(spark, sf_dir, "owm")),
     })
@@ -235,6 +243,31 @@ def hourly_fixture(spark, sf_dir) -> DataFrame:
                              time_from=fx.FIXTURE_TIME_FROM, time_to=fx.FIXTURE_TIME_TO)
 
 
+def hourly_table(spark, sf_dir) -> DataFrame:
+    """The hourly weather as a written version of its table: a bounded scan that
+    datasets and streams join with."""
+    import os
+    from ..sinks import write_hourly
+    from ..sources.silver import read_hourly
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _HOURLY:
+        import uuid
+        root = S.scratch_path(spark, "hourly", uuid.uuid4().hex[:12])
+        write_hourly(hourly_fixture(spark, sf_dir), root, "v1")
+        _HOURLY[key] = root
+    return read_hourly(spark, _HOURLY[key])
+
+
+_HOURLY: dict[tuple[str, str], str] = {}
+
+
+def datasets(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """D25 over the fixture: probe cells and road readings with hourly weather."""
+    from .jobs import build_datasets
+    return build_datasets(_probes(spark, sf_dir), _roads(spark, sf_dir), [], fx.FIXTURE_TIME_FROM,
+                          fx.FIXTURE_TIME_TO, hourly=hourly_table(spark, sf_dir), snap_digits=HEADING_DIGITS)
+
+
 # Mean headings come out of atan2, whose last bit differs between math
 # libraries (Java's and glibc's disagree at -135 degrees); queries and SQL
 # both bucket the angle rounded to this many decimals.
@@ -378,17 +411,13 @@ def q_weather_hourly(spark, sf_dir):
 @register("kpt_weather")
 def q_kpt_weather(spark, sf_dir):
     """Probe dataset (D25) = labelled cells x hourly weather."""
-    df = fe.join_weather(labelled_cells(spark, sf_dir, **FIXTURE_RANGE), hourly_fixture(spark, sf_dir),
-                         fx.FIXTURE_TIME_FROM, fx.FIXTURE_TIME_TO)
-    return _round_doubles(df, keep=("lat", "lon"))
+    return _round_doubles(datasets(spark, sf_dir)[0], keep=("lat", "lon"))
 
 
 @register("tomtom_weather")
 def q_tomtom_weather(spark, sf_dir):
     """Road dataset (D25) = road readings x hourly weather."""
-    df = fe.join_weather(road_dataset(spark, sf_dir, **FIXTURE_RANGE), hourly_fixture(spark, sf_dir),
-                         fx.FIXTURE_TIME_FROM, fx.FIXTURE_TIME_TO)
-    return _round_doubles(df, keep=("lat", "lon"))
+    return _round_doubles(datasets(spark, sf_dir)[1], keep=("lat", "lon"))
 
 
 # ---- Bronze ---------------------------------------------------------------------
@@ -518,6 +547,14 @@ def q_hash_split(spark, sf_dir):
     return mp.hash_split(_roads(spark, sf_dir), ML_KEY).select(ML_KEY, "is_test")
 
 
+@register("stratified_split")
+def q_stratified_split(spark, sf_dir):
+    """M4: a split that is exact in every class of the congestion label."""
+    df = mp.check_dataset(ml_dataset(spark, sf_dir), mp.ROAD_SPEC)
+    label = mp.ROAD_SPEC.classification_target
+    return mp.exact_split(df, ML_KEY, label).select(ML_KEY, label, "is_test")
+
+
 @register("scaler_stats")
 def q_scaler_stats(spark, sf_dir):
     """M5 fit: train mean and population std per numeric feature."""
@@ -839,9 +876,19 @@ def _bronze_stream(spark, sf_dir) -> DataFrame:
             .json(landing.bronze_weather_path(spark, sf_dir)))
 
 
-def _silver_stream(spark, sf_dir) -> DataFrame:
+def _silver_stream(spark, sf_dir, markers: DataFrame | None = None) -> DataFrame:
     return silver_stream(_bronze_stream(spark, sf_dir), producer=fx.FIXTURE_AUTHOR,
-                         delay=STREAM_DELAY, order_by=("src_id",), carry=("src_id",))
+                         delay=STREAM_DELAY, order_by=("src_id",), carry=("src_id",), markers=markers)
+
+
+def _closed_silver_stream(spark, sf_dir) -> DataFrame:
+    """The same with the end of its input marked, so that no window stays open."""
+    import uuid
+    from ..streaming.silver import close_input, marker_stream
+    folder = S.scratch_path(spark, "markers", uuid.uuid4().hex[:12])
+    markers = marker_stream(spark, folder)
+    close_input(spark, folder)
+    return _silver_stream(spark, sf_dir, markers)
 
 
 @register("stream_silver")
@@ -877,12 +924,31 @@ def q_stream_daily(spark, sf_dir):
                       "subzero_hours")
 
 
+@register("stream_silver_closed")
+def q_stream_silver_closed(spark, sf_dir):
+    """T1 to the end of its input: row for row what the batch job gives."""
+    out, _ = sr.run_available_now(_closed_silver_stream(spark, sf_dir), "stream_silver_closed", spark)
+    return _silver_out(out)
+
+
+@register("stream_daily_closed")
+def q_stream_daily_closed(spark, sf_dir):
+    """T3 to the end of its input: G2 and G4 for every day."""
+    out, _ = sr.run_available_now(sm.daily_stream(_closed_silver_stream(spark, sf_dir), delay=None),
+                                  "stream_daily_closed", spark)
+    return out.select("window_date", "city", _r("total_precip_mm").alias("total_precip_mm"),
+                      "hours_observed", "rainy_hours",
+                      _r("coldest_hour_temp_c").alias("coldest_hour_temp_c"),
+                      _r("avg_hourly_min_temp_c").alias("avg_hourly_min_temp_c"),
+                      "subzero_hours")
+
+
 @register("stream_traffic_weather")
 def q_stream_traffic_weather(spark, sf_dir):
     """T5: road readings stream x static hourly weather."""
     roads = (spark.readStream.schema(_roads(spark, sf_dir).schema)
              .parquet(landing.layer_path(spark, sf_dir, "road_traffic")))
-    stream = road_weather_stream(roads, hourly_fixture(spark, sf_dir),
+    stream = road_weather_stream(roads, hourly_table(spark, sf_dir),
                                  fx.FIXTURE_TIME_FROM, fx.FIXTURE_TIME_TO)
     out, _ = sr.run_available_now(stream, "stream_traffic_weather", spark)
     return _round_doubles(out, keep=("lat", "lon"))
@@ -904,7 +970,7 @@ def q_center_labels(spark, sf_dir):
     """Centers of both datasets tagged with the dataset name (fixed
     labels: src_id % 4 for road readings, hour_of_day % 4 for probe cells)."""
     roads = mp.check_dataset(ml_dataset(spark, sf_dir), mp.ROAD_SPEC)
-    probes = fe.join_weather(labelled_cells(spark, sf_dir), hourly_fixture(spark, sf_dir),
+    probes = fe.join_weather(labelled_cells(spark, sf_dir, **FIXTURE_RANGE), hourly_fixture(spark, sf_dir),
                              fx.FIXTURE_TIME_FROM, fx.FIXTURE_TIME_TO)
     probes = mp.check_dataset(probes, mp.PROBE_SPEC)
 

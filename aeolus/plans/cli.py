@@ -36,8 +36,14 @@ from ..constants import (
 from ..operators import gold
 from ..operators.ml import prep as mp
 from ..session import build_session
-from ..sinks import write_dataset
-from ..sources.silver import load_sources, read_road_files, read_silver_recursive, silver_root
+from ..sinks import write_dataset, write_hourly
+from ..sources.silver import (
+    load_sources,
+    read_hourly,
+    read_road_files,
+    read_silver_recursive,
+    silver_root,
+)
 from . import jobs
 
 log = logging.getLogger("aeolus.cli")
@@ -144,18 +150,20 @@ def run(argv: list[str] | None = None) -> int:
 
             def src(source):
                 return lambda: jobs.one_per_event(
-                    read_silver_recursive(spark, silver_root(args.silver, "weather", source)))
+                    read_silver_recursive(spark, silver_root(args.silver, "weather", source), runs=True))
             feeds = load_sources({
                 WEATHER_SOURCE: lambda: fe.normalize_current(src(WEATHER_SOURCE)()),
                 WEATHER_API_SOURCE: lambda: fe.normalize_api(src(WEATHER_API_SOURCE)()),
                 OWM_SOURCE: lambda: fe.normalize_owm(src(OWM_SOURCE)()),
             })
             probes = jobs.one_per_event(
-                read_silver_recursive(spark, silver_root(args.silver, "traffic", PROBE_SOURCE)))
+                read_silver_recursive(spark, silver_root(args.silver, "traffic", PROBE_SOURCE), runs=True))
             roads = jobs.one_per_event(
-                read_road_files(spark, silver_root(args.silver, "traffic", args.road_source)))
-            kpt, road = jobs.build_datasets(probes, roads, list(feeds.values()),
-                                            args.time_from, args.time_to)
+                read_road_files(spark, silver_root(args.silver, "traffic", args.road_source), runs=True))
+            write_hourly(fe.hourly_weather(fe.union_weather(list(feeds.values())), time_from=args.time_from,
+                                           time_to=args.time_to), args.out, jobs.new_run_id())
+            kpt, road = jobs.build_datasets(probes, roads, [], args.time_from, args.time_to,
+                                            hourly=read_hourly(spark, args.out))
             write_dataset(kpt, f"{args.out}/dataset_kpt", args.producer, args.force)
             write_dataset(road, f"{args.out}/dataset_tomtom", args.producer, args.force)
         elif args.cmd == "train":

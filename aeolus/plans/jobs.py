@@ -33,7 +33,7 @@ from ..operators.ml import regression as mr
 from ..sinks import writers as W
 from ..sinks.manifest import committed
 from ..sources.bronze import read_bronze
-from ..sources.silver import read_silver
+from ..sources.silver import RUN_COL, read_silver
 
 log = logging.getLogger("aeolus.jobs")
 
@@ -152,24 +152,35 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str, source: str,
 def one_per_event(df: DataFrame) -> DataFrame:
     """P2 for dataset inputs: rerunning a layer adds a run with the same
     events, which must count once. Rows are told apart by ``event_id`` where
-    the feed has one (the latest ingest wins), else by all their columns."""
+    the feed has one (the latest ingest wins). Without one, equal rows of a run
+    are readings of their own (two vehicles in one place); a run that repeats
+    them adds nothing, so each row counts as often as the run that has it most
+    often. ``_run`` (``read_silver_recursive(runs=True)``) names the run."""
     if "event_id" in df.columns:
         order = ("ingest_ts",) if "ingest_ts" in df.columns else ("event_id",)
-        return silver.latest_per_key(df, "event_id", order)
-    return df.dropDuplicates()
+        return silver.latest_per_key(df.drop(RUN_COL), "event_id", order)
+    if RUN_COL not in df.columns:
+        return df
+    columns = [c for c in df.columns if c != RUN_COL]
+    per_run = df.groupBy(*columns, RUN_COL).agg(F.count(F.lit(1)).alias("_n"))
+    most = per_run.groupBy(*columns).agg(F.max("_n").alias("_n"))
+    return most.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select(*columns)
 
 
 # ---- datasets ---------------------------------------------------------------------
 
 def build_datasets(probes: DataFrame, roads: DataFrame, weather_frames: list[DataFrame],
                    time_from: str | None, time_to: str | None,
-                   kpt_threshold: float = KPT_CONGESTION_KMH) -> tuple[DataFrame, DataFrame]:
+                   kpt_threshold: float = KPT_CONGESTION_KMH, hourly: DataFrame | None = None,
+                   **cell_options) -> tuple[DataFrame, DataFrame]:
     """Probe cells and road readings, each joined to the hourly weather
-    of the same range (one weather aggregate shared by both)."""
-    hourly = fe.hourly_weather(fe.union_weather(weather_frames), time_from=time_from,
-                               time_to=time_to)
+    of the same range. ``hourly`` is that weather where it has been written
+    (``sinks.write_hourly``), so that the two datasets don't each compute it."""
+    if hourly is None:
+        hourly = fe.hourly_weather(fe.union_weather(weather_frames), time_from=time_from,
+                                   time_to=time_to)
     cells = fe.probe_cells(probes, time_from=time_from, time_to=time_to,
-                           threshold_kmh=kpt_threshold)
+                           threshold_kmh=kpt_threshold, **cell_options)
     readings = fe.road_readings(roads, time_from=time_from, time_to=time_to)
     return (fe.join_weather(cells, hourly, time_from, time_to),
             fe.join_weather(readings, hourly, time_from, time_to))

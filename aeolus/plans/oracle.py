@@ -847,3 +847,26 @@ valid AS (SELECT * FROM flat WHERE {NONNULL} AND {INRANGE} AND {TIMELY})
 SELECT {SILVER_COLS} FROM valid
 QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingest_ts, event_ts, city, latitude, longitude, elevation_m,
   temperature_2m, relative_humidity_2m, precipitation, wind_speed_10m, wind_direction_10m, surface_pressure) = 1"""
+
+
+# ---- streams to the end of their input, exact split -------------------------------
+
+ORACLE["stream_silver_closed"] = ORACLE["silver_weather"]
+
+ORACLE["stream_daily_closed"] = f"""{SILVER_CTES},
+hourly AS (
+  SELECT strftime(event_ts, '%Y-%m-%d') AS window_date, city, date_trunc('hour', event_ts) AS h,
+         sum(precipitation) AS hp, min(temperature_2m) AS hm
+  FROM silver GROUP BY 1, 2, 3)
+SELECT window_date, city, {R("sum(hp)")} AS total_precip_mm, count(*) AS hours_observed,
+       CAST(sum(CASE WHEN hp >= 1e-1 THEN 1 ELSE 0 END) AS BIGINT) AS rainy_hours,
+       {R("min(hm)")} AS coldest_hour_temp_c, {R("avg(hm)")} AS avg_hourly_min_temp_c,
+       count(CASE WHEN hm < 0e0 THEN 1 END) AS subzero_hours
+FROM hourly WHERE city IS NOT NULL
+GROUP BY 1, 2"""
+
+ORACLE["stratified_split"] = f"""{ML_CTES}
+SELECT src_id, is_congested,
+       row_number() OVER (PARTITION BY is_congested ORDER BY substr(sha1(CAST(src_id AS VARCHAR)), 1, 15))
+         <= floor(2e-1 * count(*) OVER (PARTITION BY is_congested) + 5e-1) AS is_test
+FROM ml"""

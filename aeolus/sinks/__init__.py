@@ -5,6 +5,7 @@ from .writers import (  # noqa: F401
     write_centers,
     write_dataset,
     write_gold,
+    write_hourly,
     write_metrics,
     write_predictions,
     write_silver,

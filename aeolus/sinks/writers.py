@@ -19,6 +19,7 @@ from ..constants import SCHEMA_VERSION
 from ..operators.bronze import with_partition_keys
 from ..sources.bronze import bronze_root
 from ..sources.silver import silver_root
+from .manifest import commit
 
 FORMATS = ("parquet", "json")
 
@@ -75,6 +76,14 @@ def write_dataset(df: DataFrame, path: str, author: str, force: bool = False) ->
     return path
 
 
+def write_hourly(hourly: DataFrame, root: str, version: str) -> str:
+    """A version of the hourly weather table; visible once its record is written."""
+    path = f"{root.rstrip('/')}/hourly/run_id={version}"
+    hourly.coalesce(1).write.mode("overwrite").parquet(path)  # a row an hour
+    commit(hourly.sparkSession, root, "weather", "hourly", version, None, 0, 0, 0)
+    return path
+
+
 def write_predictions(df: DataFrame, path: str) -> str:
     """K5."""
     _rebalance(df).write.mode("overwrite").parquet(path)

@@ -41,7 +41,7 @@ BRONZE_WEATHER_SCHEMA = T.StructType(
     [*schemas.WEATHER_ENVELOPE.fields, T.StructField("src_id", T.LongType())])
 
 
-def _land(spark: SparkSession, sf_dir: str, name: str, fmt: str,
+def land(spark: SparkSession, sf_dir: str, name: str, fmt: str,
           build: Callable[[DataFrame], DataFrame]) -> str:
     ensure_checkpoint_dir(spark)
     app = spark.sparkContext.applicationId
@@ -60,16 +60,16 @@ def _land(spark: SparkSession, sf_dir: str, name: str, fmt: str,
 
 
 def bronze_weather_path(spark: SparkSession, sf_dir: str) -> str:
-    return _land(spark, sf_dir, "bronze_weather", "json", fx.weather_bronze)
+    return land(spark, sf_dir, "bronze_weather", "json", fx.weather_bronze)
 
 
 def layer_path(spark: SparkSession, sf_dir: str, name: str) -> str:
-    return _land(spark, sf_dir, name, "parquet", _BUILDERS[name])
+    return land(spark, sf_dir, name, "parquet", _BUILDERS[name])
 
 
 def bronze_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze weather envelopes, landed as JSON Lines and scanned back."""
-    path = _land(spark, sf_dir, "bronze_weather", "json", fx.weather_bronze)
+    path = land(spark, sf_dir, "bronze_weather", "json", fx.weather_bronze)
     from .bronze import read_bronze_json
     return read_bronze_json(spark, path, BRONZE_WEATHER_SCHEMA)
 
@@ -84,7 +84,7 @@ def read_layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def bronze_text_path(spark: SparkSession, sf_dir: str) -> str:
     """Bronze weather lines with some malformed ones, landed as plain text."""
-    return _land(spark, sf_dir, "bronze_text", "text", fx.bronze_lines_with_corruption)
+    return land(spark, sf_dir, "bronze_text", "text", fx.bronze_lines_with_corruption)
 
 
 def land_all(spark: SparkSession, sf_dir: str, threads: int = 6) -> dict[str, str]:

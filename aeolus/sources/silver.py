@@ -33,23 +33,45 @@ def read_silver(spark: SparkSession, root: str, domain: str, source: str,
     return reader.load(silver_root(root, domain, source))
 
 
-def read_silver_recursive(spark: SparkSession, path: str) -> DataFrame:
+RUN_COL = "_run"
+
+
+def _with_run(df: DataFrame, runs: bool) -> DataFrame:
+    if not runs:
+        return df
+    return df.withColumn(RUN_COL, F.regexp_extract("_metadata.file_path", r"/run_id=([^/]+)/", 1))
+
+
+def read_silver_recursive(spark: SparkSession, path: str, runs: bool = False) -> DataFrame:
     """S3: all Parquet files below ``path``; schemas merged across runs.
-    (``recursiveFileLookup`` drops partition columns.)"""
-    return (spark.read.option("recursiveFileLookup", "true")
-            .option("mergeSchema", "true").parquet(path))
+    (``recursiveFileLookup`` drops partition columns; ``runs`` adds the run that
+    a row's file belongs to as ``_run``.)"""
+    return _with_run(spark.read.option("recursiveFileLookup", "true")
+                     .option("mergeSchema", "true").parquet(path), runs)
+
+
+def read_hourly(spark: SparkSession, root: str) -> DataFrame:
+    """The latest committed version of the hourly weather table, as a plain
+    scan. A stream started on it keeps this version until it is started again."""
+    from ..sinks.manifest import committed
+    newest = (committed(spark, root, "weather", "hourly")
+              .agg(F.max_by("run_id", "committed_at")).first()[0])
+    if newest is None:
+        raise ValueError(f"no version of the hourly weather table under {root}")
+    return spark.read.parquet(f"{root.rstrip('/')}/hourly/run_id={newest}")
 
 
 def read_road_files(spark: SparkSession, path: str,
                     numeric: Sequence[str] = ("current_speed_kmh", "free_flow_speed_kmh",
-                                              "current_travel_time_s", "confidence")) -> DataFrame:
+                                              "current_travel_time_s", "confidence"),
+                    runs: bool = False) -> DataFrame:
     """Road-sensor Parquet files whose column types may disagree between
     files (a measure written as string in one run, double in another).
 
     Tries one merged scan; when Parquet refuses to merge, reads each file's
     group separately and unions by name after coercing the measures."""
     try:
-        df = read_silver_recursive(spark, path)
+        df = read_silver_recursive(spark, path, runs)
         df.schema  # noqa: B018 - forces footer merge
     except (PySparkException, Py4JJavaError) as exc:
         if "CANNOT_MERGE_SCHEMAS" not in str(exc):
@@ -66,7 +88,7 @@ def read_road_files(spark: SparkSession, path: str,
             groups.setdefault(spark.read.parquet(f).schema.json(), []).append(f)
         frames = []
         for group in groups.values():
-            part = spark.read.parquet(*group)
+            part = _with_run(spark.read.parquet(*group), runs)
             part = part.withColumns({c: lenient_double(c) for c in numeric if c in part.columns})
             frames.append(part)
         if not frames:

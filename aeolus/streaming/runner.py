@@ -9,6 +9,7 @@ run without a name gets a fresh folder and is not resumed.
 
 from __future__ import annotations
 
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,10 +69,62 @@ def run_available_now(df: DataFrame, name: str, spark: SparkSession, fmt: str =
     return spark.read.format(fmt).load(out), q
 
 
+def _dropped(progress) -> int:
+    return sum(int(op.get("numRowsDroppedByWatermark", 0) or 0) for op in progress.get("stateOperators", []) or [])
+
+
 def rows_dropped_by_watermark(q: StreamingQuery) -> int:
-    """T4: late rows discarded by the stateful operators, over all batches."""
-    total = 0
-    for p in q.recentProgress:
-        for op in p.get("stateOperators", []) or []:
-            total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
-    return total
+    """T4: late rows discarded by the stateful operators, over the batches that
+    the query still remembers; ``ProgressLog`` counts all."""
+    return sum(map(_dropped, q.recentProgress))
+
+
+class ProgressLog:
+    """T4: what every micro-batch of a query read and dropped as late.
+
+    A query remembers its last batches only. The log looks at them again and
+    again while the query runs, and once more at its end, and keeps each
+    batch's figures. It raises if a batch was missed.
+
+        with ProgressLog(q) as log:
+            q.awaitTermination()
+        log.rows_dropped
+    """
+
+    def __init__(self, query: StreamingQuery, poll_seconds: float = 0.2):
+        self.query, self.poll_seconds = query, poll_seconds
+        self.batches: dict[int, tuple[int, int]] = {}
+        self._ended = threading.Event()
+        self._thread = threading.Thread(target=self._follow, daemon=True)
+
+    def _look(self) -> None:
+        for p in self.query.recentProgress:
+            rows, dropped = int(p["numInputRows"] or 0), _dropped(p)
+            # Idle triggers report their batch again, without rows.
+            old = self.batches.get(p["batchId"], (0, 0))
+            self.batches[p["batchId"]] = max(old[0], rows), max(old[1], dropped)
+
+    def _follow(self) -> None:
+        while not self._ended.wait(self.poll_seconds):
+            self._look()
+
+    def __enter__(self) -> "ProgressLog":
+        self._thread.start()
+        return self
+
+    def __exit__(self, kind, *_rest) -> None:
+        self._ended.set()
+        self._thread.join()
+        self._look()
+        missed = set(range(min(self.batches), max(self.batches) + 1)) - set(self.batches) if self.batches else set()
+        if missed and kind is None:
+            raise RuntimeError(f"progress of batches {sorted(missed)} was missed; poll more often")
+
+    @property
+    def rows_dropped(self) -> int:
+        return sum(dropped for _, dropped in self.batches.values())
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(batch_id, input_rows, late_rows), one row a batch."""
+        rows = [(k, *v) for k, v in sorted(self.batches.items())]
+        return spark.createDataFrame(rows, "batch_id long, input_rows long, late_rows long")
