@@ -34,9 +34,18 @@ def shared_folder(spark: SparkSession) -> str:
     return _OWN[sc.applicationId]
 
 
+#: Bytes of an Arrow batch between the JVM and Python, unless the session sets
+#: its own; a longer row is a batch of its own.
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in Python workers, once an application."""
+    """Make this package importable in Python workers, once an application, and
+    bound the batches of whole texts that they are sent."""
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH_CONF).rstrip("bB") == str(2**31 - 1):  # the default: no bound
+        spark.conf.set(_BATCH_CONF, f"{BATCH_BYTES}b")
     if sc.applicationId not in _SHIPPED:
         package = Path(__file__).resolve().parents[1]
         archive = shutil.make_archive(

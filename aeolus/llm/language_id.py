@@ -23,8 +23,6 @@ ORDERS = (1, 2, 3)
 #: Labelled documents at most that the classifier is fitted on, dealt evenly to
 #: the languages. Document frequencies come from all of them.
 SAMPLE = 2_400
-#: A document of more characters is not drawn into the sample.
-SAMPLE_CHARS = 1_000_000
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 1e-4, 1e-4
 UNKNOWN = "und"
@@ -114,12 +112,33 @@ def train_ftrl(
 
 
 def calibrate(logits: np.ndarray, labels: np.ndarray) -> float:
-    """Temperature of the least negative log-likelihood, within 1/20 and 20."""
-    if not len(labels):
+    """Temperature of the least cross-entropy.
+
+    The targets are Platt's: of n examples (n + 1) / (n + 2) for the label and
+    the rest evenly for the others. So there is a least value even if every
+    example is told right, and the search widens until it lies inside.
+    """
+    classes = logits.shape[1] if len(labels) else 0
+    if classes < 2:
         return 1.0
-    grid = np.exp(np.linspace(-3, 3, 121))
-    loss = [-np.log(softmax(logits / t)[np.arange(len(labels)), labels] + 1e-12).mean() for t in grid]
-    return float(grid[int(np.argmin(loss))])
+    n = len(labels)
+    target = np.full(logits.shape, 1 / ((n + 2) * (classes - 1)))
+    target[np.arange(n), labels] = (n + 1) / (n + 2)
+
+    def loss(at: float) -> float:
+        z = logits / np.exp(at)
+        z = z - z.max(1, keepdims=True)
+        return float((target * (np.log(np.exp(z).sum(1, keepdims=True)) - z)).sum(1).mean())
+
+    low, high = -3.0, 3.0
+    while loss(low) < loss(low + 0.1) and low > -30:
+        low -= 3
+    while loss(high) < loss(high - 0.1) and high < 30:
+        high += 3
+    for _ in range(60):  # the loss has one lowest point in the inverse temperature
+        a, b = low + (high - low) / 3, high - (high - low) / 3
+        low, high = (low, b) if loss(a) < loss(b) else (a, high)
+    return float(np.exp((low + high) / 2))
 
 
 def fit(documents: DataFrame, learn: Column, sample: int = SAMPLE) -> LanguageModel | None:
@@ -149,9 +168,7 @@ def fit(documents: DataFrame, learn: Column, sample: int = SAMPLE) -> LanguageMo
     df[counted["feature"]] = counted["n"]
     idf = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1).astype(np.float32)
 
-    small = rows.where(F.length("text") <= SAMPLE_CHARS).select(
-        "text", "lang", F.xxhash64("doc_id", F.lit(9)).alias("draw")
-    )
+    small = rows.select("text", "lang", F.xxhash64("doc_id", F.lit(9)).alias("draw"))
     sizes = {r["lang"]: r["count"] for r in small.groupBy("lang").count().collect()}
     if not sizes:
         return None

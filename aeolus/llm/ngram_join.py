@@ -9,10 +9,12 @@ survive are verified on their sets.
 The work is dealt to tasks by rare shingles: sets that reach the similarity
 share one of the first few of their shingles in any common order. Ordering by
 how often a hashed bin of shingles is there over all documents keeps frequent
-passages out of the keys. Sets that are equal are one class. Within the
-documents of a key, a hub is checked against all first, which joins groups of
-copies by few links; then the R-tree finds every other pair that is not
-connected yet.
+passages out of the keys. Sets that are equal are one class, and keys that have
+the same documents count once. The documents of a task's keys make up one tree,
+each key a branch below its root; all candidates come out of searches in it. In
+a first round only the hub of each key is looked up, which joins groups of
+copies by few links; in a second round all documents are, against those that
+are not connected to them yet.
 """
 
 from __future__ import annotations
@@ -32,8 +34,9 @@ from aeolus.llm.shingles import mix, shingle_sets
 GROUPS, FINE = 64, 8
 #: Bins by which the frequency of shingles is told, for the order of the keys.
 BINS = 1 << 16
-#: Children of a node of the R-tree; documents of a key in one task.
-FANOUT, TILE = 16, 2_048
+#: Children of a node of the R-tree; documents of a key in one tile; documents in
+#: one tree, but for a last key's; pairs that a search compares at a time.
+FANOUT, TILE, TREE_ROWS, PAIRS = 16, 2_048, 50_000, 1 << 18
 #: Keys of wanted documents that may be broadcast to the scan of the texts.
 BROADCAST_ROWS = 300_000
 
@@ -47,51 +50,86 @@ def least_overlap(a, b, num: int, den: int):
 
 
 class RTree:
-    """Bulk-loaded R-tree over count vectors; nodes keep largest counts."""
+    """Bulk-loaded R-tree over count vectors; nodes keep largest counts.
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, owner: np.ndarray, num: int, den: int):
+    ``group``: points of different groups (keys) never pair; a group is a branch
+    of its own below the root. Within a group points are sorted by size, then
+    tiled by the coordinate that varies most.
+    """
+
+    def __init__(
+        self, points: np.ndarray, sizes: np.ndarray, owner: np.ndarray, num: int, den: int,
+        group: np.ndarray | None = None,
+    ):
         self.num, self.den = num, den
-        # Sorted by size, then tiled by the coordinate that varies most.
-        slab = np.argsort(sizes, kind="stable")
-        wide = int(points.var(0).argmax()) if len(points) else 0
-        step = FANOUT * max(1, int(np.sqrt(len(points) / FANOUT)))
-        self.order = np.concatenate(
-            [s[np.argsort(points[s, wide], kind="stable")] for s in np.split(slab, range(step, len(slab), step))]
-        )
-        level = (points[self.order], sizes[self.order], sizes[self.order], owner[self.order], owner[self.order])
-        self.levels = [level]
-        while len(level[0]) > FANOUT:
-            at = np.arange(0, len(level[0]), FANOUT)
+        #: Nodes and points that searches have compared.
+        self.visited = [0, 0]
+        group = np.zeros(len(points), np.int64) if group is None else group
+        slab = np.lexsort((sizes, group))
+        self.groups, first, count = np.unique(group[slab], return_index=True, return_counts=True)
+        place = np.arange(len(points)) - np.repeat(first, count)
+        step = FANOUT * np.maximum(1, np.sqrt(count / FANOUT).astype(np.int64))
+        tile = np.empty(len(points), np.int64)
+        tile[slab] = place // np.repeat(step, count)
+        wide = points[:, int(points.var(0).argmax())] if len(points) else sizes
+        self.order = np.lexsort((wide, tile, group))
+        own = sizes[self.order], owner[self.order]
+        level = (points[self.order], own[0], own[0], own[1], own[1])
+        #: Per level: largest counts, least and largest size, least and largest owner.
+        self.levels, self.children = [level], []
+        while len(count) and count.max() > FANOUT:
+            at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            at = np.flatnonzero(at % FANOUT == 0)
             level = tuple(
                 f.reduceat(x, at, axis=0)
                 for f, x in zip((np.maximum, np.minimum, np.maximum, np.minimum, np.maximum), level)
             )
+            self.children.append(np.append(at, count.sum()))
             self.levels.append(level)
-
-    def search(self, points: np.ndarray, sizes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(query, point) pairs of different owners that the bound doesn't exclude."""
-        top = len(self.levels[-1][0])
-        q, node = (x.ravel() for x in np.indices((len(points), top)))
-        for depth in range(len(self.levels) - 1, -1, -1):
-            most, small, large, low, high = self.levels[depth]
-            keep = np.zeros(len(q), bool)
-            for at in range(0, len(q), 1 << 16):
-                i, j = q[at : at + (1 << 16)], node[at : at + (1 << 16)]
-                n = sizes[i]
-                near = (large[j] * self.den >= n * self.num) & (small[j] * self.num <= n * self.den)
-                near &= ~((low[j] == owner[i]) & (high[j] == owner[i]))
-                k = np.flatnonzero(near)
-                shared = np.minimum(points[i[k]], most[j[k]]).sum(1)
-                need = least_overlap(n[k], np.maximum(small[j[k]], -(-n[k] * self.num // self.den)), self.num, self.den)
-                keep[at + k[shared >= need]] = True
-            q, node = q[keep], node[keep]
-            if depth:
-                width = len(self.levels[depth - 1][0])
-                q = np.repeat(q, FANOUT)
-                node = (node[:, None] * FANOUT + np.arange(FANOUT)).ravel()
-                inside = node < width
-                q, node = q[inside], node[inside]
-        return q, self.order[node]
+            count = -(-count // FANOUT)
+        self.roots = np.concatenate([[0], np.cumsum(count)])
+
+    def _near(self, depth: int, points, sizes, owner, q, node) -> np.ndarray:
+        """Which (query, node) pairs the bound doesn't exclude."""
+        most, small, large, low, high = self.levels[depth]
+        self.visited[depth == 0] += len(q)
+        n = sizes[q]
+        near = (large[node] * self.den >= n * self.num) & (small[node] * self.num <= n * self.den)
+        near &= ~((low[node] == owner[q]) & (high[node] == owner[q]))
+        k = np.flatnonzero(near)
+        n, j = n[k], node[k]
+        shared = np.minimum(points[q[k]], most[j]).sum(1, dtype=np.int64)
+        need = least_overlap(n, np.maximum(small[j], -(-n * self.num // self.den)), self.num, self.den)
+        return k[shared >= need]
+
+    def search(
+        self, points: np.ndarray, sizes: np.ndarray, owner: np.ndarray, group: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(query, point) pairs of a group and different owners that the bound doesn't exclude."""
+        group = np.zeros(len(points), np.int64) if group is None else group
+        at = np.searchsorted(self.groups, group)
+        there = np.flatnonzero(np.append(self.groups, -1)[at] == group) if len(self.groups) else np.zeros(0, int)
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        # Depth first in parts of bounded size.
+        open_ = [(len(self.levels) - 1, there, self.roots[at[there]], self.roots[at[there] + 1])]
+        while open_:
+            depth, queries, low, high = open_.pop()
+            width = high - low
+            cuts = np.searchsorted(np.cumsum(width), np.arange(PAIRS, int(width.sum()) + PAIRS, PAIRS))
+            a = 0
+            for b in np.minimum(cuts + 1, len(queries)):
+                if b > a:
+                    n = width[a:b]
+                    q = np.repeat(queries[a:b], n)
+                    node = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - low[a:b], n)
+                    k = self._near(depth, points, sizes, owner, q, node)
+                    if not depth:
+                        found.append((q[k], self.order[node[k]]))
+                    elif len(k):
+                        child = self.children[depth - 1]
+                        open_.append((depth - 1, q[k], child[node[k]], child[node[k] + 1]))
+                a = max(a, b)
+        return tuple(np.concatenate(x) for x in zip(*found))
 
 
 # -- documents to points --------------------------------------------------
@@ -131,10 +169,10 @@ class _Describe:
         fp1 = int(np.add.reduce(mix(s + np.uint64(1)), dtype=np.uint64)) if n else 0
         fp2 = int(np.bitwise_xor.reduce(mix(s ^ np.uint64(0x5851F42D4C957F2D)))) if n else 0
         group = s >> np.uint64(40)
-        point = np.bincount(group & np.uint64(GROUPS - 1), minlength=GROUPS).astype("<u4")
+        point = pack_counts(np.bincount(group & np.uint64(GROUPS - 1), minlength=GROUPS))
         fine = 1 << max(GROUPS.bit_length() - 1, (n // FINE).bit_length())
         counts = np.bincount(group & np.uint64(fine - 1), minlength=fine)
-        return n, _signed(fp1), _signed(fp2), s[rare].view(np.int64), point.tobytes(), pack_counts(counts)
+        return n, _signed(fp1), _signed(fp2), s[rare].view(np.int64), point, pack_counts(counts)
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
@@ -143,6 +181,17 @@ def pack_counts(counts: np.ndarray) -> bytes:
     return bytes([size]) + counts.astype(f"<u{size}").tobytes()
 
 
+def unpack_points(packed: list[bytes]) -> np.ndarray:
+    """The points as rows."""
+    out = np.empty((len(packed), GROUPS), np.int32)
+    size = np.fromiter((p[0] for p in packed), np.uint8, len(packed))
+    for k in np.unique(size):
+        here = np.flatnonzero(size == k)
+        rows = np.frombuffer(b"".join(packed[i] for i in here), np.uint8).reshape(len(here), -1)[:, 1:]
+        out[here] = np.ascontiguousarray(rows).view(f"<u{k}")
+    return out
+
+
 def shared_at_most(a: bytes, b: bytes) -> int:
     """Sum of the smaller counts; the finer of two points is folded first."""
     a, b = (np.frombuffer(x, f"<u{x[0]}", offset=1).astype(np.int64) for x in (a, b))
@@ -188,59 +237,60 @@ def _frequencies(texts: DataFrame, n: int) -> np.ndarray:
 
 
 def _candidates(num: int, den: int):
-    """Pairs of different components in each group of (key, one, two)."""
+    """Pairs of different components in each group of (key, one, two).
 
-    def pairs_of(tile, one, two, node, owner, sizes, points):
-        home, away = tile == one, tile == two
-        tree = RTree(points[home], sizes[home], owner[home], num, den)
-        q, p = tree.search(points[away], sizes[away], owner[away])
-        a, b = node[away][q], node[home][p]
-        return np.minimum(a, b), np.maximum(a, b)
+    Rows of the group's tile ``one`` make up the tree; those marked ``asks`` are
+    searched for. A block of whole groups is one tree.
+    """
 
     def groups(table: pa.Table) -> pa.RecordBatch:
-        key, one, two, tile, node, owner, sizes = (
-            table.column(c).to_numpy() for c in ("key", "one", "two", "tile", "node", "component", "n")
+        key, one, two, node, owner, sizes = (
+            table.column(c).to_numpy() for c in ("key", "one", "two", "node", "component", "n")
         )
-        points = np.frombuffer(b"".join(table.column("point").to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int64)
-        cuts = np.flatnonzero((np.diff(key) != 0) | (np.diff(one) != 0) | (np.diff(two) != 0)) + 1
-        found = [
-            pairs_of(tile[a:b], one[a], two[a], node[a:b], owner[a:b], sizes[a:b], points[a:b])
-            for a, b in zip([0, *cuts], [*cuts, len(key)])
-        ]
-        src, dst = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-        pairs = np.unique(np.stack([src, dst], 1)[src < dst], axis=0)
+        held, asks = (table.column(c).to_numpy(zero_copy_only=False) for c in ("held", "asks"))
+        points = unpack_points(table.column("point").to_pylist())
+        group = np.concatenate([[0], np.cumsum((np.diff(key) != 0) | (np.diff(one) != 0) | (np.diff(two) != 0))])
+        tree = RTree(points[held], sizes[held], owner[held], num, den, group[held])
+        q, p = tree.search(points[asks], sizes[asks], owner[asks], group[asks])
+        a, b = node[asks][q], node[held][p]
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1)[a != b], axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["src", "dst"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held: list[pa.RecordBatch] = []
+        rows = 0
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table if held is None else pa.concat_tables([held, table])
+            held.append(batch)
+            rows += batch.num_rows
+            if rows < TREE_ROWS:
+                continue
             # The last group may go on in the next batch.
+            table = pa.Table.from_batches(held)
             ids = [table.column(c).to_numpy() for c in ("key", "one", "two")]
             other = np.flatnonzero(np.logical_or.reduce([x != x[-1] for x in ids]))
             cut = int(other[-1]) + 1 if len(other) else 0
             if cut:
                 yield groups(table.slice(0, cut))
-            held = table.slice(cut)
-        if held is not None and held.num_rows:
-            yield groups(held)
+            held, rows = table.slice(cut).to_batches(), table.num_rows - cut
+        if rows:
+            yield groups(pa.Table.from_batches(held))
 
     return run
 
 
-def _verify(pairs: DataFrame, points: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The pairs of nodes that reach the similarity, by bound and then by sets."""
+def _search(rows: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidate pairs of (key, one, two, node, component, held, asks)."""
+    return (
+        rows.join(points.select("node", "n", "point"), "node")
+        .select("key", "one", "two", "node", "component", "n", "held", "asks", "point")
+        .repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
+        .mapInArrow(_candidates(num, den), "src long, dst long")
+        .distinct()
+    )
 
-    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, GROUPS)
-                for c in ("point_a", "point_b")
-            )
-            size_a, size_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
-            keep = np.minimum(a, b).sum(1) >= least_overlap(size_a, size_b, num, den)
-            yield batch.select(["src", "dst"]).filter(pa.array(keep))
+
+def _verify(pairs: DataFrame, points: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """The pairs of nodes that reach the similarity, by a finer bound and then by sets."""
 
     def finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,14 +310,12 @@ def _verify(pairs: DataFrame, points: DataFrame, texts: DataFrame, n: int, num:
                 keep.append(both >= least_overlap(len(a), len(b), num, den))
             yield batch.select(["src", "dst"]).filter(pa.array(keep, pa.bool_()))
 
-    near = pairs
-    for name, test in (("point", bounded), ("fine", finer)):
-        slim = points.select("node", "n", name)
-        near = materialise(
-            near.join(slim.toDF("src", "n_a", f"{name}_a"), "src").join(slim.toDF("dst", "n_b", f"{name}_b"), "dst")
-            .mapInArrow(test, "src long, dst long"),
-            "bounded",
-        )
+    slim = points.select("node", "n", "fine")
+    near = materialise(
+        pairs.join(slim.toDF("src", "n_a", "fine_a"), "src").join(slim.toDF("dst", "n_b", "fine_b"), "dst")
+        .mapInArrow(finer, "src long, dst long"),
+        "bounded",
+    )
     wanted = (
         near.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
         .join(points.select("node", "id", "mark"), "node")
@@ -319,58 +367,44 @@ def jaccard_groups(documents: DataFrame, n: int = 3, num: int = 9, den: int = 10
         .select(F.col("row").alias("node"), "id", "mark", "n", "keys", "point", "fine"),
         "points",
     )
-    def similar(one: str, two: str):
-        """Sizes that can reach the similarity."""
-        return (F.col(one) * den >= F.col(two) * num) & (F.col(two) * den >= F.col(one) * num)
-
-    keys = points.select(F.explode("keys").alias("key"), "node", "n")
-    shared = keys.groupBy("key").agg(F.count("*").alias("width")).where("width > 1")
-    postings = materialise(keys.join(shared, "key"), "postings")
+    # Of keys that have the same documents one is enough.
+    keys = points.select(F.explode("keys").alias("key"), "node")
+    wide = (
+        keys.groupBy("key").agg(
+            F.count("*").alias("width"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("same"),
+            F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("same2"),
+        )
+        .where("width > 1").groupBy("width", "same", "same2").agg(F.min("key").alias("key"))
+    )
+    postings = materialise(keys.join(wide.select("key", "width"), "key"), "postings")
+    tiles = F.ceil(F.col("width") / TILE).cast("int")
+    own_tile = F.pmod(F.xxhash64("node"), tiles).cast("int")
 
-    # A document of many shared keys is the hub of its group.
+    # A document of many shared keys is the hub of its keys: looked up in each of
+    # their tiles.
     weight = postings.groupBy("node").agg(F.sum("width").alias("weight"))
     hubs = postings.join(weight, "node").groupBy("key").agg(
-        F.max(F.struct("weight", "node", "n")).alias("hub")
-    ).select("key", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
-    stars = materialise(
-        postings.join(hubs, "key").where("node <> hub").where(similar("n", "hub_n"))
-        .select(F.least("node", "hub").alias("src"), F.greatest("node", "hub").alias("dst")).distinct(),
-        "stars",
+        F.max(F.struct("weight", "node")).alias("hub")
+    ).select("key", F.col("hub.node").alias("hub"))
+    around = (
+        postings.join(hubs, "key").withColumn("asks", F.col("node") == F.col("hub"))
+        .withColumn("one", F.explode(F.when(F.col("asks"), F.sequence(F.lit(0), tiles - 1)).otherwise(F.array(own_tile))))
+        .withColumn("two", F.col("one")).withColumn("component", F.col("node")).withColumn("held", ~F.col("asks"))
     )
+    stars = materialise(_search(around, points, num, den), "stars")
     links = materialise(_verify(stars, points, texts, n, num, den), "links")
     joined = connected_components(links)
 
-    # What the hubs left apart: all pairs of different components. Of keys that
-    # have the same documents one is enough.
+    # What the hubs left apart: every document in the tree of its key, by pairs of tiles.
     labelled = postings.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    apart = (
-        labelled.groupBy("key", "width").agg(
-            F.min("component").alias("lo"), F.max("component").alias("hi"),
-            F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("same"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("same2"),
-        )
-        .where("lo <> hi").groupBy("width", "same", "same2").agg(F.min("key").alias("key"))
-    )
-    left = materialise(labelled.join(apart.select("key"), "key"), "left")
-    # No more documents than a node of the tree has children need no tree.
-    small = left.where(F.col("width") <= FANOUT).select("key", "node", "n", "component")
-    few = (
-        small.toDF("key", "src", "n_a", "one").join(small.toDF("key", "dst", "n_b", "two"), "key")
-        .where((F.col("src") < F.col("dst")) & (F.col("one") != F.col("two"))).where(similar("n_a", "n_b"))
-        .select("src", "dst")
-    )
-    tiles = F.ceil(F.col("width") / TILE).cast("int")
-    many = (
-        left.where(F.col("width") > FANOUT).join(points.select("node", "point"), "node")
-        .withColumn("tile", F.pmod(F.xxhash64("node"), tiles).cast("int"))
+    apart = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    everyone = (
+        labelled.join(apart.select("key"), "key").withColumn("tile", own_tile)
         .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-        .select(
-            "key", F.least("tile", "other").alias("one"), F.greatest("tile", "other").alias("two"),
-            "tile", "node", "component", "n", "point",
-        )
-        .repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
-        .mapInArrow(_candidates(num, den), "src long, dst long")
+        .withColumn("one", F.least("tile", "other")).withColumn("two", F.greatest("tile", "other"))
+        .withColumn("held", F.col("tile") == F.col("one")).withColumn("asks", F.col("tile") == F.col("two"))
     )
-    rest = few.unionByName(many).distinct().join(stars, ["src", "dst"], "left_anti")
+    rest = _search(everyone, points, num, den).join(stars, ["src", "dst"], "left_anti")
     more = _verify(materialise(rest, "rest"), points, texts, n, num, den)
     found = connected_components(links.unionByName(more))
 

@@ -32,8 +32,8 @@ SEQUENCE = 1_024
 #: Pieces in a block on average; a block's loss is below one sequence.
 BLOCK = 4_096
 ISLANDS, MEMBERS, EPOCHS, GENERATIONS = 2, 4, 2, 6
-#: Pieces whose ids a Python worker keeps; beyond that it starts afresh.
-KEPT_PIECES = 2_000_000
+#: Pieces whose ids a task keeps, some 30 MB; beyond that it starts afresh.
+KEPT_PIECES = 500_000
 #: Bytes encoded at a time; longer texts are cut at stable boundaries.
 SEGMENT = 1 << 21
 
@@ -120,11 +120,16 @@ class PieceTable:
         return at
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _table(name: str) -> PieceTable:
     return PieceTable(name)
 
 
+def clear_kept() -> None:
+    """Drop what this process keeps of pieces; a task does so at its end."""
+    _table.cache_clear()
+
+
 def encode_bytes(data: np.ndarray, breaks: np.ndarray, name: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of UTF-8 texts in a row, and how many ids stand before each of ``breaks``.
 
@@ -203,22 +208,28 @@ def token_pieces(
     """One row a piece of every document's ids."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: list[tuple] = []
-            for k, ids in enumerate(encode_texts(batch.column("text"), name)):
-                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                starts = cut_points(len(ids), most)
-                rows += [
-                    (k, i, a, b - a, zlib.crc32(ids[a:b].tobytes()))
-                    for i, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)]))
-                ]
-            k, *rest = (pa.array(x, t) for x, t in zip(
-                zip(*rows) if rows else [()] * 5, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            ))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_row").take(k), batch.column("doc_id").take(k), *rest],
-                ["_row", "doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+        try:
+            for batch in batches:
+                yield cut_batch(batch)
+        finally:
+            clear_kept()
+
+    def cut_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows: list[tuple] = []
+        for k, ids in enumerate(encode_texts(batch.column("text"), name)):
+            ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+            starts = cut_points(len(ids), most)
+            rows += [
+                (k, i, a, b - a, zlib.crc32(ids[a:b].tobytes()))
+                for i, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)]))
+            ]
+        k, *rest = (pa.array(x, t) for x, t in zip(
+            zip(*rows) if rows else [()] * 5, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+        ))
+        return pa.RecordBatch.from_arrays(
+            [batch.column("_row").take(k), batch.column("doc_id").take(k), *rest],
+            ["_row", "doc_id", "piece", "start", "length", "ids_crc32"],
+        )
 
     return documents.select(
         F.monotonically_increasing_id().alias("_row"),

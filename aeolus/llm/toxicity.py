@@ -11,8 +11,7 @@ a whole document.
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from aeolus.llm.common import by_size
+from aeolus.llm.common import by_size, materialise
 from aeolus.llm.language_id import held_out
 
 BUCKETS = 1 << 17
@@ -30,11 +29,10 @@ DIMENSIONS = 8
 WINDOW = 2
 #: Labelled documents at most that the model is fitted on, half of each label.
 SAMPLE = 6_000
-#: A document of more characters is not drawn into the sample.
-SAMPLE_CHARS = 200_000
 EPOCHS, BATCH, RATE = 12, 64, 0.3
 THRESHOLD = 0.7
-KEPT_WORDS = 500_000
+#: Words whose means a task keeps, some 30 MB; beyond that it starts afresh.
+KEPT_WORDS = 300_000
 
 _EDGE = string.punctuation + "«»„“”’…–—¡¿"
 
@@ -81,12 +79,13 @@ def worst_window(values: np.ndarray) -> tuple[int, float]:
     return at, float(means[at])
 
 
-def train(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
-    """Each bucket's part in the logit of label 1, and the bias."""
+def train(texts: Iterable[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
+    """Each bucket's part in the logit of label 1, and the bias. Of the texts
+    only the numbers of their words are held."""
     rng = np.random.default_rng(0)
     docs, index = [], {}
     for text in texts:
-        docs.append(np.array([index.setdefault(w, len(index)) for w in words_of(text)], np.int64))
+        docs.append(np.array([index.setdefault(w, len(index)) for w in words_of(text)], np.int32))
     words = list(index)
     # The subwords of all words once, as slices by word.
     parts, counts = [], []
@@ -117,9 +116,10 @@ def train(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
                     if not labels[d] and epoch % 2 == 0:
                         at = int(rng.integers(len(own) - WINDOW + 1))
                     own = own[at : at + WINDOW]
-                for w in own[:2_000]:
+                # A word that comes again weighs as often.
+                for w, times in zip(*np.unique(own, return_counts=True)):
                     bags.append(ids[first[w] : first[w] + count[w]])
-                    weights.append(np.full(count[w], 1 / (max(count[w], 1) * max(len(own[:2_000]), 1)), np.float32))
+                    weights.append(np.full(count[w], times / (max(count[w], 1) * len(own)), np.float32))
                     row.append(np.full(count[w], r))
             if not bags:
                 continue
@@ -184,14 +184,16 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, sample: int = SA
         drawn = thin if drawn is None else drawn.unionByName(thin)
     rows = (
         documents.join(F.broadcast(drawn), "doc_id")  # no more than ``sample`` rows
-        .where(F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
+        .where(F.col("text").isNotNull())
         .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"), F.max("draw").alias("draw"))
-        .collect()
     )
-    rows.sort(key=lambda r: r["draw"])
-    if len({r["toxic"] for r in rows}) < 2:
+    rows = materialise(rows, "labelled")
+    known = sorted(rows.select("draw", "doc_id", "toxic").collect())
+    if len({r["toxic"] for r in known}) < 2:
         return None
-    return Scorer(*train([r["text"] for r in rows], np.array([r["toxic"] for r in rows])))
+    # Text by text, so that the driver never holds all.
+    texts = (r["text"] for r in rows.orderBy("draw", "doc_id").select("text").toLocalIterator())
+    return Scorer(*train(texts, np.array([r["toxic"] for r in known])))
 
 
 def scored(spark, model: Scorer | None, text: str = "text") -> Column:
@@ -201,18 +203,14 @@ def scored(spark, model: Scorer | None, text: str = "text") -> Column:
     shared = spark.sparkContext.broadcast((model.bucket_logits, model.bias))  # half a MB, fixed
 
     @pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        scorer = _scorer(shared)
-        return pd.Series([x for part in by_size(texts) for x in scorer.scores(part)], dtype="float64")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(*shared.value)  # what it keeps goes with the task
+        for texts in batches:
+            yield pd.Series([x for part in by_size(texts) for x in scorer.scores(part)], dtype="float64")
 
     return score(F.coalesce(F.col(text), F.lit("")))
 
 
-@lru_cache(maxsize=2)
-def _scorer(shared) -> Scorer:
-    return Scorer(*shared.value)
-
-
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Toxicity of every whole text, learnt from two thirds of the ids.
 

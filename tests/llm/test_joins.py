@@ -110,6 +110,64 @@ def test_rtree_finds_what_the_bound_allows():
     assert want <= got and len(got) <= len(want) + 10
 
 
+@pytest.mark.parametrize("pairs", [50, 1 << 18])
+def test_rtree_of_many_keys_against_all_pairs(monkeypatch, pairs):
+    monkeypatch.setattr(ngram_join, "PAIRS", pairs)
+    rng = np.random.default_rng(1)
+    for keys, n in ((1, 0), (1, 500), (6, 500), (200, 700)):
+        kinds = rng.integers(0, 4, (30, ngram_join.GROUPS))
+        points = (kinds[rng.integers(0, 30, n)] + (rng.random((n, ngram_join.GROUPS)) < 0.03)).astype(np.int32)
+        sizes, owner, group = points.sum(1).astype(np.int64), rng.integers(0, 40, n), rng.integers(0, keys, n)
+        tree = ngram_join.RTree(points, sizes, owner, 9, 10, group)
+        q, p = tree.search(points, sizes, owner, group)
+        need = ngram_join.least_overlap(sizes[:, None], sizes, 9, 10)
+        meets = np.minimum(points[:, None], points).sum(2) >= need if n else np.zeros((0, 0), bool)
+        meets &= (10 * sizes >= 9 * sizes[:, None]) & (9 * sizes <= 10 * sizes[:, None])
+        meets &= (group == group[:, None]) & (owner != owner[:, None])
+        assert sorted(zip(q.tolist(), p.tolist())) == sorted(zip(*(x.tolist() for x in np.nonzero(meets))))
+        # Nodes spare points: fewer are compared than all pairs of a key.
+        if keys == 1 and n:
+            assert len(tree.levels) == 3 and 0 < tree.visited[1] < n * n and tree.visited[0] > 0
+
+
+def test_candidates_come_from_the_tree(monkeypatch):
+    """Keys wider than a node and over several batches, with one tile and two."""
+    trees = []
+
+    class Watched(ngram_join.RTree):
+        def __init__(self, *args):
+            super().__init__(*args)
+            trees.append(self)
+
+    monkeypatch.setattr(ngram_join, "RTree", Watched)
+    monkeypatch.setattr(ngram_join, "TREE_ROWS", 64)
+    rng = np.random.default_rng(2)
+    kinds = rng.integers(0, 5, (4, ngram_join.GROUPS))
+    rows = []
+    for key, (width, tiles) in enumerate([(3, 1), (90, 1), (40, 2), (200, 1), (2, 1)]):
+        for _ in range(width):
+            point = kinds[rng.integers(4)] + (rng.random(ngram_join.GROUPS) < 0.02)
+            node, tile = len(rows), int(rng.integers(tiles))
+            rows.append((key, tile, node, int(rng.integers(3)), int(point.sum()), point, tiles))
+    dealt = []
+    for key, tile, node, component, n, point, tiles in rows:
+        for other in range(tiles):
+            one, two = min(tile, other), max(tile, other)
+            dealt.append((key, one, two, node, component, n, tile == one, tile == two, ngram_join.pack_counts(point)))
+    dealt.sort(key=lambda r: r[:3])
+    names = ["key", "one", "two", "node", "component", "n", "held", "asks", "point"]
+    table = pa.table({name: [r[k] for r in dealt] for k, name in enumerate(names)})
+    found = [b.to_pydict() for b in ngram_join._candidates(9, 10)(iter(table.to_batches(max_chunksize=25)))]
+    got = {(a, b) for f in found for a, b in zip(f["src"], f["dst"])}
+    want = {
+        (a[2], b[2]) for a in rows for b in rows
+        if a[0] == b[0] and a[2] < b[2] and a[3] != b[3] and 10 * a[4] >= 9 * b[4] and 10 * b[4] >= 9 * a[4]
+        and np.minimum(a[5], b[5]).sum() >= ngram_join.least_overlap(a[4], b[4], 9, 10)
+    }
+    assert got == want and want
+    assert any(len(t.levels) > 1 and t.visited[1] for t in trees)
+
+
 @pytest.mark.parametrize("edges", [[], [(1, 2)], [(k, k + 1) for k in range(40)], [(0, k) for k in range(1, 30)] + [(50, 51), (51, 52)]])
 def test_connected_components(spark, edges):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}

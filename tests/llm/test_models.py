@@ -51,6 +51,41 @@ def test_temperature_undoes_overconfidence():
     assert 2.6 < language_id.calibrate(logits * 3, labels) < 3.4
 
 
+def test_temperature_search_widens():
+    rng = np.random.default_rng(1)
+    logits = rng.normal(size=(3000, 3))
+    labels = np.array([rng.choice(3, p=language_id.softmax(x)) for x in logits])
+    for scale in (1e-3, 1e3):  # optima beyond the first bracket
+        assert language_id.calibrate(logits * scale, labels) == pytest.approx(scale, rel=0.2)
+    # Every example told right: still a least value, and no certainty.
+    right = np.eye(3)[rng.integers(0, 3, 200)]
+    t = language_id.calibrate(right, right.argmax(1))
+    assert 1e-3 < t < 1 and 0.98 < language_id.softmax(right / t).max(1).mean() < 0.999
+    assert language_id.calibrate(np.zeros((0, 3)), np.zeros(0, int)) == 1.0
+
+
+def test_long_documents_are_learnt_from(spark):
+    """Texts over a million characters count in both fits."""
+    rows = [(k, ("bonjour le monde " if k % 2 else "hello the world ") * 70_000, "fr" if k % 2 else "en") for k in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs, F.lit(True))
+    assert [model.predict(t)[0] for t in ("bonjour le monde", "hello the world")] == ["fr", "en"]
+    long = [(k, "fine words here " * 5_000 + ("snotterfink " if k % 2 else "lovely ") + "fine words here " * 9_000) for k in range(12)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(12)], "doc_id long, toxic int")
+    learnt = toxicity.fit(spark.createDataFrame(long, "doc_id long, text string"), labels, F.lit(True))
+    toxic, clean = learnt.scores([long[1][1], long[0][1]])
+    assert toxic > clean
+
+
+def test_every_word_of_a_document_trains(monkeypatch):
+    """The first epoch averages all words, the last ones too."""
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    texts = ["calm " * 4_000 + f"{'snotterfink' if k % 2 else 'bluebell'} " * 4_000 for k in range(64)]
+    model = toxicity.Scorer(*toxicity.train(texts, np.arange(64) % 2))
+    bad, good = model.scores(["snotterfink snotterfink", "bluebell bluebell"])
+    assert bad > good
+
+
 def test_toxicity_learns_misspellings():
     rng = np.random.default_rng(0)
     clean = ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(300)]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from aeolus.llm import decontamination
+from aeolus.llm import decontamination, language_id, toxicity
 from aeolus.llm.common import materialise
 
 SF = "/root/testdata/sf0.001"
@@ -65,6 +65,41 @@ def test_language_rejects_only_what_has_no_letters(stages):
     assert stages["language_id"].where("doc_id = 3").count() == 2
 
 
+def test_toxic_documents_go(spark, stages):
+    """The stage against the model applied text by text on the driver."""
+    docs = stages["language_id"]
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.fit(docs, labels, ~language_id.held_out("doc_id", 3, 1))
+    rows = docs.select("doc_id", "text").collect()
+    scores = model.scores([r.text for r in rows])
+    kept = sorted(r.doc_id for r, score in zip(rows, scores) if score < toxicity.THRESHOLD)
+    assert sorted(r.doc_id for r in stages["toxicity"].select("doc_id").collect()) == kept
+    assert len(kept) > 0.8 * len(rows)
+
+
+def test_language_score_is_a_threshold(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    monkeypatch.setattr(corpus_pipeline, "LEAST_LANGUAGE_SCORE", 1.01)
+    assert corpus_pipeline.identify_language(spark, docs, SF).count() == 0
+
+
+def test_workers_keep_nothing_of_a_stage(spark, stages):
+    """Caches of earlier stages' tasks are gone from the Python workers."""
+
+    def kept(batches):
+        import pandas as pd
+
+        from aeolus.llm import packing, toxicity
+
+        for _ in batches:
+            pass
+        held = [v for v in vars(toxicity).values() if isinstance(v, dict) and v is not vars(toxicity)["__builtins__"]]
+        yield pd.DataFrame({"pieces": [packing._table.cache_info().currsize], "words": [sum(map(len, held))]})
+
+    rows = spark.range(0, 64, 1, 16).mapInPandas(kept, "pieces long, words long").collect()
+    assert {(r.pieces, r.words) for r in rows} == {(0, 0)}
+
+
 def test_near_copies_keep_one_of_each_group(stages):
     rows = [(r.doc_id, r.text) for r in stages["toxicity"].select("doc_id", "text").collect()]
     got = sorted(r.doc_id for r in stages["near_copies"].select("doc_id").collect())
