@@ -110,6 +110,46 @@ KMH_PER_MS = 3.6
 DEFAULT_TIME_FROM = "2026-02-01"
 DEFAULT_TIME_TO = "2026-04-01"
 
+# Valid ranges of weather measures, both ends included; None: open.
+WEATHER_RANGES = (
+    ("latitude", -90.0, 90.0),
+    ("longitude", -180.0, 180.0),
+    ("temperature_2m", -90.0, 100.0),
+    ("relative_humidity_2m", 0.0, 100.0),
+    ("precipitation", 0.0, None),
+    ("wind_speed_10m", 0.0, None),
+)
+
+# Numeric features of the two datasets, in column order.
+PROBE_FEATURES = (
+    "hour_of_day",
+    "day_of_week",
+    "is_weekend",
+    "lat",
+    "lon",
+    "events_count",
+    "heading_sin",
+    "heading_cos",
+    "temp_c",
+    "precip_mm",
+    "wind_mps",
+    "humidity_pct",
+)
+ROAD_FEATURES = (
+    "hour_of_day",
+    "day_of_week",
+    "is_weekend",
+    "lat",
+    "lon",
+    "free_flow_speed_kmh",
+    "current_travel_time_s",
+    "confidence",
+    "temp_c",
+    "precip_mm",
+    "wind_mps",
+    "humidity_pct",
+)
+
 # Model constants.
 SEED = 42
 TEST_SHARE = 0.2

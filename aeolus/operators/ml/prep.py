@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ...constants import TEST_SHARE
+from ...constants import PROBE_FEATURES, ROAD_FEATURES, TEST_SHARE
 
 NULL_LEVEL = "None"
 
@@ -36,12 +36,9 @@ class DatasetSpec:
         return list(dict.fromkeys(cols))
 
 
-_WEATHER = ("temp_c", "precip_mm", "wind_mps", "humidity_pct")
-
 PROBE_SPEC = DatasetSpec(
     name="kpt",
-    numeric=("hour_of_day", "day_of_week", "is_weekend", "lat", "lon", "events_count",
-             "heading_sin", "heading_cos", *_WEATHER),
+    numeric=PROBE_FEATURES,
     categorical=("direction_bucket",),
     regression_target="avg_speed_kmh",
     classification_target="is_congested",
@@ -50,8 +47,7 @@ PROBE_SPEC = DatasetSpec(
 
 ROAD_SPEC = DatasetSpec(
     name="tomtom",
-    numeric=("hour_of_day", "day_of_week", "is_weekend", "lat", "lon", "free_flow_speed_kmh",
-             "current_travel_time_s", "confidence", *_WEATHER),
+    numeric=ROAD_FEATURES,
     categorical=("road_id",),
     regression_target="current_speed_kmh",
     classification_target="is_congested",

@@ -15,7 +15,12 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import EPOCH_LOWER_BOUND, OBSERVED_AT_FORMAT, WEATHER_REQUIRED_FIELDS
+from ..constants import (
+    EPOCH_LOWER_BOUND,
+    OBSERVED_AT_FORMAT,
+    WEATHER_RANGES,
+    WEATHER_REQUIRED_FIELDS,
+)
 from ..functions import try_parse_ts
 
 _DOUBLES = (
@@ -67,12 +72,11 @@ def reject_nulls(df: DataFrame, fields: Iterable[str] = WEATHER_REQUIRED_FIELDS)
 def domain_condition(producer: str | None = None) -> Column:
     """V4 predicate: inclusive physical ranges; NaN fails explicitly because
     Spark's ``NaN >= 0`` is true."""
-    cond = (F.col("latitude").between(-90.0, 90.0)
-            & F.col("longitude").between(-180.0, 180.0)
-            & F.col("temperature_2m").between(-90.0, 100.0)
-            & F.col("relative_humidity_2m").between(0.0, 100.0)
-            & (F.col("precipitation") >= 0.0) & ~F.isnan("precipitation")
-            & (F.col("wind_speed_10m") >= 0.0) & ~F.isnan("wind_speed_10m"))
+    def valid(name: str, low: float, high: float | None) -> Column:
+        c = F.col(name)
+        return (c >= low) & ~F.isnan(c) if high is None else c.between(low, high)
+
+    cond = reduce(and_, [valid(*r) for r in WEATHER_RANGES])
     if producer is not None:
         cond = (F.col("author") == producer) & cond
     return cond

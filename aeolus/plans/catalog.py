@@ -1170,3 +1170,121 @@ def q_silver_incremental(spark, sf_dir):
         inc.run_silver_incremental(spark, f"{base}/bronze", f"{base}/silver", "open_meteo_current",
                                    producer=fx.FIXTURE_AUTHOR, overlap="0 seconds")
     return _silver_out(inc.current_silver(spark, f"{base}/silver", "open_meteo_current"))
+
+
+# ---- layers written and read back -------------------------------------------------
+
+def _folder(spark, name: str) -> str:
+    import uuid
+    return S.scratch_path(spark, name, uuid.uuid4().hex[:12])
+
+
+#: What a Gold metric's files are checked by: a value of its rows of a day.
+GOLD_CHECKS = {
+    "temperature_hourly": "max(temperature_max_c)", "precipitation_daily": "max(total_precip_mm)",
+    "wind_daily_extremes": "max(wind_speed_max_ms)", "subzero_hours_daily": "min(coldest_hour_temp_c)",
+}
+
+
+@register("gold_job")
+def q_gold_job(spark, sf_dir):
+    """Bronze files, an incremental Silver run, four Gold
+    metrics in one job; each metric's files read back, by day and city."""
+    from . import jobs
+    base = _folder(spark, "gold_job")
+    bronze = landing.bronze_weather(spark, sf_dir).drop("_corrupt_record", "src_id")
+    write_bronze(bronze, f"{base}/bronze", "weather", "open_meteo_current")
+    inc.run_silver_incremental(spark, f"{base}/bronze", f"{base}/silver", "open_meteo_current",
+                               producer=fx.FIXTURE_AUTHOR)
+    done = jobs.run_gold(spark, f"{base}/silver", f"{base}/gold", "open_meteo_current", fx.FIXTURE_AUTHOR,
+                         metrics=list(GOLD_CHECKS), run_id="run000000001")
+    out = None
+    for name, path in sorted(done.paths.items()):
+        rows = spark.read.parquet(path).groupBy("metric_name", "author", "schema_v", "run_id", "window_date", "city").agg(
+            F.count(F.lit(1)).alias("n_rows"), _r(F.expr(GOLD_CHECKS[name])).alias("value"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("dataset_files")
+def q_dataset_files(spark, sf_dir):
+    """K4 + S3: the road dataset written, kept when written again, read back."""
+    from ..sinks import write_dataset
+    from ..sources.silver import read_silver_recursive
+    path = _folder(spark, "dataset") + "/dataset_tomtom"
+    road = datasets(spark, sf_dir)[1]
+    write_dataset(road, path, fx.FIXTURE_AUTHOR)
+    write_dataset(road.limit(0), path, "nobody")  # there already: left alone
+    return _round_doubles(read_silver_recursive(spark, path), keep=("lat", "lon"))
+
+
+@register("prediction_files")
+def q_prediction_files(spark, sf_dir):
+    """K5 + S7: predictions written and read back; a dataset without is left out."""
+    from ..sinks import write_predictions
+    from ..sources.silver import read_optional
+    base = _folder(spark, "predictions")
+    write_predictions(scored_fixture(spark, sf_dir), f"{base}/predictions_tomtom")
+    found = read_optional(spark, {n: f"{base}/predictions_{n}" for n in ("tomtom", "kpt")})
+    assert set(found) == {"tomtom"}
+    return found["tomtom"].select("src_id", _ntz("event_hour").alias("event_hour"), "is_congested_actual",
+                                  "is_congested_pred", _r("congestion_proba").alias("congestion_proba"))
+
+
+@register("center_files")
+def q_center_files(spark, sf_dir):
+    """K7 + S7: cluster centers written and read back."""
+    from ..sinks import write_centers
+    from ..sources.silver import read_centers
+    path = _folder(spark, "centers")
+    df = mp.check_dataset(ml_dataset(spark, sf_dir), mp.ROAD_SPEC)
+    points = (df.filter(F.col("is_congested") == 1)
+              .select("lat", "lon", F.col("current_travel_time_s").alias("intensity"),
+                      (F.col(ML_KEY) % 4).alias("cluster")).dropna())
+    write_centers(mk.centers_from_labels(points).withColumn("dataset", F.lit("tomtom")), path)
+    out = read_centers(spark, path)
+    return out.select("dataset", "cluster_id", *[_r(c).alias(c) for c in ("lat", "lon", "intensity_mean")], "size")
+
+
+@register("metric_sections")
+def q_metric_sections(spark, sf_dir):
+    """K6: writing one section again replaces it and leaves the others."""
+    from ..sinks import write_metrics
+    path = _folder(spark, "metrics") + "/metrics"
+    scored = scored_fixture(spark, sf_dir)
+
+    def long(section, model, aggregates):
+        wide = scored.agg(*[c.cast("double").alias(n) for n, c in aggregates.items()])
+        return wide.select(F.lit(section).alias("section"), F.lit("tomtom").alias("dataset"), F.lit(model).alias("model"),
+                           F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in aggregates])).alias("m")
+                           ).select("section", "dataset", "model", "m.metric", "m.value")
+
+    write_metrics(long("regression", "old", {"gone": F.lit(0.0)}), path)
+    write_metrics(long("classification", "rule", {"rows": F.count(F.lit(1)), "positives": F.sum("is_congested_actual")}), path)
+    write_metrics(long("regression", "new", {"proba_mean": F.avg("congestion_proba")}), path)
+    out = spark.read.parquet(path)
+    return out.select("section", "dataset", "model", "metric", _r("value").alias("value"))
+
+
+@register("silver_repartition")
+def q_silver_repartition(spark, sf_dir):
+    """V8: a fixed number of output partitions, rows spread evenly over them."""
+    out = silver.rebalance(silver_table(spark, sf_dir), 8).groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count(F.lit(1)).alias("n"))
+    return out.agg(F.count(F.lit(1)).alias("partitions"), F.sum("n").alias("n_rows"),
+                   (F.max("n") - F.min("n") <= 64).alias("even"))
+
+
+@register("lenient_coercion")
+def q_lenient_coercion(spark, sf_dir):
+    """D13 + D14: measures and times as text, with values that are none."""
+    raw = fx.road_text(_events(spark, sf_dir))
+    out = fe.coerce_road(raw)
+    return out.select("src_id", _ntz("event_ts").alias("event_ts"), *fe.ROAD_NUMERIC)
+
+
+@register("weather_union_missing")
+def q_weather_union_missing(spark, sf_dir):
+    """A feed without one of the columns has nulls there."""
+    frames = weather_frames(spark, sf_dir)
+    return _round_doubles(fe.union_weather([*frames[:2], frames[2].drop("humidity_pct")]))

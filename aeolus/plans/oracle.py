@@ -870,3 +870,53 @@ SELECT src_id, is_congested,
        row_number() OVER (PARTITION BY is_congested ORDER BY substr(sha1(CAST(src_id AS VARCHAR)), 1, 15))
          <= floor(2e-1 * count(*) OVER (PARTITION BY is_congested) + 5e-1) AS is_test
 FROM ml"""
+
+
+# ---- layers written and read back -------------------------------------------------
+
+_LINEAGE = "'fixture' AS author, CAST(1 AS INTEGER) AS schema_v, 'run000000001' AS run_id"
+
+
+def _gold_check(name: str, value: str, hourly: bool) -> str:
+    count = "count(DISTINCT hour(event_ts))" if hourly else "CAST(1 AS BIGINT)"
+    return (f"SELECT '{name}' AS metric_name, {_LINEAGE}, strftime(event_ts, '%Y-%m-%d') AS window_date, city, "
+            f"{count} AS n_rows, {R(value)} AS value FROM first_polls WHERE city IS NOT NULL GROUP BY ALL")
+
+
+ORACLE["gold_job"] = f"""WITH first_polls AS ({ORACLE["silver_incremental"]})
+""" + "\nUNION ALL\n".join([
+    _gold_check("temperature_hourly", "max(temperature_2m)", True),
+    _gold_check("precipitation_daily", "sum(precipitation)", False),
+    _gold_check("wind_daily_extremes", "max(wind_speed_10m)", False),
+    _gold_check("subzero_hours_daily", "min(temperature_2m)", False),
+])
+
+ORACLE["dataset_files"] = f"""SELECT *, 'fixture' AS author FROM ({ORACLE["tomtom_weather"]})"""
+
+ORACLE["prediction_files"] = f"""{SCORED_CTES}
+SELECT src_id, event_hour, is_congested_actual, is_congested_pred, {R("congestion_proba")} AS congestion_proba FROM scored"""
+
+ORACLE["center_files"] = f"""SELECT 'tomtom' AS dataset, * FROM ({ORACLE["cluster_centers_fixed"]})"""
+
+ORACLE["metric_sections"] = f"""{SCORED_CTES}
+SELECT 'classification' AS section, 'tomtom' AS dataset, 'rule' AS model, 'rows' AS metric, {R("CAST(count(*) AS DOUBLE)")} AS value FROM scored
+UNION ALL
+SELECT 'classification', 'tomtom', 'rule', 'positives', {R("CAST(sum(is_congested_actual) AS DOUBLE)")} FROM scored
+UNION ALL
+SELECT 'regression', 'tomtom', 'new', 'proba_mean', {R("avg(congestion_proba)")} FROM scored"""
+
+ORACLE["silver_repartition"] = f"""{SILVER_CTES}
+SELECT CAST(8 AS BIGINT) AS partitions, count(*) AS n_rows, true AS even FROM silver"""
+
+ORACLE["lenient_coercion"] = f"""{with_ctes(BASE)}
+SELECT src_id, CASE WHEN src_id % 7 > 1 THEN date_trunc('second', ts) END AS event_ts,
+       CASE WHEN k % 5 > 1 THEN k + 25e-2 END AS current_speed_kmh,
+       CASE WHEN k % 3 > 0 THEN k + 25e-2 END AS free_flow_speed_kmh,
+       CASE WHEN k % 4 > 0 THEN -(k + 25e-2) END AS current_travel_time_s,
+       CASE WHEN k % 6 > 0 THEN 1e2 END AS confidence
+FROM base"""
+
+ORACLE["weather_union_missing"] = f"""{WEATHER_CTES}
+SELECT {WEATHER_OUT} FROM (
+  SELECT * FROM norm_a UNION ALL SELECT * FROM norm_b
+  UNION ALL SELECT * REPLACE (CAST(NULL AS DOUBLE) AS humidity_pct) FROM norm_c)"""

@@ -322,3 +322,20 @@ def bronze_lines_with_corruption(events: DataFrame) -> DataFrame:
     line = (F.when(F.col("k") == 7, F.concat(F.lit('{"broken": '), F.col("src_id").cast("string")))
             .otherwise(F.to_json(F.struct(*[c for c in env.columns if c not in ("src_id", "k")]))))
     return env.select(line.alias("value"))
+
+
+def road_text(events: DataFrame) -> DataFrame:
+    """Road measures as text, as a sloppy feed sends them: every fifth speed is
+    no number, others are NaN or empty; every seventh time can't be read."""
+    b = events_base(events)
+    k = F.col("k")
+    number = F.concat(k.cast("string"), F.lit(".25"))
+    return b.select(
+        "src_id",
+        F.when(F.col("src_id") % 7 == 0, "soon").when(F.col("src_id") % 7 == 1, "")
+         .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("event_ts"),
+        F.when(k % 5 == 0, "n/a").when(k % 5 == 1, "NaN").otherwise(number).alias("current_speed_kmh"),
+        F.when(k % 3 == 0, "").otherwise(number).alias("free_flow_speed_kmh"),
+        F.when(k % 4 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("-"), number)).alias("current_travel_time_s"),
+        F.when(k % 6 == 0, "1,5").otherwise(F.lit("1e2")).alias("confidence"),
+    )
