@@ -24,11 +24,9 @@ from pyspark.sql import functions as F
 
 from aeolus.llm.shingles import powers
 
-#: Length of the character q-grams and edits allowed for each character.
+#: Longest character q-grams, and edits allowed for each character.
 Q = 8
 EDITS = 0.1
-#: Items shorter than this, after normalising, have too weak a bound.
-SHORTEST = 50
 #: Characters of benchmark items in a block.
 BLOCK_CHARS = 2_000_000
 #: Characters of a text in which q-grams are looked up at a time.
@@ -54,16 +52,22 @@ def normalise(text: str) -> tuple[str, np.ndarray | None]:
     return out, np.flatnonzero(places)
 
 
-def _grams(code: np.ndarray) -> np.ndarray:
+def gram_length(m: int) -> int:
+    """q for items of m characters: shorter ones have shorter q-grams, so that
+    the lemma always asks for at least one; within no edit, the item itself."""
+    return max(1, min(Q, m // (int(m * EDITS) + 1)))
+
+
+def _grams(code: np.ndarray, q: int) -> np.ndarray:
     """64-bit hashes of all q-grams, from running sums."""
-    if len(code) < Q:
+    if len(code) < q:
         return np.zeros(0, np.uint64)
     up, down = powers(len(code) + 1)
     value = code * np.uint64(0xFF51AFD7ED558CCD)
     value ^= value >> np.uint64(31)
     total = np.zeros(len(code) + 1, np.uint64)
     np.cumsum(value * up[: len(code)], out=total[1:])
-    h = (total[Q:] - total[:-Q]) * down[: len(code) - Q + 1]
+    h = (total[q:] - total[:-q]) * down[: len(code) - q + 1]
     return h ^ (h >> np.uint64(32))
 
 
@@ -73,8 +77,9 @@ def _codes(text: str) -> np.ndarray:
 
 @dataclass
 class Items:
-    """A block of the benchmark, with its q-grams sorted by hash."""
+    """A block of the benchmark's items of one q, with their q-grams sorted by hash."""
 
+    q: int
     ids: list[int]
     texts: list[str]
     budget: np.ndarray
@@ -84,9 +89,9 @@ class Items:
     slots: np.ndarray
 
     @classmethod
-    def of(cls, rows: list[tuple[int, str]]) -> Items:
+    def of(cls, rows: list[tuple[int, str]], q: int) -> Items:
         texts = [t for _, t in rows]
-        grams = [_grams(_codes(t)) for t in texts]
+        grams = [_grams(_codes(t), q) for t in texts]
         h = np.concatenate([*grams, np.zeros(0, np.uint64)])
         item = np.repeat(np.arange(len(rows)), [len(g) for g in grams])
         place = np.concatenate([*(np.arange(len(g)) for g in grams), np.zeros(0, int)])
@@ -94,15 +99,15 @@ class Items:
         slots = np.zeros(1 << max(16, (16 * len(h)).bit_length()), bool)  # few false hits
         slots[h & np.uint64(len(slots) - 1)] = True
         budget = np.array([int(len(t) * EDITS) for t in texts], int)
-        return cls([i for i, _ in rows], texts, budget, h[order], item[order], place[order], slots)
+        return cls(q, [i for i, _ in rows], texts, budget, h[order], item[order], place[order], slots)
 
 
 def regions(text: str, items: Items) -> list[tuple[int, int, int]]:
     """(item, low, high) of bands of diagonals that meet an item's q-gram bound."""
-    code = _codes(text)
+    code, q = _codes(text), items.q
     item_all, diagonal_all = [], []
-    for start in range(0, max(1, len(code) - Q + 1), SEGMENT):
-        h = _grams(code[start : start + SEGMENT + Q - 1])
+    for start in range(0, max(1, len(code) - q + 1), SEGMENT):
+        h = _grams(code[start : start + SEGMENT + q - 1], q)
         hit = np.flatnonzero(items.slots[h & np.uint64(len(items.slots) - 1)])
         lo, hi = (np.searchsorted(items.hashes, h[hit], side) for side in ("left", "right"))
         n = hi - lo
@@ -118,7 +123,7 @@ def regions(text: str, items: Items) -> list[tuple[int, int, int]]:
     out = []
     # Items of fewer shared q-grams than the bound are gone before any sorting.
     length = np.array([len(t) for t in items.texts])
-    bound = np.maximum(1, length + 1 - Q - items.budget * Q)
+    bound = length + 1 - q - items.budget * q
     enough = np.bincount(item, minlength=len(length))[item] >= bound[item]
     if not enough.any():
         return []
@@ -202,20 +207,22 @@ def matches(text: str, items: Items) -> list[tuple[int, int, int, int]]:
 
 
 def benchmark_blocks(benchmark: DataFrame) -> list[Items]:
-    """The items in blocks of bounded size; null and short texts are left out."""
+    """The items in blocks of bounded size and one q; null and blank texts are none."""
     blocks: list[Items] = []
-    held: list[tuple[int, str]] = []
-    size = 0
+    held: dict[int, list[tuple[int, str]]] = {}
+    size: dict[int, int] = {}
     for row in benchmark.select("item_id", "text").where("text IS NOT NULL").distinct().toLocalIterator():
         text = normalise(row["text"])[0].strip()
-        if len(text) < SHORTEST:
+        if not text:
             continue
-        if held and size + len(text) > BLOCK_CHARS:
-            blocks.append(Items.of(sorted(held)))
-            held, size = [], 0
-        held.append((row["item_id"], text))
-        size += len(text)
-    return blocks + ([Items.of(sorted(held))] if held else [])
+        q = gram_length(len(text))
+        if q in held and size[q] + len(text) > BLOCK_CHARS:
+            blocks.append(Items.of(sorted(held.pop(q)), q))
+        if q not in held:
+            held[q], size[q] = [], 0
+        held[q].append((row["item_id"], text))
+        size[q] += len(text)
+    return blocks + [Items.of(sorted(own), q) for q, own in sorted(held.items())]
 
 
 _FOUND = "id long, mark long, item_id long, begin long, finish long, edits int"
@@ -224,8 +231,9 @@ _FOUND = "id long, mark long, item_id long, begin long, finish long, edits int"
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Benchmark items in documents, each at its best occurrence.
 
-    Texts are compared in lower case with white space runs as one space. Null
-    and empty texts hold nothing; an empty benchmark gives no rows; repeated
+    Texts are compared in lower case with white space runs as one space. Items
+    of any length count, short ones within fewer edits (under ten characters:
+    none). Null and empty texts hold nothing; an empty benchmark gives no rows; repeated
     rows give repeated results. Columns: id (doc_id), mark (hash of the text),
     item_id, begin and finish (characters of the text as it is), edits.
     """

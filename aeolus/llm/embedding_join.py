@@ -14,6 +14,8 @@ of a spanning forest, no more rows than it has vectors. Equal vectors are one.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -31,6 +33,7 @@ SLACK = 1e-4
 _STEP = 512
 
 
+@lru_cache(maxsize=8)
 def rotation(dim: int) -> np.ndarray:
     q, r = np.linalg.qr(np.random.default_rng(dim).normal(size=(dim, dim)))
     return q * np.sign(np.diag(r))

@@ -13,13 +13,14 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeolus.llm.common import materialise
@@ -32,6 +33,9 @@ SEQUENCE = 1_024
 #: Pieces in a block on average; a block's loss is below one sequence.
 BLOCK = 4_096
 ISLANDS, MEMBERS, EPOCHS, GENERATIONS = 2, 4, 2, 6
+#: Sequences filled less than this, and each block's emptiest, are packed again,
+#: in so many rounds at most; every round leaves a fraction of the pieces.
+LOOSE, LEVELS = 0.9, 7
 #: Pieces whose ids a task keeps, some 30 MB; beyond that it starts afresh.
 KEPT_PIECES = 500_000
 #: Bytes encoded at a time; longer texts are cut at stable boundaries.
@@ -291,6 +295,56 @@ def _fitness(bins: list[list[int]], free: list[int], most: int) -> tuple:
     return -len(bins), sum(((most - r) / most) ** 2 for r in free) / max(1, len(bins))
 
 
+def replace_by_larger(lengths: list[int], bins: list[list[int]], free: list[int], displaced: list[int]) -> None:
+    """Fill sequences better with displaced pieces, in place.
+
+    One or two pieces of a sequence give way to a larger displaced one that
+    still fits, or one to two: smaller pieces are easier to place afterwards.
+    """
+    if not displaced:
+        return
+    out = sorted(displaced, key=lengths.__getitem__)
+    sizes = [lengths[i] for i in out]
+
+    def fitting(low: int, high: int) -> int | None:
+        """Place of the largest displaced length above ``low`` and up to ``high``."""
+        k = bisect_right(sizes, high) - 1
+        return k if k >= 0 and sizes[k] > low else None
+
+    def swap(b: int, leave: list[int], take: list[int]) -> None:
+        bins[b] = [i for i in bins[b] if i not in leave] + [out[k] for k in take]
+        free[b] += sum(lengths[i] for i in leave) - sum(sizes[k] for k in take)
+        for k in sorted(take, reverse=True):
+            del out[k], sizes[k]
+        for i in leave:
+            k = bisect_right(sizes, lengths[i])
+            out.insert(k, i)
+            sizes.insert(k, lengths[i])
+
+    for b in range(len(bins)):
+        while free[b] and out:
+            best: tuple[int, list[int], list[int]] | None = None
+            own = sorted({lengths[i]: i for i in bins[b]}.values(), key=lengths.__getitem__)
+            groups = [[i] for i in own] + [[i, j] for x, i in enumerate(own) for j in own[x + 1 :]]
+            for leave in groups:
+                given = sum(lengths[i] for i in leave)
+                k = fitting(given, given + free[b])
+                if k is not None and (best is None or sizes[k] - given > best[0]):
+                    best = (sizes[k] - given, leave, [k])
+                if len(leave) == 1 and len(out) > 1:
+                    # Two for one: the largest that leaves room for another.
+                    first = bisect_right(sizes, given + free[b] - sizes[0]) - 1
+                    if first > 0:
+                        second = min(bisect_right(sizes, given + free[b] - sizes[first]) - 1, first - 1)
+                        gain = sizes[first] + sizes[second] - given if second >= 0 else 0
+                        if gain > 0 and (best is None or gain > best[0]):
+                            best = (gain, leave, [first, second])
+            if best is None:
+                break
+            swap(b, best[1], best[2])
+    displaced[:] = out
+
+
 def crossover(
     lengths: list[int], most: int, one: list[list[int]], other: list[list[int]], rng: np.random.Generator
 ) -> tuple[list[list[int]], list[int]]:
@@ -312,6 +366,7 @@ def crossover(
         if free[k]:
             displaced += bins.pop(k)
             free.pop(k)
+    replace_by_larger(lengths, bins, free, displaced)
     displaced.sort(key=lambda i: -lengths[i])
     best_fit(lengths, displaced, most, bins, free)
     return bins, free
@@ -365,9 +420,12 @@ _STATE = "block long, island int, home boolean, n_bins int, lengths binary, pack
 
 def pack_blocks(
     items: DataFrame, most: int, islands: int = ISLANDS, epochs: int = EPOCHS,
-    members: int = MEMBERS, generations: int = GENERATIONS,
+    members: int = MEMBERS, generations: int = GENERATIONS, tasks: int = 1,
 ) -> DataFrame:
-    """Pack (block, _row, piece, length, ...); adds sequence_id and offset."""
+    """Pack (block, _row, piece, length, ...); adds sequence_id and offset.
+
+    The state of a block is small and its evolution is not, so the number of
+    ``tasks`` is given, not told from the bytes."""
     kept = [c for c in items.columns if c != "block"]
     order = ["doc_id", "_row", "piece"]
 
@@ -399,7 +457,9 @@ def pack_blocks(
 
     state = items.groupBy("block").applyInPandas(start, _STATE)
     for number in range(epochs):
-        state = state.groupBy("block", "island").applyInPandas(epoch(number), _STATE)
+        state = state.repartition(tasks, "block", "island").groupBy("block", "island").applyInPandas(
+            epoch(number), _STATE
+        )
     best = state.groupBy("block").agg(
         F.min_by("packed", F.struct("n_bins", "island", "packed")).alias("packed")
     )
@@ -425,15 +485,43 @@ def pack_documents(
 
     Null text: empty, so the end id alone. Repeated rows are packed each. Only
     documents longer than a sequence are cut; their first piece is the shorter
-    one. Columns: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+    one. Sequences that a block leaves loosely filled are packed again with
+    those of other blocks. Columns: doc_id, piece, start, length, ids_crc32,
+    sequence_id, offset.
     """
     pieces = materialise(token_pieces(documents, name, end_id, most), "pieces")
-    short = pieces.where(F.col("length") < most)
-    blocks = max(1, -(-short.count() // block))
-    full = pieces.where(F.col("length") >= most).select(
+    out = pieces.where(F.col("length") >= most).select(
         "*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
-    dealt = short.withColumn("block", F.pmod(F.xxhash64("_row", "piece"), F.lit(blocks)))
-    return pack_blocks(dealt, most, **evolution).unionByName(full).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
-    )
+    columns = pieces.columns
+    items = pieces.where(F.col("length") < most)
+    parallel = 4 * documents.sparkSession.sparkContext.defaultParallelism
+    islands = evolution.get("islands", ISLANDS)
+    for level in range(LEVELS):
+        blocks = max(1, -(-items.count() // block))
+        dealt = items.withColumn("block", F.pmod(F.xxhash64("_row", "piece", F.lit(level)), F.lit(blocks)))
+        packed = pack_blocks(dealt, most, tasks=min(blocks * islands, parallel), **evolution).withColumn(
+            "sequence_id", F.col("sequence_id") + F.lit(level << 60)
+        )
+        if blocks == 1 or level + 1 == LEVELS:
+            out = out.unionByName(packed)
+            break
+        packed = materialise(packed, "packed")
+        filled = packed.groupBy("sequence_id").agg(F.sum("length").alias("filled"))
+        emptiest = Window.partitionBy(F.shiftright("sequence_id", 32)).orderBy("filled", "sequence_id")
+        filled = filled.withColumn("place", F.row_number().over(emptiest)).withColumn(
+            "loose", (F.col("place") == 1) | (F.col("filled") < LOOSE * most)
+        )
+        filled = materialise(filled.select("sequence_id", "filled", "loose"), "filled")
+        seen = filled.agg(
+            F.count("*").alias("all"), F.count_if("loose").alias("loose"),
+            F.sum(F.when(F.col("loose"), F.col("filled"))).alias("held"),
+        ).first()
+        # Nothing to gain, or pieces that only fit so loosely.
+        if -(-seen["held"] // most) >= seen["loose"] or 2 * seen["loose"] > seen["all"]:
+            out = out.unionByName(packed)
+            break
+        loose = filled.where("loose").select("sequence_id")
+        out = out.unionByName(packed.join(loose, "sequence_id", "left_anti"))
+        items = packed.join(loose, "sequence_id", "left_semi").select(*columns)
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

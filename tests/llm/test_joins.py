@@ -239,6 +239,10 @@ def test_decontamination(spark):
     rng = random.Random(2)
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()][:12]
     clean = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(12).collect()]
+    # Items of every length; the shortest within no edit.
+    items += [(500, "zqx"), (501, "Qzz vqw"), (502, "xqz vqq wqj zz"), (503, "qzx vjq wxz qjj zzv xxq wq")]
+    items += [(504, "zvq xjw qqz vvx jzq wwq xzj vqv zxx jq")]
+    clean += clean[:5]
     plain = {i: decontamination.normalise(t)[0].strip() for i, t in items}
     rows, want = [], set()
     for k, (i, t) in enumerate(items):
@@ -251,11 +255,12 @@ def test_decontamination(spark):
                 want.add((doc, i))
     rows += [(900 + k, t) for k, t in enumerate(clean[:3])] + [(990, None), (991, ""), (0, rows[0][1])]
     frame = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, item_id string")
-    bench = spark.createDataFrame([*items, (77, None), (78, "short"), items[0]], "item_id long, text string")
+    bench = spark.createDataFrame([*items, (77, None), (78, " \n"), items[0]], "item_id long, text string")
     found = decontamination.contaminated(frame, bench).collect()
     held = {(r.id, r.item_id) for r in found}
     extra = {(d, i) for d, i in held - want if least_edits(plain[i], decontamination.normalise(dict(rows)[d])[0]) > len(plain[i]) * decontamination.EDITS}
     assert want <= held and not extra
+    assert {i for _, i in held} == set(plain)
     assert sum(r.id == 0 for r in found) == 2 * sum(d == 0 for d, _ in held)
     for r in found:
         if r.edits == 0:

@@ -116,33 +116,69 @@ def test_toxicity_of_a_table(spark, table, documents, nothing):
     assert {r.score for r in toxicity.toxicity(documents, labels.limit(0)).collect()} == {0.0}
 
 
-def test_language_model_beats_frequencies(table):
-    batch = pa.RecordBatch.from_arrays([pa.array([r.text for r in table.limit(300).collect()])], ["text"])
-    counts = np.zeros(lm_scoring.BINS, np.int64)
+@pytest.fixture(scope="module")
+def language_model(table):
+    """Vocabulary, word groups and a network trained on the documents of sf0.01."""
+    batch = pa.RecordBatch.from_arrays([pa.array([r.text for r in table.collect()])], ["text"])
+    counts = np.zeros(lm_scoring.IDS, np.int64)
     for w in lm_scoring.word_sequences(batch.column("text")):
-        np.add.at(counts, (w >> np.uint64(7)) & np.uint64(lm_scoring.BINS - 1), 1)
+        np.add.at(counts, (w >> np.uint64(7)) & np.uint64(lm_scoring.IDS - 1), 1)
     vocabulary = lm_scoring.Vocabulary.of(counts)
-    network = lm_scoring.Network()
+    network = lm_scoring.Network(vocabulary, vocabulary.start())
     groups = list(lm_scoring._groups(batch, vocabulary))
-
-    def mean():
-        total = sum(lm_scoring.log_likelihoods(network, vocabulary, g).sum() for g in groups)
-        return total / sum(len(x) for g in groups for x in g)
-
-    before = mean()
-    for group in groups:
-        padded, places = lm_scoring._padded(group)
-        places = np.random.default_rng(0).permutation(places)
-        for at in range(0, len(places), 2048):
-            some = places[at : at + 2048]
-            network.train(padded, some, vocabulary.classes[padded[some]])
-    ids = np.concatenate([x for g in groups for x in g])
-    share = np.bincount(vocabulary.classes[ids], minlength=lm_scoring.CLASSES) / len(ids)
-    frequencies = np.log(share[vocabulary.classes[ids]]).mean() + vocabulary.within[ids].mean()
-    assert mean() > before and mean() > frequencies - 0.02
-    # Class probabilities sum to one, and a score is the sum over its words.
-    padded, places = lm_scoring._padded(groups[0])
-    assert np.allclose(np.exp(network.forward(padded, places[:50])[2]).sum(1), 1, atol=1e-4)
+    before = [x for g in groups for x in lm_scoring.log_likelihoods(network, g)]
+    for number in range(lm_scoring.ROUNDS):
+        for group in groups:
+            padded, places = lm_scoring._padded(group)
+            places = np.random.default_rng(0).permutation(places[number :: lm_scoring.ROUNDS])
+            for at in range(0, len(places), 2_048):
+                network.train(padded, places[at : at + 2_048])
+    return vocabulary, network, groups, before
+
+
+def test_language_model_beats_frequencies(language_model):
+    vocabulary, network, groups, before = language_model
+    words = np.concatenate([x for g in groups for x in g])
+    frequencies = np.log(vocabulary.shares)[words].mean()
+    assert sum(before) / len(words) == pytest.approx(frequencies, abs=1e-4)  # where it starts
+    after = sum(lm_scoring.log_likelihoods(network, g).sum() for g in groups) / len(words)
+    assert after > frequencies + 0.15
+    # The context counts: words of other documents around them fit worse.
+    mixed = np.split(np.random.default_rng(1).permutation(words), range(400, len(words), 400))
+    assert lm_scoring.log_likelihoods(network, mixed).sum() / len(words) < after - 0.2
+
+
+def test_language_model_is_a_distribution(language_model):
+    """Over all words the probabilities at a place sum to one."""
+    vocabulary, network, groups, _ = language_model
+    padded, _ = lm_scoring._padded(groups[0][:1])
+    for place in (lm_scoring.SIDE, lm_scoring.SIDE + 7):
+        total = 0.0
+        for word in np.split(np.arange(lm_scoring.IDS), 8):
+            own = np.concatenate([np.append(padded[place - 2 : place], [w, *padded[place + 1 : place + 3]]) for w in word])
+            total += np.exp(network.logs(own, np.arange(len(word)) * 5 + 2)).sum()
+        assert total == pytest.approx(1, abs=1e-3)
+
+
+def test_language_model_gradient():
+    """A step goes down the numeric gradient's direction."""
+    rng = np.random.default_rng(0)
+    vocabulary = lm_scoring.Vocabulary.of(rng.integers(0, 50, lm_scoring.IDS))
+    network = lm_scoring.Network(vocabulary, vocabulary.start() + rng.normal(0, 0.05, len(vocabulary.start())))
+    padded, places = lm_scoring._padded([rng.integers(0, lm_scoring.IDS, 60)])
+
+    def loss(flat):
+        return -lm_scoring.Network(vocabulary, flat).logs(padded, places).mean(dtype=np.float64)
+
+    start = network.flat.copy()
+    network.seen[:] = 1e6  # a step so small that it shows the gradient
+    network.train(padded, places)
+    gradient = (start - network.flat) / lm_scoring.RATE * 1e3
+    for k in np.argsort(-np.abs(gradient))[[0, 5, 30, 200]]:
+        near = [start.copy(), start.copy()]
+        near[0][k] += 1e-2
+        near[1][k] -= 1e-2
+        assert (loss(near[0]) - loss(near[1])) / 2e-2 == pytest.approx(gradient[k], rel=0.05, abs=1e-4)
 
 
 def test_language_model_edges(documents, nothing):
