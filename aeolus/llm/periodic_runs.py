@@ -290,6 +290,8 @@ def periodic_runs(documents: DataFrame, *, plant: bool = False, block_chars: int
             block = np.cumsum(sizes) // block_chars
             cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(ids)]
             for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
                 rows = describe_documents(ids[a:b], texts.slice(a, b - a).to_pylist(), plant)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, (_, k) in zip(zip(*rows), _KINDS)], [name for name, _ in _KINDS]
