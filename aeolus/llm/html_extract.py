@@ -369,7 +369,11 @@ def fit(pages: DataFrame, most: int = FIT_PAGES) -> Weights:
     marked = pages.where(F.col("html").rlike(r"(?i)<(article|main)\b")).select(
         "html", F.xxhash64("html", F.lit(2)).alias("draw")
     )
-    drawn = marked.groupBy("draw").agg(F.min("html").alias("html")).orderBy("draw").limit(most)
+    # The hashes alone tell which pages are drawn; only those are shuffled.
+    last = marked.select("draw").distinct().orderBy("draw").limit(most).agg(F.max("draw")).first()[0]
+    if last is None:
+        return PLAIN_WEIGHTS
+    drawn = marked.where(F.col("draw") <= last).groupBy("draw").agg(F.min("html").alias("html"))
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
