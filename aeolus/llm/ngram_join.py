@@ -36,7 +36,7 @@ GROUPS, FINE = 64, 8
 BINS = 1 << 16
 #: Children of a node of the R-tree; documents of a key in one tile; documents in
 #: one tree, but for a last key's; pairs that a search compares at a time.
-FANOUT, TILE, TREE_ROWS, PAIRS = 16, 2_048, 50_000, 1 << 18
+FANOUT, TILE, TREE_ROWS, PAIRS = 16, 2_048, 20_000, 1 << 15
 #: Keys of wanted documents that may be broadcast to the scan of the texts.
 BROADCAST_ROWS = 300_000
 

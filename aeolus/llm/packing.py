@@ -38,8 +38,9 @@ ISLANDS, MEMBERS, EPOCHS, GENERATIONS = 2, 4, 2, 6
 LOOSE, LEVELS = 0.9, 7
 #: Pieces whose ids a task keeps, some 30 MB; beyond that it starts afresh.
 KEPT_PIECES = 500_000
-#: Bytes encoded at a time; longer texts are cut at stable boundaries.
-SEGMENT = 1 << 21
+#: Bytes encoded at a time, or one longer text; of texts above the second bound
+#: the pieces are encoded one by one.
+SEGMENT, LONG = 1 << 18, 1 << 23
 
 # White space as the tokenizer's patterns have it: without U+001C to U+001F.
 _WHITE = r"[^\S\x1c-\x1f]"
@@ -170,7 +171,7 @@ def encode_texts(texts: pa.Array, name: str = TOKENIZER) -> Iterator[np.ndarray]
     while first < len(texts):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SEGMENT, "right")) - 1)
         a, b = int(offsets[first]), int(offsets[last])
-        if b - a > 4 * SEGMENT or _other_white(data[a:b]):
+        if b - a > LONG or _other_white(data[a:b]):
             for text in texts.slice(first, last - first).to_pylist():
                 parts = [encode_piece(p, name) for s in _segments(text) for p in _PIECE.findall(s)]
                 yield np.concatenate([*parts, np.zeros(0, "<u4")])

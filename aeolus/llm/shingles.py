@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes hashed at a time.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 
 _rng = np.random.default_rng(20)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64)

@@ -31,8 +31,10 @@ WINDOW = 2
 SAMPLE = 6_000
 EPOCHS, BATCH, RATE = 12, 64, 0.3
 THRESHOLD = 0.7
-#: Words whose means a task keeps, some 30 MB; beyond that it starts afresh.
-KEPT_WORDS = 300_000
+#: Words whose means a task keeps, some 15 MB; beyond that it starts afresh.
+KEPT_WORDS = 100_000
+#: Words whose subwords are looked up at a time.
+_PART = 50_000
 
 _EDGE = string.punctuation + "«»„“”’…–—¡¿"
 
@@ -89,22 +91,31 @@ def train(texts: Iterable[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
     words = list(index)
     # The subwords of all words once, as slices by word.
     parts, counts = [], []
-    for at in range(0, len(words), 50_000):
-        ids, owner = subwords(words[at : at + 50_000])
-        parts.append(ids[np.argsort(owner, kind="stable")])
-        counts.append(np.bincount(owner, minlength=len(words[at : at + 50_000])))
-    ids = np.concatenate([*parts, np.zeros(0, np.int64)])
-    count = np.concatenate([*counts, np.zeros(0, np.int64)])
-    first = np.cumsum(count) - count
+    for at in range(0, len(words), _PART):
+        ids, owner = subwords(words[at : at + _PART])
+        parts.append(ids[np.argsort(owner, kind="stable")].astype(np.int32))
+        counts.append(np.bincount(owner, minlength=len(words[at : at + _PART])).astype(np.int32))
+    ids = np.concatenate([*parts, np.zeros(0, np.int32)])
+    count = np.concatenate([*counts, np.zeros(0, np.int32)])
+    del parts, counts, words, index
+    ends = np.cumsum(count, dtype=np.int64)
+    first = ends - count
+
+    def means(logit: np.ndarray) -> np.ndarray:
+        """Mean logit of each word's subwords."""
+        out = np.zeros(len(count))
+        for at in range(0, len(count), _PART):
+            n = count[at : at + _PART]
+            own = logit[ids[first[at] : ends[min(at + _PART, len(count)) - 1]]]
+            out[at : at + _PART] = np.bincount(np.repeat(np.arange(len(n)), n), own, minlength=len(n)) / np.maximum(n, 1)
+        return out
 
     embed = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     out = rng.normal(0, 0.1, (DIMENSIONS, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
     seen = [np.full(BUCKETS, 1e-6, np.float32), np.full(out.shape, 1e-6, np.float32), np.full(2, 1e-6, np.float32)]
     for epoch in range(EPOCHS):
-        logit = embed @ (out[:, 1] - out[:, 0])
-        owner = np.repeat(np.arange(len(words)), count)
-        value = np.bincount(owner, logit[ids], minlength=len(words)) / np.maximum(count, 1)
+        value = means(embed @ (out[:, 1] - out[:, 0]))
         order = rng.permutation(len(docs))
         for k in range(0, len(order), BATCH):
             batch = order[k : k + BATCH]

@@ -94,9 +94,10 @@ HARD = [
 ]
 
 
-@pytest.mark.parametrize("segment", [1 << 21, 16])
-def test_ids_are_the_librarys(documents, monkeypatch, segment):
+@pytest.mark.parametrize(("segment", "long"), [(1 << 18, 1 << 23), (16, 1 << 23), (16, 64)])
+def test_ids_are_the_librarys(documents, monkeypatch, segment, long):
     monkeypatch.setattr(packing, "SEGMENT", segment)
+    monkeypatch.setattr(packing, "LONG", long)
     texts = HARD + [r.text for r in documents.collect()][:12]
     library = packing.tokenizer(packing.TOKENIZER)
     want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
