@@ -19,7 +19,9 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,8 +38,8 @@ ISLANDS, MEMBERS, EPOCHS, GENERATIONS = 2, 4, 2, 6
 #: Sequences filled less than this, and each block's emptiest, are packed again,
 #: in so many rounds at most; every round leaves a fraction of the pieces.
 LOOSE, LEVELS = 0.9, 7
-#: Pieces whose ids a task keeps, some 30 MB; beyond that it starts afresh.
-KEPT_PIECES = 500_000
+#: Pieces whose ids a Python worker keeps, some 50 MB; beyond that it starts afresh.
+KEPT_PIECES = 1_000_000
 #: Bytes encoded at a time, or one longer text; of texts above the second bound
 #: the pieces are encoded one by one.
 SEGMENT, LONG = 1 << 18, 1 << 23
@@ -54,6 +56,9 @@ _PIECES = "_row long, doc_id long, piece int, start long, length long, ids_crc32
 _WORD = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 
 
+_PRE_TOKENS = regex.compile(public_tokenizers.PATTERN).findall
+
+
 # -- tokens ---------------------------------------------------------------
 
 
@@ -81,10 +86,14 @@ _WHITE_LEAD = _WHITE_NEXT.any(1)
 
 
 def encode_piece(piece: str, name: str = TOKENIZER) -> np.ndarray:
-    """Ids of a piece of text that begins and ends at stable boundaries."""
-    if _WORD.fullmatch(piece):
-        letters = piece.encode().decode("latin-1").translate(_LETTERS)
-        return np.array([t.id for t in tokenizer(name).model.tokenize(letters)], "<u4")
+    """Ids of a piece of text that begins and ends at stable boundaries.
+
+    Its pre-tokens are told by the pattern of byte-level models; strings that
+    may be special tokens are left to the library as a whole."""
+    if _WORD.fullmatch(piece) or "<|" not in piece:  # no special token
+        tokenize = tokenizer(name).model.tokenize
+        parts = (w.encode().decode("latin-1").translate(_LETTERS) for w in _PRE_TOKENS(piece))
+        return np.array([t.id for w in parts for t in tokenize(w)], "<u4")
     return np.array(tokenizer(name).encode(piece, add_special_tokens=False).ids, "<u4")
 
 
@@ -102,7 +111,7 @@ class PieceTable:
 
     def place(self, hashes: np.ndarray, piece_of) -> np.ndarray:
         """Rows of the ascending hashes; new ones are encoded, ``piece_of`` gives them."""
-        if len(self.hashes) > KEPT_PIECES or self.used > 16 * KEPT_PIECES:
+        if len(self.hashes) > KEPT_PIECES or self.used > 8 * KEPT_PIECES:
             self.clear()
         at = np.searchsorted(self.hashes, hashes)
         new = np.ones(len(hashes), bool)
@@ -130,11 +139,6 @@ def _table(name: str) -> PieceTable:
     return PieceTable(name)
 
 
-def clear_kept() -> None:
-    """Drop what this process keeps of pieces; a task does so at its end."""
-    _table.cache_clear()
-
-
 def encode_bytes(data: np.ndarray, breaks: np.ndarray, name: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of UTF-8 texts in a row, and how many ids stand before each of ``breaks``.
 
@@ -213,11 +217,8 @@ def token_pieces(
     """One row a piece of every document's ids."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        try:
-            for batch in batches:
-                yield cut_batch(batch)
-        finally:
-            clear_kept()
+        for batch in batches:
+            yield cut_batch(batch)
 
     def cut_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows: list[tuple] = []
