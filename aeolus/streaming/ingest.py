@@ -59,12 +59,13 @@ def ingest_domain(spark: SparkSession, landing_dir: str, root: str, domain: str,
 
 def append_bronze(envelopes: DataFrame, root: str, domain: str, source: str, checkpoint: str,
                   name: str, interval_seconds: int) -> StreamingQuery:
-    """Append a stream of envelopes to the hour partitions below ``root``.
-    ``interval_seconds=0`` takes what is there and ends."""
+    """Append a stream of envelopes to the hour partitions below ``root``, as
+    gzip JSON Lines. ``interval_seconds=0`` takes what is there and ends."""
     keyed = with_partition_keys(envelopes).drop("part_stamp")
     w = (keyed.writeStream.format("json").outputMode("append")
          .partitionBy("ingest_date", "hour")
          .option("checkpointLocation", checkpoint)
+         .option("compression", "gzip")
          .queryName(name))
     w = (w.trigger(availableNow=True) if interval_seconds == 0
          else w.trigger(processingTime=f"{interval_seconds} seconds"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from aeolus.sources import fixtures as fx
 from aeolus.sources import landing
+from aeolus.streaming.ingest import append_bronze
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -25,3 +26,16 @@ def test_bronze_lands_compressed_in_the_order_of_its_scan(spark):
     assert all(span == n <= landing.LINES["maxRecordsPerFile"] for _, span, n in spans.collect())
     plain = fx.weather_bronze(events).select(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0]
     assert sum(os.path.getsize(f) for f in files) < plain / 4
+
+
+def test_streamed_bronze_is_compressed_and_whole(spark, tmp_dir):
+    env = fx.weather_bronze(fx.read_table(spark, SF_DIR, "events")).drop("src_id")
+    env.write.options(**landing.LINES).json(f"{tmp_dir}/landing")
+    stream = spark.readStream.schema(env.schema).json(f"{tmp_dir}/landing")
+    append_bronze(stream, f"{tmp_dir}/bronze", "weather", "s", f"{tmp_dir}/progress", "landing_test", 0).awaitTermination()
+    files = glob.glob(f"{tmp_dir}/bronze/**/part-*", recursive=True)
+    assert files and all(f.endswith(".json.gz") for f in files)
+    back = spark.read.schema(env.schema).json(f"{tmp_dir}/bronze/domain=weather/source=s/schema_v=1").select(env.columns)
+    assert back.count() == env.count()
+    assert back.select("event_id", "ingest_ts", "payload.city").exceptAll(
+        env.select("event_id", "ingest_ts", "payload.city")).isEmpty()
