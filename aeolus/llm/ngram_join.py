@@ -289,6 +289,16 @@ def _search(rows: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame
     )
 
 
+def _unseen(pairs: DataFrame, seen: DataFrame) -> DataFrame:
+    """The distinct pairs that aren't among those ``seen``.
+
+    A pair comes out of the tree of each key it shares. The pairs are written
+    before the join: Spark would put it below the search's ``distinct``, where
+    it carries each of a pair's rows on.
+    """
+    return materialise(pairs, "pairs").join(seen, ["src", "dst"], "left_anti")
+
+
 def _verify(pairs: DataFrame, points: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The pairs of nodes that reach the similarity, by a finer bound and then by sets."""
 
@@ -404,8 +414,8 @@ def jaccard_groups(documents: DataFrame, n: int = 3, num: int = 9, den: int = 10
         .withColumn("one", F.least("tile", "other")).withColumn("two", F.greatest("tile", "other"))
         .withColumn("held", F.col("tile") == F.col("one")).withColumn("asks", F.col("tile") == F.col("two"))
     )
-    rest = _search(everyone, points, num, den).join(stars, ["src", "dst"], "left_anti")
-    more = _verify(materialise(rest, "rest"), points, texts, n, num, den)
+    rest = materialise(_unseen(_search(everyone, points, num, den), stars), "rest")
+    more = _verify(rest, points, texts, n, num, den)
     found = connected_components(links.unionByName(more))
 
     grouped = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))

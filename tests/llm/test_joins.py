@@ -278,3 +278,12 @@ def test_alignment():
         got = decontamination.align(item, text, -12, 30, 4)
         least = least_edits(item, text)
         assert (got is None) == (least > 4) and (got is None or got[0] == least)
+
+
+def test_pairs_of_many_keys_reach_the_anti_join_once(spark):
+    many = spark.range(40).selectExpr("id % 4 AS src", "id % 4 + 10 AS dst")
+    seen = spark.createDataFrame([(0, 10)], "src long, dst long")
+    out = ngram_join._unseen(many.distinct(), seen)
+    assert sorted(map(tuple, out.collect())) == [(1, 11), (2, 12), (3, 13)]
+    # Nothing is left to be deduplicated after the join, as when it ran below the distinct.
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
