@@ -3,8 +3,10 @@
 A document is the set of its word shingles. Shingles are hashed into groups,
 and the counts by group are the document's point. Two sets share no more than
 the sum over the groups of the smaller count; an R-tree over the points prunes
-whole nodes by that bound, taken with the node's largest counts, and pairs that
-survive are verified on their sets.
+whole nodes by that bound, taken with the node's largest counts. Pairs of points
+that survive are bounded again by sketches, a bit for each hash value that the set
+has, among several values a shingle: a bit that only one set has is a shingle that
+only it has. What is left is verified on the sets.
 
 The work is dealt to tasks by rare shingles: sets that reach the similarity
 share one of the first few of their shingles in any common order. Ordering by
@@ -29,14 +31,18 @@ from pyspark.sql import functions as F
 from aeolus.llm.common import connected_components, materialise
 from aeolus.llm.shingles import mix, shingle_sets
 
-#: Coordinates of a point in the R-tree; and shingles for each coordinate, on
-#: average, of the finer point by which surviving pairs are bounded again.
-GROUPS, FINE = 64, 8
+#: Coordinates of a point in the R-tree; and the most bits for each shingle, more
+#: than half of them there, of the sketch by which surviving pairs are bounded again.
+GROUPS, BITS = 64, 8
 #: Bins by which the frequency of shingles is told, for the order of the keys.
 BINS = 1 << 16
 #: Children of a node of the R-tree; documents of a key in one tile; documents in
 #: one tree, but for a last key's; pairs that a search compares at a time.
 FANOUT, TILE, TREE_ROWS, PAIRS = 16, 2_048, 20_000, 1 << 15
+#: Bytes of points and sketches in one tree, but for a last key's.
+TREE_BYTES = 4 << 20
+#: Pairs of sketches compared at a time, and their bytes.
+SKETCHES, SKETCH_BYTES = 2_048, 2 << 20
 #: Keys of wanted documents that may be broadcast to the scan of the texts.
 BROADCAST_ROWS = 300_000
 
@@ -156,7 +162,7 @@ class _Describe:
 
     fields = [
         ("n", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()),
-        ("keys", pa.list_(pa.int64())), ("point", pa.binary()), ("fine", pa.binary()),
+        ("keys", pa.list_(pa.int64())), ("point", pa.binary()), ("sketch", pa.binary()),
     ]
 
     def __init__(self, frequency: np.ndarray, num: int, den: int):
@@ -170,9 +176,7 @@ class _Describe:
         fp2 = int(np.bitwise_xor.reduce(mix(s ^ np.uint64(0x5851F42D4C957F2D)))) if n else 0
         group = s >> np.uint64(40)
         point = pack_counts(np.bincount(group & np.uint64(GROUPS - 1), minlength=GROUPS))
-        fine = 1 << max(GROUPS.bit_length() - 1, (n // FINE).bit_length())
-        counts = np.bincount(group & np.uint64(fine - 1), minlength=fine)
-        return n, _signed(fp1), _signed(fp2), s[rare].view(np.int64), point, pack_counts(counts)
+        return n, _signed(fp1), _signed(fp2), s[rare].view(np.int64), point, sketch(s)
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
@@ -192,12 +196,37 @@ def unpack_points(packed: list[bytes]) -> np.ndarray:
     return out
 
 
-def shared_at_most(a: bytes, b: bytes) -> int:
-    """Sum of the smaller counts; the finer of two points is folded first."""
-    a, b = (np.frombuffer(x, f"<u{x[0]}", offset=1).astype(np.int64) for x in (a, b))
-    if len(a) < len(b):
-        a, b = b, a
-    return int(np.minimum(a.reshape(-1, len(b)).sum(0), b).sum())
+def sketch(s: np.ndarray) -> bytes:
+    """A bit for each value of a hash that the shingles have."""
+    size = 1 << max(GROUPS.bit_length() - 1, (BITS * len(s)).bit_length() - 1)
+    bits = np.zeros(size, np.uint8)
+    bits[(s >> np.uint64(24)) & np.uint64(size - 1)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """The rows' sketches as those of hashes with fewer values."""
+    return np.bitwise_or.reduce(bits.reshape(len(bits), -1, width), axis=1)
+
+
+def shared_at_most(a: list[bytes], b: list[bytes], n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """For each pair of sketches and sizes, what the sets share at most: each bit
+    of one alone is at least a shingle of it alone."""
+    out = np.zeros(len(a), np.int64)
+    wide = np.array([[len(x), len(y)] for x, y in zip(a, b)], np.int64).reshape(-1, 2)
+    for of_a, of_b in np.unique(wide, axis=0):
+        width = min(of_a, of_b) // 8
+        all_here = np.flatnonzero((wide == (of_a, of_b)).all(1))
+        step = max(1, SKETCH_BYTES // int(of_a + of_b))
+        for at in range(0, len(all_here), step):
+            here = all_here[at : at + step]
+            x, y = (
+                _folded(np.frombuffer(b"".join(of[i] for i in here), "<u8").reshape(len(here), -1), width)
+                for of in (a, b)
+            )
+            alone = [np.bitwise_count(p & ~q).sum(1, dtype=np.int64) for p, q in ((x, y), (y, x))]
+            out[here] = np.minimum(n_a[here] - alone[0], n_b[here] - alone[1])
+    return out
 
 
 class _Set:
@@ -240,7 +269,8 @@ def _candidates(num: int, den: int):
     """Pairs of different components in each group of (key, one, two).
 
     Rows of the group's tile ``one`` make up the tree; those marked ``asks`` are
-    searched for. A block of whole groups is one tree.
+    searched for. A block of whole groups is one tree. Rows may have a ``sketch``:
+    then the pairs found are those that it doesn't exclude either.
     """
 
     def groups(table: pa.Table) -> pa.RecordBatch:
@@ -252,17 +282,30 @@ def _candidates(num: int, den: int):
         group = np.concatenate([[0], np.cumsum((np.diff(key) != 0) | (np.diff(one) != 0) | (np.diff(two) != 0))])
         tree = RTree(points[held], sizes[held], owner[held], num, den, group[held])
         q, p = tree.search(points[asks], sizes[asks], owner[asks], group[asks])
-        a, b = node[asks][q], node[held][p]
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1)[a != b], axis=0)
+        q, p = np.flatnonzero(asks)[q], np.flatnonzero(held)[p]
+        # Each pair once, whichever of its documents asks.
+        q, p = np.where(node[q] <= node[p], q, p), np.where(node[q] <= node[p], p, q)
+        pairs, first = np.unique(np.stack([node[q], node[p]], 1), axis=0, return_index=True)
+        differ = pairs[:, 0] != pairs[:, 1]
+        pairs, first = pairs[differ], first[differ]
+        if "sketch" in table.column_names and len(pairs):
+            bits = table.column("sketch").combine_chunks()
+            near = []
+            for at in range(0, len(first), SKETCHES):
+                a, b = (x[first[at : at + SKETCHES]] for x in (q, p))
+                shared = shared_at_most(bits.take(a).to_pylist(), bits.take(b).to_pylist(), sizes[a], sizes[b])
+                near.append(shared >= least_overlap(sizes[a], sizes[b], num, den))
+            pairs = pairs[np.concatenate(near)]
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["src", "dst"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        rows = 0
+        rows = size = 0
         for batch in batches:
             held.append(batch)
             rows += batch.num_rows
-            if rows < TREE_ROWS:
+            size += batch.nbytes
+            if rows < TREE_ROWS and size < TREE_BYTES:
                 continue
             # The last group may go on in the next batch.
             table = pa.Table.from_batches(held)
@@ -272,6 +315,7 @@ def _candidates(num: int, den: int):
             if cut:
                 yield groups(table.slice(0, cut))
             held, rows = table.slice(cut).to_batches(), table.num_rows - cut
+            size = sum(b.nbytes for b in held)
         if rows:
             yield groups(pa.Table.from_batches(held))
 
@@ -279,10 +323,16 @@ def _candidates(num: int, den: int):
 
 
 def _search(rows: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidate pairs of (key, one, two, node, component, held, asks)."""
+    """Candidate pairs of (key, one, two, node, component, held, asks).
+
+    They are bounded by the ``sketch`` where ``points`` has it. Without, a key
+    gives as many pairs as it has documents that resemble each other less than
+    asked for, which is their square if all ask.
+    """
+    own = [c for c in ("n", "point", "sketch") if c in points.columns]
     return (
-        rows.join(points.select("node", "n", "point"), "node")
-        .select("key", "one", "two", "node", "component", "n", "held", "asks", "point")
+        rows.join(points.select("node", *own), "node")
+        .select("key", "one", "two", "node", "component", "held", "asks", *own)
         .repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
         .mapInArrow(_candidates(num, den), "src long, dst long")
         .distinct()
@@ -299,17 +349,24 @@ def _unseen(pairs: DataFrame, seen: DataFrame) -> DataFrame:
     return materialise(pairs, "pairs").join(seen, ["src", "dst"], "left_anti")
 
 
-def _verify(pairs: DataFrame, points: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The pairs of nodes that reach the similarity, by a finer bound and then by sets."""
+def _bounded(pairs: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs of nodes that their sketches don't exclude."""
 
     def finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shared = [
-                shared_at_most(a, b)
-                for a, b in zip(batch.column("fine_a").to_pylist(), batch.column("fine_b").to_pylist())
-            ]
-            need = least_overlap(batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), num, den)
-            yield batch.select(["src", "dst"]).filter(pa.array(np.array(shared, int) >= need))
+            a, b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+            shared = shared_at_most(batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist(), a, b)
+            yield batch.select(["src", "dst"]).filter(pa.array(shared >= least_overlap(a, b, num, den)))
+
+    slim = points.select("node", "n", "sketch")
+    return (
+        pairs.join(slim.toDF("src", "n_a", "sketch_a"), "src").join(slim.toDF("dst", "n_b", "sketch_b"), "dst")
+        .mapInArrow(finer, "src long, dst long")
+    )
+
+
+def _verify(near: DataFrame, points: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """The written pairs of nodes whose sets reach the similarity."""
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -320,12 +377,6 @@ def _verify(pairs: DataFrame, points: DataFrame, texts: DataFrame, n: int, num:
                 keep.append(both >= least_overlap(len(a), len(b), num, den))
             yield batch.select(["src", "dst"]).filter(pa.array(keep, pa.bool_()))
 
-    slim = points.select("node", "n", "fine")
-    near = materialise(
-        pairs.join(slim.toDF("src", "n_a", "fine_a"), "src").join(slim.toDF("dst", "n_b", "fine_b"), "dst")
-        .mapInArrow(finer, "src long, dst long"),
-        "bounded",
-    )
     wanted = (
         near.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
         .join(points.select("node", "id", "mark"), "node")
@@ -363,7 +414,7 @@ def jaccard_groups(documents: DataFrame, n: int = 3, num: int = 9, den: int = 10
     rows = materialise(
         texts.mapInArrow(
             _batches(n, ["id", "mark"], describe),
-            "id long, mark long, n long, fp1 long, fp2 long, keys array<long>, point binary, fine binary",
+            "id long, mark long, n long, fp1 long, fp2 long, keys array<long>, point binary, sketch binary",
         ).withColumn("row", F.monotonically_increasing_id()),
         "rows",
     )
@@ -374,7 +425,7 @@ def jaccard_groups(documents: DataFrame, n: int = 3, num: int = 9, den: int = 10
     classes = materialise(classes, "classes")
     points = materialise(
         rows.join(classes.select(F.col("node").alias("row")), "row")
-        .select(F.col("row").alias("node"), "id", "mark", "n", "keys", "point", "fine"),
+        .select(F.col("row").alias("node"), "id", "mark", "n", "keys", "point", "sketch"),
         "points",
     )
     # Of keys that have the same documents one is enough.
@@ -401,8 +452,10 @@ def jaccard_groups(documents: DataFrame, n: int = 3, num: int = 9, den: int = 10
         .withColumn("one", F.explode(F.when(F.col("asks"), F.sequence(F.lit(0), tiles - 1)).otherwise(F.array(own_tile))))
         .withColumn("two", F.col("one")).withColumn("component", F.col("node")).withColumn("held", ~F.col("asks"))
     )
-    stars = materialise(_search(around, points, num, den), "stars")
-    links = materialise(_verify(stars, points, texts, n, num, den), "links")
+    # A document asks for one hub a key here: the sketches go with the pairs.
+    stars = materialise(_search(around, points.drop("sketch"), num, den), "stars")
+    likely = materialise(_bounded(stars, points, num, den), "bounded")
+    links = materialise(_verify(likely, points, texts, n, num, den), "links")
     joined = connected_components(links)
 
     # What the hubs left apart: every document in the tree of its key, by pairs of tiles.

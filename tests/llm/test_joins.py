@@ -287,3 +287,46 @@ def test_pairs_of_many_keys_reach_the_anti_join_once(spark):
     assert sorted(map(tuple, out.collect())) == [(1, 11), (2, 12), (3, 13)]
     # Nothing is left to be deduplicated after the join, as when it ran below the distinct.
     assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sketches_bound_what_sets_share():
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 2**63, 900, dtype=np.uint64))
+    sets = [np.sort(base[rng.random(len(base)) < share]) for share in (0, 0.01, 0.1, 0.5, 0.8, 0.9, 0.95, 1) for _ in range(4)]
+    pairs = [(a, b) for a in sets for b in sets]
+    got = ngram_join.shared_at_most(
+        [ngram_join.sketch(a) for a, _ in pairs], [ngram_join.sketch(b) for _, b in pairs],
+        np.array([len(a) for a, _ in pairs]), np.array([len(b) for _, b in pairs]),
+    )
+    want = np.array([len(np.intersect1d(a, b)) for a, b in pairs])
+    assert (got >= want).all()
+    large = np.array([len(a) > 300 and len(b) > 300 for a, b in pairs])
+    assert (got - want)[large].max() < 60
+
+
+def test_documents_that_resemble_each_other_too_little_are_no_candidates():
+    """A key whose documents share three quarters of a passage gives few pairs, not their square."""
+    rng = np.random.default_rng(4)
+    passage = np.unique(rng.integers(0, 2**63, 300, dtype=np.uint64))
+    sets = [
+        np.unique(np.concatenate([passage, rng.integers(0, 2**63, 50, dtype=np.uint64)])) for _ in range(120)
+    ] + [np.sort(np.append(passage, np.uint64(k))) for k in range(3)]
+    described = [ngram_join._Describe(np.zeros(ngram_join.BINS, np.int64), 4, 5)(s) for s in sets]
+    n = len(sets)
+    table = pa.table({
+        "key": [1] * n, "one": [0] * n, "two": [0] * n, "node": list(range(n)), "component": list(range(n)),
+        "held": [True] * n, "asks": [True] * n, "n": [d[0] for d in described],
+        "point": [d[4] for d in described], "sketch": [d[5] for d in described],
+    })
+
+    def pairs(table):
+        return {(a, b) for f in ngram_join._candidates(4, 5)(iter(table.to_batches()))
+                for a, b in zip(f.column("src").to_pylist(), f.column("dst").to_pylist())}
+
+    links = {
+        (i, j) for i in range(n) for j in range(i + 1, n)
+        if 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))
+    }
+    got, before = pairs(table), pairs(table.drop_columns(["sketch"]))
+    assert links and links <= got <= before
+    assert len(got) < len(links) + n < len(before)
