@@ -41,6 +41,8 @@ BINS = 1 << 16
 FANOUT, TILE, TREE_ROWS, PAIRS = 16, 2_048, 20_000, 1 << 15
 #: Bytes of points and sketches in one tree, but for a last key's.
 TREE_BYTES = 4 << 20
+#: Documents of a key above which its rows have their sketches with them.
+WIDE = 16
 #: Pairs of sketches compared at a time, and their bytes.
 SKETCHES, SKETCH_BYTES = 2_048, 2 << 20
 #: Keys of wanted documents that may be broadcast to the scan of the texts.
@@ -269,8 +271,8 @@ def _candidates(num: int, den: int):
     """Pairs of different components in each group of (key, one, two).
 
     Rows of the group's tile ``one`` make up the tree; those marked ``asks`` are
-    searched for. A block of whole groups is one tree. Rows may have a ``sketch``:
-    then the pairs found are those that it doesn't exclude either.
+    searched for. A block of whole groups is one tree. All rows of a key may have
+    a ``sketch``: then the pairs found are those that it doesn't exclude either.
     """
 
     def groups(table: pa.Table) -> pa.RecordBatch:
@@ -290,12 +292,14 @@ def _candidates(num: int, den: int):
         pairs, first = pairs[differ], first[differ]
         if "sketch" in table.column_names and len(pairs):
             bits = table.column("sketch").combine_chunks()
-            near = []
-            for at in range(0, len(first), SKETCHES):
-                a, b = (x[first[at : at + SKETCHES]] for x in (q, p))
+            near = np.ones(len(first), bool)
+            known = np.flatnonzero(bits.is_valid().to_numpy(zero_copy_only=False)[q[first]])
+            for at in range(0, len(known), SKETCHES):
+                here = known[at : at + SKETCHES]
+                a, b = q[first[here]], p[first[here]]
                 shared = shared_at_most(bits.take(a).to_pylist(), bits.take(b).to_pylist(), sizes[a], sizes[b])
-                near.append(shared >= least_overlap(sizes[a], sizes[b], num, den))
-            pairs = pairs[np.concatenate(near)]
+                near[here] = shared >= least_overlap(sizes[a], sizes[b], num, den)
+            pairs = pairs[near]
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["src", "dst"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,14 +329,17 @@ def _candidates(num: int, den: int):
 def _search(rows: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
     """Candidate pairs of (key, one, two, node, component, held, asks).
 
-    They are bounded by the ``sketch`` where ``points`` has it. Without, a key
-    gives as many pairs as it has documents that resemble each other less than
-    asked for, which is their square if all ask.
+    With a column ``wide``, those of wide keys are bounded by the sketch too:
+    without, documents that resemble each other less than asked for give the
+    square of their number. A narrow key gives a document few pairs at most, and
+    its rows are spared the bytes.
     """
-    own = [c for c in ("n", "point", "sketch") if c in points.columns]
+    own, given = ["n", "point"], [F.col("n"), F.col("point")]
+    if "wide" in rows.columns:
+        own, given = [*own, "sketch"], [*given, F.when(F.col("wide"), F.col("sketch")).alias("sketch")]
     return (
         rows.join(points.select("node", *own), "node")
-        .select("key", "one", "two", "node", "component", "held", "asks", *own)
+        .select("key", "one", "two", "node", "component", "held", "asks", *given)
         .repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
         .mapInArrow(_candidates(num, den), "src long, dst long")
         .distinct()
@@ -453,7 +460,7 @@ def jaccard_groups(documents: DataFrame, n: int = 3, num: int = 9, den: int = 10
         .withColumn("two", F.col("one")).withColumn("component", F.col("node")).withColumn("held", ~F.col("asks"))
     )
     # A document asks for one hub a key here: the sketches go with the pairs.
-    stars = materialise(_search(around, points.drop("sketch"), num, den), "stars")
+    stars = materialise(_search(around, points, num, den), "stars")
     likely = materialise(_bounded(stars, points, num, den), "bounded")
     links = materialise(_verify(likely, points, texts, n, num, den), "links")
     joined = connected_components(links)
@@ -462,7 +469,7 @@ def jaccard_groups(documents: DataFrame, n: int = 3, num: int = 9, den: int = 10
     labelled = postings.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     apart = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     everyone = (
-        labelled.join(apart.select("key"), "key").withColumn("tile", own_tile)
+        labelled.join(apart.select("key"), "key").withColumn("tile", own_tile).withColumn("wide", F.col("width") > WIDE)
         .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
         .withColumn("one", F.least("tile", "other")).withColumn("two", F.greatest("tile", "other"))
         .withColumn("held", F.col("tile") == F.col("one")).withColumn("asks", F.col("tile") == F.col("two"))
