@@ -330,3 +330,23 @@ def test_documents_that_resemble_each_other_too_little_are_no_candidates():
     got, before = pairs(table), pairs(table.drop_columns(["sketch"]))
     assert links and links <= got <= before
     assert len(got) < len(links) + n < len(before)
+
+
+def test_rows_of_narrow_keys_have_no_sketches():
+    rng = np.random.default_rng(6)
+    base = np.unique(rng.integers(0, 2**63, 300, dtype=np.uint64))
+    sets = [np.unique(np.append(base[rng.random(len(base)) < 0.9], np.uint64(k))) for k in range(30)]
+    described = [ngram_join._Describe(np.zeros(ngram_join.BINS, np.int64), 4, 5)(s) for s in sets]
+    keys = [1] * 6 + [2] * 24
+    table = pa.table({
+        "key": keys, "one": [0] * 30, "two": [0] * 30, "node": list(range(30)), "component": list(range(30)),
+        "held": [True] * 30, "asks": [True] * 30, "n": [d[0] for d in described], "point": [d[4] for d in described],
+        "sketch": pa.array([d[5] if k == 2 else None for k, d in zip(keys, described)], pa.binary()),
+    })
+    got = {(a, b) for f in ngram_join._candidates(4, 5)(iter(table.to_batches()))
+           for a, b in zip(f.column("src").to_pylist(), f.column("dst").to_pylist())}
+    links = {
+        (i, j) for i in range(30) for j in range(i + 1, 30) if keys[i] == keys[j]
+        and 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))
+    }
+    assert {keys[i] for i, _ in links} == {1, 2} and links <= got
