@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ...constants import K_CANDIDATES, KMEANS_RESTARTS_FINAL, KMEANS_RESTARTS_SEARCH, SEED
+from . import lloyd
+from .lloyd import Blocks, Fit
 from .prep import DatasetSpec, scaler_stats
 
 POINT_COLS = ("lat", "lon", "intensity")
@@ -43,25 +42,14 @@ def scale_points(points: DataFrame) -> Scaled:
     return Scaled(vec, stats)
 
 
-# Independent fits (restarts, candidate k) are submitted concurrently: each
-# fit is a chain of small distributed jobs, so running them side by side
-# keeps the cluster busy instead of waiting on job latency.
-FIT_THREADS = 8
+# Independent fits (restarts, candidate k) share their passes over the points:
+# a pass serves all that still move, instead of a chain of jobs for each.
 
+def _fit_many(blocks: Blocks, jobs: list[tuple[int, int]], max_iter: int) -> dict[tuple[int, int], Fit]:
+    return dict(zip(jobs, lloyd.fit(blocks, jobs, max_iter)))
 
-def _fit_one(data: DataFrame, k: int, seed: int, max_iter: int) -> KMeansModel:
-    return KMeans(k=k, seed=seed, maxIter=max_iter, tol=1e-6,
-                  featuresCol="features", predictionCol="cluster").fit(data)
 
-
-def _fit_many(data: DataFrame, jobs: list[tuple[int, int]], max_iter: int,
-              threads: int = FIT_THREADS) -> dict[tuple[int, int], KMeansModel]:
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(jobs)))) as pool:
-        futures = {job: pool.submit(_fit_one, data, job[0], job[1], max_iter) for job in jobs}
-        return {job: f.result() for job, f in futures.items()}
-
-
-def _lowest_cost(models: list[KMeansModel]) -> KMeansModel:
+def _lowest_cost(models: list[Fit]) -> Fit:
     # Stable: the first seed wins ties.
     best = models[0]
     for m in models[1:]:
@@ -71,30 +59,24 @@ def _lowest_cost(models: list[KMeansModel]) -> KMeansModel:
 
 
 def best_of(data: DataFrame, k: int, restarts: int, seed: int = SEED,
-            max_iter: int = 300) -> KMeansModel:
-    """``restarts`` seeded fits, keep the lowest cost (pyspark.ml's
-    KMeans has no restart parameter)."""
-    fits = _fit_many(data, [(k, seed + r) for r in range(restarts)], max_iter)
+            max_iter: int = 300, blocks: Blocks | None = None) -> Fit:
+    """``restarts`` seeded fits, keep the lowest cost. ``blocks``: the
+    data as written before."""
+    fits = _fit_many(blocks or lloyd.write_blocks(data), [(k, seed + r) for r in range(restarts)], max_iter)
     return _lowest_cost([fits[(k, seed + r)] for r in range(restarts)])
 
 
 def choose_k(scaled: Scaled, ks=K_CANDIDATES, restarts: int = KMEANS_RESTARTS_SEARCH,
-             seed: int = SEED, max_iter: int = 300) -> list[dict]:
+             seed: int = SEED, max_iter: int = 300, blocks: Blocks | None = None) -> list[dict]:
     """Silhouette per k (squared Euclidean, Spark's linear-cost form);
     k >= n and single-cluster results are skipped."""
-    n = scaled.data.count()
-    ks = [k for k in ks if k < n]
-    fits = _fit_many(scaled.data, [(k, seed + r) for k in ks for r in range(restarts)], max_iter)
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
-    out = []
-    for k in ks:
-        m = _lowest_cost([fits[(k, seed + r)] for r in range(restarts)])
-        pred = m.transform(scaled.data)
-        if pred.select("cluster").distinct().limit(2).count() < 2:
-            continue
-        out.append({"k": k, "inertia": float(m.summary.trainingCost),
-                    "silhouette": float(ev.evaluate(pred)), "model": m})
-    return out
+    blocks = blocks or lloyd.write_blocks(scaled.data)
+    ks = [k for k in ks if k < blocks.n]
+    fits = _fit_many(blocks, [(k, seed + r) for k in ks for r in range(restarts)], max_iter)
+    best = [(k, _lowest_cost([fits[(k, seed + r)] for r in range(restarts)])) for k in ks]
+    best = [(k, m) for k, m in best if (m.sums[:, 0] > 0).sum() >= 2]
+    return [{"k": k, "inertia": m.summary.trainingCost, "silhouette": s, "model": m}
+            for (k, m), s in zip(best, lloyd.silhouettes(blocks, [m for _, m in best]))]
 
 
 def pick_best(evals: list[dict]) -> int | None:
@@ -119,30 +101,33 @@ def centers_from_labels(points: DataFrame, label: str = "cluster") -> DataFrame:
 def cluster(points: DataFrame, ks=K_CANDIDATES, restarts_search: int = KMEANS_RESTARTS_SEARCH,
             restarts_final: int = KMEANS_RESTARTS_FINAL, seed: int = SEED) -> dict:
     """M20-M24 composed: guard, selection, final fit, centers, inertia."""
-    n = points.count()
-    if n < MIN_POINTS:
-        return {"skipped": True, "reason": "insufficient_samples", "rows": n}
-    scaled = scale_points(points)
-    data = scaled.data.persist(StorageLevel.MEMORY_AND_DISK)
+    # The points are kept as they are: what was joined to find them runs once.
+    points = points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        scaled = Scaled(data, scaled.stats)
-        evals = choose_k(scaled, ks, restarts_search, seed)
+        n = points.count()
+        if n < MIN_POINTS:
+            points.unpersist()
+            return {"skipped": True, "reason": "insufficient_samples", "rows": n}
+        scaled = scale_points(points)
+        blocks = lloyd.write_blocks(scaled.data)
+        evals = choose_k(scaled, ks, restarts_search, seed, blocks=blocks)
         k = pick_best(evals)
         if k is None:
+            points.unpersist()
             return {"skipped": True, "reason": "no_valid_k", "rows": n}
         # Seeds seed..seed+restarts_search-1 were already fitted for this k
         # during selection (fits are deterministic per seed), so only the
         # remaining seeds run; the lower seeds keep priority on ties.
         searched = next(e["model"] for e in evals if e["k"] == k)
         extra = [(k, seed + r) for r in range(restarts_search, restarts_final)]
-        fits = _fit_many(data, extra, 300) if extra else {}
+        fits = _fit_many(blocks, extra, 300) if extra else {}
         model = _lowest_cost([searched] + [fits[j] for j in extra]) \
-            if restarts_final > restarts_search else best_of(data, k, restarts_final, seed)
-        labelled = model.transform(data)
+            if restarts_final > restarts_search else best_of(scaled.data, k, restarts_final, seed, blocks=blocks)
+        labelled = model.transform(scaled.data)
         sil = next(e["silhouette"] for e in evals if e["k"] == k)
         return {"skipped": False, "evaluations": evals, "best_k": k, "silhouette": sil,
                 "inertia": float(model.summary.trainingCost),
-                "model": model, "labelled": labelled, "data": data}
+                "model": model, "labelled": labelled, "data": points}
     except Exception:
-        data.unpersist()
+        points.unpersist()
         raise
