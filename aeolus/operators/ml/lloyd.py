@@ -23,10 +23,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ...session import bound_batches, ensure_checkpoint_dir, scratch_path
+from ...session import ensure_checkpoint_dir, scratch_path
 
 #: Points of a block at most, and of a leaf of its tree; points compared at once.
-BLOCK_POINTS, LEAF_POINTS, SLAB_POINTS = 1 << 18, 64, 1 << 15
+BLOCK_POINTS, LEAF_POINTS, SLAB_POINTS = 1 << 17, 64, 1 << 15
 #: Binary splits between two levels that a pass looks at.
 SPLITS = 3
 #: Rounds of sampling and candidates a round and center, as ``pyspark.ml`` has them;
@@ -269,15 +269,16 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def write_blocks(data: DataFrame) -> Blocks:
     """The ``features`` of all rows as blocks in the shared folder: a file each,
-    so that a scan deals them to tasks by their size, and plain, so that this is
-    the size that a task holds."""
+    so that a scan deals them to tasks by their size. A session of their own
+    hands workers one block at a time; a batch by default holds all of a task's."""
     spark = data.sparkSession
     ensure_checkpoint_dir(spark)
-    bound_batches(spark)
     path = scratch_path(spark, "kmeans", uuid.uuid4().hex[:12])
     made = data.select(vector_to_array("features").alias("x")).mapInArrow(_cut, _BLOCK)
     made.write.option("maxRecordsPerFile", 1).option("compression", "none").parquet(path)
-    table = spark.read.schema(_BLOCK).parquet(path)
+    reader = spark.newSession()
+    reader.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    table = reader.read.schema(_BLOCK).parquet(path)
     sizes = sorted((r["block"], r["points"]) for r in table.select("block", "points").collect())
     return Blocks(table.select("block", "dims", "rows", "nodes"), sizes)
 

@@ -1,6 +1,7 @@
 """K-means over blocks against plain numpy and ``pyspark.ml`` on the same points."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -84,6 +85,18 @@ def test_far_points_come_with_their_own_chance():
     assert taken / 600 == pytest.approx(chance[near].sum(), rel=0.3)
 
 
+def test_a_worker_is_handed_one_block_at_a_time(spark, scaled, monkeypatch):
+    monkeypatch.setattr(lloyd, "BLOCK_POINTS", 100)
+    blocks = lloyd.write_blocks(scaled.data)
+
+    def rows(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows]})
+    got = [r["rows"] for r in blocks.table.mapInArrow(rows, "rows long").collect()]
+    assert len(got) == len(blocks.sizes) >= 40 and set(got) == {1}
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") != "1"
+
+
 def test_fits_are_lloyds_from_their_starts(scaled, x, monkeypatch):
     monkeypatch.setattr(lloyd, "BLOCK_POINTS", 300)
     blocks = lloyd.write_blocks(scaled.data)
