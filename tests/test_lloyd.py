@@ -9,6 +9,9 @@ from pyspark.ml.functions import array_to_vector
 
 from aeolus.operators.ml import clustering as mk
 from aeolus.operators.ml import lloyd
+from aeolus.operators.ml import prep as mp
+from aeolus.plans.catalog import QUERIES, ml_dataset
+from conftest import SF01
 
 COLUMNS = "lat double, lon double, intensity double"
 
@@ -167,3 +170,18 @@ def test_points_must_be_finite(spark, odd):
     bad = spark.createDataFrame([([1.0, 2.0],), ([odd, 2.0],)], "x array<double>")
     with pytest.raises(Exception, match="neither NaN nor infinite"):
         lloyd.write_blocks(bad.select(array_to_vector("x").alias("features")))
+
+
+@pytest.mark.parametrize("name", ["kmeans_select", "kmeans_facts", "kmeans_centers"])
+def test_queries_share_the_passes_of_their_fits(spark, name):
+    """100 fits at most, of 18 jobs or more each when they ran by themselves."""
+    def last_job():
+        return max(spark.sparkContext.statusTracker().getJobIdsForGroup() or [0])
+    spark.range(1).count()
+    before = last_job()
+    rows = QUERIES[name](spark, SF01).collect()
+    assert last_job() - before < 500
+    if name == "kmeans_centers":
+        points = mk.congested_points(mp.check_dataset(ml_dataset(spark, SF01), mp.ROAD_SPEC), mp.ROAD_SPEC)
+        assert sum(r["size"] for r in rows) == points.count()
+        assert [r["cluster_id"] for r in sorted(rows)] == list(range(len(rows)))
